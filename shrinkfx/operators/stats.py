@@ -137,4 +137,5 @@ def box_stats(df: DataFrame, group: str, col: str, log10: bool = True) -> DataFr
 def year_ticks(df: DataFrame, col: str = "movie_year", step: int = 10) -> DataFrame:
     """``(tick)``: every ``step``-th year from the smallest to the largest year text."""
     r = df.agg(F.min(col).try_cast("int").alias("lo"), F.max(col).try_cast("int").alias("hi"))
-    return r.select(F.explode(F.sequence("lo", "hi", F.lit(step))).cast("string").alias("tick"))
+    ticks = r.select(F.explode(F.sequence("lo", "hi", F.lit(step))).alias("t"))
+    return ticks.select(F.col("t").cast("string").alias("tick"))
