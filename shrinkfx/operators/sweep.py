@@ -58,34 +58,112 @@ def sweep_single(train: DataFrame, test: DataFrame, key: str, alphas: Sequence[f
               .select("alpha", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse")))
 
 
+def _per_alpha(df: DataFrame, arrays: Sequence[str]):
+    """Expand each row to one row per alpha index ``pos`` with the pos-th element
+    of every array as a plain column (a codegen'd generator, no lambdas)."""
+    first, rest = arrays[0], list(arrays[1:])
+    keep = [c for c in df.columns if c not in arrays]
+    ex = df.select(*keep, *rest, F.posexplode(first).alias("pos", first))
+    return ex.select(*keep, "pos", first, *[F.col(a)[F.col("pos")].alias(a) for a in rest])
+
+
+# Plan choice for a chained stage: when (distinct keys x alphas) is small, a
+# map-side partial aggregate of the expanded rows is best (its hash map stays
+# small and only tasks x keys x alphas partial rows are shuffled). When it is
+# large (e.g. users), partial aggregation cannot reduce anything, so the plain
+# rows are shuffled by key first -- alphas x fewer bytes -- and each task then
+# aggregates its keys completely. Keys with more than ``hot_rows`` rows are
+# split over ``ceil(n / hot_rows)`` salted tasks and merged afterwards.
+MAP_SIDE_MAX_CELLS = 1_000_000
+HOT_ROWS = 2_000_000
+MAX_HOT_KEYS_BROADCAST = 100_000
+
+
+def _stage_effects(rows: DataFrame, key: str, res, A, n_alphas: int, salt_cols: Sequence[str],
+                   hot_rows: int, map_side_max_cells: int) -> DataFrame:
+    """``(key, n, eff array)`` where ``eff[i] = sum(res[i]) / (n + alpha_i)``.
+
+    ``rows`` already carries the per-alpha arrays; ``res`` is the per-alpha
+    residual as a column expression over the expanded (``_per_alpha``) row.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    n_keys = counts.count()
+
+    def finish(per: DataFrame, group_cols) -> DataFrame:
+        return (per.groupBy(*group_cols)
+                   .agg(F.array_sort(F.collect_list(F.struct("pos", "n", "s"))).alias("pe")))
+
+    def effects(packed: DataFrame) -> DataFrame:
+        n = F.col("pe")[0]["n"]
+        e = F.transform("pe", lambda x: x["s"] / (x["n"] + F.element_at(A, x["pos"] + 1)))
+        return packed.select(key, n.alias("n"), e.alias("eff"))
+
+    if n_keys * n_alphas <= map_side_max_cells:
+        ex = _per_alpha(rows, [c for c in rows.columns if c.startswith("__e")])
+        per = ex.groupBy(key, "pos").agg(F.count(F.lit(1)).alias("n"), F.sum(res).alias("s"))
+        return effects(finish(per, [key]))
+
+    hot = counts.filter(F.col("n") > hot_rows).select(
+        F.col(key).alias("__hk"), F.ceil(F.col("n") / F.lit(float(hot_rows))).cast("int").alias("__ns"))
+    n_hot = hot.count()
+    hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot
+    salted = (rows.join(hot_side, rows[key].eqNullSafe(hot_side["__hk"]), "left")
+                  .withColumn("__salt", F.coalesce(
+                      F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("__ns")).cast("int"), F.lit(0)))
+                  .drop("__hk", "__ns"))
+    parted = salted.repartition(key, "__salt")
+    arrays = [c for c in rows.columns if c.startswith("__e")]
+    ex = _per_alpha(parted, arrays)
+    per = ex.groupBy(key, "__salt", "pos").agg(F.count(F.lit(1)).alias("n"), F.sum(res).alias("s"))
+    packed = finish(per, [key, "__salt"])
+    if n_hot == 0:
+        return effects(packed.drop("__salt"))
+    # hot keys: merge their salted parts (expand, sum by (key, pos), pack again)
+    hot_keys = hot.select(F.col("__hk").alias(key))
+    is_hot = packed.join(F.broadcast(hot_keys) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot_keys,
+                         key, "left_semi")
+    not_hot = packed.join(F.broadcast(hot_keys) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot_keys,
+                          key, "left_anti")
+    merged = (is_hot.select(key, F.inline("pe"))
+                    .groupBy(key, "pos").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+    return effects(stack_two(not_hot.drop("__salt"), finish(merged, [key])))
+
+
+def stack_two(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b)
+
+
 def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[float],
-                     mu: float, rating: str = "rating", keep: bool = True) -> list[DataFrame]:
-    """Per stage: ``(key, n, eff array<double>)`` with one effect per alpha."""
+                     mu: float, rating: str = "rating", keep: bool = True,
+                     salt_cols: Sequence[str] | None = None, hot_rows: int = HOT_ROWS,
+                     map_side_max_cells: int = MAP_SIDE_MAX_CELLS) -> list[DataFrame]:
+    """Per stage: ``(key, n, eff array<double>)`` with one effect per alpha.
+
+    ``salt_cols`` (default: all columns of ``train``) give each row a
+    deterministic hash used to split hot keys; include a unique row key.
+    """
     A = _alphas(alphas)
-    tables = []
-    scored = train.withColumn("__off", F.array_repeat(F.lit(0.0), len(alphas)))
+    salt_cols = list(salt_cols or train.columns)
+    tables: list[DataFrame] = []
     r = F.col(rating) - F.lit(mu)
     for s, key in enumerate(chain):
         if s == 0:
             t = (train.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(r).alias("s"))
                       .select(key, "n", F.transform(A, lambda a: F.col("s") / (F.col("n") + a)).alias("eff")))
         else:
-            ex = scored.select(key, F.posexplode(
-                F.transform("__off", lambda o: F.col(rating) - F.lit(mu) - o)).alias("pos", "res"))
-            per = (ex.groupBy(key, "pos")
-                     .agg(F.count(F.lit(1)).alias("n"), F.sum("res").alias("s"))
-                     .select(key, "pos", "n",
-                             (F.col("s") / (F.col("n") + F.element_at(A, F.col("pos") + 1))).alias("e")))
-            t = (per.groupBy(key)
-                    .agg(F.max("n").alias("n"),
-                         F.array_sort(F.collect_list(F.struct("pos", "e"))).alias("pe"))
-                    .select(key, "n", F.transform("pe", lambda x: x["e"]).alias("eff")))
+            prev = [f"__e{j}" for j in range(s)]
+            cols = list(dict.fromkeys([rating, *chain[:s + 1], *salt_cols]))
+            scored = train.select(*cols)
+            for j in range(s):
+                scored = attach(scored, tables[j].select(chain[j], F.col("eff").alias(prev[j])),
+                                chain[j], "inner")
+            res = r
+            for e in prev:
+                res = res - F.col(e)
+            t = _stage_effects(scored, key, res, A, len(alphas), salt_cols, hot_rows, map_side_max_cells)
         if keep:
             t = materialize(t, f"sweep_{key}")
         tables.append(t)
-        scored = (attach(scored, t.select(key, F.col("eff").alias("__e")), key, "inner")
-                  .withColumn("__off", F.zip_with("__off", "__e", lambda x, y: x + y))
-                  .drop("__e"))
     return tables
 
 
@@ -95,23 +173,19 @@ def sweep_chain(train: DataFrame, test: DataFrame, chain: Sequence[str],
     """``(stage, alpha, n, rmse)``: RMSE of every chain prefix (stage = its length) per alpha."""
     if tables is None:
         tables = fit_chain_arrays(train, chain, alphas, mu, rating)
-    scored = test.select(rating, *chain)
+    names = [f"__e{s}" for s in range(len(chain))]
+    scored = test.select(rating, *dict.fromkeys(chain))
     for s, (key, t) in enumerate(zip(chain, tables)):
-        scored = attach(scored, t.select(key, F.col("eff").alias(f"__e{s}")), key, "inner")
+        scored = attach(scored, t.select(key, F.col("eff").alias(names[s])), key, "inner")
+    ex = _per_alpha(scored.select(rating, *names), names)
     m = len(chain)
+    d = F.col(rating) - F.lit(mu)
+    ses = []
+    for s in range(m):
+        d = d - F.col(names[s])
+        ses.append(F.sum(d * d).alias(f"sse{s + 1}"))
+    agg = ex.groupBy("pos").agg(F.count(F.lit(1)).alias("n"), *ses)
     A = _alphas(alphas)
-
-    def errs(i):
-        fields, off = [], F.lit(0.0)
-        for s in range(m):
-            off = off + F.col(f"__e{s}")[i]
-            d = F.col(rating) - F.lit(mu) - off
-            fields.append((d * d).alias(f"se{s + 1}"))
-        return F.struct(i.alias("pos"), *fields)
-
-    ex = scored.select(F.inline(F.transform(F.sequence(F.lit(0), F.lit(len(alphas) - 1)), errs)))
-    agg = ex.groupBy("pos").agg(F.count(F.lit(1)).alias("n"),
-                               *[F.sum(f"se{s + 1}").alias(f"sse{s + 1}") for s in range(m)])
     longs = F.inline(F.array(*[F.struct(F.lit(s + 1).alias("stage"),
                                         F.col(f"sse{s + 1}").alias("sse")) for s in range(m)]))
     return (agg.select(F.element_at(A, F.col("pos") + 1).alias("alpha"), "n", longs)
