@@ -206,7 +206,8 @@ def q_sweep_single_effects(spark, sf):
 
 def q_sweep_chain(spark, sf):
     p = P(spark, sf)
-    return sweep_chain(p.train, p.test, X.FULL_CHAIN, X.Config().alphas, p.mu)
+    alphas = X.Config().alphas
+    return sweep_chain(p.train, p.test, X.FULL_CHAIN, alphas, p.mu, tables=X.chain_tables(p, alphas))
 
 
 _LB: dict = {}

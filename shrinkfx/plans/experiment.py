@@ -157,7 +157,8 @@ def leaderboard(p: Prepared, alphas=None) -> DataFrame:
             s = sweep_single(p.train, p.test, chain[0], alphas, p.mu)
             parts.append(s.select(ordinal(i).alias("ordinal"), F.lit(name).alias("model"),
                                   "alpha", "rmse"))
-    chain_sweep = sweep_chain(p.train, p.test, FULL_CHAIN, alphas, p.mu)
+    chain_sweep = sweep_chain(p.train, p.test, FULL_CHAIN, alphas, p.mu,
+                              tables=chain_tables(p, alphas))
     chained = [(i, name, len(chain)) for i, (name, _, chain) in enumerate(FAMILIES) if len(chain) > 1]
     stage_map = F.create_map(*[x for i, name, s in chained for x in (F.lit(s), F.lit(name))])
     fam_map = F.create_map(*[x for i, name, s in chained for x in (F.lit(s), F.lit(i))])
@@ -168,6 +169,20 @@ def leaderboard(p: Prepared, alphas=None) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+_CHAIN_TABLES: dict = {}
+
+
+def chain_tables(p: Prepared, alphas, chain=None) -> list[DataFrame]:
+    """Per-alpha effect arrays of the chain, fitted once per prepared split."""
+    chain = list(chain or FULL_CHAIN)
+    key = (p.paths.get("split2"), tuple(chain), tuple(alphas))
+    if key not in _CHAIN_TABLES:
+        tabs = fit_chain_arrays(p.train, chain, alphas, p.mu)
+        _CHAIN_TABLES[key] = [t.inputFiles() for t in tabs]
+    spark = p.train.sparkSession
+    return [spark.read.parquet(*files) for files in _CHAIN_TABLES[key]]
+
+
 def best(results: DataFrame) -> DataFrame:
     """Lowest RMSE; the first (smallest ordinal) of tied rows."""
     b = results.agg(F.min_by(F.struct("ordinal", "model", "alpha", "rmse"),
