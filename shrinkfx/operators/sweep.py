@@ -119,18 +119,14 @@ def _stage_effects(rows: DataFrame, key: str, res, A, n_alphas: int, salt_cols:
     if n_hot == 0:
         return effects(packed.drop("__salt"))
     # hot keys: merge their salted parts (expand, sum by (key, pos), pack again)
-    hot_keys = hot.select(F.col("__hk").alias(key))
-    is_hot = packed.join(F.broadcast(hot_keys) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot_keys,
-                         key, "left_semi")
-    not_hot = packed.join(F.broadcast(hot_keys) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot_keys,
-                          key, "left_anti")
+    hk = hot.select("__hk")
+    hk = F.broadcast(hk) if n_hot <= MAX_HOT_KEYS_BROADCAST else hk
+    cond = packed[key].eqNullSafe(hk["__hk"])
+    is_hot = packed.join(hk, cond, "left_semi")
+    not_hot = packed.join(hk, cond, "left_anti")
     merged = (is_hot.select(key, F.inline("pe"))
                     .groupBy(key, "pos").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
-    return effects(stack_two(not_hot.drop("__salt"), finish(merged, [key])))
-
-
-def stack_two(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.unionByName(b)
+    return effects(not_hot.drop("__salt").unionByName(finish(merged, [key])))
 
 
 def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[float],
