@@ -50,11 +50,17 @@ def _stratum(df: DataFrame, y: str, by: str, approx: bool):
         raise ValueError(f"unknown strata mode {by!r}")
     pct = (F.percentile_approx(c, [0.25, 0.5, 0.75], 100000) if approx
            else F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    stats = df.select(F.struct(pct.alias("q"), F.min(c).alias("lo")).alias("s")).scalar()
+    # one pass, four numbers back to the driver (bounded), used as literals
+    st = df.agg(pct.alias("q"), F.min(c).alias("lo")).first()
+    if st is None or st["lo"] is None:
+        return F.lit(0)
+    lo, qs = float(st["lo"]), [float(q) for q in st["q"]]
     # interval index = number of distinct interior breaks strictly below the value
-    parts = [F.when((stats["q"][i] > stats["lo"]) & (c > stats["q"][i]), 1).otherwise(0)
-             for i in range(3)]
-    return F.when(c.isNull(), F.lit(None)).otherwise(parts[0] + parts[1] + parts[2])
+    parts = [F.when(c > F.lit(q), 1).otherwise(0) for q in qs if q > lo]
+    idx = F.lit(0)
+    for part in parts:
+        idx = idx + part
+    return F.when(c.isNull(), F.lit(None)).otherwise(idx)
 
 
 def stratified_split(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1",

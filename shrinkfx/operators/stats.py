@@ -68,22 +68,25 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """``(bin, x, xmin, xmax, n, density)``: equal-width bins over the range, the first
     and last centred on the minimum and maximum, right-closed; empty bins kept."""
     x = F.col(col)
-    rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("total"))
-    w = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.lit(float(bins - 1))).otherwise(F.lit(1.0))
-    rng = rng.withColumn("w", w)
-    sc = rng.select(F.struct("lo", "w", "total").alias("s")).scalar()
-    b = F.greatest(F.lit(0), F.ceil((x - sc["lo"]) / sc["w"] - F.lit(0.5)).cast("int"))
+    st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("total")).first()
+    lo, hi, total = st["lo"], st["hi"], st["total"]
+    if lo is None:
+        return df.sparkSession.createDataFrame(
+            [], "bin int, x double, xmin double, xmax double, n bigint, density double")
+    w = (hi - lo) / float(bins - 1) if hi > lo else 1.0
+    L, W = F.lit(float(lo)), F.lit(float(w))
+    b = F.greatest(F.lit(0), F.ceil((x - L) / W - F.lit(0.5)).cast("int"))
     counts = df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = rng.select("lo", "w", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = attach(grid, counts, "bin", "left")
     n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
     return out.select(
         "bin",
-        (F.col("lo") + F.col("bin") * F.col("w")).alias("x"),
-        (F.col("lo") + (F.col("bin") - F.lit(0.5)) * F.col("w")).alias("xmin"),
-        (F.col("lo") + (F.col("bin") + F.lit(0.5)) * F.col("w")).alias("xmax"),
+        (L + F.col("bin") * W).alias("x"),
+        (L + (F.col("bin") - F.lit(0.5)) * W).alias("xmin"),
+        (L + (F.col("bin") + F.lit(0.5)) * W).alias("xmax"),
         n.alias("n"),
-        (n / (F.col("total") * F.col("w"))).alias("density"))
+        (n / (F.lit(float(total)) * W)).alias("density"))
 
 
 def kde(df: DataFrame, col: str, points: int = 512) -> DataFrame:
@@ -96,20 +99,23 @@ def kde(df: DataFrame, col: str, points: int = 512) -> DataFrame:
     x = F.col(col)
     st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("nn"),
                 F.stddev_samp(x).alias("sd"),
-                F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    spread = F.least(F.col("sd"), (F.col("q")[1] - F.col("q")[0]) / F.lit(1.34))
-    scale = F.coalesce(F.when(spread > 0, spread), F.when(F.col("sd") > 0, F.col("sd")), F.lit(1.0))
-    st = st.withColumn("h", F.lit(0.9) * scale * F.pow(F.col("nn").cast("double"), F.lit(-0.2)))
-    s = st.select(F.struct("lo", "hi", "nn", "h").alias("s")).scalar()
-    step = (s["hi"] - s["lo"]) / F.lit(float(points - 1))
+                F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).first()
+    if not st["nn"]:
+        return df.sparkSession.createDataFrame([], "i bigint, x double, density double")
+    lo, hi, nn = float(st["lo"]), float(st["hi"]), int(st["nn"])
+    sd = st["sd"] if st["sd"] is not None else 0.0
+    spread = min(sd, (st["q"][1] - st["q"][0]) / 1.34)
+    scale = spread if spread > 0 else (sd if sd > 0 else 1.0)
+    h = 0.9 * scale * float(nn) ** -0.2
+    step = (hi - lo) / float(points - 1)
     weights = df.filter(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
     ex = weights.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
-    gx = s["lo"] + F.col("i") * step
-    z = (gx - F.col("v")) / s["h"]
+    gx = F.lit(lo) + F.col("i") * F.lit(step)
+    z = (gx - F.col("v")) / F.lit(h)
     contrib = F.col("c") * F.exp(F.lit(-0.5) * z * z)
-    norm = s["nn"] * s["h"] * F.lit(math.sqrt(2.0 * math.pi))
+    norm = nn * h * math.sqrt(2.0 * math.pi)
     return (ex.groupBy("i").agg(F.sum(contrib).alias("k"))
-              .select(F.col("i").cast("bigint").alias("i"), gx.alias("x"), (F.col("k") / norm).alias("density")))
+              .select(F.col("i").cast("bigint").alias("i"), gx.alias("x"), (F.col("k") / F.lit(norm)).alias("density")))
 
 
 def box_stats(df: DataFrame, group: str, col: str, log10: bool = True) -> DataFrame:
