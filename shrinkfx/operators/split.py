@@ -7,14 +7,14 @@ replacement inside each stratum.
 
 Plan (no task ever holds a whole stratum, even one with a third of the rows):
 
-1. Histogram: count rows per (stratum, 20-bit md5 prefix) -- a partial
-   aggregate with at most ``strata * 2^20`` groups.
+1. Histogram: count rows per (stratum, md5 prefix) -- a partial aggregate
+   with at most ``strata * 2^20`` groups (prefix length grows with the data).
 2. On that small table, a running count per stratum finds the prefix bucket
    where the ``ceil(p * n_s)``-th row falls and how many rows of that bucket
    are still needed.
 3. Rows outside that boundary bucket are decided by comparing prefixes; only
-   the rows inside it (about ``n_s / 2^20`` per stratum) are ranked by a
-   window over the exact order.
+   the rows inside it (a few thousand per stratum, ~250k at 10^12 rows) are
+   ranked by a window over the exact order.
 
 Strata: ``by="value"`` uses each distinct value of ``y``; ``by="quartile"``
 cuts ``y`` at its distinct quartile breaks, right-closed with the lowest value
@@ -32,7 +32,22 @@ from pyspark.sql import functions as F
 
 from shrinkfx.operators.keys import keep_known
 
-BUCKET_HEX_DIGITS = 5  # 20-bit prefix buckets
+# Prefix buckets: 16^d with d chosen from the row count so that a bucket holds
+# about ROWS_PER_BUCKET rows, between 1 and MAX_BUCKET_HEX_DIGITS hex digits
+# (at most 2^20 buckets per stratum: a 4-stratum histogram stays <= 4M rows,
+# and at 10^12 rows a boundary bucket holds ~250k rows). None = adaptive.
+BUCKET_HEX_DIGITS = None
+MAX_BUCKET_HEX_DIGITS = 5
+ROWS_PER_BUCKET = 4096
+
+
+def bucket_digits(n_rows: int) -> int:
+    if BUCKET_HEX_DIGITS is not None:
+        return BUCKET_HEX_DIGITS
+    d, cap = 1, max(1, n_rows // ROWS_PER_BUCKET)
+    while 16 ** d < cap and d < MAX_BUCKET_HEX_DIGITS:
+        d += 1
+    return d
 
 _H, _S, _B = "__split_hash", "__stratum", "__bucket"
 
@@ -43,24 +58,25 @@ def split_hash(seed, hash_keys: Sequence[str]):
 
 
 def _stratum(df: DataFrame, y: str, by: str, approx: bool):
+    """(stratum column, row count): one pass over ``df`` fetches the count (and the
+    quartile breaks), a handful of numbers, used as literals."""
     c = F.col(y)
     if by == "value":
-        return c
+        return c, df.count()
     if by != "quartile":
         raise ValueError(f"unknown strata mode {by!r}")
     pct = (F.percentile_approx(c, [0.25, 0.5, 0.75], 100000) if approx
            else F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    # one pass, four numbers back to the driver (bounded), used as literals
-    st = df.agg(pct.alias("q"), F.min(c).alias("lo")).first()
+    st = df.agg(pct.alias("q"), F.min(c).alias("lo"), F.count(F.lit(1)).alias("n")).first()
     if st is None or st["lo"] is None:
-        return F.lit(0)
+        return F.lit(0), int(st["n"] or 0) if st else 0
     lo, qs = float(st["lo"]), [float(q) for q in st["q"]]
     # interval index = number of distinct interior breaks strictly below the value
-    parts = [F.when(c > F.lit(q), 1).otherwise(0) for q in qs if q > lo]
     idx = F.lit(0)
-    for part in parts:
-        idx = idx + part
-    return F.when(c.isNull(), F.lit(None)).otherwise(idx)
+    for q in qs:
+        if q > lo:
+            idx = idx + F.when(c > F.lit(q), 1).otherwise(0)
+    return F.when(c.isNull(), F.lit(None)).otherwise(idx), int(st["n"])
 
 
 def stratified_split(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1",
@@ -72,10 +88,10 @@ def stratified_split(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1",
     ``df`` is scanned a few times (breaks, histogram, rows); pass a stored
     table or a materialized stage rather than an expensive plan.
     """
-    base = (df.withColumn(_H, split_hash(seed, hash_keys))
-              .withColumn(_S, _stratum(df, y, by, approx_breaks)))
+    stratum, n_rows = _stratum(df, y, by, approx_breaks)
+    base = df.withColumn(_H, split_hash(seed, hash_keys)).withColumn(_S, stratum)
     base = base.withColumn(
-        _B, F.conv(F.substring(F.col(_H), 1, BUCKET_HEX_DIGITS), 16, 10).cast("long"))
+        _B, F.conv(F.substring(F.col(_H), 1, bucket_digits(n_rows)), 16, 10).cast("long"))
 
     counts = base.groupBy(_S, _B).agg(F.count(F.lit(1)).alias("c"))
     run = Window.partitionBy(_S).orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
