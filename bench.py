@@ -39,7 +39,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_spark(f"local[{cpus}]", app="shrinkfx-bench", shuffle_partitions=cpus * 2,
-                      extra={"spark.driver.memory": "16g"})
+                      extra={"spark.driver.memory": "16g",
+                             "spark.sql.autoBroadcastJoinThreshold": str(64 << 20)})
     times: dict[str, float] = {}
     t0 = time.time()
     X.prepare(spark, sf_dir)

@@ -23,7 +23,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shrinkfx.operators.keys import attach
+from shrinkfx.operators.keys import attach, attach_sized
 from shrinkfx.session import materialize
 
 
@@ -38,6 +38,12 @@ def grid_values(lo: float = 0.0, hi: float = 30.0, step: float = 0.25) -> list[f
     return [lo + i * step for i in range(n)]
 
 
+def array_table_bytes(table: DataFrame, n_alphas: int) -> int:
+    """Size estimate of an effect-array table (rows x (alphas x 8 + key/overhead)).
+    The count is cheap on a written stage table (Parquet footers)."""
+    return table.count() * (8 * n_alphas + 48)
+
+
 def _alphas(alphas: Sequence[float]):
     return F.array(*[F.lit(float(a)) for a in alphas])
 
@@ -67,66 +73,70 @@ def _per_alpha(df: DataFrame, arrays: Sequence[str]):
     return ex.select(*keep, "pos", first, *[F.col(a)[F.col("pos")].alias(a) for a in rest])
 
 
-# Plan choice for a chained stage: when (distinct keys x alphas) is small, a
-# map-side partial aggregate of the expanded rows is best (its hash map stays
-# small and only tasks x keys x alphas partial rows are shuffled). When it is
-# large (e.g. users), partial aggregation cannot reduce anything, so the plain
-# rows are shuffled by key first -- alphas x fewer bytes -- and each task then
-# aggregates its keys completely. Keys with more than ``hot_rows`` rows are
+# Plan choice for a chained stage. Each stage is one aggregate with a ``sum``
+# per alpha over array elements (no generator, no per-alpha rows; the effect
+# array is built straight from the sums). When (distinct keys x alphas) is
+# small, the aggregate is combined map-side (tasks x keys partial rows are
+# shuffled). When it is large (e.g. users), partial aggregation cannot reduce
+# anything, so the plain rows are shuffled by key first and each task
+# aggregates its keys completely; keys with more than ``hot_rows`` rows are
 # split over ``ceil(n / hot_rows)`` salted tasks and merged afterwards.
+# Whole-stage codegen needs ``spark.sql.codegen.maxFields`` above the number
+# of alphas (get_spark sets it); otherwise Spark runs the aggregate interpreted.
 MAP_SIDE_MAX_CELLS = 1_000_000
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS_BROADCAST = 100_000
 
 
-def _stage_effects(rows: DataFrame, key: str, res, A, n_alphas: int, salt_cols: Sequence[str],
-                   hot_rows: int, map_side_max_cells: int) -> DataFrame:
-    """``(key, n, eff array)`` where ``eff[i] = sum(res[i]) / (n + alpha_i)``.
+def _wide_sums(rows: DataFrame, group_cols: Sequence[str], residual_at, n_alphas: int) -> DataFrame:
+    return rows.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(residual_at(i)).alias(f"__s{i}") for i in range(n_alphas)])
 
-    ``rows`` already carries the per-alpha arrays; ``res`` is the per-alpha
-    residual as a column expression over the expanded (``_per_alpha``) row.
-    """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    n_keys = counts.count()
 
-    def finish(per: DataFrame, group_cols) -> DataFrame:
-        return (per.groupBy(*group_cols)
-                   .agg(F.array_sort(F.collect_list(F.struct("pos", "n", "s"))).alias("pe")))
+def _remerge(wide: DataFrame, key: str, n_alphas: int) -> DataFrame:
+    return wide.groupBy(key).agg(F.sum("n").alias("n"),
+                                 *[F.sum(f"__s{i}").alias(f"__s{i}") for i in range(n_alphas)])
+
+
+def _stage_effects(rows: DataFrame, key: str, residual_at, alphas: Sequence[float],
+                   salt_cols: Sequence[str], hot_rows: int, map_side_max_cells: int,
+                   key_source: DataFrame) -> DataFrame:
+    """``(key, n, eff array)`` where ``eff[i] = sum(residual_at(i)) / (n + alpha_i)``.
+
+    ``key_source`` is the thin training frame the key counts come from (the
+    inner joins drop no training row: every key was fitted on those rows).
+    """
+    n_a = len(alphas)
 
-    def effects(packed: DataFrame) -> DataFrame:
-        n = F.col("pe")[0]["n"]
-        e = F.transform("pe", lambda x: x["s"] / (x["n"] + F.element_at(A, x["pos"] + 1)))
-        return packed.select(key, n.alias("n"), e.alias("eff"))
+    def effects(wide: DataFrame) -> DataFrame:
+        eff = F.array(*[F.col(f"__s{i}") / (F.col("n") + F.lit(float(a))) for i, a in enumerate(alphas)])
+        return wide.select(key, "n", eff.alias("eff"))
 
-    if n_keys * n_alphas <= map_side_max_cells:
-        ex = _per_alpha(rows, [c for c in rows.columns if c.startswith("__e")])
-        per = ex.groupBy(key, "pos").agg(F.count(F.lit(1)).alias("n"), F.sum(res).alias("s"))
-        return effects(finish(per, [key]))
+    counts = key_source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    st = counts.agg(F.count(F.lit(1)).alias("keys"),
+                    F.sum(F.when(F.col("n") > hot_rows, 1).otherwise(0)).alias("hot")).first()
+    n_keys, n_hot = int(st["keys"]), int(st["hot"] or 0)
+    if n_keys * n_a <= map_side_max_cells:
+        return effects(_wide_sums(rows, [key], residual_at, n_a))
 
     hot = counts.filter(F.col("n") > hot_rows).select(
         F.col(key).alias("__hk"), F.ceil(F.col("n") / F.lit(float(hot_rows))).cast("int").alias("__ns"))
-    n_hot = hot.count()
     hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot
     salted = (rows.join(hot_side, rows[key].eqNullSafe(hot_side["__hk"]), "left")
                   .withColumn("__salt", F.coalesce(
                       F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("__ns")).cast("int"), F.lit(0)))
                   .drop("__hk", "__ns"))
-    parted = salted.repartition(key, "__salt")
-    arrays = [c for c in rows.columns if c.startswith("__e")]
-    ex = _per_alpha(parted, arrays)
-    per = ex.groupBy(key, "__salt", "pos").agg(F.count(F.lit(1)).alias("n"), F.sum(res).alias("s"))
-    packed = finish(per, [key, "__salt"])
+    # the aggregate by (key, salt) reuses this partitioning: no second shuffle
+    wide = _wide_sums(salted.repartition(key, "__salt"), [key, "__salt"], residual_at, n_a)
     if n_hot == 0:
-        return effects(packed.drop("__salt"))
-    # hot keys: merge their salted parts (expand, sum by (key, pos), pack again)
+        return effects(wide.drop("__salt"))
     hk = hot.select("__hk")
     hk = F.broadcast(hk) if n_hot <= MAX_HOT_KEYS_BROADCAST else hk
-    cond = packed[key].eqNullSafe(hk["__hk"])
-    is_hot = packed.join(hk, cond, "left_semi")
-    not_hot = packed.join(hk, cond, "left_anti")
-    merged = (is_hot.select(key, F.inline("pe"))
-                    .groupBy(key, "pos").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
-    return effects(not_hot.drop("__salt").unionByName(finish(merged, [key])))
+    cond = wide[key].eqNullSafe(hk["__hk"])
+    not_hot = wide.join(hk, cond, "left_anti").drop("__salt")
+    merged = _remerge(wide.join(hk, cond, "left_semi").drop("__salt"), key, n_a)
+    return effects(not_hot.unionByName(merged))
 
 
 def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[float],
@@ -149,14 +159,16 @@ def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[fl
         else:
             prev = [f"__e{j}" for j in range(s)]
             cols = list(dict.fromkeys([rating, *chain[:s + 1], *salt_cols]))
-            scored = train.select(*cols)
-            for j in range(s):
-                scored = attach(scored, tables[j].select(chain[j], F.col("eff").alias(prev[j])),
-                                chain[j], "inner")
-            res = r
-            for e in prev:
-                res = res - F.col(e)
-            t = _stage_effects(scored, key, res, A, len(alphas), salt_cols, hot_rows, map_side_max_cells)
+            scored = attach_sized(train.select(*cols), [
+                (tables[j].select(chain[j], F.col("eff").alias(prev[j])), chain[j],
+                 array_table_bytes(tables[j], len(alphas))) for j in range(s)])
+            def residual_at(i, prev=prev):
+                out = r
+                for e in prev:
+                    out = out - F.col(e)[i]
+                return out
+            t = _stage_effects(scored, key, residual_at, alphas, salt_cols, hot_rows, map_side_max_cells,
+                               train.select(key))
         if keep:
             t = materialize(t, f"sweep_{key}")
         tables.append(t)
@@ -170,9 +182,9 @@ def sweep_chain(train: DataFrame, test: DataFrame, chain: Sequence[str],
     if tables is None:
         tables = fit_chain_arrays(train, chain, alphas, mu, rating)
     names = [f"__e{s}" for s in range(len(chain))]
-    scored = test.select(rating, *dict.fromkeys(chain))
-    for s, (key, t) in enumerate(zip(chain, tables)):
-        scored = attach(scored, t.select(key, F.col("eff").alias(names[s])), key, "inner")
+    scored = attach_sized(test.select(rating, *dict.fromkeys(chain)), [
+        (t.select(key, F.col("eff").alias(names[s])), key, array_table_bytes(t, len(alphas)))
+        for s, (key, t) in enumerate(zip(chain, tables))])
     ex = _per_alpha(scored.select(rating, *names), names)
     m = len(chain)
     d = F.col(rating) - F.lit(mu)
