@@ -126,6 +126,7 @@ class HoldOut:
     train: DataFrame       # kept rows plus the held-out rows moved back
     holdout: DataFrame     # held-out rows whose keys all occur in train
     moved_back: DataFrame  # held-out rows with an unknown key
+    tagged: DataFrame      # held-out rows with ``known`` (True = stays held out)
 
 
 def split_with_return(flagged: DataFrame, keys: Sequence[str], flag: str = "is_test") -> HoldOut:
@@ -148,8 +149,12 @@ def split_with_return(flagged: DataFrame, keys: Sequence[str], flag: str = "is_t
     ok = known[0]
     for c in known[1:]:
         ok = ok & c
-    tagged = tagged.withColumn("__ok", ok)
-    names = ["__ok"] + [f"__known_{i}" for i in range(len(keys))]
-    holdout = tagged.filter(F.col("__ok")).drop(*names)
-    back = tagged.filter(~F.col("__ok")).drop(*names)
-    return HoldOut(train=kept.unionByName(back), holdout=holdout, moved_back=back)
+    tagged = tagged.withColumn("known", ok).drop(*[f"__known_{i}" for i in range(len(keys))])
+    return from_tagged(kept, tagged)
+
+
+def from_tagged(kept: DataFrame, tagged: DataFrame) -> HoldOut:
+    """Build the three outputs from a (possibly stored) tagged hold-out."""
+    holdout = tagged.filter(F.col("known")).drop("known")
+    back = tagged.filter(~F.col("known")).drop("known")
+    return HoldOut(train=kept.unionByName(back), holdout=holdout, moved_back=back, tagged=tagged)

@@ -95,10 +95,11 @@ def prepare(spark: SparkSession, sf_dir: str, cfg: Config = Config()) -> Prepare
     ratings = materialize(ratings_view(spark, sf_dir), "ratings")
     split1 = materialize(stratified_split(ratings, "rating", cfg.validation_p, cfg.validation_seed,
                                           HASH_KEYS, TIE_KEYS, cfg.strata), "split1")
-    ho = split_with_return(split1, [MOVIE, USER])
-    validation = materialize(add_features(ho.holdout), "validation")
-    moved_back = materialize(ho.moved_back, "moved_back")
-    edx = materialize(add_features(ho.train), "edx")
+    # tag the held-out rows once; validation and moved-back rows are filters of it
+    tagged = materialize(add_features(split_with_return(split1, [MOVIE, USER]).tagged), "heldout_tagged")
+    moved_back = tagged.filter(~F.col("known")).drop("known", WEEK, YEAR)
+    kept = split1.filter(~F.col("is_test")).drop("is_test")
+    edx = materialize(add_features(kept.unionByName(moved_back)), "edx")
     split2 = materialize(stratified_split(edx, "rating", cfg.test_p, cfg.test_seed,
                                           HASH_KEYS, TIE_KEYS, cfg.strata), "split2")
     train = split2.filter(~F.col("is_test")).drop("is_test")
@@ -106,7 +107,7 @@ def prepare(spark: SparkSession, sf_dir: str, cfg: Config = Config()) -> Prepare
     test = materialize(close_holdout(test_open, train, FULL_CHAIN), "test")
     mu = mean_of(train)
     dirs = {n: _dir(d) for n, d in [("ratings", ratings), ("split1", split1),
-                                    ("validation", validation), ("moved_back", moved_back),
+                                    ("heldout_tagged", tagged),
                                     ("edx", edx), ("split2", split2), ("test", test)]}
     _CACHE[key] = {"dirs": dirs, "mu": mu}
     return _load(spark, _CACHE[key])
@@ -120,9 +121,12 @@ def _dir(df: DataFrame) -> str:
 def _load(spark: SparkSession, hit: dict) -> Prepared:
     d = {n: spark.read.parquet(p) for n, p in hit["dirs"].items()}
     split2 = d["split2"]
+    tagged = d["heldout_tagged"]
     return Prepared(
-        ratings=d["ratings"], split1=d["split1"], validation=d["validation"],
-        moved_back=d["moved_back"], edx=d["edx"], split2=split2,
+        ratings=d["ratings"], split1=d["split1"],
+        validation=tagged.filter(F.col("known")).drop("known"),
+        moved_back=tagged.filter(~F.col("known")).drop("known", WEEK, YEAR),
+        edx=d["edx"], split2=split2,
         train=split2.filter(~F.col("is_test")).drop("is_test"),
         test_open=split2.filter(F.col("is_test")).drop("is_test"),
         test=d["test"], mu=hit["mu"], paths=dict(hit["dirs"]))

@@ -6,7 +6,8 @@ from shrinkfx.plans import experiment as X
 
 from conftest import SF001
 
-ORACLE_SAMPLE = ["stratified_split_10", "stratified_split_20", "closed_test", "validation_rows",
+ORACLE_SAMPLE = ["stratified_split_10", "stratified_split_20", "closed_test", "semi_known_keys",
+                 "anti_removed_rows", "edx_with_moved_back",
                  "model_mugyw", "leaderboard", "model_summary", "final_validation_rmse",
                  "best_worst_movies", "boxplot_activity", "kde_user_avg", "hist_movie_avg",
                  "user_activity_percentiles", "quietest_12_months", "predict_with_unseen"]
