@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shrinkfx.operators.keys import keep_known
+from shrinkfx.session import materialize
 
 # Prefix buckets: 16^d with d chosen from the row count so that a bucket holds
 # about ROWS_PER_BUCKET rows, between 1 and MAX_BUCKET_HEX_DIGITS hex digits
@@ -103,6 +104,9 @@ def stratified_split(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1",
            .select(F.col(_S).alias("__cut_s"), F.col(_B).alias("__cut_b"),
                    (F.col("k") - (F.col("cum") - F.col("c"))).alias("__need")))
 
+    # one row per stratum: written once so both branches below read it instead
+    # of each recomputing the histogram (a full scan)
+    cut = materialize(cut, "split_cut")
     rows = base.join(cut, base[_S].eqNullSafe(cut["__cut_s"]), "left")
     at_cut = F.col(_B).eqNullSafe(F.col("__cut_b"))
     outside = rows.filter(~at_cut).withColumn(

@@ -50,18 +50,27 @@ def _alphas(alphas: Sequence[float]):
 
 def sweep_single(train: DataFrame, test: DataFrame, key: str, alphas: Sequence[float],
                  mu: float, rating: str = "rating") -> DataFrame:
-    """``(alpha, n, rmse)`` of the model ``mu + b_key(alpha)`` for every alpha."""
+    """``(alpha, n, rmse)`` of the model ``mu + b_key(alpha)`` for every alpha.
+
+    Key-level sums joined once, then one global aggregate with a squared-error
+    sum per alpha (map-side combined; no per-alpha rows are generated).
+    """
     r = F.col(rating) - F.lit(mu)
     tr = train.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(r).alias("s"))
     te = test.groupBy(key).agg(F.count(F.lit(1)).alias("k"), F.sum(r).alias("d1"),
                                F.sum(r * r).alias("d2"))
     j = attach(te, tr, key, "inner")
-    ex = j.select("k", "d1", "d2", "n", "s", F.posexplode(_alphas(alphas)).alias("pos", "alpha"))
-    b = F.col("s") / (F.col("n") + F.col("alpha"))
-    sse = F.col("d2") - F.lit(2.0) * b * F.col("d1") + F.col("k") * b * b
-    return (ex.groupBy("pos", "alpha")
-              .agg(F.sum("k").cast("bigint").alias("n"), F.sum(sse).alias("sse"))
-              .select("alpha", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse")))
+    k, d1, d2, n, s = (F.col(c) for c in ("k", "d1", "d2", "n", "s"))
+
+    def sse(a):
+        b = s / (n + F.lit(float(a)))
+        return d2 - F.lit(2.0) * b * d1 + k * b * b
+
+    tot = j.agg(F.sum("k").cast("bigint").alias("n"),
+                *[F.sum(sse(a)).alias(f"__sse{i}") for i, a in enumerate(alphas)])
+    rows = F.inline(F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.col(f"__sse{i}").alias("sse"))
+                             for i, a in enumerate(alphas)]))
+    return tot.select("n", rows).select("alpha", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
 
 
 def _per_alpha(df: DataFrame, arrays: Sequence[str]):
