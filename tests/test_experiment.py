@@ -81,3 +81,33 @@ def test_query_matches_duckdb_oracle(spark, name):
         return sorted(out)
 
     assert canon(got) == canon(want)
+
+
+def test_move_back_and_closing_on_withheld_keys(spark, prepared):
+    """Test-only fixture: every row of some movies / users is held out, so the
+    hold-out must lose them and move them back (checked against DuckDB)."""
+    from pyspark.sql import functions as F
+
+    from shrinkfx.operators import close_holdout, split_with_return
+
+    flagged = prepared.split1.withColumn(
+        "is_test", F.col("is_test") | (F.col("movie_id") % 50 == 0) | (F.col("user_id") % 40 == 0))
+    ho = split_with_return(flagged, ["movie_id", "user_id"])
+    pdf = flagged.toPandas()
+    con = duckdb.connect()
+    con.register("f", pdf)
+    want_back = con.execute("""
+        SELECT * EXCLUDE (is_test) FROM f t WHERE is_test AND NOT (
+            movie_id IN (SELECT movie_id FROM f WHERE NOT is_test) AND
+            user_id IN (SELECT user_id FROM f WHERE NOT is_test))""").df()
+    got_back = ho.moved_back.toPandas()
+    assert len(want_back) > 0
+    key = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity"]
+    assert sorted(map(tuple, got_back[key].values.tolist())) == sorted(map(tuple, want_back[key].values.tolist()))
+    assert ho.holdout.count() + ho.moved_back.count() == int(pdf.is_test.sum())
+    assert ho.train.count() == len(pdf) - ho.holdout.count()
+    # closing a test set against a train that lacks some weeks
+    train = prepared.train.filter(F.col("rating_week") % 3 != 0)
+    closed = close_holdout(prepared.test, train, ["movie_id", "user_id", "genres", "rating_week", "movie_year"])
+    bad = closed.join(train.select("rating_week").distinct(), "rating_week", "left_anti").count()
+    assert bad == 0 and closed.count() < prepared.test.count()
