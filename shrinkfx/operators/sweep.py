@@ -38,10 +38,10 @@ def grid_values(lo: float = 0.0, hi: float = 30.0, step: float = 0.25) -> list[f
     return [lo + i * step for i in range(n)]
 
 
-def array_table_bytes(table: DataFrame, n_alphas: int) -> int:
+def array_table_bytes(table: DataFrame, n_alphas: int, n_rows: int | None = None) -> int:
     """Size estimate of an effect-array table (rows x (alphas x 8 + key/overhead)).
-    The count is cheap on a written stage table (Parquet footers)."""
-    return table.count() * (8 * n_alphas + 48)
+    Counting is cheap on a written stage table (Parquet footers)."""
+    return (table.count() if n_rows is None else n_rows) * (8 * n_alphas + 48)
 
 
 def _alphas(alphas: Sequence[float]):
@@ -52,25 +52,21 @@ def sweep_single(train: DataFrame, test: DataFrame, key: str, alphas: Sequence[f
                  mu: float, rating: str = "rating") -> DataFrame:
     """``(alpha, n, rmse)`` of the model ``mu + b_key(alpha)`` for every alpha.
 
-    Key-level sums joined once, then one global aggregate with a squared-error
-    sum per alpha (map-side combined; no per-alpha rows are generated).
+    Key-level sums are joined once; each *key* row (not data row) is expanded
+    per alpha and the squared errors are partially aggregated into one row per
+    alpha.
     """
     r = F.col(rating) - F.lit(mu)
     tr = train.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(r).alias("s"))
     te = test.groupBy(key).agg(F.count(F.lit(1)).alias("k"), F.sum(r).alias("d1"),
                                F.sum(r * r).alias("d2"))
     j = attach(te, tr, key, "inner")
-    k, d1, d2, n, s = (F.col(c) for c in ("k", "d1", "d2", "n", "s"))
-
-    def sse(a):
-        b = s / (n + F.lit(float(a)))
-        return d2 - F.lit(2.0) * b * d1 + k * b * b
-
-    tot = j.agg(F.sum("k").cast("bigint").alias("n"),
-                *[F.sum(sse(a)).alias(f"__sse{i}") for i, a in enumerate(alphas)])
-    rows = F.inline(F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.col(f"__sse{i}").alias("sse"))
-                             for i, a in enumerate(alphas)]))
-    return tot.select("n", rows).select("alpha", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
+    ex = j.select("k", "d1", "d2", "n", "s", F.posexplode(_alphas(alphas)).alias("pos", "alpha"))
+    b = F.col("s") / (F.col("n") + F.col("alpha"))
+    sse = F.col("d2") - F.lit(2.0) * b * F.col("d1") + F.col("k") * b * b
+    return (ex.groupBy("pos", "alpha")
+              .agg(F.sum("k").cast("bigint").alias("n"), F.sum(sse).alias("sse"))
+              .select("alpha", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse")))
 
 
 def _per_alpha(df: DataFrame, arrays: Sequence[str]):
@@ -110,8 +106,8 @@ def _remerge(wide: DataFrame, key: str, n_alphas: int) -> DataFrame:
 
 def _stage_effects(rows: DataFrame, key: str, residual_at, alphas: Sequence[float],
                    salt_cols: Sequence[str], hot_rows: int, map_side_max_cells: int,
-                   key_source: DataFrame) -> DataFrame:
-    """``(key, n, eff array)`` where ``eff[i] = sum(residual_at(i)) / (n + alpha_i)``.
+                   key_source: DataFrame) -> tuple[DataFrame, int]:
+    """``((key, n, eff array), number of keys)`` where ``eff[i] = sum(residual_at(i)) / (n + alpha_i)``.
 
     ``key_source`` is the thin training frame the key counts come from (the
     inner joins drop no training row: every key was fitted on those rows).
@@ -127,7 +123,7 @@ def _stage_effects(rows: DataFrame, key: str, residual_at, alphas: Sequence[floa
                     F.sum(F.when(F.col("n") > hot_rows, 1).otherwise(0)).alias("hot")).first()
     n_keys, n_hot = int(st["keys"]), int(st["hot"] or 0)
     if n_keys * n_a <= map_side_max_cells:
-        return effects(_wide_sums(rows, [key], residual_at, n_a))
+        return effects(_wide_sums(rows, [key], residual_at, n_a)), n_keys
 
     hot = counts.filter(F.col("n") > hot_rows).select(
         F.col(key).alias("__hk"), F.ceil(F.col("n") / F.lit(float(hot_rows))).cast("int").alias("__ns"))
@@ -139,13 +135,13 @@ def _stage_effects(rows: DataFrame, key: str, residual_at, alphas: Sequence[floa
     # the aggregate by (key, salt) reuses this partitioning: no second shuffle
     wide = _wide_sums(salted.repartition(key, "__salt"), [key, "__salt"], residual_at, n_a)
     if n_hot == 0:
-        return effects(wide.drop("__salt"))
+        return effects(wide.drop("__salt")), n_keys
     hk = hot.select("__hk")
     hk = F.broadcast(hk) if n_hot <= MAX_HOT_KEYS_BROADCAST else hk
     cond = wide[key].eqNullSafe(hk["__hk"])
     not_hot = wide.join(hk, cond, "left_anti").drop("__salt")
     merged = _remerge(wide.join(hk, cond, "left_semi").drop("__salt"), key, n_a)
-    return effects(not_hot.unionByName(merged))
+    return effects(not_hot.unionByName(merged)), n_keys
 
 
 def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[float],
@@ -160,27 +156,31 @@ def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[fl
     A = _alphas(alphas)
     salt_cols = list(salt_cols or train.columns)
     tables: list[DataFrame] = []
+    sizes: list[int] = []
     r = F.col(rating) - F.lit(mu)
     for s, key in enumerate(chain):
         if s == 0:
             t = (train.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(r).alias("s"))
                       .select(key, "n", F.transform(A, lambda a: F.col("s") / (F.col("n") + a)).alias("eff")))
+            n_keys = None
         else:
             prev = [f"__e{j}" for j in range(s)]
             cols = list(dict.fromkeys([rating, *chain[:s + 1], *salt_cols]))
             scored = attach_sized(train.select(*cols), [
-                (tables[j].select(chain[j], F.col("eff").alias(prev[j])), chain[j],
-                 array_table_bytes(tables[j], len(alphas))) for j in range(s)])
+                (tables[j].select(chain[j], F.col("eff").alias(prev[j])), chain[j], sizes[j])
+                for j in range(s)])
+
             def residual_at(i, prev=prev):
                 out = r
                 for e in prev:
                     out = out - F.col(e)[i]
                 return out
-            t = _stage_effects(scored, key, residual_at, alphas, salt_cols, hot_rows, map_side_max_cells,
-                               train.select(key))
+            t, n_keys = _stage_effects(scored, key, residual_at, alphas, salt_cols, hot_rows,
+                                       map_side_max_cells, train.select(key))
         if keep:
             t = materialize(t, f"sweep_{key}")
         tables.append(t)
+        sizes.append(array_table_bytes(t, len(alphas), n_keys))
     return tables
 
 

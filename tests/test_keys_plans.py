@@ -51,7 +51,7 @@ def test_salted_user_stage_shuffles_rows_once(spark):
     t0 = SW.fit_chain_arrays(rows, ["movie_id"], [0.0, 1.0, 2.0], 3.0, keep=False)[0]
     scored = attach(rows, t0.select("movie_id", F.col("eff").alias("__e0")), "movie_id")
     r = F.col("rating") - F.lit(3.0)
-    t = SW._stage_effects(scored, "user_id", lambda i: r - F.col("__e0")[i], [0.0, 1.0, 2.0],
+    t, _ = SW._stage_effects(scored, "user_id", lambda i: r - F.col("__e0")[i], [0.0, 1.0, 2.0],
                           ["row_id"], hot_rows=10 ** 9, map_side_max_cells=0, key_source=rows.select("user_id"))
     p = plan(t)
     # the (user, salt) aggregate sits directly on the row repartition: the first
