@@ -105,10 +105,6 @@ def q_semi_known_keys(spark, sf):
     return keep_known(keep_known(held, kept, ["movie_id"]), kept, ["user_id"])
 
 
-def q_validation(spark, sf):
-    return P(spark, sf).validation
-
-
 def q_anti_removed_rows(spark, sf):
     p = P(spark, sf)
     held = p.split1.filter("is_test").drop("is_test")
@@ -262,6 +258,13 @@ def q_final_validation_rmse(spark, sf):
     return X.final_validation(p, b["model"], b["alpha"])
 
 
+def q_final_result_line(spark, sf):
+    r = q_final_validation_rmse(spark, sf)
+    return r.select(F.concat_ws(" ", F.lit("Model:"), "model", F.lit("Alpha:"),
+                                F.coalesce(F.format_string("%.2f", "alpha"), F.lit("N/A")),
+                                F.lit("Validation RMSE:"), F.format_string("%.6f", "rmse")).alias("line"))
+
+
 # ------------------------------------------------------------- report ----
 
 def _r(fn, *args):
@@ -331,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_catalog": q_model_catalog,
     "best_model_line": q_best_model_line,
     "final_validation_rmse": q_final_validation_rmse,
+    "final_result_line": q_final_result_line,
     "project_train_view": _r(R.train_view),
     "preview_rows": _r(R.preview),
     "rating_totals": _r(R.rating_totals),

@@ -67,7 +67,8 @@ def _lb_sql(select: str) -> str:
 SHORT_CASE = "CASE model " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SHORT_NAMES.items()) + " ELSE model END"
 
 
-def _final_sql() -> str:
+def _final_sql(select: str = "SELECT f.model, b.alpha, f.n, f.n_unseen_rows, round(f.rmse, 8) AS rmse "
+                                "FROM fin f JOIN best b ON f.model = b.model") -> str:
     ctes = _lb_ctes()
     ctes.append("best AS (SELECT model, alpha FROM lb ORDER BY rmse, ordinal LIMIT 1)")
     parts = [f"SELECT '{AVERAGE}' AS model, count(*) AS n, CAST(0 AS BIGINT) AS n_unseen_rows, "
@@ -81,8 +82,7 @@ def _final_sql() -> str:
             f"AS n_unseen_rows, sqrt(avg(power(pred - rating, 2))) AS rmse "
             f"FROM ({D.chain_predictions(chain, 'validation', prefix=pre, how='LEFT JOIN', unseen_zero=True)})")
     ctes.append("fin AS (" + "\nUNION ALL\n".join(parts) + ")")
-    return _q("SELECT f.model, b.alpha, f.n, f.n_unseen_rows, round(f.rmse, 8) AS rmse "
-              "FROM fin f JOIN best b ON f.model = b.model", *ctes)
+    return _q(select, *ctes)
 
 
 def _activity(key: str, label: str) -> str:
@@ -260,6 +260,9 @@ ORACLES: dict[str, str] = {
         "SELECT concat_ws(' ', 'Model:', model, 'Alpha:', coalesce(printf('%.2f', alpha), 'N/A'), "
         "'Test RMSE:', printf('%.6f', rmse)) AS line FROM (SELECT * FROM lb ORDER BY rmse, ordinal LIMIT 1)"),
     "final_validation_rmse": _final_sql(),
+    "final_result_line": _final_sql(
+        "SELECT concat_ws(' ', 'Model:', f.model, 'Alpha:', coalesce(printf('%.2f', b.alpha), 'N/A'), "
+        "'Validation RMSE:', printf('%.6f', f.rmse)) AS line FROM fin f JOIN best b ON f.model = b.model"),
     "project_train_view": _q("SELECT user_id, movie_id, title, genres, make_timestamp(ts * 1000000) AS rated_at, "
                              "rating, movie_year, rating_week FROM train"),
     "preview_rows": _q("SELECT user_id, movie_id, title, genres, make_timestamp(ts * 1000000) AS rated_at, rating "
