@@ -70,12 +70,12 @@ def sweep_single(train: DataFrame, test: DataFrame, key: str, alphas: Sequence[f
 
 
 def _per_alpha(df: DataFrame, arrays: Sequence[str]):
-    """Expand each row to one row per alpha index ``pos`` with the pos-th element
-    of every array as a plain column (a codegen'd generator, no lambdas)."""
-    first, rest = arrays[0], list(arrays[1:])
+    """Expand each row to one row per alpha index ``pos`` carrying the pos-th
+    element of every array. The arrays are zipped first, so each generated row
+    holds one small struct -- the input arrays are not copied into it."""
     keep = [c for c in df.columns if c not in arrays]
-    ex = df.select(*keep, *rest, F.posexplode(first).alias("pos", first))
-    return ex.select(*keep, "pos", first, *[F.col(a)[F.col("pos")].alias(a) for a in rest])
+    ex = df.select(*keep, F.posexplode(F.arrays_zip(*[F.col(a) for a in arrays])).alias("pos", "__z"))
+    return ex.select(*keep, "pos", *[F.col("__z")[a].alias(a) for a in arrays])
 
 
 # Plan choice for a chained stage. Each stage is one aggregate with a ``sum``
