@@ -1,4 +1,5 @@
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -71,7 +72,7 @@ def test_query_matches_duckdb_oracle(spark, name):
         for r in df[cols].itertuples(index=False):
             row = []
             for v in r:
-                if v is None or (isinstance(v, float) and v != v):
+                if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and v != v):
                     row.append("NULL")
                 elif isinstance(v, float):
                     row.append(str(int(v)) if v.is_integer() else repr(round(v, 6)))
