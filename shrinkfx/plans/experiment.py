@@ -86,31 +86,59 @@ _CACHE: dict = {}
 
 
 def prepare(spark: SparkSession, sf_dir: str, cfg: Config = Config()) -> Prepared:
-    """Build (once per process and input) the split stage tables."""
-    key = (sf_dir, cfg.validation_p, cfg.validation_seed, cfg.test_p, cfg.test_seed, cfg.strata)
-    hit = _CACHE.get(key)
+    """Split stage tables for the driver's test data (the FIXTURES ratings view)."""
+    return prepare_ratings(lambda: ratings_view(spark, sf_dir), cfg, HASH_KEYS, TIE_KEYS,
+                           cache_key=("view", sf_dir), spark=spark)
+
+
+def load_movielens(spark: SparkSession, ratings_path: str, movies_path: str) -> DataFrame:
+    """Ratings and movies files joined into the rows the experiment needs
+    (``user_id, movie_id, rating, ts, title, genres``); every rating is kept
+    (left join), the small movies side is joined as AQE sees fit."""
+    from shrinkfx.operators.keys import attach
+    from shrinkfx.sources.dat import read_movies, read_ratings
+    return attach(read_ratings(spark, ratings_path), read_movies(spark, movies_path), MOVIE, "left")
+
+
+def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts"), tie_keys=("rating",),
+                    cache_key=None, spark: SparkSession | None = None) -> Prepared:
+    """Build the split stage tables from any ratings DataFrame.
+
+    ``ratings`` (or a zero-argument callable returning it) has ``user_id,
+    movie_id, rating, ts, title, genres``; ``hash_keys`` (integer columns) and
+    then ``tie_keys`` order rows inside a stratum, so together they should be
+    unique per row. With ``cache_key`` the tables are built once per process.
+    """
+    key = None if cache_key is None else (cache_key, cfg.validation_p, cfg.validation_seed,
+                                          cfg.test_p, cfg.test_seed, cfg.strata)
+    hit = _CACHE.get(key) if key is not None else None
     if hit and all(path_exists(p) for p in hit["dirs"].values()):
-        return _load(spark, hit)
-
-    ratings = materialize(ratings_view(spark, sf_dir), "ratings")
-    split1 = materialize(stratified_split(ratings, "rating", cfg.validation_p, cfg.validation_seed,
-                                          HASH_KEYS, TIE_KEYS, cfg.strata), "split1")
+        return _load(spark or hit["spark"], hit)
+    src = ratings() if callable(ratings) else ratings
+    spark = spark or src.sparkSession
+    hash_keys, tie_keys = list(hash_keys), list(tie_keys)
+
+    ratings_t = materialize(src, "ratings")
+    split1 = materialize(stratified_split(ratings_t, "rating", cfg.validation_p, cfg.validation_seed,
+                                          hash_keys, tie_keys, cfg.strata), "split1")
     # tag the held-out rows once; validation and moved-back rows are filters of it
     tagged = materialize(add_features(split_with_return(split1, [MOVIE, USER]).tagged), "heldout_tagged")
     moved_back = tagged.filter(~F.col("known")).drop("known", WEEK, YEAR)
     kept = split1.filter(~F.col("is_test")).drop("is_test")
     edx = materialize(add_features(kept.unionByName(moved_back)), "edx")
     split2 = materialize(stratified_split(edx, "rating", cfg.test_p, cfg.test_seed,
-                                          HASH_KEYS, TIE_KEYS, cfg.strata), "split2")
+                                          hash_keys, tie_keys, cfg.strata), "split2")
     train = split2.filter(~F.col("is_test")).drop("is_test")
     test_open = split2.filter(F.col("is_test")).drop("is_test")
     test = materialize(close_holdout(test_open, train, FULL_CHAIN), "test")
     mu = mean_of(train)
-    dirs = {n: _dir(d) for n, d in [("ratings", ratings), ("split1", split1),
+    dirs = {n: _dir(d) for n, d in [("ratings", ratings_t), ("split1", split1),
                                     ("heldout_tagged", tagged),
                                     ("edx", edx), ("split2", split2), ("test", test)]}
-    _CACHE[key] = {"dirs": dirs, "mu": mu}
-    return _load(spark, _CACHE[key])
+    hit = {"dirs": dirs, "mu": mu, "spark": spark}
+    if key is not None:
+        _CACHE[key] = hit
+    return _load(spark, hit)
 
 
 def _dir(df: DataFrame) -> str:

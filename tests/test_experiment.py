@@ -112,3 +112,29 @@ def test_move_back_and_closing_on_withheld_keys(spark, prepared):
     closed = close_holdout(prepared.test, train, ["movie_id", "user_id", "genres", "rating_week", "movie_year"])
     bad = closed.join(train.select("rating_week").distinct(), "rating_week", "left_anti").count()
     assert bad == 0 and closed.count() < prepared.test.count()
+
+
+def test_experiment_from_dat_files(spark, prepared):
+    """A user's path: ratings.dat + movies.dat -> prepare -> sweep -> best -> refit."""
+    import os
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from shrinkfx.sources import write_movies_dat, write_ratings_dat
+
+    d = tempfile.mkdtemp(prefix="shrinkfx-ml-")
+    src = prepared.ratings
+    # one rating per (user, movie, ts) so the default row key is unique
+    one = src.groupBy("user_id", "movie_id", "ts").agg(F.first("rating").alias("rating"))
+    write_ratings_dat(one, os.path.join(d, "ratings"))
+    write_movies_dat(src.select("movie_id", "title", "genres").distinct(), os.path.join(d, "movies"))
+    rows = X.load_movielens(spark, os.path.join(d, "ratings"), os.path.join(d, "movies"))
+    assert rows.count() == one.count()
+    p = X.prepare_ratings(rows, X.Config(grid=(0.0, 10.0, 5.0)))
+    assert p.train.count() + p.test_open.count() == p.edx.count()
+    lb = X.leaderboard(p, [0.0, 5.0, 10.0])
+    assert lb.count() == 1 + 9 * 3
+    b = X.best(lb).first()
+    final = X.final_validation(p, b.model, b.alpha).first()
+    assert final.n == p.validation.count() and final.rmse < 1.5
