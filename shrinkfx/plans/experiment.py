@@ -101,13 +101,17 @@ def load_movielens(spark: SparkSession, ratings_path: str, movies_path: str) ->
 
 
 def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts"), tie_keys=("rating",),
-                    cache_key=None, spark: SparkSession | None = None) -> Prepared:
+                    cache_key=None, spark: SparkSession | None = None,
+                    stage_source: bool = True) -> Prepared:
     """Build the split stage tables from any ratings DataFrame.
 
     ``ratings`` (or a zero-argument callable returning it) has ``user_id,
     movie_id, rating, ts, title, genres``; ``hash_keys`` (integer columns) and
     then ``tie_keys`` order rows inside a stratum, so together they should be
     unique per row. With ``cache_key`` the tables are built once per process.
+    The split scans its input a few times, so an expensive source (a join, parsed
+    text) is first written as a stage table; pass ``stage_source=False`` when
+    ``ratings`` already is a stored columnar table.
     """
     key = None if cache_key is None else (cache_key, cfg.validation_p, cfg.validation_seed,
                                           cfg.test_p, cfg.test_seed, cfg.strata)
@@ -118,7 +122,7 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
     spark = spark or src.sparkSession
     hash_keys, tie_keys = list(hash_keys), list(tie_keys)
 
-    ratings_t = materialize(src, "ratings")
+    ratings_t = materialize(src, "ratings") if stage_source else src
     split1 = materialize(stratified_split(ratings_t, "rating", cfg.validation_p, cfg.validation_seed,
                                           hash_keys, tie_keys, cfg.strata), "split1")
     # tag the held-out rows once; validation and moved-back rows are filters of it
@@ -132,10 +136,10 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
     test_open = split2.filter(F.col("is_test")).drop("is_test")
     test = materialize(close_holdout(test_open, train, FULL_CHAIN), "test")
     mu = mean_of(train)
-    dirs = {n: _dir(d) for n, d in [("ratings", ratings_t), ("split1", split1),
-                                    ("heldout_tagged", tagged),
-                                    ("edx", edx), ("split2", split2), ("test", test)]}
-    hit = {"dirs": dirs, "mu": mu, "spark": spark}
+    staged = [("split1", split1), ("heldout_tagged", tagged), ("edx", edx), ("split2", split2),
+              ("test", test)] + ([("ratings", ratings_t)] if stage_source else [])
+    dirs = {n: _dir(d) for n, d in staged}
+    hit = {"dirs": dirs, "mu": mu, "spark": spark, "source": None if stage_source else src}
     if key is not None:
         _CACHE[key] = hit
     return _load(spark, hit)
@@ -148,6 +152,8 @@ def _dir(df: DataFrame) -> str:
 
 def _load(spark: SparkSession, hit: dict) -> Prepared:
     d = {n: spark.read.parquet(p) for n, p in hit["dirs"].items()}
+    if hit.get("source") is not None:
+        d["ratings"] = hit["source"]
     split2 = d["split2"]
     tagged = d["heldout_tagged"]
     return Prepared(

@@ -138,3 +138,11 @@ def test_experiment_from_dat_files(spark, prepared):
     b = X.best(lb).first()
     final = X.final_validation(p, b.model, b.alpha).first()
     assert final.n == p.validation.count() and final.rmse < 1.5
+
+
+def test_prepare_from_a_stored_table_without_restaging(spark, prepared):
+    p = X.prepare_ratings(prepared.ratings, X.Config(), ["l_orderkey", "l_linenumber", "movie_id", "l_suppkey"],
+                          ["l_extendedprice", "l_quantity"], stage_source=False)
+    # same source, same keys and seeds as the driver-data path -> the same split
+    assert p.test.exceptAll(prepared.test).count() == 0 and p.test.count() == prepared.test.count()
+    assert p.mu == prepared.mu
