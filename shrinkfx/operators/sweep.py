@@ -9,11 +9,12 @@ data rows.
 Effect chains cannot be reduced that way (a later stage's residual depends on
 alpha through every earlier effect), so each key carries an *array* of
 effects, one per alpha. Rows are joined to those tables by key only (the rows
-are never replicated per alpha before a join or shuffle); the per-alpha
-residuals are expanded inside the task and immediately partially aggregated
-by ``(key, alpha)``. Scoring expands each test row to its per-alpha squared
-errors of every prefix of the chain and aggregates them by alpha, so one pass
-scores all prefix models (e.g. movie, movie+user, ... five effects).
+are never replicated per alpha before a join or shuffle), and each stage is
+one aggregate holding a ``sum`` per alpha over the array elements, from which
+the next effect array is built directly. Scoring expands each test row to its
+per-alpha squared errors of every prefix of the chain and aggregates them by
+alpha, so one pass scores all prefix models (movie, movie+user, ... five
+effects).
 """
 
 from __future__ import annotations
