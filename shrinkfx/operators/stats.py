@@ -120,7 +120,8 @@ def kde(df: DataFrame, col: str, points: int = 512) -> DataFrame:
 
 def box_stats(df: DataFrame, group: str, col: str, log10: bool = True) -> DataFrame:
     """Box-plot statistics of ``col`` (log10 first when ``log10``) per ``group``:
-    quartiles, whiskers (extreme values within 1.5 IQR of the box), outlier count."""
+    quartiles, whiskers (extreme non-outlier values, never inside the box),
+    outlier count (values beyond 1.5 IQR from the box)."""
     y = F.log10(F.col(col)) if log10 else F.col(col)
     d = df.select(group, y.alias("y"))
     q = d.groupBy(group).agg(
@@ -136,8 +137,10 @@ def box_stats(df: DataFrame, group: str, col: str, log10: bool = True) -> DataFr
         F.min(F.when(F.col("y") >= F.col("lo_fence"), F.col("y"))).alias("lower_whisker"),
         F.max(F.when(F.col("y") <= F.col("hi_fence"), F.col("y"))).alias("upper_whisker"),
         F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_outliers"))
+    # whiskers never fall inside the box: range of (quartiles, non-outlier values)
     return attach(q.drop("lo_fence", "hi_fence"), w, group, "inner").select(
-        group, "n", "lower_whisker", "q1", "median", "q3", "upper_whisker", "n_outliers")
+        group, "n", F.least("lower_whisker", "q1").alias("lower_whisker"), "q1", "median", "q3",
+        F.greatest("upper_whisker", "q3").alias("upper_whisker"), "n_outliers")
 
 
 def year_ticks(df: DataFrame, col: str = "movie_year", step: int = 10) -> DataFrame:

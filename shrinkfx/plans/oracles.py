@@ -142,8 +142,8 @@ def _split_profile() -> str:
 
 def _box() -> str:
     acts = " UNION ALL BY NAME ".join(f"({_activity(k, l)})" for k, l in FEATURES)
-    return _q("""SELECT q.feature, q.n, round(w.lower_whisker, 8) AS lower_whisker, round(q.q1, 8) AS q1,
-       round(q.median, 8) AS median, round(q.q3, 8) AS q3, round(w.upper_whisker, 8) AS upper_whisker,
+    return _q("""SELECT q.feature, q.n, round(least(w.lower_whisker, q.q1), 8) AS lower_whisker, round(q.q1, 8) AS q1,
+       round(q.median, 8) AS median, round(q.q3, 8) AS q3, round(greatest(w.upper_whisker, q.q3), 8) AS upper_whisker,
        w.n_outliers
 FROM q JOIN (
   SELECT a.feature, min(CASE WHEN y >= lo_f THEN y END) AS lower_whisker,

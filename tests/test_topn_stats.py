@@ -76,6 +76,13 @@ def test_box_stats_log10(spark):
     assert r.n_outliers == int(((y < lo) | (y > hi)).sum())
 
 
+def test_box_whiskers_never_inside_the_box(spark):
+    # 0 is an outlier and every other value sits above q1: the whisker stops at q1
+    df = spark.createDataFrame([("a", 0.0), ("a", 10.0), ("a", 10.0), ("a", 10.0)], "f string, y double")
+    r = box_stats(df, "f", "y", log10=False).first()
+    assert r.q1 == 7.5 and r.lower_whisker == 7.5 and r.upper_whisker == 10.0 and r.n_outliers == 1
+
+
 def test_year_ticks_stack_recode(spark):
     df = spark.createDataFrame([("1931",), ("1990-1991",), ("1995",), (None,)], "movie_year string")
     assert [r.tick for r in year_ticks(df).collect()] == ["1931", "1941", "1951", "1961", "1971", "1981", "1991"]
