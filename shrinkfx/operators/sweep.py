@@ -126,13 +126,18 @@ def _stage_effects(rows: DataFrame, key: str, residual_at, alphas: Sequence[floa
     if n_keys * n_a <= map_side_max_cells:
         return effects(_wide_sums(rows, [key], residual_at, n_a)), n_keys
 
-    hot = counts.filter(F.col("n") > hot_rows).select(
-        F.col(key).alias("__hk"), F.ceil(F.col("n") / F.lit(float(hot_rows))).cast("int").alias("__ns"))
-    hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot
-    salted = (rows.join(hot_side, rows[key].eqNullSafe(hot_side["__hk"]), "left")
-                  .withColumn("__salt", F.coalesce(
-                      F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("__ns")).cast("int"), F.lit(0)))
-                  .drop("__hk", "__ns"))
+    if n_hot == 0:
+        salted = rows.withColumn("__salt", F.lit(0))
+    else:
+        # bounded (counted above) and used twice: written once
+        hot = materialize(counts.filter(F.col("n") > hot_rows).select(
+            F.col(key).alias("__hk"), F.ceil(F.col("n") / F.lit(float(hot_rows))).cast("int").alias("__ns")),
+            "hot_keys")
+        hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot
+        salted = (rows.join(hot_side, rows[key].eqNullSafe(hot_side["__hk"]), "left")
+                      .withColumn("__salt", F.coalesce(
+                          F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("__ns")).cast("int"), F.lit(0)))
+                      .drop("__hk", "__ns"))
     # the aggregate by (key, salt) reuses this partitioning: no second shuffle
     wide = _wide_sums(salted.repartition(key, "__salt"), [key, "__salt"], residual_at, n_a)
     if n_hot == 0:
