@@ -107,13 +107,19 @@ def _remerge(wide: DataFrame, key: str, n_alphas: int) -> DataFrame:
 
 def _stage_effects(rows: DataFrame, key: str, residual_at, alphas: Sequence[float],
                    salt_cols: Sequence[str], hot_rows: int, map_side_max_cells: int,
-                   key_source: DataFrame) -> tuple[DataFrame, int]:
+                   key_source: DataFrame, attach_arrays=None) -> tuple[DataFrame, int]:
     """``((key, n, eff array), number of keys)`` where ``eff[i] = sum(residual_at(i)) / (n + alpha_i)``.
 
-    ``key_source`` is the thin training frame the key counts come from (the
-    inner joins drop no training row: every key was fitted on those rows).
+    ``rows`` are the thin training rows; ``attach_arrays(df)`` joins the earlier
+    stages' effect arrays onto them (identity when ``rows`` already carry them).
+    On the map-side path arrays are attached before the partial aggregate; on
+    the shuffle path the thin rows are shuffled first and the arrays attached
+    after the shuffle, so no array crosses the network with a row. ``key_source``
+    is the thin training frame the key counts come from (the inner joins drop
+    no training row: every key was fitted on those rows).
     """
     n_a = len(alphas)
+    attach_arrays = attach_arrays or (lambda df: df)
 
     def effects(wide: DataFrame) -> DataFrame:
         eff = F.array(*[F.col(f"__s{i}") / (F.col("n") + F.lit(float(a))) for i, a in enumerate(alphas)])
@@ -124,24 +130,25 @@ def _stage_effects(rows: DataFrame, key: str, residual_at, alphas: Sequence[floa
                     F.sum(F.when(F.col("n") > hot_rows, 1).otherwise(0)).alias("hot")).first()
     n_keys, n_hot = int(st["keys"]), int(st["hot"] or 0)
     if n_keys * n_a <= map_side_max_cells:
-        return effects(_wide_sums(rows, [key], residual_at, n_a)), n_keys
+        return effects(_wide_sums(attach_arrays(rows), [key], residual_at, n_a)), n_keys
 
     if n_hot == 0:
-        salted = rows.withColumn("__salt", F.lit(0))
-    else:
-        # bounded (counted above) and used twice: written once
-        hot = materialize(counts.filter(F.col("n") > hot_rows).select(
-            F.col(key).alias("__hk"), F.ceil(F.col("n") / F.lit(float(hot_rows))).cast("int").alias("__ns")),
-            "hot_keys")
-        hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot
-        salted = (rows.join(hot_side, rows[key].eqNullSafe(hot_side["__hk"]), "left")
-                      .withColumn("__salt", F.coalesce(
-                          F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("__ns")).cast("int"), F.lit(0)))
-                      .drop("__hk", "__ns"))
+        # the aggregate by key reuses this partitioning: no second shuffle
+        parted = attach_arrays(rows.repartition(key))
+        return effects(_wide_sums(parted, [key], residual_at, n_a)), n_keys
+
+    # bounded (counted above) and used twice: written once
+    hot = materialize(counts.filter(F.col("n") > hot_rows).select(
+        F.col(key).alias("__hk"), F.ceil(F.col("n") / F.lit(float(hot_rows))).cast("int").alias("__ns")),
+        "hot_keys")
+    hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot
+    salted = (rows.join(hot_side, rows[key].eqNullSafe(hot_side["__hk"]), "left")
+                  .withColumn("__salt", F.coalesce(
+                      F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("__ns")).cast("int"), F.lit(0)))
+                  .drop("__hk", "__ns"))
     # the aggregate by (key, salt) reuses this partitioning: no second shuffle
-    wide = _wide_sums(salted.repartition(key, "__salt"), [key, "__salt"], residual_at, n_a)
-    if n_hot == 0:
-        return effects(wide.drop("__salt")), n_keys
+    parted = attach_arrays(salted.repartition(key, "__salt"))
+    wide = _wide_sums(parted, [key, "__salt"], residual_at, n_a)
     hk = hot.select("__hk")
     hk = F.broadcast(hk) if n_hot <= MAX_HOT_KEYS_BROADCAST else hk
     cond = wide[key].eqNullSafe(hk["__hk"])
@@ -172,17 +179,17 @@ def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[fl
         else:
             prev = [f"__e{j}" for j in range(s)]
             cols = list(dict.fromkeys([rating, *chain[:s + 1], *salt_cols]))
-            scored = attach_sized(train.select(*cols), [
-                (tables[j].select(chain[j], F.col("eff").alias(prev[j])), chain[j], sizes[j])
-                for j in range(s)])
+            items = [(tables[j].select(chain[j], F.col("eff").alias(prev[j])), chain[j], sizes[j])
+                     for j in range(s)]
 
             def residual_at(i, prev=prev):
                 out = r
                 for e in prev:
                     out = out - F.col(e)[i]
                 return out
-            t, n_keys = _stage_effects(scored, key, residual_at, alphas, salt_cols, hot_rows,
-                                       map_side_max_cells, train.select(key))
+            t, n_keys = _stage_effects(train.select(*cols), key, residual_at, alphas, salt_cols, hot_rows,
+                                       map_side_max_cells, train.select(key),
+                                       attach_arrays=lambda df, items=items: attach_sized(df, items))
         if keep:
             t = materialize(t, f"sweep_{key}")
         tables.append(t)

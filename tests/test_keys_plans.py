@@ -44,19 +44,28 @@ def test_split_never_windows_a_whole_stratum(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_salted_user_stage_shuffles_rows_once(spark):
+def _user_stage(spark, hot_rows):
     rows = spark.range(3000).select(
         (F.col("id") % 500).alias("user_id"), (F.col("id") % 40).alias("movie_id"),
         ((F.col("id") % 9) / 2 + 1).alias("rating"), F.col("id").alias("row_id"))
     t0 = SW.fit_chain_arrays(rows, ["movie_id"], [0.0, 1.0, 2.0], 3.0, keep=False)[0]
-    scored = attach(rows, t0.select("movie_id", F.col("eff").alias("__e0")), "movie_id")
+    arrays = t0.select("movie_id", F.col("eff").alias("__e0"))
     r = F.col("rating") - F.lit(3.0)
-    t, _ = SW._stage_effects(scored, "user_id", lambda i: r - F.col("__e0")[i], [0.0, 1.0, 2.0],
-                          ["row_id"], hot_rows=10 ** 9, map_side_max_cells=0, key_source=rows.select("user_id"))
-    p = plan(t)
-    # the (user, salt) aggregate sits directly on the row repartition: the first
-    # exchange below it is the REPARTITION_BY_COL one (no second shuffle)
-    below = p[p.index("HashAggregate(keys=[user_id"):]
-    first_exchange = below[below.index("Exchange"):].split("\n")[0]
-    assert "REPARTITION_BY_COL" in first_exchange and "__salt" in first_exchange
-    assert "Generate" not in p
+    t, _ = SW._stage_effects(rows, "user_id", lambda i: r - F.col("__e0")[i], [0.0, 1.0, 2.0],
+                             ["row_id"], hot_rows=hot_rows, map_side_max_cells=0,
+                             key_source=rows.select("user_id"),
+                             attach_arrays=lambda df: attach(df, F.broadcast(arrays), "movie_id"))
+    return plan(t)
+
+
+def test_many_key_stage_shuffles_thin_rows_once(spark):
+    for hot_rows, exchange in [(10 ** 9, "hashpartitioning(user_id"), (3, "__salt")]:
+        p = _user_stage(spark, hot_rows)
+        # the complete (user[, salt]) aggregate sits directly on the row repartition
+        below = p[p.index("HashAggregate(keys=[user_id"):]
+        first_exchange = below[below.index("Exchange"):].split("\n")[0]
+        assert "REPARTITION_BY_COL" in first_exchange and exchange in first_exchange
+        # the rows crossing that exchange carry no effect array: it is joined after
+        shuffled = below[below.index("REPARTITION_BY_COL"):]
+        assert "eff" not in shuffled.split("BroadcastExchange")[0].split("\n")[1]
+        assert "Generate" not in p

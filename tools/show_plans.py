@@ -50,17 +50,21 @@ def main():
     sections.append(("Stratified split (quartile strata, seed 2) over edx",
                      stratified_split(p.edx, "rating", 0.2, "2", HASH_KEYS, TIE_KEYS, "quartile")))
     r = F.col("rating") - F.lit(p.mu)
-    scored = attach_sized(p.train.select("rating", "movie_id", "user_id", "genres"), [
-        (tabs[0].select("movie_id", F.col("eff").alias("__e0")), "movie_id", SW.array_table_bytes(tabs[0], len(alphas))),
-        (tabs[1].select("user_id", F.col("eff").alias("__e1")), "user_id", SW.array_table_bytes(tabs[1], len(alphas)))])
-    genre, _ = SW._stage_effects(scored, "genres", lambda i: r - F.col("__e0")[i] - F.col("__e1")[i], alphas,
-                                 ["rating"], SW.HOT_ROWS, SW.MAP_SIDE_MAX_CELLS, p.train.select("genres"))
+    m_item = (tabs[0].select("movie_id", F.col("eff").alias("__e0")), "movie_id",
+              SW.array_table_bytes(tabs[0], len(alphas)))
+    u_item = (tabs[1].select("user_id", F.col("eff").alias("__e1")), "user_id",
+              SW.array_table_bytes(tabs[1], len(alphas)))
+    genre, _ = SW._stage_effects(p.train.select("rating", "movie_id", "user_id", "genres"), "genres",
+                                 lambda i: r - F.col("__e0")[i] - F.col("__e1")[i], alphas,
+                                 ["rating"], SW.HOT_ROWS, SW.MAP_SIDE_MAX_CELLS, p.train.select("genres"),
+                                 attach_arrays=lambda df: attach_sized(df, [m_item, u_item]))
     sections.append(("Chained sweep stage, few keys (genres): one wide map-side aggregate", genre))
-    user_rows = attach_sized(p.train.select("rating", "movie_id", "user_id", "l_orderkey", "l_linenumber"), [
-        (tabs[0].select("movie_id", F.col("eff").alias("__e0")), "movie_id", SW.array_table_bytes(tabs[0], len(alphas)))])
-    user, _ = SW._stage_effects(user_rows, "user_id", lambda i: r - F.col("__e0")[i], alphas,
-                                ["l_orderkey", "l_linenumber"], SW.HOT_ROWS, 0, p.train.select("user_id"))
-    sections.append(("Chained sweep stage, many keys (users): rows shuffled by (key, salt), aggregated in place", user))
+    user, _ = SW._stage_effects(p.train.select("rating", "movie_id", "user_id", "l_orderkey", "l_linenumber"),
+                                "user_id", lambda i: r - F.col("__e0")[i], alphas,
+                                ["l_orderkey", "l_linenumber"], SW.HOT_ROWS, 0, p.train.select("user_id"),
+                                attach_arrays=lambda df: attach_sized(df, [m_item]))
+    sections.append(("Chained sweep stage, many keys (users): thin rows shuffled by key, arrays attached "
+                     "after the shuffle, aggregated in place", user))
     sections.append(("Chain scoring: all 5 prefixes x 121 alphas in one pass",
                      SW.sweep_chain(p.train, p.test, X.FULL_CHAIN, alphas, p.mu, tables=tabs)))
     sections.append(("Single-effect sweep (sufficient statistics)",
