@@ -220,3 +220,26 @@ def sweep_chain(train: DataFrame, test: DataFrame, chain: Sequence[str],
                                         F.col(f"sse{s + 1}").alias("sse")) for s in range(m)]))
     return (agg.select(F.element_at(A, F.col("pos") + 1).alias("alpha"), "n", longs)
                .select("stage", "alpha", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse")))
+
+
+def sweep_chain_batched(train: DataFrame, test: DataFrame, chain: Sequence[str],
+                        alphas: Sequence[float], mu: float, batch: int | None = None,
+                        rating: str = "rating", fit=None) -> DataFrame:
+    """``sweep_chain`` over the grid in chunks of ``batch`` alphas.
+
+    Each alpha's chain is independent of the others, so chunks can be fitted
+    separately: smaller effect arrays keep tables under the broadcast threshold
+    and per-row state small when keys x alphas would not fit. ``fit`` maps a
+    chunk to its stage tables (default: ``fit_chain_arrays``).
+    """
+    alphas = list(alphas)
+    if not batch or batch >= len(alphas):
+        chunks = [alphas]
+    else:
+        chunks = [alphas[i:i + batch] for i in range(0, len(alphas), batch)]
+    fit = fit or (lambda chunk: fit_chain_arrays(train, chain, chunk, mu, rating))
+    parts = [sweep_chain(train, test, chain, chunk, mu, rating, tables=fit(chunk)) for chunk in chunks]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

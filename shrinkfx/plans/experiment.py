@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shrinkfx.functions.columns import movie_year, rating_week
 from shrinkfx.operators.effects import fit, mean_of, predict, rmse
 from shrinkfx.operators.split import close_holdout, split_with_return, stratified_split
-from shrinkfx.operators.sweep import fit_chain_arrays, grid_values, sweep_chain, sweep_single
+from shrinkfx.operators.sweep import fit_chain_arrays, grid_values, sweep_chain_batched, sweep_single
 from shrinkfx.session import materialize, path_exists
 from shrinkfx.sources.testdata import HASH_KEYS, TIE_KEYS, ratings_view
 
@@ -55,6 +55,7 @@ class Config:
     strata: str = "quartile"
     grid: tuple = (0.0, 30.0, 0.25)
     mu_from: str = "train"      # "train" (as the script) or "full" (as the report text)
+    alpha_batch: int | None = None  # chain sweep: alphas per pass (None = whole grid at once)
     unseen: str = "zero"        # validation scoring: missing effect counts as 0
 
     @property
@@ -178,9 +179,9 @@ def model_rmse(p: Prepared, chain, alpha: float) -> DataFrame:
     return rmse(predict(p.test, m, unseen="drop"))
 
 
-def leaderboard(p: Prepared, alphas=None) -> DataFrame:
+def leaderboard(p: Prepared, alphas=None, cfg: Config = Config()) -> DataFrame:
     """``(ordinal, model, alpha, rmse)`` for the average model and 9 families x grid."""
-    alphas = list(alphas) if alphas is not None else Config().alphas
+    alphas = list(alphas) if alphas is not None else cfg.alphas
     n_a = len(alphas)
     A = F.array(*[F.lit(float(a)) for a in alphas])
     parts = [average_rmse(p).select(F.lit(1).cast("bigint").alias("ordinal"),
@@ -195,8 +196,8 @@ def leaderboard(p: Prepared, alphas=None) -> DataFrame:
             s = sweep_single(p.train, p.test, chain[0], alphas, p.mu)
             parts.append(s.select(ordinal(i).alias("ordinal"), F.lit(name).alias("model"),
                                   "alpha", "rmse"))
-    chain_sweep = sweep_chain(p.train, p.test, FULL_CHAIN, alphas, p.mu,
-                              tables=chain_tables(p, alphas))
+    chain_sweep = sweep_chain_batched(p.train, p.test, FULL_CHAIN, alphas, p.mu, cfg.alpha_batch,
+                                      fit=lambda chunk: chain_tables(p, chunk))
     chained = [(i, name, len(chain)) for i, (name, _, chain) in enumerate(FAMILIES) if len(chain) > 1]
     stage_map = F.create_map(*[x for i, name, s in chained for x in (F.lit(s), F.lit(name))])
     fam_map = F.create_map(*[x for i, name, s in chained for x in (F.lit(s), F.lit(i))])

@@ -77,3 +77,14 @@ def test_salted_effects_equal_map_side_effects(spark):
 def test_alpha_grid(spark):
     assert [r.alpha for r in SW.alpha_grid(spark, 0, 30, 0.25).collect()] == SW.grid_values(0, 30, 0.25)
     assert len(SW.grid_values()) == 121 and SW.grid_values()[-1] == 30.0
+
+
+def test_batched_alphas_equal_one_pass(spark):
+    train, test = frames(spark, n=800)
+    mu = 3.0
+    alphas = [0.0, 0.25, 1.0, 4.0, 9.0]
+    one = {(r.stage, r.alpha): r.rmse for r in SW.sweep_chain_batched(train, test, CHAIN, alphas, mu).collect()}
+    two = {(r.stage, r.alpha): r.rmse for r in SW.sweep_chain_batched(train, test, CHAIN, alphas, mu, batch=2).collect()}
+    assert one.keys() == two.keys() and len(one) == len(CHAIN) * len(alphas)
+    for k in one:
+        assert one[k] == pytest.approx(two[k], rel=1e-12)
