@@ -20,7 +20,7 @@ from shrinkfx.operators.stats import year_ticks
 from shrinkfx.operators.sweep import sweep_chain, sweep_single
 from shrinkfx.plans import experiment as X
 from shrinkfx.plans import report as R
-from shrinkfx.session import stage_path
+from shrinkfx.session import path_exists, stage_path
 from shrinkfx.sources.dat import read_movies, read_ratings, write_movies_dat, write_ratings_dat
 from shrinkfx.sources.stages import load_stage, save_stage
 
@@ -212,7 +212,7 @@ _LB: dict = {}
 def _leaderboard(spark, sf):
     p = P(spark, sf)
     key = (sf, p.paths.get("split2"))
-    if key not in _LB:
+    if key not in _LB or not all(path_exists(f) for f in _LB[key][:1]):
         from shrinkfx.session import materialize
         _LB[key] = materialize(X.leaderboard(p), "leaderboard").inputFiles()
     return spark.read.parquet(*_LB[key])

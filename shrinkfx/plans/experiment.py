@@ -215,7 +215,7 @@ def chain_tables(p: Prepared, alphas, chain=None) -> list[DataFrame]:
     """Per-alpha effect arrays of the chain, fitted once per prepared split."""
     chain = list(chain or FULL_CHAIN)
     key = (p.paths.get("split2"), tuple(chain), tuple(alphas))
-    if key not in _CHAIN_TABLES:
+    if key not in _CHAIN_TABLES or not all(path_exists(f) for fs in _CHAIN_TABLES[key] for f in fs[:1]):
         tabs = fit_chain_arrays(p.train, chain, alphas, p.mu)
         _CHAIN_TABLES[key] = [t.inputFiles() for t in tabs]
     spark = p.train.sparkSession

@@ -76,6 +76,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def path_exists(path: str) -> bool:
-    if "://" in path and not path.startswith("file://"):
-        return True  # remote store: trust the path we wrote
-    return os.path.exists(path.replace("file://", ""))
+    """Whether a stage path still exists (local paths are checked; a remote
+    store is trusted -- the folder is ours and not cleaned behind our back)."""
+    if path.startswith("file:"):
+        local = path[len("file:"):]
+        return os.path.exists("/" + local.lstrip("/"))
+    if "://" in path:
+        return True
+    return os.path.exists(path)
