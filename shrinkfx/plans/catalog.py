@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shrinkfx.functions.columns import movie_year, rating_datetime, rating_month, rating_week
-from shrinkfx.operators.effects import effect, fit, predict, rmse
+from shrinkfx.operators.effects import EffectModel, effect, fit, predict, rmse
 from shrinkfx.operators.keys import attach, drop_present, keep_known, recode, stack
 from shrinkfx.operators.stats import year_ticks
 from shrinkfx.operators.sweep import sweep_chain, sweep_single
@@ -130,9 +130,19 @@ def q_global_mean(spark, sf):
     return p.train.agg(F.avg("rating").alias("mu"), F.count(F.lit(1)).alias("n"))
 
 
+_FITS: dict = {}
+
+
 def _chain_tables(spark, sf, alpha=ALPHA, src="train"):
+    """The five-effect chain at one alpha, fitted once per prepared split."""
     p = P(spark, sf)
-    return fit(getattr(p, src), X.FULL_CHAIN, alpha, p.mu)
+    key = (p.paths.get("split2"), alpha, src)
+    hit = _FITS.get(key)
+    if hit is None or not all(path_exists(f[0]) for f in hit["files"] if f):
+        m = fit(getattr(p, src), X.FULL_CHAIN, alpha, p.mu)
+        hit = _FITS[key] = {"mu": m.mu, "files": [t.inputFiles() for t in m.tables]}
+    tables = [spark.read.parquet(*files) for files in hit["files"]]
+    return EffectModel(mu=hit["mu"], alpha=alpha, chain=list(X.FULL_CHAIN), tables=tables)
 
 
 def _effect_query(key):
