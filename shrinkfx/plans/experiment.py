@@ -123,7 +123,16 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
     spark = spark or src.sparkSession
     hash_keys, tie_keys = list(hash_keys), list(tie_keys)
 
-    ratings_t = materialize(src, "ratings") if stage_source else src
+    if stage_source:
+        # a small input read as fewer partitions than the cluster has cores
+        # would make every later stage table that narrow; spread it first
+        # (round-robin, deterministic on retry). Never fires on a large input.
+        par = spark.sparkContext.defaultParallelism
+        if src.rdd.getNumPartitions() < par:
+            src = src.repartition(par)
+        ratings_t = materialize(src, "ratings")
+    else:
+        ratings_t = src
     split1 = materialize(stratified_split(ratings_t, "rating", cfg.validation_p, cfg.validation_seed,
                                           hash_keys, tie_keys, cfg.strata), "split1")
     # tag the held-out rows once; validation and moved-back rows are filters of it
