@@ -124,13 +124,15 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
     hash_keys, tie_keys = list(hash_keys), list(tie_keys)
 
     if stage_source:
-        # a small input read as fewer partitions than the cluster has cores
-        # would make every later stage table that narrow; spread it first
-        # (round-robin, deterministic on retry). Never fires on a large input.
-        par = spark.sparkContext.defaultParallelism
-        if src.rdd.getNumPartitions() < par:
-            src = src.repartition(par)
         ratings_t = materialize(src, "ratings")
+        # a small input written as fewer files than the cluster has cores would
+        # make every later stage table that narrow: spread it (round-robin,
+        # deterministic on retry) and write it again. Checked on the written
+        # table, so the source plan is never run twice; a large input is
+        # written as many files and this never fires.
+        par = spark.sparkContext.defaultParallelism
+        if len(ratings_t.inputFiles()) < par:
+            ratings_t = materialize(ratings_t.repartition(par), "ratings")
     else:
         ratings_t = src
     split1 = materialize(stratified_split(ratings_t, "rating", cfg.validation_p, cfg.validation_seed,
