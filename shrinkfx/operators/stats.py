@@ -66,7 +66,9 @@ def shares(df: DataFrame, col: str, rules: Sequence[tuple]) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """``(bin, x, xmin, xmax, n, density)``: equal-width bins over the range, the first
-    and last centred on the minimum and maximum, right-closed; empty bins kept."""
+    and last centred on the minimum and maximum, right-closed; empty bins kept.
+
+    ``df`` is read twice (range, then counts): pass a stored or cheap table."""
     x = F.col(col)
     st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("total")).first()
     lo, hi, total = st["lo"], st["hi"], st["total"]
@@ -95,6 +97,7 @@ def kde(df: DataFrame, col: str, points: int = 512) -> DataFrame:
 
     Equal values are pre-aggregated into weights, then each distinct value
     contributes to every grid point inside its task, partially summed per point.
+    ``df`` is read twice (statistics, then the sums): pass a stored or cheap table.
     """
     x = F.col(col)
     st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("nn"),

@@ -2,7 +2,10 @@
 
 All queries read the training split (``train``) unless noted; ``mu`` is the
 mean training rating. Charts themselves are not drawn -- each function
-returns the table a chart is built from.
+returns the table a chart is built from. Group-level tables that a statistic
+reads twice (a one-row range pass plus the main pass, or a top-n cut plus the
+filter) are written once as small stage tables, so ``train`` is aggregated
+once per statistic.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from shrinkfx.operators.stats import (activity, box_stats, centred_mean, group_c
                                       histogram, kde, mean_of_counts, percentiles, shares)
 from shrinkfx.operators.topn import top_n
 from shrinkfx.plans.experiment import GENRE, MOVIE, USER, WEEK, YEAR, Prepared
+from shrinkfx.session import materialize
 
 # ---- fixed values: feature labels, class labels and activity thresholds ----
 FEATURE_LABELS = [(USER, "User"), (MOVIE, "Movie"), (GENRE, "Genre"),
@@ -64,7 +68,7 @@ def mean_monthly_ratings(p: Prepared) -> DataFrame:
 
 
 def quietest_months(p: Prepared, n: int = 12) -> DataFrame:
-    t = top_n(ratings_per_month(p), -n, "number_ratings")
+    t = top_n(materialize(ratings_per_month(p), "ratings_per_month"), -n, "number_ratings")
     return t.withColumn("year_label", F.year(F.date_from_unix_date(
         F.floor(F.col("rating_month") / F.lit(86400.0)).cast("int"))).cast("string"))
 
@@ -83,19 +87,20 @@ def activity_all(p: Prepared) -> DataFrame:
 
 
 def boxplot_activity(p: Prepared) -> DataFrame:
-    return box_stats(activity_all(p), "feature", "number_ratings", log10=True)
+    return box_stats(materialize(activity_all(p), "activity_all"), "feature", "number_ratings", log10=True)
 
 
 def best_worst(p: Prepared, key: str, n: int, label: str) -> tuple[DataFrame, DataFrame]:
     # means are compared at 1e-10 so equal means summed in different orders stay tied
-    a = activity(p.train, key).withColumn("average_rating", F.round("average_rating", 10))
+    a = materialize(activity(p.train, key).withColumn("average_rating", F.round("average_rating", 10)),
+                    f"activity_{key}")
     best = top_n(a, n, "average_rating").withColumn("class", F.lit(f"{n} Best Rated"))
     worst = top_n(a, -n, "average_rating").withColumn("class", F.lit(f"{n} Worst Rated"))
     return best, worst
 
 
 def least_rated_years(p: Prepared, n: int = 10) -> DataFrame:
-    a = activity(p.train, YEAR)
+    a = materialize(activity(p.train, YEAR), "activity_year")
     return top_n(a, -n, "number_ratings").withColumn("class", F.lit(f"{n} Least Rated Years"))
 
 
@@ -137,9 +142,9 @@ def split_profile(p: Prepared) -> DataFrame:
 
 
 def hist_of_means(p: Prepared, key: str) -> DataFrame:
-    m = avg_by(p, key).withColumn("average_rating", F.round("average_rating", 10))
+    m = materialize(avg_by(p, key).withColumn("average_rating", F.round("average_rating", 10)), f"means_{key}")
     return histogram(m, "average_rating", 30)
 
 
 def kde_of_means(p: Prepared, key: str) -> DataFrame:
-    return kde(avg_by(p, key), "average_rating", 512)
+    return kde(materialize(avg_by(p, key), f"means_{key}"), "average_rating", 512)
