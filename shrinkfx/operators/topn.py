@@ -4,7 +4,8 @@ A row is kept when its weight is at least as extreme as the |n|-th value, so
 ties at the cut are all kept and more than |n| rows can come back; rows with
 NULL weight are never kept. The cut value is found with a bounded top-|n|
 (``orderBy(...).limit(|n|)``, a per-partition heap of |n| rows) and used as a
-scalar subquery, so no single task ever sorts the whole input.
+scalar subquery, so no single task ever sorts the whole input. The input is
+read twice (cut, then filter): pass a stored or cheap table.
 """
 
 from __future__ import annotations

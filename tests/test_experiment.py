@@ -146,3 +146,18 @@ def test_prepare_from_a_stored_table_without_restaging(spark, prepared):
     # same source, same keys and seeds as the driver-data path -> the same split
     assert p.test.exceptAll(prepared.test).count() == 0 and p.test.count() == prepared.test.count()
     assert p.mu == prepared.mu
+
+
+def test_best_and_summary_ties_take_the_first_ordinal(spark):
+    rows = [(1, X.AVERAGE, None, 0.9), (2, "Movie Effect Model", 0.0, 0.7), (3, "Movie Effect Model", 0.5, 0.6),
+            (4, "Movie Effect Model", 1.0, 0.6), (5, "Movie Effect Model", 1.5, 0.8), (6, "Movie Effect Model", 2.0, 0.8),
+            (7, "User Effect Model", 0.0, 0.6)]
+    lb = spark.createDataFrame(rows, "ordinal bigint, model string, alpha double, rmse double")
+    b = X.best(lb).first()
+    assert (b.ordinal, b.model, b.alpha) == (3, "Movie Effect Model", 0.5)
+    s = {r.model: r for r in X.summary(lb).collect()}
+    mm = s["MM"]
+    assert (mm.best_rmse, mm.best_alpha, mm.worst_rmse, mm.worst_alpha) == (0.6, 0.5, 0.8, 1.5)
+    assert mm.average_rmse == pytest.approx((0.7 + 0.6 + 0.6 + 0.8 + 0.8) / 5)
+    am = s["AM"]
+    assert am.best_rmse == 0.9 and am.best_alpha is None and am.worst_rmse is None and am.average_rmse is None
