@@ -92,7 +92,7 @@ def prepare(spark: SparkSession, sf_dir: str, cfg: Config = Config()) -> Prepare
                            cache_key=("view", sf_dir), spark=spark)
 
 
-def load_movielens(spark: SparkSession, ratings_path: str, movies_path: str) -> DataFrame:
+def load_ratings_files(spark: SparkSession, ratings_path: str, movies_path: str) -> DataFrame:
     """Ratings and movies files joined into the rows the experiment needs
     (``user_id, movie_id, rating, ts, title, genres``); every rating is kept
     (left join), the small movies side is joined as AQE sees fit."""

@@ -129,7 +129,7 @@ def test_experiment_from_dat_files(spark, prepared):
     one = src.groupBy("user_id", "movie_id", "ts").agg(F.first("rating").alias("rating"))
     write_ratings_dat(one, os.path.join(d, "ratings"))
     write_movies_dat(src.select("movie_id", "title", "genres").distinct(), os.path.join(d, "movies"))
-    rows = X.load_movielens(spark, os.path.join(d, "ratings"), os.path.join(d, "movies"))
+    rows = X.load_ratings_files(spark, os.path.join(d, "ratings"), os.path.join(d, "movies"))
     assert rows.count() == one.count()
     p = X.prepare_ratings(rows, X.Config(grid=(0.0, 10.0, 5.0)))
     assert p.train.count() + p.test_open.count() == p.edx.count()
