@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shrinkfx.operators.keys import attach, attach_sized
-from shrinkfx.session import materialize
+from shrinkfx.session import materialize, raised_conf
 
 
 def alpha_grid(spark, lo: float = 0.0, hi: float = 30.0, step: float = 0.25) -> DataFrame:
@@ -191,7 +191,9 @@ def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[fl
                                        map_side_max_cells, train.select(key),
                                        attach_arrays=lambda df, items=items: attach_sized(df, items))
         if keep:
-            t = materialize(t, f"sweep_{key}")
+            # one aggregate column per alpha: keep the stage in whole-stage codegen
+            with raised_conf(train.sparkSession, "spark.sql.codegen.maxFields", len(alphas) + 100):
+                t = materialize(t, f"sweep_{key}")
         tables.append(t)
         sizes.append(array_table_bytes(t, len(alphas), n_keys))
     return tables

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,3 +85,24 @@ def path_exists(path: str) -> bool:
     if "://" in path:
         return True
     return os.path.exists(path)
+
+
+@contextmanager
+def raised_conf(spark: SparkSession, key: str, at_least: int):
+    """Temporarily raise an integer SQL conf to ``at_least`` (restored on exit)."""
+    old = spark.conf.get(key, None)
+    try:
+        current = int(old) if old is not None else None
+    except ValueError:
+        current = None
+    if current is not None and current >= at_least:
+        yield
+        return
+    spark.conf.set(key, str(at_least))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
