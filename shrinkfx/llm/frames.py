@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import shrinkfx
+
 
 def annotated(df: DataFrame, added: dict[str, Column], columns: list[str]) -> DataFrame:
     """``columns`` of ``df`` (the caller's own) plus ``added``; a caller's column that
@@ -22,3 +28,21 @@ def shard_count(df: DataFrame, amount: Column, per_shard: int) -> int:
     """How many shards of about ``per_shard`` units ``df`` needs (one aggregate)."""
     total = df.agg(F.sum(amount).alias("n")).first()["n"] or 0
     return max(1, -(-int(total) // per_shard))
+
+
+_shipped: set[str] = set()
+
+
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow``, after handing this package to the workers of the application
+    (they import the helpers that ``run`` uses)."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(shrinkfx.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="shrinkfx-code-")) / "shrinkfx.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, Path("shrinkfx") / f.relative_to(root))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(run, schema)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shrinkfx.llm import textkit as K
-from shrinkfx.llm.frames import own
+from shrinkfx.llm.frames import arrow_map, own
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,7 @@ def measure(docs: DataFrame, text_col: str = "text", bands: Bands = Bands()) ->
                     [part.column(x) for x in carried] + [struct], names=[*carried, "_ql"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_ql", added)])
-    return rows.mapInArrow(run, schema)
+    return arrow_map(rows, run, schema)
 
 
 def judge(docs: DataFrame, text_col: str = "text", bands: Bands = Bands()) -> DataFrame:
