@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shrinkfx.llm import chat as CH
 from shrinkfx.llm import exact_dedup as XD
+from shrinkfx.llm import minhash as MH
 from shrinkfx.llm import mixing as MX
 from shrinkfx.llm import packing as PK
 from shrinkfx.llm import quality as QL
@@ -30,6 +31,11 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QL.judge(docs).drop("text")
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return MH.judge(docs).withColumnRenamed("id", "doc_id")
+
+
 def op6_sum_of_squares_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,6 +68,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_curriculum": op1_mix_curriculum,
     "op2_compression_bands": op2_compression_bands,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_sum_of_squares_pack": op6_sum_of_squares_pack,
     "op7_chat_format": op7_chat_format,
     "op9_wacz_pages": op9_wacz_pages,

@@ -63,9 +63,10 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]: offs[-1]], offs - offs[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows of about ``size`` bytes of text (one long text
-    stands alone), which bounds the memory of the array passes."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES,
+           rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of at most ``rows`` rows and about ``size`` bytes of text (one
+    long text stands alone), which bounds the memory of the array passes."""
     if batch.num_rows == 0:
         return
     col = batch.column(column)
@@ -75,7 +76,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
     at = 0
     while at < len(ends):
         base = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
+        to = min(at + rows, max(at + 1, int(np.searchsorted(ends, base + size, "right"))))
         yield batch.slice(at, to - at)
         at = to
 
