@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shrinkfx.llm import chat as CH
 from shrinkfx.llm import exact_dedup as XD
+from shrinkfx.llm import langid as LI
 from shrinkfx.llm import minhash as MH
 from shrinkfx.llm import mixing as MX
 from shrinkfx.llm import packing as PK
 from shrinkfx.llm import quality as QL
+from shrinkfx.llm import suffix_lm as SL
 from shrinkfx.llm import warc as WA
 
 
@@ -31,6 +33,19 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QL.judge(docs).drop("text")
 
 
+def _remainder(n: int) -> Column:
+    """crc32 of the id as text, modulo ``n`` (null for a null id)."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op3_langid_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = LI.train(docs.where(_remainder(3) != 1))
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    # the text alone goes in: the id and its fold are only carried along
+    return LI.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return MH.judge(docs).withColumnRenamed("id", "doc_id")
@@ -53,6 +68,13 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CH.digests(CH.format_chats(turns.unionByName(hostile)))
 
 
+def op8_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    tree, counts = SL.train(docs.where(_remainder(10) != 0))
+    held_out = F.coalesce(_remainder(10) == 0, F.lit(False))
+    return SL.score(docs.select("doc_id", held_out.alias("held_out"), "text"), tree, counts)
+
+
 def op9_wacz_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
     manifest = WA.write_archives(WA.with_revisits(pages))
@@ -68,9 +90,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_curriculum": op1_mix_curriculum,
     "op2_compression_bands": op2_compression_bands,
+    "op3_langid_ftrl": op3_langid_ftrl,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_sum_of_squares_pack": op6_sum_of_squares_pack,
     "op7_chat_format": op7_chat_format,
+    "op8_suffix_tree_scores": op8_suffix_tree_scores,
     "op9_wacz_pages": op9_wacz_pages,
     "op10_exact_dedup": op10_exact_dedup,
 }
