@@ -86,7 +86,7 @@ def fast_sketch(grams: np.ndarray, counts: np.ndarray, t: int, seed: int) -> np.
         value = (np.uint64(r) << np.uint64(54)) | (h & np.uint64((1 << 40) - 1)) << np.uint64(14) | (h >> np.uint64(50))
         np.minimum.at(flat, owner * t + bins.astype(np.int64), value)
         # sets with all bins filled are done; counts shrink quickly
-        rows = np.unique(owner)
+        rows = np.flatnonzero(np.bincount(owner, minlength=n_rows))
         open_rows = rows[(best[rows] == np.iinfo(np.uint64).max).any(axis=1)]
         if len(open_rows) < len(rows):
             still = np.zeros(n_rows, bool)

@@ -75,7 +75,7 @@ def base_counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
         np.add.at(covered, at + 3, -1)
     in_repeat = np.cumsum(covered)[: len(word)] > 0
     newline = np.flatnonzero(data == 10)
-    edges = np.unique(np.concatenate([offs, newline, newline + 1]))
+    edges = np.sort(np.concatenate([offs, newline, newline + 1]))
     line_s, line_e = edges[:-1], edges[1:]
     # a line holds a word: the newline byte itself forms spans without words
     holds = np.searchsorted(starts, line_e) > np.searchsorted(starts, line_s)
