@@ -14,6 +14,7 @@ from shrinkfx.llm import minhash as MH
 from shrinkfx.llm import mixing as MX
 from shrinkfx.llm import packing as PK
 from shrinkfx.llm import quality as QL
+from shrinkfx.llm import suffix_dedup as SD
 from shrinkfx.llm import suffix_lm as SL
 from shrinkfx.llm import warc as WA
 
@@ -51,6 +52,14 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MH.judge(docs).withColumnRenamed("id", "doc_id")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return SD.repeated_spans(docs).select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_sum_of_squares_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -92,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_compression_bands": op2_compression_bands,
     "op3_langid_ftrl": op3_langid_ftrl,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sum_of_squares_pack": op6_sum_of_squares_pack,
     "op7_chat_format": op7_chat_format,
     "op8_suffix_tree_scores": op8_suffix_tree_scores,
