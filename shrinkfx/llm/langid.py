@@ -76,9 +76,10 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _weighted(first: np.ndarray, bins: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """TF-IDF values, each row of length one."""
     v = (1 + np.log(counts)) * idf[bins]
-    total = np.concatenate([[0.0], np.cumsum(v * v)])
-    norm = np.sqrt(np.maximum(total[first[1:]] - total[first[:-1]], 1e-12))
-    return v / np.repeat(norm, np.diff(first))
+    per_row = np.diff(first)
+    # summed row by row, so a text's values do not depend on its neighbours
+    norm = np.sqrt(np.bincount(K.row_of(per_row), v * v, minlength=len(per_row)))
+    return v / np.repeat(norm, per_row)
 
 
 def _texts(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:

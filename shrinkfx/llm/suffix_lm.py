@@ -110,7 +110,7 @@ class _Summer:
         self.size += len(k)
 
     def fold(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
+        if not self.size:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
         order = np.argsort(keys)

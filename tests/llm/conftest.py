@@ -28,7 +28,7 @@ def hostile_rows() -> list[tuple]:
     base, other = prose(1, 120), prose(2, 400)
     edited = base.replace(base.split()[60], "changedword", 1)
     texts = [
-        (10, base), (11, base), (12, edited), (13, base.upper() if False else base + " tail"),
+        (10, base), (11, base), (12, edited), (13, base + " tail"),
         (14, other), (3, other), (15, None), (16, ""), (17, "  \n\t "), (18, "1234 !!! 5678"),
         (19, "one two"), (20, "one two"), (21, "x " * 300), (22, prose(3, 30000)),
         (23, prose(4, 90) + "\n" + base[:400] + "\n" + prose(5, 90)), (None, base), (None, "no id here"),
