@@ -46,7 +46,7 @@ class WordCoder:
     _LETTER = np.zeros(256, bool)
     _LETTER[[*range(65, 91), *range(97, 123)]] = True
 
-    def __init__(self, path: str, max_words: int = 2_000_000):
+    def __init__(self, path: str, max_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -82,8 +82,11 @@ class WordCoder:
         if len(starts) == 0:
             return np.zeros(0, np.uint32), np.zeros(n_rows, np.int64)
         cut = np.flatnonzero(self._LETTER[data[:-1]] & self._PUNCT[data[1:]]) + 1
-        cut = cut[~np.isin(cut, offs, assume_unique=False)] if len(cut) else cut
-        starts, ends = np.union1d(starts, cut), np.union1d(ends, cut)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offs] = True
+        cut = cut[~edge[cut]]
+        # cuts lie inside words: no place occurs twice
+        starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
         odd = np.zeros(len(data) + 1, np.int64)
         np.cumsum((data >= 128) | (data == 60), out=odd[1:])
         low = K.lower_ascii(data)
@@ -108,6 +111,16 @@ class WordCoder:
         return ids, np.diff(total[np.searchsorted(starts, offs)])
 
 
+_coders: dict[str, WordCoder] = {}
+
+
+def coder_for(path: str) -> WordCoder:
+    """The worker process's coder, kept from task to task."""
+    if path not in _coders:
+        _coders[path] = WordCoder(path)
+    return _coders[path]
+
+
 class SumOfSquares:
     """The packer of one shard. ``add`` and ``finish`` return closed windows, each a list
     of pieces (doc_id, start, ids, tokens of the document)."""
@@ -201,7 +214,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                                                  "sequence_id", "offset")] + [("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, packer = WordCoder(tokenizer_path), SumOfSquares(window, grain)
+        coder, packer = coder_for(tokenizer_path), SumOfSquares(window, grain)
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
         out: list[tuple] = []
 
