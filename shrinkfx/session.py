@@ -1,9 +1,9 @@
 """Session helpers: recommended configuration and the shared stage store.
 
 Stage tables (split outputs, effect tables) are written as Parquet below the
-folder named by ``spark.checkpoint.dir``. On a cluster that folder is shared
-storage set by the operator; only when it is unset (local runs, tests) do we
-pick a local scratch folder ourselves.
+folder named by ``spark.checkpoint.dir``. On a cluster that folder must be set to
+shared storage; only a local master may do without it, and then a scratch folder
+is made. ``drop_stages`` removes what a run has written.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,12 +47,15 @@ def get_spark(master: str | None = None, app: str = "shrinkfx",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for stage tables: ``spark.checkpoint.dir`` if set."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The shared folder for stage tables: ``spark.checkpoint.dir``.
+
+    Unset on a cluster it is an error: a folder of the driver's machine would hold
+    only what tasks on that machine write."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        # Only reached when nothing is configured (local runs / tests).
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set spark.checkpoint.dir to shared storage (master is {master})")
         d = tempfile.mkdtemp(prefix="shrinkfx-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
@@ -63,17 +65,28 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/shrinkfx/{_RUN_ID}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet stage table in the shared folder and read it back.
+def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as a Parquet stage table in the shared folder; the table and its folder.
 
     This cuts the lineage (a lost executor re-reads the table instead of
     recomputing the plan) and lets later stages prune columns and push
-    filters into the scan.
+    filters into the scan. Callers that keep a table keep the folder's path.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` for callers that need the table alone."""
+    return stage(df, name)[0]
+
+
+def drop_stages(spark: SparkSession) -> bool:
+    """Delete this process's stage tables (when a run has saved its results)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/shrinkfx/{_RUN_ID}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def path_exists(path: str) -> bool:
@@ -85,24 +98,3 @@ def path_exists(path: str) -> bool:
     if "://" in path:
         return True
     return os.path.exists(path)
-
-
-@contextmanager
-def raised_conf(spark: SparkSession, key: str, at_least: int):
-    """Temporarily raise an integer SQL conf to ``at_least`` (restored on exit)."""
-    old = spark.conf.get(key, None)
-    try:
-        current = int(old) if old is not None else None
-    except ValueError:
-        current = None
-    if current is not None and current >= at_least:
-        yield
-        return
-    spark.conf.set(key, str(at_least))
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)

@@ -10,7 +10,8 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from shrinkfx import get_spark
-    s = get_spark("local[*]", shuffle_partitions=8)
+    s = get_spark("local[*]", shuffle_partitions=8,
+                  extra={"spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('stages')}"})
     yield s
