@@ -39,31 +39,6 @@ def attach(df: DataFrame, table: DataFrame, keys, how: str = "inner") -> DataFra
     return out.drop(*[_R + k for k in keys])
 
 
-def broadcast_limit(spark) -> int:
-    """The session's broadcast threshold in bytes (-1 = never broadcast)."""
-    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for u in sorted(units, key=len, reverse=True):
-        if v.endswith(u) and v[: -len(u)].strip().lstrip("-").isdigit():
-            return int(v[: -len(u)]) * units[u]
-    return int(v) if v.lstrip("-").isdigit() else 10485760
-
-
-def attach_sized(df: DataFrame, items, how: str = "inner") -> DataFrame:
-    """Attach several keyed tables whose sizes are known: ``items`` are
-    ``(table, keys, est_bytes)``. Tables under the session's broadcast threshold
-    are broadcast (size checked, never growing past it); larger ones are joined
-    first, by shuffle, while ``df`` still carries only its own columns."""
-    limit = broadcast_limit(df.sparkSession)
-    small = [it for it in items if 0 <= it[2] <= limit and limit > 0]
-    large = sorted([it for it in items if it not in small], key=lambda it: -it[2])
-    for table, keys, _ in large:
-        df = attach(df, table, keys, how)
-    for table, keys, _ in small:
-        df = attach(df, F.broadcast(table), keys, how)
-    return df
-
-
 def keep_known(df: DataFrame, other: DataFrame, keys) -> DataFrame:
     """Semi join: rows of ``df`` whose key values occur in ``other``.
 

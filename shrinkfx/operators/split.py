@@ -5,21 +5,23 @@ test: the rows that come first in the order ``md5(seed-key...)``, then the
 tie columns. That is a deterministic stand-in for sampling without
 replacement inside each stratum.
 
-Plan (no task ever holds a whole stratum, even one with a third of the rows):
+The flag is a plain comparison on the row, ``(hash, ties) <= last``, where ``last``
+is the last held-out row's (hash, ties) of the row's stratum. ``split_rule`` finds it
+(no task ever holds a whole stratum, even one with a third of the rows):
 
-1. Histogram: count rows per (stratum, md5 prefix) -- a partial aggregate
-   with at most ``strata * 2^20`` groups (prefix length grows with the data).
+1. Histogram: count rows per (stratum, md5 prefix) -- a partial aggregate with at
+   most ``strata * 16^BUCKET_HEX_DIGITS`` groups, whatever the number of rows.
 2. On that small table, a running count per stratum finds the prefix bucket
    where the ``ceil(p * n_s)``-th row falls and how many rows of that bucket
    are still needed.
-3. Rows outside that boundary bucket are decided by comparing prefixes; only
-   the rows inside it (a few thousand per stratum, ~250k at 10^12 rows) are
-   ranked by a window over the exact order.
+3. Only that bucket's rows (1 / 65,536 of a stratum) are ranked, and the one row with
+   the needed rank is fetched per stratum.
 
 Strata: ``by="value"`` uses each distinct value of ``y``; ``by="quartile"``
 cuts ``y`` at its distinct quartile breaks, right-closed with the lowest value
 included (the grouping of a numeric outcome in createDataPartition-style
-splits).
+splits). The breaks are exact: values are counted first, so the outcome should
+have few distinct values, as ratings do.
 """
 
 from __future__ import annotations
@@ -27,28 +29,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shrinkfx.operators.keys import keep_known
 from shrinkfx.session import materialize
 
-# Prefix buckets: 16^d with d chosen from the row count so that a bucket holds
-# about ROWS_PER_BUCKET rows, between 1 and MAX_BUCKET_HEX_DIGITS hex digits
-# (at most 2^20 buckets per stratum: a 4-stratum histogram stays <= 4M rows,
-# and at 10^12 rows a boundary bucket holds ~250k rows). None = adaptive.
-BUCKET_HEX_DIGITS = None
-MAX_BUCKET_HEX_DIGITS = 5
-ROWS_PER_BUCKET = 4096
-
-
-def bucket_digits(n_rows: int) -> int:
-    if BUCKET_HEX_DIGITS is not None:
-        return BUCKET_HEX_DIGITS
-    d, cap = 1, max(1, n_rows // ROWS_PER_BUCKET)
-    while 16 ** d < cap and d < MAX_BUCKET_HEX_DIGITS:
-        d += 1
-    return d
+BUCKET_HEX_DIGITS = 4
 
 _H, _S, _B = "__split_hash", "__stratum", "__bucket"
 
@@ -58,42 +45,36 @@ def split_hash(seed, hash_keys: Sequence[str]):
                              *[F.col(k).cast("string") for k in hash_keys]))
 
 
-def _stratum(df: DataFrame, y: str, by: str, approx: bool):
-    """(stratum column, row count): one pass over ``df`` fetches the count (and the
-    quartile breaks), a handful of numbers, used as literals."""
+def _stratum(df: DataFrame, y: str, by: str) -> Column:
+    """The stratum of a row; quartile breaks come from the counts of distinct values."""
     c = F.col(y)
     if by == "value":
-        return c, df.count()
+        return c
     if by != "quartile":
         raise ValueError(f"unknown strata mode {by!r}")
-    pct = (F.percentile_approx(c, [0.25, 0.5, 0.75], 100000) if approx
-           else F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    st = df.agg(pct.alias("q"), F.min(c).alias("lo"), F.count(F.lit(1)).alias("n")).first()
-    if st is None or st["lo"] is None:
-        return F.lit(0), int(st["n"] or 0) if st else 0
-    lo, qs = float(st["lo"]), [float(q) for q in st["q"]]
+    counted = df.where(c.isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    st = counted.agg(F.expr("percentile(v, array(0.25, 0.5, 0.75), c)").alias("q"), F.min("v").alias("lo")).first()
+    if st["lo"] is None:
+        return F.lit(0)
     # interval index = number of distinct interior breaks strictly below the value
     idx = F.lit(0)
-    for q in qs:
-        if q > lo:
-            idx = idx + F.when(c > F.lit(q), 1).otherwise(0)
-    return F.when(c.isNull(), F.lit(None)).otherwise(idx), int(st["n"])
-
-
-def stratified_split(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1",
-                     hash_keys: Sequence[str] = (), tie_keys: Sequence[str] = (),
-                     by: str = "quartile", approx_breaks: bool = False,
-                     flag: str = "is_test") -> DataFrame:
-    """Return ``df`` with a boolean ``flag`` column (True = held out).
-
-    ``df`` is scanned a few times (breaks, histogram, rows); pass a stored
-    table or a materialized stage rather than an expensive plan.
-    """
-    stratum, n_rows = _stratum(df, y, by, approx_breaks)
-    base = df.withColumn(_H, split_hash(seed, hash_keys)).withColumn(_S, stratum)
-    base = base.withColumn(
-        _B, F.conv(F.substring(F.col(_H), 1, bucket_digits(n_rows)), 16, 10).cast("long"))
-
+    for q in st["q"]:
+        if float(q) > float(st["lo"]):
+            idx = idx + F.when(c > F.lit(float(q)), 1).otherwise(0)
+    return F.when(c.isNull(), F.lit(None)).otherwise(idx)
+
+
+def split_rule(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1", hash_keys: Sequence[str] = (),
+               tie_keys: Sequence[str] = (), by: str = "quartile") -> Column:
+    """The boolean column that is true on the held-out rows of ``df``.
+
+    ``df`` is read three times (breaks, histogram, boundary rows); pass a stored table.
+    One row per stratum comes to the driver: strata should be few. Rows that agree in hash
+    keys and ties are held out together."""
+    stratum, h = _stratum(df, y, by), split_hash(seed, hash_keys)
+    place = F.struct(h.alias(_H), *[F.col(k) for k in tie_keys])
+    bucket = F.conv(F.substring(h, 1, BUCKET_HEX_DIGITS), 16, 10).cast("long")
+    base = df.select(stratum.alias(_S), bucket.alias(_B), place.alias("__place"))
     counts = base.groupBy(_S, _B).agg(F.count(F.lit(1)).alias("c"))
     run = Window.partitionBy(_S).orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(_S)
@@ -103,19 +84,24 @@ def stratified_split(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1",
            .filter((F.col("cum") - F.col("c") < F.col("k")) & (F.col("k") <= F.col("cum")))
            .select(F.col(_S).alias("__cut_s"), F.col(_B).alias("__cut_b"),
                    (F.col("k") - (F.col("cum") - F.col("c"))).alias("__need")))
+    cut = materialize(cut, "split_cut")  # one row per stratum
+    at_cut = base.join(F.broadcast(cut), base[_S].eqNullSafe(cut["__cut_s"]) & (base[_B] == cut["__cut_b"]))
+    ranked = at_cut.withColumn("rank", F.row_number().over(Window.partitionBy(_S).orderBy("__place")))
+    last = ranked.where(F.col("rank") == F.col("__need")).select(_S, "__place").collect()
+    kinds = {f.name: f.dataType for f in df.select(*tie_keys).schema.fields} if tie_keys else {}
+    flag = F.lit(False)
+    for row in last:
+        values = [F.lit(row["__place"][_H]).alias(_H)] + [
+            F.lit(row["__place"][k]).cast(kinds[k]).alias(k) for k in tie_keys]
+        flag = F.when(stratum.eqNullSafe(F.lit(row[_S])), place <= F.struct(*values)).otherwise(flag)
+    return flag
 
-    # one row per stratum: written once so both branches below read it instead
-    # of each recomputing the histogram (a full scan)
-    cut = materialize(cut, "split_cut")
-    rows = base.join(cut, base[_S].eqNullSafe(cut["__cut_s"]), "left")
-    at_cut = F.col(_B).eqNullSafe(F.col("__cut_b"))
-    outside = rows.filter(~at_cut).withColumn(
-        flag, F.coalesce(F.col(_B) < F.col("__cut_b"), F.lit(False)))
-    order = [F.col(_H)] + [F.col(k) for k in tie_keys]
-    inside = rows.filter(at_cut).withColumn(
-        flag, F.row_number().over(Window.partitionBy(_S).orderBy(*order)) <= F.col("__need"))
-    helpers = [_H, _S, _B, "__cut_s", "__cut_b", "__need"]
-    return outside.unionByName(inside).drop(*helpers)
+
+def stratified_split(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1",
+                     hash_keys: Sequence[str] = (), tie_keys: Sequence[str] = (),
+                     by: str = "quartile", flag: str = "is_test") -> DataFrame:
+    """Return ``df`` with a boolean ``flag`` column (True = held out): one scan of ``df``."""
+    return df.withColumn(flag, split_rule(df, y, p, seed, hash_keys, tie_keys, by))
 
 
 def close_holdout(test: DataFrame, train: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,26 +6,39 @@ and ``d2 = sum((r - mu)^2)``. With ``b = S / (n + alpha)`` the squared error
 of the key is ``d2 - 2 b d1 + k b^2``, so the grid multiplies key rows, never
 data rows.
 
-Effect chains cannot be reduced that way (a later stage's residual depends on
-alpha through every earlier effect), so each key carries an *array* of
-effects, one per alpha. Rows are joined to those tables by key only (the rows
-are never replicated per alpha before a join or shuffle), and each stage is
-one aggregate holding a ``sum`` per alpha over the array elements, from which
-the next effect array is built directly. Scoring expands each test row to its
-per-alpha squared errors of every prefix of the chain and aggregates them by
-alpha, so one pass scores all prefix models (movie, movie+user, ... five
-effects).
+A chain of effects touches data rows twice, at any size:
+
+1. The first effect is two numbers per key (n, S), which are joined to the thin
+   rows. Rows are dealt by the second key; each task sums one residual per alpha
+   and key, so a key's effects (an array, one per alpha) come into being where its
+   rows are. Keys that hold more than ``hot_share`` of the training rows (fewer than
+   1 / hot_share) are summed map-side instead, and their effects are broadcast.
+2. Rows meet the effects of their second key in the same partitioning, and the
+   residuals after two effects are summed by the values of each later key, training
+   and test rows apart, together with the sum of squares over all test rows.
+
+Later effects need no rows. With R_k = sum of those residuals over the rows of value k,
+the stage of key k has ``b_k (n_k + alpha) = R_k - sum_j n(k, j) b_j`` over the values j
+of the later keys before it, where n(k, j) counts rows that hold both values; the same
+sums over test rows give the change of the squared error,
+``sum_k b_k (m_k b_k - 2 (E_k - sum_j m(k, j) b_j))``. So arrays join tables of value
+pairs, and no array crosses an exchange with a data row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shrinkfx.operators.keys import attach, attach_sized
-from shrinkfx.session import materialize, raised_conf
+from shrinkfx.operators.keys import attach
+from shrinkfx.session import materialize
+
+#: A key value is hot when it holds more than this share of the training rows: under 2,000
+#: values, whose effects (121 doubles each) are about 2 MB, so they are always broadcast.
+HOT_SHARE = 1 / 2000
 
 
 def alpha_grid(spark, lo: float = 0.0, hi: float = 30.0, step: float = 0.25) -> DataFrame:
@@ -39,12 +52,6 @@ def grid_values(lo: float = 0.0, hi: float = 30.0, step: float = 0.25) -> list[f
     return [lo + i * step for i in range(n)]
 
 
-def array_table_bytes(table: DataFrame, n_alphas: int, n_rows: int | None = None) -> int:
-    """Size estimate of an effect-array table (rows x (alphas x 8 + key/overhead)).
-    Counting is cheap on a written stage table (Parquet footers)."""
-    return (table.count() if n_rows is None else n_rows) * (8 * n_alphas + 48)
-
-
 def _alphas(alphas: Sequence[float]):
     return F.array(*[F.lit(float(a)) for a in alphas])
 
@@ -58,8 +65,8 @@ def sweep_single(train: DataFrame, test: DataFrame, key: str, alphas: Sequence[f
     alpha.
     """
     r = F.col(rating) - F.lit(mu)
-    tr = train.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(r).alias("s"))
-    te = test.groupBy(key).agg(F.count(F.lit(1)).alias("k"), F.sum(r).alias("d1"),
+    tr = train.groupBy(key).agg(F.count(rating).alias("n"), F.sum(r).alias("s"))
+    te = test.groupBy(key).agg(F.count(rating).alias("k"), F.sum(r).alias("d1"),
                                F.sum(r * r).alias("d2"))
     j = attach(te, tr, key, "inner")
     ex = j.select("k", "d1", "d2", "n", "s", F.posexplode(_alphas(alphas)).alias("pos", "alpha"))
@@ -70,178 +77,145 @@ def sweep_single(train: DataFrame, test: DataFrame, key: str, alphas: Sequence[f
               .select("alpha", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse")))
 
 
-def _per_alpha(df: DataFrame, arrays: Sequence[str]):
-    """Expand each row to one row per alpha index ``pos`` carrying the pos-th
-    element of every array. The arrays are zipped first, so each generated row
-    holds one small struct -- the input arrays are not copied into it."""
-    keep = [c for c in df.columns if c not in arrays]
-    ex = df.select(*keep, F.posexplode(F.arrays_zip(*[F.col(a) for a in arrays])).alias("pos", "__z"))
-    return ex.select(*keep, "pos", *[F.col("__z")[a].alias(a) for a in arrays])
-
-
-# Plan choice for a chained stage. Each stage is one aggregate with a ``sum``
-# per alpha over array elements (no generator, no per-alpha rows; the effect
-# array is built straight from the sums). When (distinct keys x alphas) is
-# small, the aggregate is combined map-side (tasks x keys partial rows are
-# shuffled). When it is large (e.g. users), partial aggregation cannot reduce
-# anything, so the plain rows are shuffled by key first and each task
-# aggregates its keys completely; keys with more than ``hot_rows`` rows are
-# split over ``ceil(n / hot_rows)`` salted tasks and merged afterwards.
-# Whole-stage codegen needs ``spark.sql.codegen.maxFields`` above the number
-# of alphas (get_spark sets it); otherwise Spark runs the aggregate interpreted.
-MAP_SIDE_MAX_CELLS = 1_000_000
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS_BROADCAST = 100_000
-
-
-def _wide_sums(rows: DataFrame, group_cols: Sequence[str], residual_at, n_alphas: int) -> DataFrame:
-    return rows.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(residual_at(i)).alias(f"__s{i}") for i in range(n_alphas)])
-
-
-def _remerge(wide: DataFrame, key: str, n_alphas: int) -> DataFrame:
-    return wide.groupBy(key).agg(F.sum("n").alias("n"),
-                                 *[F.sum(f"__s{i}").alias(f"__s{i}") for i in range(n_alphas)])
-
-
-def _stage_effects(rows: DataFrame, key: str, residual_at, alphas: Sequence[float],
-                   salt_cols: Sequence[str], hot_rows: int, map_side_max_cells: int,
-                   key_source: DataFrame, attach_arrays=None) -> tuple[DataFrame, int]:
-    """``((key, n, eff array), number of keys)`` where ``eff[i] = sum(residual_at(i)) / (n + alpha_i)``.
-
-    ``rows`` are the thin training rows; ``attach_arrays(df)`` joins the earlier
-    stages' effect arrays onto them (identity when ``rows`` already carry them).
-    On the map-side path arrays are attached before the partial aggregate; on
-    the shuffle path the thin rows are shuffled first and the arrays attached
-    after the shuffle, so no array crosses the network with a row. ``key_source``
-    is the thin training frame the key counts come from (the inner joins drop
-    no training row: every key was fitted on those rows).
-    """
-    n_a = len(alphas)
-    attach_arrays = attach_arrays or (lambda df: df)
-
-    def effects(wide: DataFrame) -> DataFrame:
-        eff = F.array(*[F.col(f"__s{i}") / (F.col("n") + F.lit(float(a))) for i, a in enumerate(alphas)])
-        return wide.select(key, "n", eff.alias("eff"))
-
-    counts = key_source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    st = counts.agg(F.count(F.lit(1)).alias("keys"),
-                    F.sum(F.when(F.col("n") > hot_rows, 1).otherwise(0)).alias("hot")).first()
-    n_keys, n_hot = int(st["keys"]), int(st["hot"] or 0)
-    if n_keys * n_a <= map_side_max_cells:
-        return effects(_wide_sums(attach_arrays(rows), [key], residual_at, n_a)), n_keys
-
-    if n_hot == 0:
-        # the aggregate by key reuses this partitioning: no second shuffle
-        parted = attach_arrays(rows.repartition(key))
-        return effects(_wide_sums(parted, [key], residual_at, n_a)), n_keys
-
-    # bounded (counted above) and used twice: written once
-    hot = materialize(counts.filter(F.col("n") > hot_rows).select(
-        F.col(key).alias("__hk"), F.ceil(F.col("n") / F.lit(float(hot_rows))).cast("int").alias("__ns")),
-        "hot_keys")
-    hot_side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS_BROADCAST else hot
-    salted = (rows.join(hot_side, rows[key].eqNullSafe(hot_side["__hk"]), "left")
-                  .withColumn("__salt", F.coalesce(
-                      F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.col("__ns")).cast("int"), F.lit(0)))
-                  .drop("__hk", "__ns"))
-    # the aggregate by (key, salt) reuses this partitioning: no second shuffle
-    parted = attach_arrays(salted.repartition(key, "__salt"))
-    wide = _wide_sums(parted, [key, "__salt"], residual_at, n_a)
-    hk = hot.select("__hk")
-    hk = F.broadcast(hk) if n_hot <= MAX_HOT_KEYS_BROADCAST else hk
-    cond = wide[key].eqNullSafe(hk["__hk"])
-    not_hot = wide.join(hk, cond, "left_anti").drop("__salt")
-    merged = _remerge(wide.join(hk, cond, "left_semi").drop("__salt"), key, n_a)
-    return effects(not_hot.unionByName(merged)), n_keys
-
-
-def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[float],
-                     mu: float, rating: str = "rating", keep: bool = True,
-                     salt_cols: Sequence[str] | None = None, hot_rows: int = HOT_ROWS,
-                     map_side_max_cells: int = MAP_SIDE_MAX_CELLS) -> list[DataFrame]:
-    """Per stage: ``(key, n, eff array<double>)`` with one effect per alpha.
-
-    ``salt_cols`` (default: all columns of ``train``) give each row a
-    deterministic hash used to split hot keys; include a unique row key.
-    """
-    A = _alphas(alphas)
-    salt_cols = list(salt_cols or train.columns)
-    tables: list[DataFrame] = []
-    sizes: list[int] = []
-    r = F.col(rating) - F.lit(mu)
-    for s, key in enumerate(chain):
-        if s == 0:
-            t = (train.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(r).alias("s"))
-                      .select(key, "n", F.transform(A, lambda a: F.col("s") / (F.col("n") + a)).alias("eff")))
-            n_keys = None
-        else:
-            prev = [f"__e{j}" for j in range(s)]
-            cols = list(dict.fromkeys([rating, *chain[:s + 1], *salt_cols]))
-            items = [(tables[j].select(chain[j], F.col("eff").alias(prev[j])), chain[j], sizes[j])
-                     for j in range(s)]
-
-            def residual_at(i, prev=prev):
-                out = r
-                for e in prev:
-                    out = out - F.col(e)[i]
-                return out
-            t, n_keys = _stage_effects(train.select(*cols), key, residual_at, alphas, salt_cols, hot_rows,
-                                       map_side_max_cells, train.select(key),
-                                       attach_arrays=lambda df, items=items: attach_sized(df, items))
-        if keep:
-            # one aggregate column per alpha: keep the stage in whole-stage codegen
-            with raised_conf(train.sparkSession, "spark.sql.codegen.maxFields", len(alphas) + 100):
-                t = materialize(t, f"sweep_{key}")
-        tables.append(t)
-        sizes.append(array_table_bytes(t, len(alphas), n_keys))
-    return tables
-
-
-def sweep_chain(train: DataFrame, test: DataFrame, chain: Sequence[str],
-                alphas: Sequence[float], mu: float, rating: str = "rating",
-                tables: list[DataFrame] | None = None) -> DataFrame:
-    """``(stage, alpha, n, rmse)``: RMSE of every chain prefix (stage = its length) per alpha."""
-    if tables is None:
-        tables = fit_chain_arrays(train, chain, alphas, mu, rating)
-    names = [f"__e{s}" for s in range(len(chain))]
-    scored = attach_sized(test.select(rating, *dict.fromkeys(chain)), [
-        (t.select(key, F.col("eff").alias(names[s])), key, array_table_bytes(t, len(alphas)))
-        for s, (key, t) in enumerate(zip(chain, tables))])
-    ex = _per_alpha(scored.select(rating, *names), names)
-    m = len(chain)
-    d = F.col(rating) - F.lit(mu)
-    ses = []
-    for s in range(m):
-        d = d - F.col(names[s])
-        ses.append(F.sum(d * d).alias(f"sse{s + 1}"))
-    agg = ex.groupBy("pos").agg(F.count(F.lit(1)).alias("n"), *ses)
+def _text(key: str) -> Column:
+    """A key as text that is never null, so that plain equality matches nulls too and the
+    join reuses the partitioning by it."""
+    return F.coalesce(F.concat(F.lit("v"), F.col(key).cast("string")), F.lit("n"))
+
+
+def _typed(text: str, kind: str) -> Column:
+    return F.when(F.col(text) != "n", F.substring(F.col(text), 2, 1 << 30).cast(kind))
+
+
+def _sums(rows: DataFrame, by: Sequence[str], measure, n_alphas: int) -> DataFrame:
+    """``(by..., n, r)``: the row count and an array with ``sum(measure(i))`` per alpha.
+    One plain sum column per alpha: partial sums cross the exchange, not arrays."""
+    names = [f"__s{i}" for i in range(n_alphas)]
+    wide = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
+                                 *[F.sum(measure(i)).alias(s) for i, s in enumerate(names)])
+    return wide.select(*by, "n", F.array(*names).alias("r"))
+
+
+def _effects(sums: DataFrame, alphas: Sequence[float], *keep: str) -> DataFrame:
+    eff = F.transform(F.arrays_zip(F.col("r"), _alphas(alphas).alias("a")),
+                      lambda x: x["r"] / (F.col("n") + x["a"]))
+    return sums.select(*keep, "n", eff.alias("eff"))
+
+
+def _second_stage(rows: DataFrame, alphas: Sequence[float], hot_share: float) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``eff``, effects of the second key). ``rows`` has ``fit`` (training row),
+    ``d`` (rating - mu), ``n0, s0`` (first effect) and ``k`` (second key)."""
+    fitted = rows.where("fit")
+    counts = fitted.groupBy("k").agg(F.count(F.lit(1)).alias("c"))
+    total = fitted.count()
+    hot = F.broadcast(materialize(counts.where(F.col("c") > total * hot_share).select("k"), "hot_keys"))
+
+    def residual(i: int) -> Column:
+        return F.col("d") - F.col("s0") / (F.col("n0") + F.lit(float(alphas[i])))
+
+    cold_rows = rows.join(hot, "k", "left_anti").repartition("k")
+    cold = _effects(_sums(cold_rows.where("fit"), ["k"], residual, len(alphas)), alphas, "k")
+    hot_rows = rows.join(hot, "k", "left_semi")
+    hot_effects = materialize(_effects(_sums(hot_rows.where("fit"), ["k"], residual, len(alphas)), alphas, "k"),
+                              "hot_effects")
+    met = cold_rows.join(cold.drop("n"), "k").unionByName(hot_rows.join(F.broadcast(hot_effects.drop("n")), "k"))
+    return met, cold.unionByName(hot_effects)
+
+
+def _run_chain(train: DataFrame, test: DataFrame | None, chain: Sequence[str], alphas: Sequence[float],
+               mu: float, rating: str, hot_share: float) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(effects per stage, squared-error pieces per stage). A piece has one array ``sse`` a
+    row, to be summed per alpha; pieces of stages from the third on are changes."""
+    alphas, n_a = [float(a) for a in alphas], len(alphas)
+    kinds = dict(train.dtypes)
+
+    def thin(df: DataFrame, fit: bool) -> DataFrame:
+        return df.where(F.col(rating).isNotNull()).select(
+            F.lit(fit).alias("fit"), (F.col(rating) - F.lit(float(mu))).alias("d"),
+            *[_text(k).alias(f"k{s}") for s, k in enumerate(chain)])
+
+    rows = thin(train, True)
+    rows = rows if test is None else rows.unionByName(thin(test, False))
+    first = materialize(rows.where("fit").groupBy("k0").agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("s")),
+                        f"sweep_{chain[0]}")
     A = _alphas(alphas)
-    longs = F.inline(F.array(*[F.struct(F.lit(s + 1).alias("stage"),
-                                        F.col(f"sse{s + 1}").alias("sse")) for s in range(m)]))
-    return (agg.select(F.element_at(A, F.col("pos") + 1).alias("alpha"), "n", longs)
-               .select("stage", "alpha", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse")))
+    tables = [first.select(_typed("k0", kinds[chain[0]]).alias(chain[0]), "n",
+                           F.transform(A, lambda a: F.col("s") / (F.col("n") + a)).alias("eff"))]
+    seen = rows.where("not fit").groupBy("k0").agg(
+        F.count(F.lit(1)).alias("m"), F.sum("d").alias("d1"), F.sum(F.col("d") * F.col("d")).alias("d2"))
+    pieces = [seen.join(first, "k0").select(F.col("m"), F.transform(A, lambda a: (
+        F.col("d2") - 2 * (F.col("s") / (F.col("n") + a)) * F.col("d1")
+        + F.col("m") * F.pow(F.col("s") / (F.col("n") + a), 2))).alias("sse"))]
+    if len(chain) == 1:
+        return tables, pieces
+
+    rows = rows.join(first.select("k0", F.col("n").alias("n0"), F.col("s").alias("s0")), "k0")
+    met, second = _second_stage(rows.withColumnRenamed("k1", "k"), alphas, hot_share)
+    tables.append(second.select(_typed("k", kinds[chain[1]]).alias(chain[1]), "n", "eff"))
+    later = range(2, len(chain))
+    # one row per later key, and one (kind 1) whose measure is the square
+    parts = F.array(F.struct(F.lit(1).alias("kind"), F.lit("").alias("key")),
+                    *[F.struct(F.lit(s).alias("kind"), F.col(f"k{s}").alias("key")) for s in later])
+
+    def measure(i: int) -> Column:
+        e = F.col("d") - F.col("s0") / (F.col("n0") + F.lit(alphas[i])) - F.get(F.col("eff"), F.lit(i))
+        return F.when(F.col("kind") == 1, e * e).otherwise(e)
+
+    spread = met.select("fit", "d", "n0", "s0", "eff", F.inline(parts))
+    sums = materialize(_sums(spread, ["fit", "kind", "key"], measure, n_a), "sweep_residuals")
+    pieces.append(sums.where("kind = 1 and not fit").select(F.col("n").alias("m"), F.col("r").alias("sse")))
+
+    effects: dict[int, DataFrame] = {}
+    for s in later:
+        own = sums.where(F.col("kind") == s).select("fit", "key", "n", "r")
+        if effects:
+            pairs = [rows.groupBy("fit", F.col(f"k{s}").alias("key"), F.col(f"k{j}").alias("other"))
+                     .agg(F.count(F.lit(1)).alias("c")).join(t, F.col("other") == t["k"]).select("fit", "key", "c", "eff")
+                     for j, t in effects.items()]
+            taken = _sums(reduce(DataFrame.unionByName, pairs), ["fit", "key"],
+                          lambda i: F.col("c") * F.get(F.col("eff"), F.lit(i)), n_a)
+            own = own.join(taken.select("fit", "key", F.col("r").alias("off")), ["fit", "key"], "left").select(
+                "fit", "key", "n", F.when(F.col("off").isNull(), F.col("r")).otherwise(
+                    F.zip_with("r", "off", lambda x, y: x - y)).alias("r"))
+        own = materialize(own, f"sweep_{chain[s]}")
+        effects[s] = _effects(own.where("fit").withColumnRenamed("key", "k"), alphas, "k")
+        tables.append(effects[s].select(_typed("k", kinds[chain[s]]).alias(chain[s]), "n", "eff"))
+        ours = own.where("not fit").select(F.col("key").alias("k"), F.col("n").alias("m"), "r")
+        pieces.append(ours.join(effects[s].drop("n"), "k").select("m", F.zip_with(
+            "eff", "r", lambda b, e: b * (F.col("m") * b - 2 * e)).alias("sse")))
+    return tables, pieces
+
+
+def fit_chain_arrays(train: DataFrame, chain: Sequence[str], alphas: Sequence[float], mu: float,
+                     rating: str = "rating", hot_share: float = HOT_SHARE) -> list[DataFrame]:
+    """Per stage: ``(key, n, eff array<double>)`` with one effect per alpha. Rows without a
+    rating are left out."""
+    return _run_chain(train, None, chain, alphas, mu, rating, hot_share)[0]
+
+
+def sweep_chain(train: DataFrame, test: DataFrame, chain: Sequence[str], alphas: Sequence[float],
+                mu: float, rating: str = "rating", hot_share: float = HOT_SHARE) -> DataFrame:
+    """``(stage, alpha, n, rmse)``: RMSE of every chain prefix (stage = its length) per alpha.
+    Test rows are scored whose keys are known from training, as an inner join would."""
+    _, pieces = _run_chain(train, test, chain, alphas, mu, rating, hot_share)
+    long = reduce(DataFrame.unionByName, [
+        p.select(F.lit(s).alias("part"), "m", F.posexplode("sse").alias("pos", "sse"))
+        for s, p in enumerate(pieces, 1)])
+    sums = long.groupBy("part", "pos").agg(F.sum("m").alias("n"), F.sum("sse").alias("sse"))
+    # stages from the third on add their change to the second's error
+    stages = F.expr(f"filter(sequence(1, {len(chain)}), s -> s = part or (part >= 2 and s > part))")
+    out = sums.select("part", "pos", "n", "sse", F.explode(stages).alias("stage"))
+    return (out.groupBy("stage", "pos").agg(F.max("n").alias("n"), F.sum("sse").alias("sse"))
+            .select("stage", F.element_at(_alphas(alphas), F.col("pos") + 1).alias("alpha"), F.col("n").cast("bigint").alias("n"),
+                    F.sqrt(F.greatest(F.col("sse"), F.lit(0.0)) / F.col("n")).alias("rmse")))
 
 
 def sweep_chain_batched(train: DataFrame, test: DataFrame, chain: Sequence[str],
                         alphas: Sequence[float], mu: float, batch: int | None = None,
-                        rating: str = "rating", fit=None) -> DataFrame:
-    """``sweep_chain`` over the grid in chunks of ``batch`` alphas.
-
-    Each alpha's chain is independent of the others, so chunks can be fitted
-    separately: smaller effect arrays keep tables under the broadcast threshold
-    and per-row state small when keys x alphas would not fit. ``fit`` maps a
-    chunk to its stage tables (default: ``fit_chain_arrays``).
-    """
+                        rating: str = "rating") -> DataFrame:
+    """``sweep_chain`` over the grid in chunks of ``batch`` alphas: each alpha's chain is
+    independent, so chunks bound the width of a key's arrays."""
     alphas = list(alphas)
-    if not batch or batch >= len(alphas):
-        chunks = [alphas]
-    else:
-        chunks = [alphas[i:i + batch] for i in range(0, len(alphas), batch)]
-    fit = fit or (lambda chunk: fit_chain_arrays(train, chain, chunk, mu, rating))
-    parts = [sweep_chain(train, test, chain, chunk, mu, rating, tables=fit(chunk)) for chunk in chunks]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    size = batch or len(alphas)
+    return reduce(DataFrame.unionByName, [sweep_chain(train, test, chain, alphas[i:i + size], mu, rating)
+                                          for i in range(0, len(alphas), size)])

@@ -35,37 +35,44 @@ def test_drop_present_removes_every_copy_and_matches_nulls(spark):
     assert sorted(r.a for r in keep_known(df, other, ["a"]).collect()) == [1, 1, 2]
 
 
-def test_split_never_windows_a_whole_stratum(spark):
-    df = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") % 3).cast("double").alias("y"))
-    p = plan(stratified_split(df, "y", 0.1, "1", ["k"], [], "value"))
-    # the histogram is written once (the cut table); the only window left in the
-    # row plan ranks the boundary-bucket rows
-    assert p.count("Window ") == 1
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-
-
-def _user_stage(spark, hot_rows):
-    rows = spark.range(3000).select(
-        (F.col("id") % 500).alias("user_id"), (F.col("id") % 40).alias("movie_id"),
+def test_split_is_a_predicate_on_one_scan(spark, tmp_path):
+    rows = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") % 3).cast("double").alias("y"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    p = plan(stratified_split(spark.read.parquet(f"{tmp_path}/rows"), "y", 0.1, "1", ["k"], [], "value"))
+    assert p.count("FileScan parquet") == 1
+    assert not any(x in p for x in ("Window", "Exchange", "Join", "Union"))
+
+
+def test_chain_sweep_moves_no_array_with_a_row(spark):
+    """With broadcast joins off, rows are dealt once for the second key's effects and once for
+    the residuals; what crosses an exchange is thin rows and partial sums."""
+    rows = spark.range(4000).select(
+        (F.col("id") % 500).alias("user_id"), (F.col("id") % 40).alias("movie_id"), (F.col("id") % 7).alias("genres"),
         ((F.col("id") % 9) / 2 + 1).alias("rating"), F.col("id").alias("row_id"))
-    t0 = SW.fit_chain_arrays(rows, ["movie_id"], [0.0, 1.0, 2.0], 3.0, keep=False)[0]
-    arrays = t0.select("movie_id", F.col("eff").alias("__e0"))
-    r = F.col("rating") - F.lit(3.0)
-    t, _ = SW._stage_effects(rows, "user_id", lambda i: r - F.col("__e0")[i], [0.0, 1.0, 2.0],
-                             ["row_id"], hot_rows=hot_rows, map_side_max_cells=0,
-                             key_source=rows.select("user_id"),
-                             attach_arrays=lambda df: attach(df, F.broadcast(arrays), "movie_id"))
-    return plan(t)
-
-
-def test_many_key_stage_shuffles_thin_rows_once(spark):
-    for hot_rows, exchange in [(10 ** 9, "hashpartitioning(user_id"), (3, "__salt")]:
-        p = _user_stage(spark, hot_rows)
-        # the complete (user[, salt]) aggregate sits directly on the row repartition
-        below = p[p.index("HashAggregate(keys=[user_id"):]
-        first_exchange = below[below.index("Exchange"):].split("\n")[0]
-        assert "REPARTITION_BY_COL" in first_exchange and exchange in first_exchange
-        # the rows crossing that exchange carry no effect array: it is joined after
-        shuffled = below[below.index("REPARTITION_BY_COL"):]
-        assert "eff" not in shuffled.split("BroadcastExchange")[0].split("\n")[1]
-        assert "Generate" not in p
+    alphas = [0.0, 1.0, 2.0]
+    thin = rows.select(F.lit(True).alias("fit"), (F.col("rating") - 3).alias("d"), F.col("user_id").cast("string").alias("k"),
+                       F.col("genres").cast("string").alias("k2"), F.lit(100).alias("n0"), F.lit(5.0).alias("s0"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met, _ = SW._second_stage(thin, alphas, 1 / 400)
+        sums = SW._sums(met, ["k2"], lambda i: F.col("d") - F.get(F.col("eff"), F.lit(i)), len(alphas))
+        sums.write.format("noop").mode("overwrite").save()
+        jplan = sums._jdf.queryExecution().executedPlan()
+        found = []
+
+        def walk(node):
+            if node.nodeName() == "AdaptiveSparkPlan":
+                return walk(node.executedPlan())
+            if node.nodeName().endswith("QueryStage"):
+                return walk(node.plan())
+            if node.nodeName() == "Exchange":
+                found.append(node.schema().simpleString())
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+
+        walk(jplan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found and not any("array" in f for f in found), found
+    dealt = [f for f in found if "d:double" in f]
+    assert len(dealt) == 2  # effects of the second key, then the residuals

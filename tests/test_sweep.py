@@ -44,14 +44,12 @@ def test_sweep_single_equals_direct_fit(spark):
             assert got[a][0] == n and got[a][1] == pytest.approx(e, rel=1e-9)
 
 
-@pytest.mark.parametrize("mode", ["map_side", "salted"])
-def test_sweep_chain_equals_direct_fit(spark, mode):
+@pytest.mark.parametrize("hot_share", [SW.HOT_SHARE, 0.05, 1.0], ids=["all hot", "one hot", "none hot"])
+def test_sweep_chain_equals_direct_fit(spark, hot_share):
     train, test = frames(spark)
     mu = train.agg(F.avg("rating")).first()[0]
-    kw = {} if mode == "map_side" else {"hot_rows": 50, "map_side_max_cells": 0}
-    tabs = fit_chain_arrays(train, CHAIN, ALPHAS, mu, keep=False, salt_cols=["row_id"], **kw)
     got = {(r.stage, r.alpha): (r.n, r.rmse)
-           for r in sweep_chain(train, test, CHAIN, ALPHAS, mu, tables=tabs).collect()}
+           for r in sweep_chain(train, test, CHAIN, ALPHAS, mu, hot_share=hot_share).collect()}
     assert len(got) == len(CHAIN) * len(ALPHAS)
     for s in range(1, len(CHAIN) + 1):
         for a in ALPHAS:
@@ -60,18 +58,29 @@ def test_sweep_chain_equals_direct_fit(spark, mode):
             assert got[(s, a)][1] == pytest.approx(e, rel=1e-9)
 
 
-def test_salted_effects_equal_map_side_effects(spark):
+@pytest.mark.parametrize("hot_share", [SW.HOT_SHARE, 0.05, 1.0])
+def test_chain_arrays_equal_one_fit_per_alpha(spark, hot_share):
     train, _ = frames(spark)
     mu = 3.0
-    a = fit_chain_arrays(train, ["movie_id", "user_id"], ALPHAS, mu, keep=False)
-    b = fit_chain_arrays(train, ["movie_id", "user_id"], ALPHAS, mu, keep=False,
-                         salt_cols=["row_id"], hot_rows=40, map_side_max_cells=0)
-    ea = {r.user_id: (r.n, r.eff) for r in a[1].collect()}
-    eb = {r.user_id: (r.n, r.eff) for r in b[1].collect()}
-    assert ea.keys() == eb.keys()
-    for k in ea:
-        assert ea[k][0] == eb[k][0]
-        assert ea[k][1] == pytest.approx(eb[k][1], rel=1e-9, abs=1e-12)
+    tables = fit_chain_arrays(train, CHAIN, ALPHAS, mu, hot_share=hot_share)
+    for i, a in enumerate(ALPHAS):
+        model = fit(train, CHAIN, a, mu, keep=False)
+        for key, got, want in zip(CHAIN, tables, model.tables):
+            g = {r[key]: (r.n, r.eff[i]) for r in got.collect()}
+            w = {r[key]: (r.n, r.effect) for r in want.collect()}
+            assert g.keys() == w.keys()
+            for k in w:
+                assert g[k][0] == w[k][0] and g[k][1] == pytest.approx(w[k][1], rel=1e-9, abs=1e-11)
+
+
+def test_sweep_leaves_out_rows_without_a_rating(spark):
+    train, test = frames(spark, n=400)
+    holes = train.unionByName(train.limit(50).withColumn("rating", F.lit(None).cast("double")))
+    a = {(r.stage, r.alpha): (r.n, r.rmse) for r in sweep_chain(train, test, CHAIN, ALPHAS, 3.0).collect()}
+    b = {(r.stage, r.alpha): (r.n, r.rmse) for r in sweep_chain(holes, test, CHAIN, ALPHAS, 3.0).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1], rel=1e-12)
 
 
 def test_alpha_grid(spark):
