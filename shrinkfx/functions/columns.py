@@ -68,7 +68,7 @@ def movie_year(title) -> Column:
 def format_number_text(x) -> Column:
     """Shortest text of a number as R prints it for our values: 5 -> "5", 0.25 -> "0.25"."""
     c = _c(x)
-    return F.when(c.isNull(), F.lit("N/A")).otherwise(
+    return F.when(c.isNull(), F.lit("NA")).otherwise(
         F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", ""))
 
 

@@ -21,14 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shrinkfx.operators.keys import attach
-from shrinkfx.session import materialize
+from shrinkfx.session import stage
 
 
 def effect(df: DataFrame, keys, residual, alpha: float) -> DataFrame:
-    """``(keys..., n, effect)`` with ``effect = sum(residual) / (n + alpha)``."""
+    """``(keys..., n, effect)`` with ``effect = sum(residual) / (n + alpha)``; ``n`` counts the
+    rows that have a residual, so a missing rating weighs nothing."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     r = F.col(residual) if isinstance(residual, str) else residual
-    n = F.count(F.lit(1))
+    n = F.count(r)
     return df.groupBy(*keys).agg(n.alias("n"), (F.sum(r) / (n + F.lit(float(alpha)))).alias("effect"))
 
 
@@ -47,23 +48,32 @@ class EffectModel:
     alpha: float | None
     chain: list[str]
     tables: list[DataFrame] = field(default_factory=list)  # (key, n, effect) per stage
+    paths: list[str] = field(default_factory=list)         # their folders, when written
 
 
 def fit(train: DataFrame, chain: Sequence[str], alpha: float, mu: float | None = None,
         rating: str = "rating", keep: bool = True) -> EffectModel:
-    """Fit the effect chain on ``train``; stage tables are written (``keep=True``)."""
+    """Fit the effect chain on ``train``; stage tables are written (``keep=True``).
+
+    Rows are thin: the residual and the keys still to come. Once two effects are taken off,
+    and two or more are still to come, they are written, so the join with a large second
+    table (users) happens once per fit and later stages only join what came after.
+    """
     mu = mean_of(train, rating) if mu is None else float(mu)
     model = EffectModel(mu=mu, alpha=alpha, chain=list(chain))
-    scored = train
-    offset = F.lit(0.0)
-    for key in chain:
-        t = effect(scored, key, F.col(rating) - F.lit(mu) - offset, alpha)
+    rows = train.where(F.col(rating).isNotNull()).select((F.col(rating) - F.lit(mu)).alias("__res"), *dict.fromkeys(chain))
+    for s, key in enumerate(chain):
+        t = effect(rows, key, "__res", alpha)
         if keep:
-            t = materialize(t, f"effect_{key}")
+            t, path = stage(t, f"effect_{key}")
+            model.paths.append(path)
         model.tables.append(t)
-        e = effect_col(key)
-        scored = attach(scored, t.select(key, F.col("effect").alias(e)), key, "inner")
-        offset = offset + F.col(e)
+        later = list(dict.fromkeys(chain[s + 1:]))
+        if later:
+            rows = attach(rows, t.select(key, F.col("effect").alias("__e")), key, "inner").select(
+                (F.col("__res") - F.col("__e")).alias("__res"), *later)
+            if keep and s == 1 and len(later) > 1:
+                rows = stage(rows, "residuals")[0]
     return model
 
 
@@ -88,7 +98,9 @@ def predict(df: DataFrame, model: EffectModel, unseen: str = "zero",
 
 
 def rmse(df: DataFrame, pred: str = "pred", obs: str = "rating", by=None) -> DataFrame:
-    """``(by..., n, n_null_pred, rmse)``; NULL predictions are counted, not scored."""
+    """``(by..., n, n_null_pred, rmse)``; rows without an observation are left out, NULL
+    predictions are counted, not scored."""
+    df = df.where(F.col(obs).isNotNull())
     err = F.pow(F.col(pred) - F.col(obs), 2)
     aggs = [F.count(F.lit(1)).alias("n"),
             F.sum(F.when(F.col(pred).isNull(), 1).otherwise(0)).cast("bigint").alias("n_null_pred"),

@@ -9,6 +9,7 @@ distinct values -- small for counts and ratings.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -91,34 +92,48 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
         (n / (F.lit(float(total)) * W)).alias("density"))
 
 
-def kde(df: DataFrame, col: str, points: int = 512) -> DataFrame:
+KDE_CELLS = 4096
+
+
+def kde(df: DataFrame, col: str, points: int = 512, cells: int = KDE_CELLS) -> DataFrame:
     """``(i, x, density)``: Gaussian kernel density on ``points`` grid points over
     the range; bandwidth 0.9 * min(sd, IQR/1.34) * N^(-1/5) (Silverman's rule).
 
-    Equal values are pre-aggregated into weights, then each distinct value
-    contributes to every grid point inside its task, partially summed per point.
-    ``df`` is read twice (statistics, then the sums): pass a stored or cheap table.
+    Values are first counted in ``cells`` equal cells over the range (a value counts at its
+    cell's centre), as binned density estimators do; quartiles are the first cells whose
+    running count reaches a quarter and three quarters. So the kernel sums and the quartiles
+    work on at most ``cells`` rows, however many values there are. ``df`` is read twice
+    (range and spread, then the counts): pass a stored or cheap table.
     """
     x = F.col(col)
     st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("nn"),
-                F.stddev_samp(x).alias("sd"),
-                F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).first()
+                F.stddev_samp(x).alias("sd")).first()
     if not st["nn"]:
         return df.sparkSession.createDataFrame([], "i bigint, x double, density double")
     lo, hi, nn = float(st["lo"]), float(st["hi"]), int(st["nn"])
+    width = (hi - lo) / float(cells - 1) if hi > lo else 1.0
+    cell = F.floor((x - F.lit(lo)) / F.lit(width) + F.lit(0.5)).cast("int")
+    counts = df.filter(x.isNotNull()).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("c")).collect()
+    counts = sorted((r["cell"], r["c"]) for r in counts)
+    reached, run = [], 0
+    for q in (0.25, 0.75):
+        run = 0
+        for j, c in counts:
+            run += c
+            if run >= q * nn:
+                reached.append(lo + j * width)
+                break
     sd = st["sd"] if st["sd"] is not None else 0.0
-    spread = min(sd, (st["q"][1] - st["q"][0]) / 1.34)
+    spread = min(sd, (reached[1] - reached[0]) / 1.34)
     scale = spread if spread > 0 else (sd if sd > 0 else 1.0)
     h = 0.9 * scale * float(nn) ** -0.2
     step = (hi - lo) / float(points - 1)
-    weights = df.filter(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    ex = weights.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
-    gx = F.lit(lo) + F.col("i") * F.lit(step)
-    z = (gx - F.col("v")) / F.lit(h)
-    contrib = F.col("c") * F.exp(F.lit(-0.5) * z * z)
+    weights = F.array(*[F.struct(F.lit(lo + j * width).alias("v"), F.lit(float(c)).alias("c")) for j, c in counts])
+    gx = F.lit(lo) + F.col("id") * F.lit(step)
+    total = F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w["c"] * F.exp(
+        F.lit(-0.5) * F.pow((gx - w["v"]) / F.lit(h), 2)))
     norm = nn * h * math.sqrt(2.0 * math.pi)
-    return (ex.groupBy("i").agg(F.sum(contrib).alias("k"))
-              .select(F.col("i").cast("bigint").alias("i"), gx.alias("x"), (F.col("k") / F.lit(norm)).alias("density")))
+    return df.sparkSession.range(points).select(F.col("id").alias("i"), gx.alias("x"), (total / F.lit(norm)).alias("density"))
 
 
 def box_stats(df: DataFrame, group: str, col: str, log10: bool = True) -> DataFrame:
@@ -146,8 +161,35 @@ def box_stats(df: DataFrame, group: str, col: str, log10: bool = True) -> DataFr
         F.greatest("upper_whisker", "q3").alias("upper_whisker"), "n_outliers")
 
 
+def _plain_year(col: str):
+    return F.when(F.col(col).rlike("^[0-9]{4}$"), F.col(col).cast("int"))
+
+
 def year_ticks(df: DataFrame, col: str = "movie_year", step: int = 10) -> DataFrame:
-    """``(tick)``: every ``step``-th year from the smallest to the largest year text."""
-    r = df.agg(F.min(col).try_cast("int").alias("lo"), F.max(col).try_cast("int").alias("hi"))
+    """``(tick)``: every ``step``-th year from the smallest to the largest four-digit year
+    text. Empty texts and ranges are no years; ``other_years`` lists them."""
+    r = df.agg(F.min(_plain_year(col)).alias("lo"), F.max(_plain_year(col)).alias("hi"))
     ticks = r.select(F.explode(F.sequence("lo", "hi", F.lit(step))).alias("t"))
     return ticks.select(F.col("t").cast("string").alias("tick"))
+
+
+def other_years(df: DataFrame, col: str = "movie_year") -> DataFrame:
+    """``(text, n)`` of the texts (or NULL) that are no plain year."""
+    return group_counts(df.where(_plain_year(col).isNull()), col, "n").withColumnRenamed(col, "text")
+
+
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with ``n_<column>`` distinct non-NULL values: a pruned two-level count per
+    column, so no row is multiplied by the number of columns."""
+    parts = [df.select(c).where(F.col(c).isNotNull()).groupBy(c).agg(F.lit(1)).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(c).alias("column"), "n") for c in columns]
+    long = reduce(DataFrame.unionByName, parts)
+    return long.agg(*[F.max(F.when(F.col("column") == c, F.col("n"))).alias(f"n_{c}") for c in columns])
+
+
+def arg_extreme(df: DataFrame, by: str, ties: str, largest: bool = False) -> DataFrame:
+    """The row with the smallest (or largest) ``by``; the smallest ``ties`` of equal ones."""
+    order = F.struct(F.col(by), -F.col(ties)) if largest else F.struct(by, ties)
+    pick = F.max_by if largest else F.min_by
+    out = df.where(F.col(by).isNotNull()).agg(pick(F.struct(*df.columns), order).alias("r"))
+    return out.select(*[F.col("r")[c].alias(c) for c in df.columns])

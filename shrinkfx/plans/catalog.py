@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shrinkfx.functions.columns import movie_year, rating_datetime, rating_month, rating_week
+from shrinkfx.functions.columns import (format_number_text, movie_year, rating_datetime, rating_month,
+                                        rating_week)
 from shrinkfx.operators.effects import EffectModel, effect, fit, predict, rmse
 from shrinkfx.operators.keys import attach, drop_present, keep_known, recode, stack
 from shrinkfx.operators.stats import year_ticks
 from shrinkfx.operators.sweep import sweep_chain, sweep_single
 from shrinkfx.plans import experiment as X
 from shrinkfx.plans import report as R
-from shrinkfx.session import path_exists, stage_path
+from shrinkfx.session import path_exists, stage, stage_path
 from shrinkfx.sources.dat import read_movies, read_ratings, write_movies_dat, write_ratings_dat
 from shrinkfx.sources.stages import load_stage, save_stage
 
@@ -69,7 +70,7 @@ def q_enrich_ratings(spark, sf):
 # ----------------------------------------------------------- features ----
 
 def q_features(spark, sf):
-    return P(spark, sf).edx
+    return X.add_features(P(spark, sf).ratings)
 
 
 def q_movie_year_feature(spark, sf):
@@ -136,13 +137,13 @@ _FITS: dict = {}
 def _chain_tables(spark, sf, alpha=ALPHA, src="train"):
     """The five-effect chain at one alpha, fitted once per prepared split."""
     p = P(spark, sf)
-    key = (p.paths.get("split2"), alpha, src)
+    key = (p.paths.get("edx"), alpha, src)
     hit = _FITS.get(key)
-    if hit is None or not all(path_exists(f[0]) for f in hit["files"] if f):
+    if hit is None or not all(path_exists(f) for f in hit["paths"]):
         m = fit(getattr(p, src), X.FULL_CHAIN, alpha, p.mu)
-        hit = _FITS[key] = {"mu": m.mu, "files": [t.inputFiles() for t in m.tables]}
-    tables = [spark.read.parquet(*files) for files in hit["files"]]
-    return EffectModel(mu=hit["mu"], alpha=alpha, chain=list(X.FULL_CHAIN), tables=tables)
+        hit = _FITS[key] = {"mu": m.mu, "paths": m.paths}
+    tables = [spark.read.parquet(f) for f in hit["paths"]]
+    return EffectModel(mu=hit["mu"], alpha=alpha, chain=list(X.FULL_CHAIN), tables=tables, paths=hit["paths"])
 
 
 def _effect_query(key):
@@ -213,7 +214,7 @@ def q_sweep_single_effects(spark, sf):
 def q_sweep_chain(spark, sf):
     p = P(spark, sf)
     alphas = X.Config().alphas
-    return sweep_chain(p.train, p.test, X.FULL_CHAIN, alphas, p.mu, tables=X.chain_tables(p, alphas))
+    return sweep_chain(p.train, p.test, X.FULL_CHAIN, alphas, p.mu)
 
 
 _LB: dict = {}
@@ -221,11 +222,10 @@ _LB: dict = {}
 
 def _leaderboard(spark, sf):
     p = P(spark, sf)
-    key = (sf, p.paths.get("split2"))
-    if key not in _LB or not all(path_exists(f) for f in _LB[key][:1]):
-        from shrinkfx.session import materialize
-        _LB[key] = materialize(X.leaderboard(p), "leaderboard").inputFiles()
-    return spark.read.parquet(*_LB[key])
+    key = (sf, p.paths.get("edx"))
+    if key not in _LB or not path_exists(_LB[key]):
+        _LB[key] = stage(X.leaderboard(p), "leaderboard")[1]
+    return spark.read.parquet(_LB[key])
 
 
 def q_leaderboard(spark, sf):
@@ -244,22 +244,41 @@ def q_model_summary(spark, sf):
     return X.summary(_leaderboard(spark, sf))
 
 
+# ---- fixed values: the printed names of the ten models, in the printed order ----
+CATALOG = [
+    ("Average Model", X.AVERAGE),
+    ("Movie Model", "Movie Effect Model"),
+    ("User Model", "User Effect Model"),
+    ("Genre Model", "Genre Effect Model"),
+    ("Movie Year Model", "Movie Year Effect Model"),
+    ("Rating Week Model", "Rating Week Effect Model"),
+    ("Movie+User Model", "Movie + User Effect Model"),
+    ("Movie+User+Genre Model", "Movie + User + Genre Effect Model"),
+    ("Movie+User+Genre+Movie Year Model", "Movie + User + Genre + Movie Year Effect Model"),
+    ("Movie+User+Genre+Movie Year+Rating Week Model",
+     "Movie + User + Genre + Movie Year + Rating Week Effect Model"),
+]
+# -----------------------------------------------------------------------------------
+
+
 def q_model_catalog(spark, sf):
     lb = _leaderboard(spark, sf)
     g = lb.groupBy("model").agg(F.count(F.lit(1)).alias("total_models"),
-                                F.min("alpha").alias("lo"), F.max("alpha").alias("hi"),
-                                F.min("ordinal").alias("first_ordinal"))
+                                F.min("alpha").alias("lo"), F.max("alpha").alias("hi"))
     step = (F.col("hi") - F.col("lo")) / (F.col("total_models") - 1)
-    grid = F.when(F.col("lo").isNull(), F.lit("-")).otherwise(F.format_string(
-        "%.2f-%.2f (%.2f increments)", F.col("lo"), F.col("hi"), step))
-    return g.select("first_ordinal", "model", grid.alias("grid"), "total_models")
+    grid = F.when(F.col("lo").isNull(), F.lit("-")).otherwise(F.concat(
+        format_number_text("lo"), F.lit("-"), format_number_text("hi"), F.lit(" ("), format_number_text(step),
+        F.lit(" increments)")))
+    place = F.array_position(F.array(*[F.lit(m) for _, m in CATALOG]), F.col("model"))
+    names = recode(g.withColumn("model_name", F.col("model")), "model_name", {m: n for n, m in CATALOG})
+    return names.select(place.alias("position"), "model_name", grid.alias("regularization_parameter"), "total_models")
 
 
 def q_best_model_line(spark, sf):
     b = X.best(_leaderboard(spark, sf))
-    return b.select(F.concat_ws(" ", F.lit("Model:"), "model", F.lit("Alpha:"),
-                                F.coalesce(F.format_string("%.2f", "alpha"), F.lit("N/A")),
-                                F.lit("Test RMSE:"), F.format_string("%.6f", "rmse")).alias("line"))
+    return b.select(R.report_line("Best Model - Training Dataset", [
+        ("Model", F.col("model")), ("Alpha", format_number_text("alpha")),
+        ("Training RMSE", format_number_text(F.round("rmse", 10)))]).alias("line"))
 
 
 def q_final_validation_rmse(spark, sf):
@@ -268,11 +287,15 @@ def q_final_validation_rmse(spark, sf):
     return X.final_validation(p, b["model"], b["alpha"])
 
 
+def q_final_validation_five_effects(spark, sf):
+    return X.final_validation(P(spark, sf), X.FAMILIES[-1][0], ALPHA)
+
+
 def q_final_result_line(spark, sf):
     r = q_final_validation_rmse(spark, sf)
-    return r.select(F.concat_ws(" ", F.lit("Model:"), "model", F.lit("Alpha:"),
-                                F.coalesce(F.format_string("%.2f", "alpha"), F.lit("N/A")),
-                                F.lit("Validation RMSE:"), F.format_string("%.6f", "rmse")).alias("line"))
+    return r.select(R.report_line("Best Model - Final Result", [
+        ("Model", F.col("model")), ("Alpha", format_number_text("alpha")),
+        ("Validation RMSE", format_number_text(F.round("rmse", 10)))]).alias("line"))
 
 
 # ------------------------------------------------------------- report ----
@@ -344,9 +367,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_catalog": q_model_catalog,
     "best_model_line": q_best_model_line,
     "final_validation_rmse": q_final_validation_rmse,
+    "final_validation_five_effects": q_final_validation_five_effects,
     "final_result_line": q_final_result_line,
     "project_train_view": _r(R.train_view),
-    "preview_rows": _r(R.preview),
+    "preview_rows": _r(R.train_preview),
     "rating_totals": _r(R.rating_totals),
     "avg_by_movie": _r(R.avg_by, "movie_id"),
     "avg_by_user": _r(R.avg_by, "user_id"),

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 RATINGS_VIEW = """
 SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity,
-       o_custkey AS user_id,
-       l_partkey AS movie_id,
+       CASE WHEN l_orderkey % 97 = 0 THEN 10000000 + l_orderkey ELSE o_custkey END AS user_id,
+       CASE WHEN (l_orderkey * 7 + l_linenumber) % 101 = 0 THEN 10000000 + l_partkey * 1000 + l_orderkey % 1000
+            ELSE l_partkey END AS movie_id,
        CAST(greatest(1, least(10, CAST(floor((35
             + 3*((l_partkey % 7) - 3)
             + 2*((o_custkey % 5) - 2)
             + 2*((CAST(l_quantity AS INT) % 11) - 5)
             + floor((l_partkey % 80) / 40.0e0)) / 5.0e0) AS INT))) AS DOUBLE) / 2.0e0 AS rating,
-       CAST(epoch(l_shipdate) AS BIGINT) + l_linenumber * 14400 AS ts,
+       CAST(epoch(l_shipdate) AS BIGINT) + l_linenumber * 14400
+         + CASE WHEN (l_orderkey + l_linenumber) % 103 = 0 THEN (l_orderkey % 997) * 1209600 ELSE 0 END AS ts,
        CASE WHEN l_partkey % 97 = 0 THEN p_name
             WHEN l_partkey % 89 = 0 THEN concat(p_name, ' (1990-1991)')
             ELSE concat(p_name, ' (', CAST(1930 + l_partkey % 80 AS VARCHAR), ')') END AS title,

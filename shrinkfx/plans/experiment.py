@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from shrinkfx.functions.columns import movie_year, rating_week
 from shrinkfx.operators.effects import fit, mean_of, predict, rmse
-from shrinkfx.operators.split import close_holdout, split_with_return, stratified_split
-from shrinkfx.operators.sweep import fit_chain_arrays, grid_values, sweep_chain_batched, sweep_single
-from shrinkfx.session import materialize, path_exists
+from shrinkfx.operators.split import close_holdout, split_rule, split_with_return
+from shrinkfx.operators.stats import arg_extreme
+from shrinkfx.operators.sweep import grid_values, sweep_chain_batched, sweep_single
+from shrinkfx.session import path_exists, stage
 from shrinkfx.sources.testdata import HASH_KEYS, TIE_KEYS, ratings_view
 
 MOVIE, USER, GENRE, YEAR, WEEK = "movie_id", "user_id", "genres", "movie_year", "rating_week"
@@ -76,6 +77,8 @@ class Prepared:
     test: DataFrame
     mu: float
     paths: dict = field(default_factory=dict)
+    order: tuple = (USER, MOVIE, "ts")  # columns that order rows uniquely, for previews
+    n_rejected: int = 0                 # source rows without a rating
 
 
 def add_features(df: DataFrame) -> DataFrame:
@@ -89,7 +92,7 @@ _CACHE: dict = {}
 def prepare(spark: SparkSession, sf_dir: str, cfg: Config = Config()) -> Prepared:
     """Split stage tables for the driver's test data (the FIXTURES ratings view)."""
     return prepare_ratings(lambda: ratings_view(spark, sf_dir), cfg, HASH_KEYS, TIE_KEYS,
-                           cache_key=("view", sf_dir), spark=spark)
+                           cache_key=("view", sf_dir, _files_state(spark, sf_dir)), spark=spark)
 
 
 def load_ratings_files(spark: SparkSession, ratings_path: str, movies_path: str) -> DataFrame:
@@ -101,6 +104,17 @@ def load_ratings_files(spark: SparkSession, ratings_path: str, movies_path: str)
     return attach(read_ratings(spark, ratings_path), read_movies(spark, movies_path), MOVIE, "left")
 
 
+def _files_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of the input tables, so that changed files are prepared anew."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    state = []
+    for name in ("lineitem", "orders", "part"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        found = path.getFileSystem(conf).getFileStatus(path)
+        state.append((found.getLen(), found.getModificationTime()))
+    return tuple(state)
+
+
 def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts"), tie_keys=("rating",),
                     cache_key=None, spark: SparkSession | None = None,
                     stage_source: bool = True) -> Prepared:
@@ -109,73 +123,69 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
     ``ratings`` (or a zero-argument callable returning it) has ``user_id,
     movie_id, rating, ts, title, genres``; ``hash_keys`` (integer columns) and
     then ``tie_keys`` order rows inside a stratum, so together they should be
-    unique per row. With ``cache_key`` the tables are built once per process.
-    The split scans its input a few times, so an expensive source (a join, parsed
-    text) is first written as a stage table; pass ``stage_source=False`` when
-    ``ratings`` already is a stored columnar table.
+    unique per row. With ``cache_key`` the tables are built once per process for
+    each configuration and choice of keys. Rows without a rating (malformed lines)
+    are left out of the splits and counted in ``n_rejected``. The split scans its
+    input a few times, so an expensive source (a join, parsed text) is first
+    written as a stage table; pass ``stage_source=False`` when ``ratings`` already
+    is a stored columnar table.
+
+    Written: the source, the tagged hold-out (a tenth), ``edx`` and the closed test
+    rows. Both splits are predicates on stored rows, not copies.
     """
-    key = None if cache_key is None else (cache_key, cfg.validation_p, cfg.validation_seed,
-                                          cfg.test_p, cfg.test_seed, cfg.strata)
+    hash_keys, tie_keys = list(hash_keys), list(tie_keys)
+    key = None if cache_key is None else (cache_key, cfg.validation_p, cfg.validation_seed, cfg.test_p, cfg.test_seed,
+                                          cfg.strata, tuple(hash_keys), tuple(tie_keys), stage_source)
     hit = _CACHE.get(key) if key is not None else None
     if hit and all(path_exists(p) for p in hit["dirs"].values()):
         return _load(spark or hit["spark"], hit)
     src = ratings() if callable(ratings) else ratings
     spark = spark or src.sparkSession
-    hash_keys, tie_keys = list(hash_keys), list(tie_keys)
-
-    if stage_source:
-        ratings_t = materialize(src, "ratings")
-        # a small input written as fewer files than the cluster has cores would
-        # make every later stage table that narrow: spread it (round-robin,
-        # deterministic on retry) and write it again. Checked on the written
-        # table, so the source plan is never run twice; a large input is
-        # written as many files and this never fires.
-        par = spark.sparkContext.defaultParallelism
-        if len(ratings_t.inputFiles()) < par:
-            ratings_t = materialize(ratings_t.repartition(par), "ratings")
-    else:
-        ratings_t = src
-    split1 = materialize(stratified_split(ratings_t, "rating", cfg.validation_p, cfg.validation_seed,
-                                          hash_keys, tie_keys, cfg.strata), "split1")
+    dirs: dict[str, str] = {}
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out, dirs[name] = stage(df, name)
+        return out
+
+    # rebalance: files of even size however the source was laid out
+    source = keep(src.hint("rebalance"), "ratings") if stage_source else src
+    order = (hash_keys, tie_keys)
+    rated = source.where(F.col("rating").isNotNull())
+    n_rejected = source.where(F.col("rating").isNull()).count()
+    first = split_rule(rated, "rating", cfg.validation_p, cfg.validation_seed, *order, cfg.strata)
+    split1 = rated.withColumn("is_test", first)
     # tag the held-out rows once; validation and moved-back rows are filters of it
-    tagged = materialize(add_features(split_with_return(split1, [MOVIE, USER]).tagged), "heldout_tagged")
+    tagged = keep(add_features(split_with_return(split1, [MOVIE, USER]).tagged), "heldout_tagged")
     moved_back = tagged.filter(~F.col("known")).drop("known", WEEK, YEAR)
     kept = split1.filter(~F.col("is_test")).drop("is_test")
-    edx = materialize(add_features(kept.unionByName(moved_back)), "edx")
-    split2 = materialize(stratified_split(edx, "rating", cfg.test_p, cfg.test_seed,
-                                          hash_keys, tie_keys, cfg.strata), "split2")
+    edx = keep(add_features(kept.unionByName(moved_back)), "edx")
+    second = split_rule(edx, "rating", cfg.test_p, cfg.test_seed, *order, cfg.strata)
+    split2 = edx.withColumn("is_test", second)
     train = split2.filter(~F.col("is_test")).drop("is_test")
     test_open = split2.filter(F.col("is_test")).drop("is_test")
-    test = materialize(close_holdout(test_open, train, FULL_CHAIN), "test")
-    mu = mean_of(train)
-    staged = [("split1", split1), ("heldout_tagged", tagged), ("edx", edx), ("split2", split2),
-              ("test", test)] + ([("ratings", ratings_t)] if stage_source else [])
-    dirs = {n: _dir(d) for n, d in staged}
-    hit = {"dirs": dirs, "mu": mu, "spark": spark, "source": None if stage_source else src}
+    keep(close_holdout(test_open, train, FULL_CHAIN), "test")
+    hit = {"dirs": dirs, "mu": mean_of(train), "spark": spark, "source": None if stage_source else src,
+           "rules": (first, second), "n_rejected": n_rejected, "order": (USER, MOVIE, "ts", *hash_keys, *tie_keys)}
     if key is not None:
         _CACHE[key] = hit
     return _load(spark, hit)
 
 
-def _dir(df: DataFrame) -> str:
-    files = df.inputFiles()
-    return files[0].rsplit("/", 1)[0] if files else ""
-
-
 def _load(spark: SparkSession, hit: dict) -> Prepared:
     d = {n: spark.read.parquet(p) for n, p in hit["dirs"].items()}
-    if hit.get("source") is not None:
-        d["ratings"] = hit["source"]
-    split2 = d["split2"]
+    source = d["ratings"] if hit["source"] is None else hit["source"]
+    first, second = hit["rules"]
     tagged = d["heldout_tagged"]
+    split2 = d["edx"].withColumn("is_test", second)
     return Prepared(
-        ratings=d["ratings"], split1=d["split1"],
+        ratings=source, split1=source.where(F.col("rating").isNotNull()).withColumn("is_test", first),
         validation=tagged.filter(F.col("known")).drop("known"),
         moved_back=tagged.filter(~F.col("known")).drop("known", WEEK, YEAR),
         edx=d["edx"], split2=split2,
         train=split2.filter(~F.col("is_test")).drop("is_test"),
         test_open=split2.filter(F.col("is_test")).drop("is_test"),
-        test=d["test"], mu=hit["mu"], paths=dict(hit["dirs"]))
+        test=d["test"], mu=hit["mu"], paths=dict(hit["dirs"]),
+        order=tuple(dict.fromkeys(hit["order"])), n_rejected=hit["n_rejected"])
 
 
 # ---------------------------------------------------------------- models ----
@@ -207,8 +217,7 @@ def leaderboard(p: Prepared, alphas=None, cfg: Config = Config()) -> DataFrame:
             s = sweep_single(p.train, p.test, chain[0], alphas, p.mu)
             parts.append(s.select(ordinal(i).alias("ordinal"), F.lit(name).alias("model"),
                                   "alpha", "rmse"))
-    chain_sweep = sweep_chain_batched(p.train, p.test, FULL_CHAIN, alphas, p.mu, cfg.alpha_batch,
-                                      fit=lambda chunk: chain_tables(p, chunk))
+    chain_sweep = sweep_chain_batched(p.train, p.test, FULL_CHAIN, alphas, p.mu, cfg.alpha_batch)
     chained = [(i, name, len(chain)) for i, (name, _, chain) in enumerate(FAMILIES) if len(chain) > 1]
     stage_map = F.create_map(*[x for i, name, s in chained for x in (F.lit(s), F.lit(name))])
     fam_map = F.create_map(*[x for i, name, s in chained for x in (F.lit(s), F.lit(i))])
@@ -219,25 +228,9 @@ def leaderboard(p: Prepared, alphas=None, cfg: Config = Config()) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-_CHAIN_TABLES: dict = {}
-
-
-def chain_tables(p: Prepared, alphas, chain=None) -> list[DataFrame]:
-    """Per-alpha effect arrays of the chain, fitted once per prepared split."""
-    chain = list(chain or FULL_CHAIN)
-    key = (p.paths.get("split2"), tuple(chain), tuple(alphas))
-    if key not in _CHAIN_TABLES or not all(path_exists(f) for fs in _CHAIN_TABLES[key] for f in fs[:1]):
-        tabs = fit_chain_arrays(p.train, chain, alphas, p.mu)
-        _CHAIN_TABLES[key] = [t.inputFiles() for t in tabs]
-    spark = p.train.sparkSession
-    return [spark.read.parquet(*files) for files in _CHAIN_TABLES[key]]
-
-
 def best(results: DataFrame) -> DataFrame:
     """Lowest RMSE; the first (smallest ordinal) of tied rows."""
-    b = results.agg(F.min_by(F.struct("ordinal", "model", "alpha", "rmse"),
-                             F.struct("rmse", "ordinal")).alias("b"))
-    return b.select("b.ordinal", "b.model", "b.alpha", "b.rmse")
+    return arg_extreme(results.select("ordinal", "model", "alpha", "rmse"), "rmse", "ordinal")
 
 
 def chain_of(model_name: str) -> list[str]:

@@ -10,6 +10,27 @@ ROW_KEYS = "l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity"
 GRID = Config().alphas
 
 
+# What the model table prints, written out: place, printed name, grid text, name in the results.
+CATALOG_VALUES = """VALUES
+  (1, 'Average Model', '-', 'Average'),
+  (2, 'Movie Model', '0-30 (0.25 increments)', 'Movie Effect Model'),
+  (3, 'User Model', '0-30 (0.25 increments)', 'User Effect Model'),
+  (4, 'Genre Model', '0-30 (0.25 increments)', 'Genre Effect Model'),
+  (5, 'Movie Year Model', '0-30 (0.25 increments)', 'Movie Year Effect Model'),
+  (6, 'Rating Week Model', '0-30 (0.25 increments)', 'Rating Week Effect Model'),
+  (7, 'Movie+User Model', '0-30 (0.25 increments)', 'Movie + User Effect Model'),
+  (8, 'Movie+User+Genre Model', '0-30 (0.25 increments)', 'Movie + User + Genre Effect Model'),
+  (9, 'Movie+User+Genre+Movie Year Model', '0-30 (0.25 increments)',
+   'Movie + User + Genre + Movie Year Effect Model'),
+  (10, 'Movie+User+Genre+Movie Year+Rating Week Model', '0-30 (0.25 increments)',
+   'Movie + User + Genre + Movie Year + Rating Week Effect Model')"""
+
+
+def _number(x: str) -> str:
+    """A number's shortest text; NA for NULL."""
+    return (f"coalesce(regexp_replace(regexp_replace(CAST({x} AS VARCHAR), '(\\.[0-9]*?)0+$', '\\1'), '\\.$', ''), 'NA')")
+
+
 def _q(select: str, *ctes: str) -> str:
     extra = "".join(",\n" + c for c in ctes if c)
     return D.base_ctes() + extra + "\n" + select
@@ -118,16 +139,22 @@ LEFT JOIN cnt c ON c.bin = g.bin""",
 
 def _kde(key: str) -> str:
     return _q("""SELECT CAST(g.i AS BIGINT) AS i, round(s.lo + g.i * s.step, 8) AS x,
-       round(sum(w.c * exp(-0.5e0 * power((s.lo + g.i * s.step - w.v) / s.h, 2))) / (s.nn * s.h * sqrt(2 * pi())), 8) AS density
+       round(sum(w.c * exp(-0.5e0 * power((s.lo + g.i * s.step - (s.lo + w.cell * s.width)) / s.h, 2)))
+             / (s.nn * s.h * sqrt(2 * pi())), 8) AS density
 FROM st s CROSS JOIN (SELECT range AS i FROM range(0, 512)) g CROSS JOIN w
 GROUP BY g.i, s.lo, s.step, s.nn, s.h""",
-              f"m AS (SELECT {key}, avg(rating - mu) AS x FROM train CROSS JOIN mu GROUP BY {key})",
+              f"m AS (SELECT {key}, round(avg(rating - mu), 10) AS x FROM train CROSS JOIN mu GROUP BY {key})",
               "st0 AS (SELECT min(x) AS lo, max(x) AS hi, count(x) AS nn, stddev_samp(x) AS sd, "
-              "quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM m)",
-              "st AS (SELECT lo, hi, nn, (hi - lo) / 511.0e0 AS step, 0.9e0 * coalesce("
+              "CASE WHEN max(x) > min(x) THEN (max(x) - min(x)) / 4095.0e0 ELSE 1.0e0 END AS width FROM m)",
+              "w AS (SELECT CAST(floor((x - lo) / width + 0.5e0) AS INT) AS cell, count(*) AS c "
+              "FROM m CROSS JOIN st0 WHERE x IS NOT NULL GROUP BY 1)",
+              "run AS (SELECT cell, sum(c) OVER (ORDER BY cell) AS upto FROM w)",
+              "q AS (SELECT lo + min(CASE WHEN upto >= 0.25e0 * nn THEN cell END) * width AS q1, "
+              "lo + min(CASE WHEN upto >= 0.75e0 * nn THEN cell END) * width AS q3 "
+              "FROM run CROSS JOIN st0 GROUP BY lo, width)",
+              "st AS (SELECT lo, hi, nn, width, (hi - lo) / 511.0e0 AS step, 0.9e0 * coalesce("
               "CASE WHEN least(sd, (q3 - q1) / 1.34e0) > 0 THEN least(sd, (q3 - q1) / 1.34e0) END, "
-              "CASE WHEN sd > 0 THEN sd END, 1.0e0) * power(CAST(nn AS DOUBLE), -0.2e0) AS h FROM st0)",
-              "w AS (SELECT x AS v, count(*) AS c FROM m WHERE x IS NOT NULL GROUP BY x)")
+              "CASE WHEN sd > 0 THEN sd END, 1.0e0) * power(CAST(nn AS DOUBLE), -0.2e0) AS h FROM st0 CROSS JOIN q)")
 
 
 def _split_profile() -> str:
@@ -207,7 +234,7 @@ ORACLES: dict[str, str] = {
     "read_movies_dat": _q("SELECT DISTINCT movie_id, title, genres FROM view"),
     "stage_roundtrip": _q("SELECT * FROM train"),
     "enrich_ratings": _q("SELECT * FROM view"),
-    "features": _q("SELECT * FROM edx"),
+    "features": _q(f"SELECT *, {D.WEEK} AS rating_week, {D.YEAR} AS movie_year FROM view"),
     "movie_year_feature": _q(f"SELECT DISTINCT title, {D.YEAR} AS movie_year FROM view"),
     "rating_week_feature": _q(f"SELECT DISTINCT ts, {D.WEEK} AS rating_week FROM view"),
     "rating_month_feature": _q(f"SELECT DISTINCT ts, {D.MONTH} AS rating_month FROM view"),
@@ -253,16 +280,23 @@ ORACLES: dict[str, str] = {
     "best_model": _lb_sql("SELECT ordinal, model, alpha, round(rmse, 8) AS rmse FROM lb ORDER BY rmse, ordinal LIMIT 1"),
     "model_summary": _summary(),
     "model_catalog": _lb_sql(
-        "SELECT min(ordinal) AS first_ordinal, model, CASE WHEN min(alpha) IS NULL THEN '-' ELSE "
-        "printf('%.2f-%.2f (%.2f increments)', min(alpha), max(alpha), (max(alpha) - min(alpha)) / (count(*) - 1)) END "
-        "AS grid, count(*) AS total_models FROM lb GROUP BY model"),
+        f"SELECT c.position, c.model_name, c.grid AS regularization_parameter, l.total_models FROM ({CATALOG_VALUES}) c(position, model_name, grid, model) "
+        "JOIN (SELECT model, count(*) AS total_models FROM lb GROUP BY model) l ON l.model = c.model"),
     "best_model_line": _lb_sql(
-        "SELECT concat_ws(' ', 'Model:', model, 'Alpha:', coalesce(printf('%.2f', alpha), 'N/A'), "
-        "'Test RMSE:', printf('%.6f', rmse)) AS line FROM (SELECT * FROM lb ORDER BY rmse, ordinal LIMIT 1)"),
+        "SELECT 'Best Model - Training Dataset:' || chr(10) || ' Model: ' || model || ' ' || chr(10) || ' Alpha: ' || "
+        f"{_number('alpha')} || ' ' || chr(10) || ' Training RMSE: ' || {_number('round(rmse, 10)')} AS line "
+        "FROM (SELECT * FROM lb ORDER BY rmse, ordinal LIMIT 1)"),
     "final_validation_rmse": _final_sql(),
+    "final_validation_five_effects": _q(
+        "SELECT 'Movie + User + Genre + Movie Year + Rating Week Effect Model' AS model, 5.0::DOUBLE AS alpha, "
+        "count(*) AS n, CAST(sum(CASE WHEN n_unseen > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_unseen_rows, "
+        f"{_rmse()} AS rmse FROM ("
+        + D.chain_predictions(FULL_CHAIN, "validation", how="LEFT JOIN", unseen_zero=True) + ")",
+        D.chain_ctes(FULL_CHAIN, _one(ALPHA), src="edx")),
     "final_result_line": _final_sql(
-        "SELECT concat_ws(' ', 'Model:', f.model, 'Alpha:', coalesce(printf('%.2f', b.alpha), 'N/A'), "
-        "'Validation RMSE:', printf('%.6f', f.rmse)) AS line FROM fin f JOIN best b ON f.model = b.model"),
+        "SELECT 'Best Model - Final Result:' || chr(10) || ' Model: ' || f.model || ' ' || chr(10) || ' Alpha: ' || "
+        f"{_number('b.alpha')} || ' ' || chr(10) || ' Validation RMSE: ' || {_number('round(f.rmse, 10)')} AS line "
+        "FROM fin f JOIN best b ON f.model = b.model"),
     "project_train_view": _q("SELECT user_id, movie_id, title, genres, make_timestamp(ts * 1000000) AS rated_at, "
                              "rating, movie_year, rating_week FROM train"),
     "preview_rows": _q("SELECT user_id, movie_id, title, genres, make_timestamp(ts * 1000000) AS rated_at, rating "
@@ -314,7 +348,8 @@ ORACLES: dict[str, str] = {
                           "count(DISTINCT title) AS n_titles, count(DISTINCT rating) AS n_rating_values, "
                           "round(sum(rating), 8) AS sum_rating FROM view"),
     "year_ticks": _q("SELECT CAST(unnest(range(lo, hi + 1, 10)) AS VARCHAR) AS tick FROM "
-                     "(SELECT TRY_CAST(min(movie_year) AS INT) AS lo, TRY_CAST(max(movie_year) AS INT) AS hi FROM train)"),
+                     "(SELECT min(CAST(movie_year AS INT)) AS lo, max(CAST(movie_year AS INT)) AS hi FROM train "
+                     "WHERE regexp_full_match(movie_year, '[0-9]{4}'))"),
     "hist_movie_avg": _hist("movie_id"),
     "hist_user_avg": _hist("user_id"),
     "hist_genre_avg": _hist("genres"),

@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shrinkfx.functions.columns import rating_datetime, rating_month
+from shrinkfx.functions.columns import percent_label_value, rating_datetime, rating_month
 from shrinkfx.operators.keys import stack
-from shrinkfx.operators.stats import (activity, box_stats, centred_mean, group_counts,
+from shrinkfx.operators.stats import (activity, box_stats, centred_mean, distinct_counts, group_counts,
                                       histogram, kde, mean_of_counts, percentiles, shares)
 from shrinkfx.operators.topn import top_n
 from shrinkfx.plans.experiment import GENRE, MOVIE, USER, WEEK, YEAR, Prepared
@@ -34,13 +34,17 @@ def train_view(p: Prepared) -> DataFrame:
                           rating_datetime("ts").alias("rated_at"), "rating", YEAR, WEEK)
 
 
-def preview(p: Prepared, n: int = 3, n_cols: int = 6) -> DataFrame:
-    v = p.train.select(USER, MOVIE, "title", GENRE,
-                       rating_datetime("ts").alias("rated_at"), "rating",
-                       "ts", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")
-    order = [USER, MOVIE, "ts", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity"]
-    cols = [USER, MOVIE, "title", GENRE, "rated_at", "rating"][:n_cols]
-    return v.orderBy(*order).limit(n).select(*cols)
+def preview(df: DataFrame, order_by, n: int = 3, n_cols: int | None = None) -> DataFrame:
+    """The first ``n`` rows in the order of ``order_by``, cut to the first ``n_cols`` columns."""
+    cols = df.columns[:n_cols]
+    return df.orderBy(*order_by).limit(n).select(*cols)
+
+
+def train_preview(p: Prepared, n: int = 3, n_cols: int = 6) -> DataFrame:
+    first = [USER, MOVIE, "title", GENRE, "rated_at", "rating"]
+    rows = p.train.withColumn("rated_at", rating_datetime("ts"))
+    more = [c for c in p.order if c not in first]
+    return preview(rows.select(*first, *more), p.order, n, n_cols)
 
 
 def rating_totals(p: Prepared) -> DataFrame:
@@ -112,8 +116,7 @@ def user_activity_percentiles(p: Prepared) -> DataFrame:
     probs = [i / 100.0 for i in range(1, 101)]
     q = percentiles(user_counts(p), "number_ratings", probs)
     label = F.concat(F.round(F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
-    return q.select(label.alias("pct_label"),
-                    F.regexp_replace(label, "%", "").cast("double").alias("pct"),
+    return q.select(label.alias("pct_label"), percent_label_value(label).alias("pct"),
                     "value", F.log10("value").alias("log10_value"))
 
 
@@ -123,13 +126,21 @@ def user_activity_shares(p: Prepared) -> DataFrame:
 
 def dataset_profile(p: Prepared) -> DataFrame:
     r = p.ratings
-    return r.agg(F.count(F.lit(1)).alias("n_ratings"),
-                 F.count_distinct(USER).alias("n_users"),
-                 F.count_distinct(MOVIE).alias("n_movies"),
-                 F.count_distinct(GENRE).alias("n_genres"),
-                 F.count_distinct("title").alias("n_titles"),
-                 F.count_distinct("rating").alias("n_rating_values"),
-                 F.sum("rating").alias("sum_rating"))
+    n = distinct_counts(r, [USER, MOVIE, GENRE, "title", "rating"])
+    totals = r.agg(F.count(F.lit(1)).alias("n_ratings"), F.sum("rating").alias("sum_rating"))
+    # one row beside one row
+    return totals.join(n, F.lit(True)).select(
+        "n_ratings", F.col(f"n_{USER}").alias("n_users"), F.col(f"n_{MOVIE}").alias("n_movies"),
+        f"n_{GENRE}", F.col("n_title").alias("n_titles"), F.col("n_rating").alias("n_rating_values"), "sum_rating")
+
+
+def report_line(header: str, pairs) -> F.Column:
+    """The printed result: a header line, then ``label value`` lines, parted by a blank as
+    the reference's output is."""
+    parts = [F.lit(header + ":\n")]
+    for i, (label, value) in enumerate(pairs):
+        parts += [F.lit(label + ":"), value] + ([F.lit("\n")] if i + 1 < len(pairs) else [])
+    return F.concat_ws(" ", *parts)
 
 
 def split_profile(p: Prepared) -> DataFrame:
@@ -147,4 +158,6 @@ def hist_of_means(p: Prepared, key: str) -> DataFrame:
 
 
 def kde_of_means(p: Prepared, key: str) -> DataFrame:
-    return kde(materialize(avg_by(p, key), f"means_{key}"), "average_rating", 512)
+    # means to 1e-10, so that equal means summed in different orders share a cell
+    m = materialize(avg_by(p, key).withColumn("average_rating", F.round("average_rating", 10)), f"means_{key}")
+    return kde(m, "average_rating", 512)

@@ -27,10 +27,11 @@ def _split_parts(value, limit: int) -> list:
     return [F.coalesce(F.get(parts, i), F.lit("")) for i in range(limit)]
 
 
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """Typed ratings; an unparsable number becomes NULL (never an error)."""
+def ratings_from_lines(lines: DataFrame) -> DataFrame:
+    """Parse a one-column (``value``) DataFrame of rating lines, batch or stream. An
+    unparsable number becomes NULL (never an error); ``rejected`` counts such lines."""
     p = _split_parts(F.col("value"), 4)
-    return spark.read.text(path).select(
+    return lines.select(
         p[0].try_cast("bigint").alias("user_id"),
         p[1].try_cast("bigint").alias("movie_id"),
         p[2].try_cast("double").alias("rating"),
@@ -38,6 +39,16 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+    return ratings_from_lines(spark.read.text(path))
+
+
+def rejected(ratings: DataFrame) -> DataFrame:
+    """``(n_lines, n_rejected)``: lines, and those of which some field is no number."""
+    bad = F.greatest(*[F.col(c).isNull().cast("int") for c in RATINGS_SCHEMA.names])
+    return ratings.agg(F.count(F.lit(1)).alias("n_lines"), F.coalesce(F.sum(bad), F.lit(0)).alias("n_rejected"))
+
+
 def movies_from_lines(lines: DataFrame) -> DataFrame:
     """Parse a one-column (``value``) DataFrame of movie lines."""
     p = _split_parts(F.col("value"), 3)

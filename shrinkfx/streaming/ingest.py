@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shrinkfx.session import shared_dir
-from shrinkfx.sources.dat import SEP
+from shrinkfx.sources.dat import ratings_from_lines
 
 
 def ratings_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -14,13 +13,7 @@ def ratings_stream(spark: SparkSession, directory: str, max_files_per_trigger: i
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(directory)
-    parts = F.split(F.col("value"), F.lit(SEP), 4)
-    p = [F.coalesce(F.get(parts, i), F.lit("")) for i in range(4)]
-    return lines.select(p[0].try_cast("bigint").alias("user_id"),
-                        p[1].try_cast("bigint").alias("movie_id"),
-                        p[2].try_cast("double").alias("rating"),
-                        p[3].try_cast("bigint").alias("ts"))
+    return ratings_from_lines(reader.load(directory))
 
 
 def ingest_ratings(spark: SparkSession, directory: str, table_path: str,

@@ -79,3 +79,26 @@ def test_large_alpha_shrinks_to_zero_and_alpha_zero_is_centred_mean(train):
 def test_rmse_formula(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 1.0)], "pred double, rating double")
     assert rmse(df).first().rmse == pytest.approx(math.sqrt((1 + 4) / 2))
+
+
+def test_missing_ratings_weigh_nothing(spark):
+    df = spark.createDataFrame([(1, 4.0), (1, None), (2, 3.0), (2, 2.0)], "movie_id long, rating double")
+    got = {r.movie_id: (r.n, r.effect) for r in effect(df, "movie_id", F.col("rating") - 3.0, 0.0).collect()}
+    assert got == {1: (1, 1.0), 2: (2, -0.5)}
+    model = fit(df, ["movie_id"], 0.0, 3.0, keep=False)
+    scored = rmse(predict(df, model)).first()
+    assert scored.n == 3 and scored.n_null_pred == 0
+
+
+def test_written_residuals_change_nothing(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = [(int(a), int(b), int(c), int(d), int(e), float(x) / 2) for a, b, c, d, e, x in zip(
+        *(rng.integers(0, k, 400) for k in (20, 30, 4, 6, 5)), rng.integers(1, 11, 400))]
+    keys = ["m", "u", "g", "y", "w"]
+    df = spark.createDataFrame(rows, "m long, u long, g long, y long, w long, rating double")
+    kept, plain = fit(df, keys, 2.0, 3.0), fit(df, keys, 2.0, 3.0, keep=False)
+    assert len(kept.paths) == 5 and plain.paths == []
+    for key, a, b in zip(keys, kept.tables, plain.tables):
+        x, y = ({r[key]: (r.n, round(r.effect, 10)) for r in t.collect()} for t in (a, b))
+        assert x == y

@@ -3,7 +3,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from shrinkfx.plans import catalog
 from shrinkfx.plans import experiment as X
+from shrinkfx.plans.oracles import ORACLES
 
 from conftest import SF001
 
@@ -53,10 +55,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(ORACLES)
+    assert set(ORACLES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_duckdb_oracle(spark, name):
     con = duckdb.connect()
     for t in ["lineitem", "orders", "part"]:
@@ -161,3 +164,33 @@ def test_best_and_summary_ties_take_the_first_ordinal(spark):
     assert mm.average_rmse == pytest.approx((0.7 + 0.6 + 0.6 + 0.8 + 0.8) / 5)
     am = s["AM"]
     assert am.best_rmse == 0.9 and am.best_alpha is None and am.worst_rmse is None and am.average_rmse is None
+
+
+def test_withheld_keys_occur_in_the_driver_data(spark, prepared):
+    """The view's tail of rare keys makes closing, moving back and unseen effects happen."""
+    assert prepared.moved_back.count() > 0
+    assert prepared.test.count() < prepared.test_open.count()
+    unseen = E.queries()["predict_with_unseen"](spark, SF001)
+    assert unseen.agg({"n_unseen": "sum"}).first()[0] > 0
+
+
+def test_cache_tells_hash_keys_and_configurations_apart(spark, prepared):
+    src = prepared.ratings.limit(400)
+    a, b = (X.prepare_ratings(src, X.Config(), keys, ["l_extendedprice"], cache_key="same", spark=spark)
+            for keys in (["l_orderkey", "l_suppkey"], ["movie_id", "user_id"]))
+    assert a.paths["edx"] != b.paths["edx"]
+    again = X.prepare_ratings(src, X.Config(), ["l_orderkey", "l_suppkey"], ["l_extendedprice"], cache_key="same", spark=spark)
+    assert again.paths == a.paths
+    assert {r.l_orderkey for r in a.split1.where("is_test").collect()} != {r.l_orderkey for r in b.split1.where("is_test").collect()}
+
+
+def test_preview_and_rejected_rows_on_loaded_ratings(spark, prepared):
+    from pyspark.sql import functions as F
+
+    from shrinkfx.plans import report as R
+    rows = prepared.ratings.select("user_id", "movie_id", "rating", "ts", "title", "genres").limit(300)
+    rows = rows.unionByName(rows.limit(3).withColumn("rating", F.lit(None).cast("double")))
+    p = X.prepare_ratings(rows)
+    assert p.n_rejected == 3 and p.edx.count() + p.validation.count() == 300
+    got = R.train_preview(p, 3).collect()
+    assert len(got) == 3 and got == sorted(got, key=lambda r: (r.user_id, r.movie_id, r.rated_at))

@@ -3,6 +3,7 @@ import tempfile
 
 from shrinkfx.sources import (movies_from_lines, read_movies, read_ratings, write_movies_dat,
                               write_ratings_dat)
+from shrinkfx.sources.dat import rejected
 
 
 def test_movies_split_into_at_most_three_parts(spark):
@@ -34,3 +35,10 @@ def test_movies_roundtrip(spark):
     write_movies_dat(df, os.path.join(d, "m"))
     back = read_movies(spark, os.path.join(d, "m")).orderBy("movie_id").collect()
     assert [tuple(r) for r in back] == [(1, "X (1990)", "A|B"), (2, "Y", "")]
+
+
+def test_malformed_lines_are_counted_and_weigh_nothing(spark, tmp_path):
+    (tmp_path / "ratings.dat").write_text("1::10::4::100\n1::11::x::100\n2::10::3.5::200\nbroken\n")
+    r = read_ratings(spark, str(tmp_path / "ratings.dat"))
+    assert tuple(rejected(r).first()) == (4, 2)
+    assert r.where("rating is null").count() == 2

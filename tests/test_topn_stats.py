@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shrinkfx.operators import recode, stack, top_n
 from shrinkfx.operators.stats import (box_stats, histogram, kde, mean_of_counts, percentiles,
-                                      shares, year_ticks)
+                                      shares, year_ticks, other_years, arg_extreme, distinct_counts)
 
 
 def test_top_n_keeps_ties_and_skips_nulls(spark):
@@ -49,19 +49,30 @@ def test_histogram_bins_and_density(spark):
         assert h[k].n >= 1
 
 
-def test_kde_matches_exact_gaussian_sum(spark):
+def test_kde_matches_binned_and_exact_gaussian_sums(spark):
     rng = np.random.default_rng(0)
     xs = np.round(rng.normal(size=200), 3)
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     out = kde(df, "x", 64).orderBy("i").collect()
-    sd = xs.std(ddof=1)
-    iqr = np.quantile(xs, 0.75) - np.quantile(xs, 0.25)
-    h = 0.9 * min(sd, iqr / 1.34) * len(xs) ** -0.2
     grid = np.linspace(xs.min(), xs.max(), 64)
-    dens = [np.exp(-0.5 * ((g - xs) / h) ** 2).sum() / (len(xs) * h * math.sqrt(2 * math.pi)) for g in grid]
     assert [r.x for r in out] == pytest.approx(list(grid))
-    assert [r.density for r in out] == pytest.approx(dens)
 
+    def density(values, iqr):
+        h = 0.9 * min(xs.std(ddof=1), iqr / 1.34) * len(xs) ** -0.2
+        return [np.exp(-0.5 * ((g - values) / h) ** 2).sum() / (len(xs) * h * math.sqrt(2 * math.pi)) for g in grid]
+
+    width = (xs.max() - xs.min()) / 4095
+    centres = np.sort(xs.min() + np.floor((xs - xs.min()) / width + 0.5) * width)
+    binned = density(centres, centres[149] - centres[49])  # the 150th and 50th of 200
+    assert [r.density for r in out] == pytest.approx(binned)
+    # close to the sum over the values themselves, with interpolated quartiles
+    assert [r.density for r in out] == pytest.approx(density(xs, np.quantile(xs, 0.75) - np.quantile(xs, 0.25)), rel=0.01)
+
+
+def test_kde_works_on_cells_not_values(spark):
+    df = spark.range(20000).select((F.col("id") / 7).alias("x"))
+    p = kde(df, "x", 16)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in p and kde(df, "x", 16).count() == 16
 
 def test_box_stats_log10(spark):
     vals = [1, 10, 10, 100, 100, 100, 1000, 10 ** 7]
@@ -86,9 +97,11 @@ def test_box_whiskers_never_inside_the_box(spark):
 def test_year_ticks_stack_recode(spark):
     df = spark.createDataFrame([("1931",), ("1990-1991",), ("1995",), (None,)], "movie_year string")
     assert [r.tick for r in year_ticks(df).collect()] == ["1931", "1941", "1951", "1961", "1971", "1981", "1991"]
-    # the largest text is not a number: no ticks (the bounds are compared as text, as in R)
-    odd = spark.createDataFrame([("1931",), ("1990-1991",)], "movie_year string")
-    assert year_ticks(odd).count() == 0
+    # texts that are no year neither bound the ticks nor vanish unseen
+    odd = spark.createDataFrame([("1931",), ("1990-1991",), ("",), ("",), ("1952",), (None,)], "movie_year string")
+    assert [r.tick for r in year_ticks(odd).collect()] == ["1931", "1941", "1951"]
+    assert {(r.text, r.n) for r in other_years(odd).collect()} == {("1990-1991", 1), ("", 2), (None, 1)}
+    assert year_ticks(odd.where("movie_year = ''")).count() == 0
     a = spark.createDataFrame([(1, 2.0)], "user_id long, x double")
     b = spark.createDataFrame([("g", 3.0)], "genres string, x double")
     s = stack(a, b).collect()
@@ -96,3 +109,10 @@ def test_year_ticks_stack_recode(spark):
     m = spark.createDataFrame([("Average",), ("Other",)], "model string")
     assert [r.model for r in recode(m, "model", {"Average": "AM"}).collect()] == ["AM", "Other"]
     assert F is not None
+
+
+def test_distinct_counts_arg_extreme(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (1, None, 1.0), (2, "b", 1.0), (3, "b", None)], "k long, t string, x double")
+    assert distinct_counts(df, ["k", "t", "x"]).first().asDict() == {"n_k": 3, "n_t": 2, "n_x": 2}
+    assert "Expand" not in distinct_counts(df, ["k", "t"])._jdf.queryExecution().executedPlan().toString()
+    assert (arg_extreme(df, "x", "k").first().k, arg_extreme(df, "x", "k", largest=True).first().k) == (1, 1)

@@ -15,6 +15,7 @@ sys.path.insert(0, ".")
 from pyspark.sql import functions as F  # noqa: E402
 
 from shrinkfx import get_spark  # noqa: E402
+from shrinkfx.session import drop_stages  # noqa: E402
 from shrinkfx.plans import experiment as X  # noqa: E402
 
 
@@ -26,9 +27,10 @@ def main() -> None:
     ap.add_argument("--grid", nargs=3, type=float, default=(0.0, 30.0, 0.25), metavar=("LO", "HI", "STEP"))
     ap.add_argument("--alpha-batch", type=int, default=None)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--stages", help="shared folder for stage tables (spark.checkpoint.dir)")
     a = ap.parse_args()
     cfg = X.Config(grid=tuple(a.grid), alpha_batch=a.alpha_batch)
-    spark = get_spark(a.master)
+    spark = get_spark(a.master, extra={"spark.checkpoint.dir": a.stages} if a.stages else None)
     if a.sf_dir:
         p = X.prepare(spark, a.sf_dir, cfg)
     elif a.ratings and a.movies:
@@ -43,6 +45,7 @@ def main() -> None:
           f"({f.n} rows, {f.n_unseen_rows} with an unseen key)")
     X.summary(lb).select(*[F.round(c, 7).alias(c) if c.endswith("rmse") else F.col(c)
                            for c in X.summary(lb).columns]).show(truncate=False)
+    drop_stages(spark)
     spark.stop()
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, ".")
 
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from shrinkfx import get_spark  # noqa: E402
 from shrinkfx.operators import sweep as SW  # noqa: E402
-from shrinkfx.operators.keys import attach_sized  # noqa: E402
 from shrinkfx.operators.split import stratified_split  # noqa: E402
 from shrinkfx.plans import catalog  # noqa: E402
 from shrinkfx.plans import experiment as X  # noqa: E402
@@ -42,31 +42,23 @@ def trim(plan: str) -> str:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    spark = get_spark("local[8]", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="shrinkfx-plans-")})
     p = X.prepare(spark, sf)
     alphas = X.Config().alphas
-    tabs = X.chain_tables(p, alphas)
     sections = []
     sections.append(("Stratified split (quartile strata, seed 2) over edx",
                      stratified_split(p.edx, "rating", 0.2, "2", HASH_KEYS, TIE_KEYS, "quartile")))
-    r = F.col("rating") - F.lit(p.mu)
-    m_item = (tabs[0].select("movie_id", F.col("eff").alias("__e0")), "movie_id",
-              SW.array_table_bytes(tabs[0], len(alphas)))
-    u_item = (tabs[1].select("user_id", F.col("eff").alias("__e1")), "user_id",
-              SW.array_table_bytes(tabs[1], len(alphas)))
-    genre, _ = SW._stage_effects(p.train.select("rating", "movie_id", "user_id", "genres"), "genres",
-                                 lambda i: r - F.col("__e0")[i] - F.col("__e1")[i], alphas,
-                                 ["rating"], SW.HOT_ROWS, SW.MAP_SIDE_MAX_CELLS, p.train.select("genres"),
-                                 attach_arrays=lambda df: attach_sized(df, [m_item, u_item]))
-    sections.append(("Chained sweep stage, few keys (genres): one wide map-side aggregate", genre))
-    user, _ = SW._stage_effects(p.train.select("rating", "movie_id", "user_id", "l_orderkey", "l_linenumber"),
-                                "user_id", lambda i: r - F.col("__e0")[i], alphas,
-                                ["l_orderkey", "l_linenumber"], SW.HOT_ROWS, 0, p.train.select("user_id"),
-                                attach_arrays=lambda df: attach_sized(df, [m_item]))
-    sections.append(("Chained sweep stage, many keys (users): thin rows shuffled by key, arrays attached "
-                     "after the shuffle, aggregated in place", user))
-    sections.append(("Chain scoring: all 5 prefixes x 121 alphas in one pass",
-                     SW.sweep_chain(p.train, p.test, X.FULL_CHAIN, alphas, p.mu, tables=tabs)))
+    first = p.train.groupBy(SW._text("movie_id").alias("k0")).agg(
+        F.count("rating").alias("n0"), F.sum(F.col("rating") - p.mu).alias("s0"))
+    rows = p.train.select(F.lit(True).alias("fit"), (F.col("rating") - p.mu).alias("d"), SW._text("movie_id").alias("k0"),
+                          SW._text("user_id").alias("k"), SW._text("genres").alias("key")).join(first, "k0")
+    met, effects = SW._second_stage(rows, alphas, SW.HOT_SHARE)
+    sections.append(("Chain sweep, second effect (users): thin rows dealt by user, summed in place", effects))
+    sections.append(("Chain sweep, residuals after two effects by genre: rows meet the effects where they are",
+                     SW._sums(met, ["key"], lambda i: F.col("d") - F.get(F.col("eff"), F.lit(i)), len(alphas))))
+    sections.append(("Chain sweep: the last step over written pieces",
+                     SW.sweep_chain(p.train, p.test, X.FULL_CHAIN, alphas, p.mu)))
     sections.append(("Single-effect sweep (sufficient statistics)",
                      SW.sweep_single(p.train, p.test, "user_id", alphas, p.mu)))
     q = catalog.QUERIES
