@@ -31,6 +31,7 @@ SCHEDULES = (((0.0, 1.5), (0.5, 1.0), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)),
              ((0.0, 0.25), (0.5, 1.0), (1.0, 1.75)))
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 2048
+HASH_BITS = 60
 
 
 def _segments(knots: Sequence[tuple[float, float]]) -> list[tuple[float, float, float, float, float]]:
@@ -85,18 +86,24 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS,
     return chosen.select("_mx_source", "_mx_rank", "_mx_words", "_mx_docs", target.alias("_mx_target"))
 
 
+def stream_hash(doc_id: Column, text: Column, seed: int) -> Column:
+    """The place of a document in its source's stream: 60 bits of an md5 of seed and id
+    (of the text where there is no id), which other engines can compute too."""
+    name = F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}-"), name).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[float],
             schedules: Sequence[Sequence[tuple[float, float]]], budget_ratio: float,
             max_epochs: float, seed: int) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select("*", F.col(source_col).alias("_mx_source"), size.alias("_mx_size"),
-                       F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_mx_hash"))
+                       stream_hash(F.col(id_col), F.col(text_col), seed).alias("_mx_hash"))
     targets = materialize(source_targets(rows.select("_mx_source", "_mx_size"), weights,
                                          budget_ratio, max_epochs), "mix-targets")
     buckets = F.ceil(F.col("_mx_docs") / BUCKET_ROWS)
     # the high bits of the hash say which bucket: order by bucket, then hash, is hash order
-    bucket = F.floor((F.shiftrightunsigned("_mx_hash", 11) / float(1 << 53)) * buckets)
-    ordered = F.shiftrightunsigned("_mx_hash", 11)
+    bucket = F.floor(F.col("_mx_hash") / float(1 << HASH_BITS) * buckets)
 
     def bucketed(df: DataFrame) -> DataFrame:
         # one small row per source: null sources meet through the null-safe key
@@ -110,7 +117,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight
     earlier = W.partitionBy("_mx_rank").orderBy("_mx_bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select("_mx_rank", "_mx_bucket",
                            F.coalesce(F.sum("_mx_sum").over(earlier), F.lit(0)).alias("_mx_start"))
-    inside = (W.partitionBy("_mx_rank", "_mx_bucket").orderBy(ordered, id_col, "_mx_size")
+    inside = (W.partitionBy("_mx_rank", "_mx_bucket").orderBy("_mx_hash", id_col, "_mx_size")
               .rowsBetween(W.unboundedPreceding, -1))
     at = bucketed(rows).withColumn("_mx_inside", F.coalesce(F.sum("_mx_size").over(inside), F.lit(0)))
     placed = at.join(starts, ["_mx_rank", "_mx_bucket"])

@@ -26,7 +26,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
 
 def op1_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return MX.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
+    return MX.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies",
+                               F.round(F.element_at("positions", 1), 9).alias("first_position"))
 
 
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +110,69 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+
+
+def _due_sql(share: str) -> str:
+    """The training time at which a source's schedule reaches ``share``, as SQL."""
+    def one(knots) -> str:
+        out = repr(float(knots[-1][0]))
+        for a, b, t0, w0, slope in reversed(MX._segments(knots)):
+            need = f"({share} - {a!r}::DOUBLE)"
+            t = (f"{t0!r}::DOUBLE + {need} / {w0!r}::DOUBLE" if abs(slope) < 1e-12 else
+                 f"{t0!r}::DOUBLE + (sqrt(greatest(0.0::DOUBLE, {w0!r}::DOUBLE * {w0!r}::DOUBLE "
+                 f"+ 2 * {slope!r}::DOUBLE * {need})) - {w0!r}::DOUBLE) / {slope!r}::DOUBLE")
+            out = f"CASE WHEN {share} <= {b!r}::DOUBLE THEN {t} ELSE {out} END"
+        return out
+
+    cases = " ".join(f"WHEN {i} THEN {one(k)}" for i, k in enumerate(MX.SCHEDULES))
+    return f"CASE rnk % {len(MX.SCHEDULES)} {cases} END"
+
+
 ORACLES: dict[str, str] = {
+    "op1_mix_curriculum": rf"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   CAST('0x' || substr(md5('17-' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 15)
+                        AS BIGINT) AS h
+            FROM documents),
+        per AS (SELECT source, CAST(sum(size) AS DOUBLE) AS words FROM d GROUP BY source),
+        ranked AS (SELECT *, row_number() OVER (ORDER BY CAST(source AS BLOB) NULLS LAST) - 1 AS rnk FROM per),
+        caps AS (SELECT *, CAST([3, 1, 2][rnk % 3 + 1] AS DOUBLE) AS w, 2.0::DOUBLE * words AS cap,
+                        1.5::DOUBLE * sum(words) OVER () AS budget FROM ranked),
+        levels AS (
+            SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / w, rnk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(w) OVER (ORDER BY cap / w, rnk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM caps),
+        chosen AS (SELECT arg_min(level, cap / w) AS level FROM levels WHERE level * w <= cap),
+        t AS (SELECT l.source, l.rnk, l.words, least(l.cap, coalesce(c.level * l.w, l.cap)) AS target
+              FROM levels l LEFT JOIN chosen c ON true),
+        placed AS (
+            SELECT d.*, t.rnk, t.words, t.target,
+                   coalesce(sum(size) OVER (PARTITION BY t.rnk ORDER BY h, doc_id, size
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2.0::DOUBLE AS middle
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        taken AS (SELECT *, CASE WHEN size > 0 THEN CAST(least(2, greatest(0, ceil((target - middle) / words))) AS INT)
+                                 ELSE 0 END AS copies FROM placed)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(words AS BIGINT) AS source_size, target,
+               CAST(copies * size AS BIGINT) AS taken, copies,
+               CASE WHEN copies > 0 THEN round({_due_sql('(middle / target)')}, 9) END AS first_position
+        FROM taken
+    """,
+    "op9_wacz_pages": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        bits AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+                     ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100',
+                      '1101','1110','1111'][strpos('0123456789abcdef', substr(sha1(html), i, 1))]), '') AS b FROM p),
+        base AS (SELECT page_id, html, array_to_string(list_transform(range(0, 32), lambda i:
+                     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(b, 5 * i + 1, 1) AS INT)
+                         + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT)
+                         + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT) + CAST(substr(b, 5 * i + 5, 1) AS INT), 1)), '') AS digest
+                 FROM bits),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM base)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM f
+    """,
     "op7_chat_format": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
