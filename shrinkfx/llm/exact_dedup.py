@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from shrinkfx.llm.frames import annotated, own
 
 PREFIX_CHARS = 256
+#: A group's rows are dealt to so many tasks when they meet the group's key: one length, or one
+#: text, may belong to a third of all rows. The key tables hold shared groups only.
+SALTS = 16
 _KEYS = ["_xd_len", "_xd_prefix", "_xd_full"]
 
 
@@ -31,14 +34,21 @@ def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_xd_n")).where("_xd_n > 1").drop("_xd_n")
 
 
+def _meet(rows: DataFrame, groups: DataFrame, keys: list[str], how: str, id_col: str) -> DataFrame:
+    """Join rows to the table of groups by ``keys``, each group spread over ``SALTS`` tasks."""
+    salted = rows.withColumn("_xd_salt", F.pmod(F.xxhash64(F.col(id_col), F.lit("salt")), F.lit(SALTS)).cast("int"))
+    spread = groups.withColumn("_xd_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(spread, [*keys, "_xd_salt"], how).drop("_xd_salt")
+
+
 def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """One row per group of two or more equal texts: its refinement keys, ``_xd_keep``
     (largest id), ``_xd_size`` and ``_xd_top`` (rows that bear the largest id)."""
     thin = _keyed(docs.select(F.col(id_col).alias("_xd_id"), F.col(text_col).alias("_xd_text")),
                   "_xd_text", prefix_chars).drop("_xd_text")
-    same_length = thin.join(_shared(thin, _KEYS[:1]), _KEYS[:1], "left_semi")
-    same_prefix = same_length.join(_shared(same_length, _KEYS[:2]), _KEYS[:2], "left_semi")
+    same_length = _meet(thin, _shared(thin, _KEYS[:1]), _KEYS[:1], "left_semi", "_xd_id")
+    same_prefix = _meet(same_length, _shared(same_length, _KEYS[:2]), _KEYS[:2], "left_semi", "_xd_id")
     by_id = same_prefix.groupBy(*_KEYS, "_xd_id").agg(F.count(F.lit(1)).alias("_xd_rows"))
     return (by_id.groupBy(*_KEYS)
             .agg(F.max(F.struct(F.col("_xd_id").isNotNull(), "_xd_id", "_xd_rows")).alias("_xd_best"),
@@ -50,7 +60,7 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int) -> DataFrame:
     groups = copy_groups(docs, id_col, text_col, prefix_chars)
-    rows = _keyed(docs, text_col, prefix_chars).join(groups, _KEYS, "left")
+    rows = _meet(_keyed(docs, text_col, prefix_chars), groups, _KEYS, "left", id_col)
     alone = F.col("_xd_size").isNull()
     return rows.withColumns({
         "_xd_keep": F.when(alone, F.col(id_col)).otherwise(F.col("_xd_keep")),
