@@ -24,12 +24,6 @@ def own(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def shard_count(df: DataFrame, amount: Column, per_shard: int) -> int:
-    """How many shards of about ``per_shard`` units ``df`` needs (one aggregate)."""
-    total = df.agg(F.sum(amount).alias("n")).first()["n"] or 0
-    return max(1, -(-int(total) // per_shard))
-
-
 _shipped: set[str] = set()
 
 

@@ -1,9 +1,7 @@
 import math
-import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from brute import crc, unigrams, words
 from conftest import hostile_rows, prose
