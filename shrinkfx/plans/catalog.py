@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from shrinkfx.functions.columns import (format_number_text, movie_year, rating_datetime, rating_month,
                                         rating_week)
-from shrinkfx.operators.effects import EffectModel, effect, fit, predict, rmse
+from shrinkfx.operators.effects import EffectModel, effect, fit, predict
 from shrinkfx.operators.keys import attach, drop_present, keep_known, recode, stack
 from shrinkfx.operators.stats import year_ticks
 from shrinkfx.operators.sweep import sweep_chain, sweep_single
