@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -131,8 +133,19 @@ def sketches(docs: DataFrame, sketch: Sketch, id_col: str, text_col: str) -> Dat
     return arrow_map(rows, run, "id long, n long, low long, high long, bands array<long>")
 
 
+PARITY_BITS = 512
+
+
+def parities(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Odd sketches (rows x 8 words): bit k is the parity of the set's shingles that hash to
+    k. Two sketches differ in no more bits than the sets differ in shingles."""
+    place = K.row_of(counts) * PARITY_BITS + (K.mix(grams) % np.uint64(PARITY_BITS)).astype(np.int64)
+    odd = np.bincount(place, minlength=len(counts) * PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(len(counts), -1)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, sketch: Sketch, id_col: str, text_col: str) -> DataFrame:
-    """(id, grams) of the wanted ids: their texts are read again and shingled."""
+    """(id, grams, parity) of the wanted ids: their texts are read again and shingled."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.join(wanted, "id", "left_semi")
 
@@ -142,9 +155,12 @@ def _sets(docs: DataFrame, wanted: DataFrame, sketch: Sketch, id_col: str, text_
                 grams, counts = shingle_sets(*K.flat(part.column("text")), sketch.words)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
                                                  pa.array(grams.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), lists], names=["id", "grams"])
+                parity = parities(grams, counts)
+                words = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * parity.shape[1], pa.int32()),
+                                                 pa.array(parity.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column("id"), lists, words], names=["id", "grams", "parity"])
 
-    return arrow_map(rows, run, "id long, grams array<long>")
+    return arrow_map(rows, run, "id long, grams array<long>, parity array<long>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -177,26 +193,32 @@ def _contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> Dat
 
     Shingles are ranked from rare to common among the contested sets. Similar sets share
     a shingle among the first n - ceil(s * n) + 1 of each, and the places of their first
-    common one bound their overlap; only pairs that pass the bound are emitted. Shingles
-    held by one set alone fill places but need no row."""
+    common one bound their overlap; their odd sketches bound it from above as well, as
+    similar sets differ in few shingles. Only pairs that pass both bounds, which lose no
+    similar pair, are emitted. Shingles held by one set alone fill places but need no row."""
     rows = sets.join(contested, sets["id"] == contested["cls"]).select(
         "cls", "comp", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     rows = materialize(rows, "minhash-contested")
     common = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = (rows.join(common, "gram").groupBy("cls", "comp", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("gs")))
+    ranked = (rows.join(common, "gram").groupBy("cls")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("gs"), F.first("comp").alias("comp"),
+                   F.first("n").alias("n")).join(sets.select(F.col("id").alias("cls"), "parity"), "cls"))
     alone = F.col("n") - F.size("gs")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone
     prefixes = materialize(
-        ranked.where(prefix > 0).select("cls", "comp", "n", alone.alias("alone"),
+        ranked.where(prefix > 0).select("cls", "comp", "n", "parity", alone.alias("alone"),
                                         F.posexplode(F.slice("gs", 1, F.greatest(prefix, F.lit(1)).cast("int"))).alias("k", "g"))
-        .select("cls", "comp", "n", (F.col("alone") + F.col("k")).alias("at"), F.col("g.gram").alias("gram")),
+        .select("cls", "comp", "n", (F.col("alone") + F.col("k")).alias("at"), F.col("g.gram").alias("gram"),
+                *[F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_BITS // 64)]),
         "minhash-prefixes")
-    x, y = (prefixes.select("gram", *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "comp", "n", "at")]) for s in "xy")
+    words = [f"p{i}" for i in range(PARITY_BITS // 64)]
+    x, y = (prefixes.select("gram", *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "comp", "n", "at", *words)]) for s in "xy")
     n_x, n_y = F.col("x_n"), F.col("y_n")
     overlap = F.least(n_x - F.col("x_at"), n_y - F.col("y_at"))
     can = (F.col("x_cls") < F.col("y_cls")) & (F.col("x_comp") != F.col("y_comp")) & _fits(percent, n_x, n_y) & (
-        overlap * (100 + percent) >= (n_x + n_y) * percent)
+        overlap * (100 + percent) >= (n_x + n_y) * percent) & (
+        reduce(add, [F.bit_count(F.col(f"x_{p}").bitwiseXOR(F.col(f"y_{p}"))) for p in words]) * (100 + percent)
+        <= (n_x + n_y) * (100 - percent))
     return x.join(y, (x["gram"] == y["gram"]) & can).select(
         F.col("x_cls").alias("a"), F.col("y_cls").alias("b")).distinct()
 
