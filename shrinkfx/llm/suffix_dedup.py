@@ -7,7 +7,7 @@ still shares a block at the end is a repeated interval with a known common prefi
 shard's suffixes are sorted again; a round only merges the shards' intervals.
 
 Two changes fit it to a cluster. First, the transform is taken over a content-defined
-parse, not over bytes, so that a match of ``length`` bytes needs three rounds instead of
+parse, not over bytes, so that a match of ``length`` bytes needs four rounds instead of
 ``length``: every window of ``length`` bytes is anchored at the place of its least
 ``gram``-byte hash, and a run of windows with one anchor is one suffix of the parse.
 Second, symbols are hashes, so an interval is a key, and merging the shards' intervals is
@@ -17,7 +17,9 @@ an aggregate over (key, shard) rows:
 2. the symbols to the right and left (the transform's own symbol): the bytes of the whole
    run. Equal runs repeat as a whole: all but the first are removed. Runs alone in their
    block are settled.
-3. where a block still holds different runs, the windows of their first ones, one by one.
+3. where a block still holds different runs, the same for sub-runs of ``PART`` windows of
+   their first ones; all windows of a sub-run share all but a few bytes.
+4. where that still leaves different ones, single windows.
 
 Each round reads the shards anew (a copy with shard numbers in the shared folder), sends
 one row per interval and shard, and hands back to each shard only its open intervals, as
@@ -27,8 +29,10 @@ shard. Texts are never shuffled.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -203,6 +207,24 @@ def _first(found: np.ndarray, table: dict, doc: np.ndarray, place: np.ndarray) -
     return (table["first_id"][found] == doc) & (table["first_place"][found] == place)
 
 
+PART = 8
+
+
+def _sub_runs(r: Runs, prefix: np.ndarray, length: int) -> Runs:
+    """Runs cut at distances from the anchor that are multiples of ``PART``. The symbol of a
+    sub-run is what all windows of its distances share, ``length - PART + 1`` bytes."""
+    near, far = (r.anchor - r.high) // PART, (r.anchor - r.low) // PART
+    n = far - near + 1
+    run = K.row_of(n)
+    q = near[run] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    anchor = r.anchor[run]
+    right = anchor - q * PART
+    low, high = np.maximum(r.low[run], right - PART + 1), np.minimum(r.high[run], right)
+    core = K.span_hash(prefix, right, right - PART + 1 + length) + K.mix(q.astype(np.uint64))
+    whole = K.span_hash(prefix, low, high + length) + K.mix((anchor - low).astype(np.uint64))
+    return Runs(r.row[run], anchor, low, high, core, whole)
+
+
 def repeated_spans(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """(id, n_bytes, spans, kept) of every row: the maximal byte runs [start, end) covered
@@ -217,64 +239,94 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
         F.spark_partition_id().alias("shard"), F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text")), "shards")
 
+    def found_runs(shard, ids, offs, data, prefix, tables) -> Iterator[tuple[list[Runs], Runs]]:
+        """For each piece of a slice: (runs and sub-runs that repeat earlier ones, those that are
+        first in a mixed block of the last table), going down as many levels as tables are known."""
+        for r in runs_of(data, offs, prefix, length, gram):
+            later = []
+            for level, table in enumerate(tables):
+                if level == 1:
+                    r = _sub_runs(r, prefix, length)
+                found = table.find(shard, r.whole)
+                r, found = r.pick(found >= 0), found[found >= 0]
+                if len(found):
+                    first = _first(found, table.of(shard), ids[r.row], r.low - offs[r.row])
+                    later.append(r.pick(~first))
+                    r = r.pick(first & table.of(shard)["mixed"][found])
+            yield later, r
+
     def grams(shard, ids, offs, data, prefix, add) -> None:
         for r in runs_of(data, offs, prefix, length, gram):
             add(shard, [r.gram], ids[r.row], r.anchor)
 
-    first = _rows(copy, ("gram",), grams).select("shard", "gram", "n")
-    total = first.withColumn("total", F.sum("n").over(W.partitionBy("gram")))
-    open_grams = _handed_back(total.where("total > 1").select("shard", "gram"), "open-grams")
-
-    def wholes(shard, ids, offs, data, prefix, add, table=_Shards(open_grams, "gram")) -> None:
+    def wholes(shard, ids, offs, data, prefix, add, table=None) -> None:
         for r in runs_of(data, offs, prefix, length, gram):
             r = r.pick(table.find(shard, r.gram) >= 0)
-            add(shard, [r.gram, r.whole], ids[r.row], r.anchor - offs[r.row])
-
-    keys = ["gram", "whole"]
-    second = materialize(_rows(copy, ("gram", "whole"), wholes), "run-intervals")
-    blocks = second.groupBy(*keys).agg(F.min(F.struct("id", "place")).alias("first"), F.sum("n").alias("n"))
-    mixed = blocks.groupBy("gram").agg((F.count(F.lit(1)) > 1).alias("mixed"))
-    state = blocks.join(mixed, "gram").where("n > 1 or mixed").select(
-        *keys, F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"), "mixed")
-    run_table = _handed_back(second.join(state, keys).select(
-        "shard", "whole", "first_id", "first_place", "mixed"), "open-runs")
-
-    def split(table: _Shards, shard, ids, offs, r: Runs) -> tuple[Runs, Runs]:
-        """(runs that repeat an earlier one, first runs of mixed blocks)."""
-        found = table.find(shard, r.whole)
-        r, found = r.pick(found >= 0), found[found >= 0]
-        if len(found) == 0:
-            return r, r
-        is_first = _first(found, table.of(shard), ids[r.row], r.anchor - offs[r.row])
-        return r.pick(~is_first), r.pick(is_first & table.of(shard)["mixed"][found])
-
-    def windows(shard, ids, offs, data, prefix, add, table=_Shards(run_table, "whole")) -> None:
-        for r in runs_of(data, offs, prefix, length, gram):
-            r = split(table, shard, ids, offs, r)[1]
+            add(shard, [r.gram, r.whole], ids[r.row], r.low - offs[r.row])
+
+    def parts(shard, ids, offs, data, prefix, add, tables=()) -> None:
+        for _, r in found_runs(shard, ids, offs, data, prefix, tables):
+            r = _sub_runs(r, prefix, length)
+            add(shard, [r.gram, r.whole], ids[r.row], r.low - offs[r.row])
+
+    def windows(shard, ids, offs, data, prefix, add, tables=()) -> None:
+        for _, r in found_runs(shard, ids, offs, data, prefix, tables):
             run, start = _windows(r)
             add(shard, [r.gram[run], K.span_hash(prefix, start, start + length)],
                 ids[r.row[run]], start - offs[r.row[run]])
 
-    keys = ["gram", "window"]
-    third = materialize(_rows(copy, ("gram", "window"), windows), "window-intervals")
-    again = (third.groupBy(*keys).agg(F.min(F.struct("id", "place")).alias("first"), F.sum("n").alias("n"))
-             .where("n > 1").select(*keys, F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place")))
-    window_table = _handed_back(third.join(again, keys).select("shard", "window", "first_id", "first_place"), "open-windows")
+    def open_grams() -> str:
+        rows = _rows(copy, ("gram",), grams).select("shard", "gram", "n")
+        total = rows.withColumn("total", F.sum("n").over(W.partitionBy("gram")))
+        return _handed_back(total.where("total > 1").select("shard", "gram"), "open-grams")
+
+    def open_runs(emit: Callable, name: str) -> str:
+        """The runs of open blocks: first place, and whether the block holds different runs."""
+        keys = ["gram", "whole"]
+        rows = materialize(_rows(copy, ("gram", "whole"), emit), f"{name}-intervals")
+        blocks = rows.groupBy(*keys).agg(F.min(F.struct("id", "place")).alias("first"), F.sum("n").alias("n"))
+        # least and greatest are combined map-side: a gram with many runs is one row per task
+        mixed = rows.groupBy("gram").agg((F.min("whole") < F.max("whole")).alias("mixed"))
+        state = blocks.join(mixed, "gram").where("n > 1 or mixed").select(
+            *keys, F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"), "mixed")
+        return _handed_back(rows.join(state, keys).select(
+            "shard", "whole", "first_id", "first_place", "mixed"), name)
+
+    def open_windows(emit: Callable) -> str:
+        # a window is one row per shard, so a key's rows are few however often it occurs: one
+        # exchange and a sort find its first place and whether it is alone
+        same = W.partitionBy("gram", "window")
+        rows = _rows(copy, ("gram", "window"), emit).select(
+            "shard", "window", F.first("id").over(same.orderBy("id", "place")).alias("first_id"),
+            F.first("place").over(same.orderBy("id", "place")).alias("first_place"), F.sum("n").over(same).alias("total"))
+        return _handed_back(rows.where("total > 1").drop("total"), "open-windows")
+
+    gram_table = open_grams()
+    _release(copy)
+    run_table = open_runs(partial(wholes, table=_Shards(gram_table, "gram")), "open-runs")
+    _release(copy)
+    tables = (run_table,)
+    part_table = open_runs(partial(parts, tables=[_Shards(t, "whole") for t in tables]), "open-parts")
+    _release(copy)
+    tables = (run_table, part_table)
+    window_table = open_windows(partial(windows, tables=[_Shards(t, "whole") for t in tables]))
+    _release(copy)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, ones = _Shards(run_table, "whole"), _Shards(window_table, "window")
+        runs, ones = [_Shards(t, "whole") for t in tables], _Shards(window_table, "window")
         for shard, ids, offs, data, prefix, piece in _pieces(batches):
             cover = np.zeros(len(data) + 1, np.int32)
-            for r in runs_of(data, offs, prefix, length, gram):
-                later, firsts = split(runs, shard, ids, offs, r)
-                np.add.at(cover, later.low, 1)
-                np.add.at(cover, later.high + length, -1)
+            for later, firsts in found_runs(shard, ids, offs, data, prefix, runs):
+                for r in later:
+                    np.add.at(cover, r.low, 1)
+                    np.add.at(cover, r.high + length, -1)
                 run, start = _windows(firsts)
                 found = ones.find(shard, K.span_hash(prefix, start, start + length))
                 run, start, found = run[found >= 0], start[found >= 0], found[found >= 0]
                 if len(found):
                     row = firsts.row[run]
-                    start = start[~_first(found, ones.of(shard), ids[row], start - offs[row])]
+                    place = start - offs[row]
+                    start = start[~_first(found, ones.of(shard), ids[row], place)]
                     np.add.at(cover, start, 1)
                     np.add.at(cover, start + length, -1)
             gone = np.cumsum(cover[:-1]) > 0
@@ -283,6 +335,13 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
     return arrow_map(copy, cut, "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
+def _release(df: DataFrame) -> None:
+    """Let the driver collect the finished round, so that the cleaner removes its shuffle
+    files now and not at its next periodic collection."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.java.lang.System.gc()
+
+
 def _cut_rows(piece: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, gone: np.ndarray) -> pa.RecordBatch:
     edge = np.zeros(len(data) + 1, bool)
     edge[offs] = True
