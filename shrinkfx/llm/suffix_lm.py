@@ -1,36 +1,42 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-A state is a context of up to ``depth`` words. Contexts seen at least ``context_share``
-of all tokens are candidates; a candidate is retained if its next-word distribution
-diverges enough from that of its suffix (count times Kullback-Leibler divergence, in
-bits, against a price per stored next word), or if a longer retained context needs it.
-Next words seen at least ``edge_share`` of all tokens after a context are stored with
-absolute discounting; the mass taken off goes to the suffix's distribution, down to
-smoothed word counts at the root. A text is scored by the longest retained state at each
+A state is a context of up to ``depth`` words. Next words seen ``least_edge`` times after
+a context are stored with absolute discounting; the mass taken off goes to the suffix's
+distribution, down to smoothed word counts at the root. A context is retained if its
+next-word distribution diverges enough from that of its suffix (count times
+Kullback-Leibler divergence, in bits, against a price per stored next word), or if a
+longer retained context needs it. A text is scored by the longest retained state at each
 word.
 
-Counts cover all training documents and are summed in Spark. The shares bound the tree
-whatever the corpus: at most 1 / context_share states and 1 / edge_share stored next
-words per length, and 1 / word_share root words are broadcast. All rarer words keep
-exact counts in a table that is joined by word.
+Counts cover all training documents; a gram's least count is the same at every corpus
+size, so the tree grows with the input. Its tables are Spark tables. As retained states
+and stored grams are closed under suffixes, a text's score is the sum of one number per
+gram in it: the log of the mass a state leaves, and what a stored gram adds to its
+suffix's log probability. Frequent grams (at most 1 / context_share states and 1 /
+edge_share next words per length, 1 / word_share root words) are broadcast; all others
+are joined by key. The shares decide only which way a gram is looked up. A bitmap of
+fixed size tells which keys need not be asked for; it may only err by asking in vain.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shrinkfx.llm import textkit as K
 from shrinkfx.llm.frames import arrow_map
-from shrinkfx.session import materialize
+from shrinkfx.session import materialize, stage
 
 END = np.uint64(0xE4D0F7EC575EED01)
 MERGE_WORDS = 4_000_000
+FILTER_BITS = 27
+UNITS = 1e10  # sums of logs are taken in whole units: equal rows get equal scores
 
 
 @dataclass(frozen=True)
@@ -47,12 +53,12 @@ class Shape:
 
 @dataclass
 class Level:
-    """States of one length, sorted by context hash."""
+    """Frequent states of one length and frequent grams one word longer, sorted by key."""
 
     states: np.ndarray
     keep: np.ndarray  # log10 of the mass left to the suffix
-    edges: np.ndarray  # (state number << 32 | next word number), sorted
-    prob: np.ndarray
+    edges: np.ndarray
+    gain: np.ndarray  # log10 of what the gram's probability is above the mass times its suffix's
 
 
 @dataclass
@@ -62,6 +68,7 @@ class Tree:
     levels: list[Level]
     tokens: int
     distinct: int
+    rest: np.ndarray  # bitmap of the keys that are in the table alone
 
 
 def token_stream(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,10 +98,38 @@ def _word_numbers(words: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return find(words, uniq)[back]
 
 
-def _contexts(tokens: np.ndarray, place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions that have k words before them, hash of those words)."""
-    at = np.flatnonzero(place >= k)
-    return at, K.gram_hash(tokens, at - k, k)
+def _pair(ctx: np.ndarray, sub: np.ndarray) -> np.ndarray:
+    """Key of the gram whose words but the last have key ``ctx``, and but the first ``sub``."""
+    return K.mix(ctx * np.uint64(0x9FB21C651E98DF25) + K.mix(sub ^ np.uint64(0x2545F4914F6CDD1D)))
+
+
+def _grams(tokens: np.ndarray, place: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1 to ``longest`` words: (places at which a gram ends, key of the gram that ends at
+    each place; zero where none does)."""
+    key = tokens
+    yield np.arange(len(tokens)), key
+    for k in range(1, longest):
+        at = np.flatnonzero(place >= k)
+        longer = np.zeros(len(tokens), np.uint64)
+        longer[at] = _pair(key[at - 1], key[at])
+        key = longer
+        yield at, key
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bitmap of a table's keys, of the same size whatever the table holds."""
+    slot = f"shiftrightunsigned(key, {64 - FILTER_BITS})"
+    got = (keys.select(F.expr(f"shiftright({slot}, 6)").alias("at"), F.expr(f"shiftleft(1L, cast({slot} & 63 as int))").alias("bit"))
+           .groupBy("at").agg(F.bit_or("bit").alias("bits"))).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[np.asarray(got.column("at").combine_chunks())] = np.asarray(got.column("bits").combine_chunks()).view(np.uint64)
+    return out
+
+
+def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key can be in the bitmap's table."""
+    slot = keys >> np.uint64(64 - FILTER_BITS)
+    return ((bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
 class _Summer:
@@ -144,116 +179,153 @@ def _counted(docs: DataFrame, text_col: str, keys_of) -> DataFrame:
     return arrow_map(texts, run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _collect(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted keys, counts) of a table whose size the shares bound."""
-    got = table.select("key", "n").toArrow()
-    keys, n = np.asarray(got.column("key").combine_chunks()).view(np.uint64), np.asarray(got.column("n").combine_chunks())
+def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter: np.ndarray) -> DataFrame:
+    """(ctx, sub, key, n) of the grams of ``k`` + 1 words seen ``least`` times. ``shorter``
+    is the bitmap of the grams of ``k`` words seen so often: no other can be inside one."""
+    known = docs.sparkSession.sparkContext.broadcast(shorter)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            ctx, sub = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in (zip(*held) if held else ((), ())))
+            order = np.argsort(_pair(ctx, sub))
+            ctx, sub = ctx[order], sub[order]
+            first = np.flatnonzero(np.concatenate([np.ones(min(len(ctx), 1), bool), (ctx[1:] != ctx[:-1]) | (sub[1:] != sub[:-1])]))
+            n = np.diff(np.append(first, len(ctx)))
+            for i in range(0, len(first), 1 << 16):
+                at = first[i: i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(ctx[at].view(np.int64)), pa.array(sub[at].view(np.int64)),
+                                                  pa.array(n[i: i + (1 << 16)])], names=["ctx", "sub", "n"])
+
+        for batch in batches:
+            for part in K.slices(batch, "text"):
+                tokens, _, place = token_stream(*K.flat(part.column("text")))
+                *_, (at, key) = _grams(tokens, place, k)
+                there = _maybe(known.value, key)
+                at = np.flatnonzero(place >= k)
+                at = at[there[at] & there[at - 1]]
+                held.append((key[at - 1], key[at]))
+                size += len(at)
+                if size > MERGE_WORDS:
+                    yield from rows()
+                    held, size = [], 0
+        yield from rows()
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ctx, sub = (np.asarray(batch.column(c)).view(np.uint64) for c in ("ctx", "sub"))
+            yield pa.RecordBatch.from_arrays([batch.column("ctx"), batch.column("sub"), pa.array(_pair(ctx, sub).view(np.int64)),
+                                              batch.column("n")], names=["ctx", "sub", "key", "n"])
+
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    counted = arrow_map(texts, run, "ctx long, sub long, n long").groupBy("ctx", "sub").agg(F.sum("n").alias("n"))
+    return arrow_map(counted.where(F.col("n") >= least), named, "ctx long, sub long, key long, n long")
+
+
+def _collect(table: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted keys, values) of a table whose size the shares bound."""
+    got = table.select("key", value).toArrow()
+    keys, n = np.asarray(got.column("key").combine_chunks()).view(np.uint64), np.asarray(got.column(value).combine_chunks())
     order = np.argsort(keys)
     return keys[order], n[order].astype(np.float64)
 
 
+def _release(spark: SparkSession, *folders: str) -> None:
+    """Let go of the shuffle files of finished steps, and of stage tables that are read no more."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> tuple[Tree, DataFrame]:
-    """The tree and the table (key, n) of all word counts. No rows: an empty tree."""
+    """The tree's frequent part and the table (key, n, value) of all word counts and of the
+    log10 that each gram outside that part adds, in units. No rows: an empty tree."""
     spark = docs.sparkSession
-    counts = materialize(_counted(docs, text_col, lambda tokens, place: tokens), "lm-words")
-    total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    words_n = materialize(_counted(docs, text_col, lambda tokens, place: tokens), "lm-words")
+    total = words_n.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(total["n"] or 0), int(total["v"])
-    words, c = _collect(counts.where(F.col("n") >= n * shape.word_share))
-    root = (c + shape.add) / (n + shape.add * (v + 1))
-    # contexts of one word: never the end
-    usable = (c >= n * shape.context_share) & (words != END)
-    frequent = np.sort(words[usable])
-    context = K.gram_hash(frequent, np.arange(len(frequent)), 1)
-    order = np.argsort(context)
-    states, size = context[order], c[usable][order]
-    last = np.flatnonzero(usable)[order]  # number of each state's last word
-    suffix = np.full(len(states), -1)
-    spelled = frequent[order][:, None]  # the states' words
-    levels: list[dict] = []
+    words, c = _collect(words_n.where(F.col("n") >= n * shape.word_share), "n")
+    mass = n + shape.add * (v + 1)
+    least = max(shape.least_edge, 1)
+    below = words_n.where(F.col("n") >= least).select(
+        "key", "n", ((F.col("n") + shape.add) / mass).alias("p"), F.lit(None).cast("long").alias("sub"))
+    found: list[tuple[DataFrame, DataFrame]] = []
+    done: list[str] = []
     for k in range(1, shape.depth + 1):
-        if len(states) == 0:
-            break
-        known, following = spark.sparkContext.broadcast(states), spark.sparkContext.broadcast(words)
-
-        def pairs(tokens: np.ndarray, place: np.ndarray, k=k, known=known, following=following) -> np.ndarray:
-            at, h = _contexts(tokens, place, k)
-            state = find(known.value, h)
-            at, state = at[state >= 0], state[state >= 0]
-            nxt = _word_numbers(following.value, tokens[at])
-            return (state[nxt >= 0].astype(np.uint64) << np.uint64(32)) | nxt[nxt >= 0].astype(np.uint64)
-
-        keys, m = _collect(_counted(docs, text_col, pairs).where(F.col("n") >= max(shape.least_edge, n * shape.edge_share)))
-        state, nxt = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        share = np.maximum(m - shape.discount, 0) / size[state]
-        left = np.maximum(1 - np.bincount(state, share, minlength=len(states)), 1e-12)
-        below = _probability(levels, suffix[state], nxt, root)
-        prob = share + left[state] * below
-        gain = np.bincount(state, m * np.log2(prob / below), minlength=len(states))
-        worth = gain > shape.bits_per_edge * np.bincount(state, minlength=len(states))
-        levels.append({"states": states, "left": left, "keys": keys, "share": share, "suffix": suffix, "worth": worth})
-        # longer contexts: a state, preceded by a word: (state, next) pairs seen from their end
-        longer = (m >= n * shape.context_share) & (words[nxt] != END)
-        spelled_next = np.concatenate([spelled[state[longer]], words[nxt[longer]][:, None]], axis=1)
-        h = K.gram_hash(spelled_next.reshape(-1), np.arange(len(spelled_next)) * (k + 1), k + 1)
-        tail = K.gram_hash(spelled_next.reshape(-1), np.arange(len(spelled_next)) * (k + 1) + 1, k) if len(h) else h
-        order = np.argsort(h)
-        order = order[find(states, tail[order]) >= 0]
-        suffix = find(states, tail[order])
-        states, size, spelled = h[order], m[longer][order], spelled_next[order]
-    return Tree(words, root, _pruned(levels), n, v), counts
-
-
-def _probability(levels: list[dict], state: np.ndarray, nxt: np.ndarray, root: np.ndarray) -> np.ndarray:
-    """P(next | state of the last level), by way of its suffixes."""
-    p = root[nxt].copy()
-    chain = []
-    for level in reversed(levels):
-        chain.append((level, state))
-        state = level["suffix"][state]
-    for level, s in reversed(chain):
-        at = find(level["keys"], (s.astype(np.uint64) << np.uint64(32)) | nxt.astype(np.uint64))
-        p = np.where(at >= 0, level["share"][at] if len(level["share"]) else 0.0, 0.0) + level["left"][s] * p
-    return p
-
-
-def _pruned(levels: list[dict]) -> list[Level]:
-    """Only states that pass the divergence test or lead to one that does."""
-    kept = [level["worth"].copy() for level in levels]
-    for k in range(len(levels) - 1, 0, -1):
-        kept[k - 1][levels[k]["suffix"][kept[k]]] = True
-    out = []
-    for level, keep in zip(levels, kept):
-        new = np.cumsum(keep) - 1
-        old = (level["keys"] >> np.uint64(32)).astype(np.int64)
-        held = keep[old] if len(old) else np.zeros(0, bool)
-        keys = (new[old[held]].astype(np.uint64) << np.uint64(32)) | (level["keys"][held] & np.uint64(0xFFFFFFFF))
-        out.append(Level(level["states"][keep], np.log10(level["left"][keep]), keys, level["share"][held]))
-    return out
+        grams, folder = stage(_counted_grams(docs, text_col, k, least, _bitmap(below)), f"lm-grams-{k}")
+        _release(spark)
+        contexts = grams.groupBy("ctx").agg(F.sum(F.greatest(F.col("n") - shape.discount, F.lit(0.0))).alias("stored")).join(
+            below.select(F.col("key").alias("ctx"), F.col("n").alias("size"), F.col("sub").alias("suffix")), "ctx").select(
+            "ctx", "size", "suffix", F.greatest(1 - F.col("stored") / F.col("size"), F.lit(1e-12)).alias("left"))
+        contexts, at = stage(contexts, f"lm-contexts-{k}")
+        done.append(at)
+        share = F.greatest(F.col("n") - shape.discount, F.lit(0.0)) / F.col("size")
+        # a gram's suffix is seen at least as often, so both joins find their row
+        edges = (grams.join(contexts.select("ctx", "size", "left"), "ctx")
+                 .join(below.select(F.col("key").alias("sub"), F.col("p").alias("below")), "sub")
+                 .withColumn("p", share + F.col("left") * F.col("below")))
+        edges, at = stage(edges.select(
+            "key", "ctx", "sub", "n", "p", F.round(F.log10(F.col("p") / (F.col("left") * F.col("below"))) * UNITS).cast("long").alias("value"),
+            F.round(F.col("n") * F.log2(F.col("p") / F.col("below")) * 1e4).cast("long").alias("bits")), f"lm-edges-{k}")
+        done.append(at)
+        _release(spark, folder)
+        worth = edges.groupBy("ctx").agg((F.sum("bits") > F.count(F.lit(1)) * shape.bits_per_edge * 1e4).alias("worth"))
+        found.append((contexts.join(worth, "ctx"), edges))
+        below = edges.select("key", "n", "p", "sub")
+    levels, rest = _parts(found, n, shape, done)
+    table = words_n.select("key", "n", F.lit(None).cast("long").alias("value"))
+    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    if rest is not None:
+        rest = materialize(rest, "lm-rest")
+        del found, below, contexts, edges, grams, worth
+        _release(spark, *done)
+        bitmap = _bitmap(rest)
+        table = table.union(rest.select("key", F.lit(None).cast("long"), "value"))
+    return Tree(words, (c + shape.add) / mass, levels, n, v, bitmap), table
+
+
+def _parts(found: list[tuple[DataFrame, DataFrame]], n: int, shape: Shape, done: list[str]) -> tuple[list[Level], DataFrame | None]:
+    """The frequent part of each length, and (key, value) of all other grams. Only states
+    that pass the divergence test or are a suffix of one that does, and their grams. The
+    folders of the tables written are added to ``done``."""
+    levels, rest, needed = [], None, None
+    for k in range(len(found), 0, -1):
+        states, edges = found[k - 1]
+        kept = states.where("worth").select("ctx")
+        kept, at = stage(states.join((kept if needed is None else kept.union(needed)).distinct(), "ctx", "left_semi"), f"lm-kept-{k}")
+        done.append(at)
+        needed = kept.select(F.col("suffix").alias("ctx"))
+        state_rows = kept.select(F.col("ctx").alias("key"), F.col("size").alias("n"), F.round(F.log10("left") * UNITS).cast("long").alias("value"))
+        edge_rows = edges.join(kept.select("ctx"), "ctx", "left_semi").select("key", "n", "value")
+        often = [(state_rows, n * shape.context_share), (edge_rows, n * shape.edge_share)]
+        (state, keep), (edge, gain) = (_collect(rows.where(F.col("n") >= least), "value") for rows, least in often)
+        levels.append(Level(state, keep / UNITS, edge, gain / UNITS))
+        _release(states.sparkSession)
+        for rows, least in often:
+            rows = rows.where(F.col("n") < least).select("key", "value")
+            rest = rows if rest is None else rest.union(rows)
+    return levels[::-1], None if rest is None else rest.groupBy("key").agg(F.sum("value").alias("value"))
 
 
 def _scores(tree: Tree, tokens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number or -1, log10 root probability, log10 model probability) of each token;
-    for a rare word the root is left out of both."""
+    """(word number or -1, log10 root probability, log10 model probability) of each token by
+    the frequent part of the tree; for a rare word the root is left out of both."""
     number = _word_numbers(tree.words, tokens)
-    common = number >= 0
-    root = np.where(common, tree.root[number] if len(tree.root) else 1.0, 1.0)
-    p, shift = root.copy(), np.zeros(len(tokens))
-    alive = np.ones(len(tokens), bool)
-    for k, level in enumerate(tree.levels, 1):
-        at, h = _contexts(tokens, place, k)
-        inside = alive[at]
-        at, h = at[inside], h[inside]
-        state = find(level.states, h)
-        at, state = at[state >= 0], state[state >= 0]
-        alive = np.zeros(len(tokens), bool)
-        alive[at] = True
-        edge = find(level.edges, (state.astype(np.uint64) << np.uint64(32)) | np.maximum(number[at], 0).astype(np.uint64))
-        edge = np.where(common[at], edge, -1)
-        share = np.where(edge >= 0, level.prob[edge] if len(level.prob) else 0.0, 0.0)
-        left = level.keep[state]
-        p[at] = np.where(common[at], share + 10.0 ** left * p[at], p[at])
-        shift[at] += np.where(common[at], 0.0, left)
-    return number, np.log10(root), np.log10(p) + shift
+    root = np.log10(np.where(number >= 0, tree.root[number] if len(tree.root) else 1.0, 1.0))
+    model = root.copy()
+    state = None
+    for k, (at, key) in enumerate(_grams(tokens, place, len(tree.levels) + 1)):
+        if k:
+            level = tree.levels[k - 1]
+            for table, value, asked in ((level.states, level.keep, state[at - 1]), (level.edges, level.gain, key[at])):
+                hit = find(table, asked)
+                model[at[hit >= 0]] += value[hit[hit >= 0]]
+        state = key
+    return number, root, model
 
 
 def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> DataFrame:
@@ -274,6 +346,11 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
             for part in K.slices(batch, "_lm_text"):
                 tokens, per_row, place = token_stream(*K.flat(part.column("_lm_text")))
                 number, base, model = _scores(t, tokens, place)
+                asked = np.zeros((len(tokens), len(t.levels) + 1), bool)
+                keys = np.zeros(asked.shape, np.uint64)
+                for k, (at, key) in enumerate(_grams(tokens, place, asked.shape[1])):
+                    keys[:, k] = key
+                    asked[at, k] = _maybe(t.rest, key[at])
                 row, n_rows = K.row_of(per_row), len(per_row)
                 rare = np.flatnonzero(number < 0)
                 # one entry per row and rare word: sorted by row, then hash
@@ -281,29 +358,35 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
                 r, h = row[rare][order], tokens[rare][order]
                 new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (h[1:] != h[:-1])])) if len(r) else np.zeros(0, np.int64)
                 ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(r[new], minlength=n_rows))]), pa.int32())
+                grams = np.concatenate([[0], np.cumsum(np.bincount(row, asked.sum(axis=1), minlength=n_rows).astype(np.int64))])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in carried] + [
                         pa.array(per_row), pa.array(np.bincount(row[number >= 0], minlength=n_rows)),
                         pa.array(np.bincount(row, base, minlength=n_rows)), pa.array(np.bincount(row, model, minlength=n_rows)),
                         pa.ListArray.from_arrays(ends, pa.array(h[new].view(np.int64))),
-                        pa.ListArray.from_arrays(ends, pa.array(np.diff(np.append(new, len(r))), pa.int32()))],
+                        pa.ListArray.from_arrays(ends, pa.array(np.diff(np.append(new, len(r))), pa.int32())),
+                        pa.ListArray.from_arrays(pa.array(grams, pa.int32()), pa.array(keys[asked].view(np.int64)))],
                     names=[*carried, *_PART])
 
-    _PART = ("_lm_tokens", "_lm_known", "_lm_base", "_lm_score", "_lm_rare", "_lm_times")
+    _PART = ("_lm_tokens", "_lm_known", "_lm_base", "_lm_score", "_lm_rare", "_lm_times", "_lm_grams")
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]] + [
-        "_lm_tokens long, _lm_known long, _lm_base double, _lm_score double, _lm_rare array<long>, _lm_times array<int>"])
+        "_lm_tokens long, _lm_known long, _lm_base double, _lm_score double, _lm_rare array<long>, _lm_times array<int>, _lm_grams array<long>"])
     part = materialize(arrow_map(rows, run, schema).withColumn("_lm_row", F.monotonically_increasing_id()), "lm-scored")
     rare = part.select("_lm_row", F.explode(F.arrays_zip("_lm_rare", "_lm_times")).alias("x")).select(
         "_lm_row", F.col("x._lm_rare").alias("key"), F.col("x._lm_times").alias("times"))
     mass = float(tree.tokens + shape.add * (tree.distinct + 1))
-    looked = rare.join(counts, "key", "left")
+    looked = rare.join(counts.where("n is not null"), "key", "left")
     seen: Column = F.coalesce("n", F.lit(0))
     per_row = looked.groupBy("_lm_row").agg(
         F.sum(F.col("times") * F.log10((seen + shape.add) / mass)).alias("_lm_rest"),
         F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("_lm_more"))
+    # no key here is frequent, so none is hot; the table's keys are distinct
+    asked = part.select("_lm_row", F.explode("_lm_grams").alias("key"))
+    added_up = (asked.join(counts.where("value is not null").select("key", "value").hint("shuffle_hash"), "key")
+                .groupBy("_lm_row").agg(F.sum("value").alias("_lm_value")))
     rest = F.coalesce("_lm_rest", F.lit(0.0))
-    return (part.drop("_lm_rare", "_lm_times").join(per_row, "_lm_row", "left")
+    return (part.drop("_lm_rare", "_lm_times", "_lm_grams").join(per_row, "_lm_row", "left").join(added_up, "_lm_row", "left")
             .select(*[F.col(f"`{c}`") for c in carried], F.col("_lm_tokens").alias("n_tokens"),
                     (F.col("_lm_known") + F.coalesce("_lm_more", F.lit(0))).alias("n_known"),
                     F.lit(tree.tokens).cast("long").alias("train_tokens"),
-                    (F.col("_lm_base") + rest).alias("base_score"), (F.col("_lm_score") + rest).alias("score")))
+                    (F.col("_lm_base") + rest).alias("base_score"), (F.col("_lm_score") + rest + F.coalesce("_lm_value", F.lit(0)) / UNITS).alias("score")))

@@ -155,3 +155,56 @@ def test_lm_edges(hostile, nothing, all_null):
     empty, none = SL.train(nothing)
     assert all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score)
                for r in SL.score(hostile, empty, none).collect())
+
+
+def test_rare_contexts_count_at_any_corpus_size(spark):
+    """Contexts and next words seen twice are in the tree however large the rest is, and the
+    joined path gives what the broadcast one gives."""
+    twice = " ".join(f"zig{i} zag{i} zug{i} zog{i}" for i in range(30))
+    texts = [twice] * 2 + [prose(k, 400) for k in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5).cache()
+    got = []
+    for shape in (SL.Shape(), SL.Shape(context_share=0.0, edge_share=0.0), SL.Shape(context_share=2.0, edge_share=2.0)):
+        tree, counts = SL.train(docs, shape=shape)
+        got.append(({r.doc_id: r for r in SL.score(docs, tree, counts, shape=shape).collect()}, tree))
+    assert got[0][0][0].train_tokens > 100_000
+    assert got[0][0][0].score > got[0][0][0].base_score + 100
+    assert all(len(x.states) > 0 for x in got[1][1].levels) and all(len(x.states) == 0 for x in got[2][1].levels)
+    for i in range(len(texts)):
+        assert got[0][0][i].score == pytest.approx(got[1][0][i].score, rel=1e-8)
+        assert got[2][0][i].score == pytest.approx(got[1][0][i].score, rel=1e-8)
+
+
+def test_scores_against_a_plain_suffix_tree(spark):
+    texts = ["the cat sat on the mat", "a dog sat on a log", ""] * 20 + [prose(k, 25) for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    shape = SL.Shape()
+    got = {r.doc_id: r.score for r in SL.score(docs, *SL.train(docs, shape=shape), shape=shape).collect()}
+    streams = [[*words(t, True), b" "] for t in texts]
+    count, following = {}, {}
+    for s in streams:
+        for i, w in enumerate(s):
+            for k in range(min(i, 3) + 1):
+                gram = tuple(s[i - k: i + 1])
+                count[gram] = count.get(gram, 0) + 1
+    for gram, m in count.items():
+        if len(gram) > 1 and m >= 2:
+            following.setdefault(gram[:-1], {})[gram[-1]] = m
+    n, v = sum(map(len, streams)), len({w for s in streams for w in s})
+
+    def p(ctx, w, states):
+        while ctx and ctx not in states:
+            ctx = ctx[1:]
+        if not ctx:
+            return (count.get((w,), 0) + 0.1) / (n + 0.1 * (v + 1))
+        stored = following[ctx]
+        left = 1 - sum(m - 0.5 for m in stored.values()) / count[ctx]
+        return max(stored.get(w, 0) - 0.5, 0) / count[ctx] + left * p(ctx[1:], w, states)
+
+    kept = {c for c, stored in following.items()
+            if sum(m * math.log2(p(c, w, following) / p(c[1:], w, following)) for w, m in stored.items()) > 4 * len(stored)}
+    kept |= {c[k:] for c in kept for k in range(1, len(c))}
+    assert {len(c) for c in kept} == {1, 2, 3}
+    for i, s in enumerate(streams):
+        want = sum(math.log10(p(tuple(s[max(0, j - 3): j]), w, kept)) for j, w in enumerate(s))
+        assert got[i] == pytest.approx(want, rel=1e-7)
