@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from shrinkfx.llm import exact_dedup, minhash, mixing, packing, quality
 from shrinkfx.session import materialize
 
+#: the stage links at a similarity of 0.8; op4 has its own threshold of 0.85
+NEAR = minhash.Sketch(percent=80)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
@@ -22,7 +25,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_smallest(docs)
+    return minhash.keep_smallest(docs, NEAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from conftest import hostile_rows
+from conftest import hostile_rows, prose
 from shrinkfx.llm import chat as CH
 from shrinkfx.llm import packing as PK
 from shrinkfx.llm import queries as Q
@@ -279,3 +279,17 @@ def test_pipeline_run_equals_its_stages(spark):
 def test_stages_take_empty_documents(spark, nothing):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, SF001).collect() == []
+
+
+def test_pipeline_near_dedup_links_from_eighty_percent(spark):
+    from brute import near_components
+    rows = []
+    for k in range(20):  # similarities from 0.99 down to 0.70
+        ws = prose(900 + k, 150).split()[:150]
+        rows += [(2 * k, " ".join(ws)), (2 * k + 1, " ".join(ws[:149 - 2 * k]))]
+    at_80, _ = near_components(rows, 80)
+    at_85, _ = near_components(rows, 85)
+    assert at_80 != at_85
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert {r.doc_id for r in stage(spark, docs, SF001).collect()} == set(at_80.values())
