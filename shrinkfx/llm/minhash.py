@@ -269,6 +269,19 @@ def judge(docs: DataFrame, sketch: Sketch = Sketch(), id_col: str = "doc_id", te
 
 def keep_smallest(docs: DataFrame, sketch: Sketch = Sketch(), id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, columns as they were."""
+    """The rows of ``docs`` whose id is the smallest of their component, columns as they were.
+    A row without id stays if no row with an id has an equal set; of several such rows with
+    equal sets one stays."""
     dropped = judge(docs, sketch, id_col, text_col).where("not kept").select(F.col("id").alias("_nd_id")).distinct()
-    return own(docs.join(dropped, F.col(f"`{id_col}`") == F.col("_nd_id"), "left_anti"), docs.columns)
+    kept = own(docs.join(dropped, F.col(f"`{id_col}`") == F.col("_nd_id"), "left_anti"), docs.columns)
+    unnamed = docs.where(F.col(f"`{id_col}`").isNull())
+    if unnamed.isEmpty():
+        return kept
+    unnamed = materialize(unnamed.withColumn("_nd_row", F.monotonically_increasing_id()), "minhash-unnamed")
+    key = ["n", "low", "high"]
+    classes = materialize(sketches(unnamed, sketch, "_nd_row", text_col).select("id", *key), "minhash-unnamed-sets")
+    named = sketches(docs.where(F.col(f"`{id_col}`").isNotNull()), sketch, id_col, text_col).select(*key).distinct()
+    stay = (classes.where("n > 0").join(named, key, "left_anti").groupBy(*key).agg(F.min("id").alias("_nd_row")).select("_nd_row")
+            .union(classes.where("n = 0").select(F.col("id").alias("_nd_row"))))
+    return kept.where(F.col(f"`{id_col}`").isNotNull()).union(
+        own(unnamed.join(stay, "_nd_row", "left_semi"), docs.columns))

@@ -152,3 +152,14 @@ def test_repeated_spans_edges(spark, hostile, nothing, all_null):
     assert len(got) == len(hostile_rows())
     by = {r.id: r for r in got if r.id in (10, 11)}
     assert all(len(bytes(r.kept)) == 0 for r in by.values())
+
+
+def test_rows_without_id_go_by_their_sets(spark):
+    text, alone = prose(61, 80), prose(62, 80)
+    rows = [(5, text), (None, text.replace(" ", "\t")), (None, text.replace("b", "B")), (None, alone), (None, alone.replace(" ", "\t")), (None, alone + " more"),
+            (None, None), (None, " "), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, None if r.text is None else " ".join(r.text.split())) for r in MH.keep_smallest(docs).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [
+        (5, " ".join(text.split())), (None, " ".join(alone.split())), (None, " ".join(alone.split()) + " more"),
+        (None, None), (None, ""), (6, None)]))
