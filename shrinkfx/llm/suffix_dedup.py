@@ -1,7 +1,9 @@
-"""Removal of repeated passages by merging shard suffix structures in rounds.
+"""Removal of repeated passages by content-defined hash grouping in rounds.
 
-The method is the merge of shard Burrows-Wheeler transforms by iterative interleave
-refinement: suffixes of all shards stand in blocks of equal first symbols, a round
+This takes the place of the dealt method and is not it: no Burrows-Wheeler transform,
+suffix order, interleave vector or common-prefix array is built, windows are anchored by
+their least gram hash and hashes are grouped by key. What is kept of the merge of shard
+transforms by iterative interleave refinement is its shape: suffixes of all shards stand in blocks of equal first symbols, a round
 splits blocks by one more symbol, blocks of one suffix are settled and leave, and what
 still shares a block at the end is a repeated interval with a known common prefix. No
 shard's suffixes are sorted again; a round only merges the shards' intervals.
