@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import quality, words
-from conftest import hostile_rows
+from samples import hostile_rows
 from shrinkfx.llm import exact_dedup as XD
 from shrinkfx.llm import mixing as MX
 from shrinkfx.llm import quality as QL
@@ -146,7 +146,7 @@ def test_quality_bands(spark):
     import base64
     import random
 
-    from conftest import prose
+    from samples import prose
     noise = base64.b85encode(random.Random(5).randbytes(6000)).decode()
     noise = " ".join(noise[i:i + 7] for i in range(0, len(noise), 7))
     r = random.Random(9)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from brute import crc, unigrams, words
-from conftest import hostile_rows, prose
+from samples import hostile_rows, prose
 from shrinkfx.llm import langid as LI
 from shrinkfx.llm import queries as Q
 from shrinkfx.llm import suffix_lm as SL

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from brute import near_components, repeated, shingles
-from conftest import hostile_rows, prose
+from samples import hostile_rows, prose
 from shrinkfx.llm import minhash as MH
 from shrinkfx.llm import suffix_dedup as SD
 from shrinkfx.llm import textkit as K

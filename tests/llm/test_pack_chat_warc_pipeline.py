@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from conftest import hostile_rows, prose
+from samples import hostile_rows, prose
 from shrinkfx.llm import chat as CH
 from shrinkfx.llm import packing as PK
 from shrinkfx.llm import queries as Q
@@ -259,7 +259,7 @@ def test_pipeline_stages(spark):
     assert not any(quality(texts[i])[-1] for i in good) and len(good) > 0.7 * len(texts)
     last = {texts[i]: i for i in sorted(good)}
     assert sorted(exact) == sorted(last.values())
-    component, _ = near_components([(i, texts[i]) for i in exact])
+    component, _ = near_components([(i, texts[i]) for i in exact], 80)
     assert sorted(near) == sorted({c for c in component.values()})
     assert set(mixed) <= set(near) and max(Counter(mixed).values()) <= 2
     pieces = corpus_pipeline.STAGES[-1][1](spark, out, SF001).collect()
