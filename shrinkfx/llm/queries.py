@@ -12,8 +12,11 @@ from shrinkfx.llm import exact_dedup as XD
 from shrinkfx.llm import langid as LI
 from shrinkfx.llm import minhash as MH
 from shrinkfx.llm import mixing as MX
+from shrinkfx.llm import nra as NR
 from shrinkfx.llm import packing as PK
+from shrinkfx.llm import product_codes as PC
 from shrinkfx.llm import quality as QL
+from shrinkfx.llm import stable_search as SS
 from shrinkfx.llm import suffix_dedup as SD
 from shrinkfx.llm import suffix_lm as SL
 from shrinkfx.llm import warc as WA
@@ -97,6 +100,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return XD.exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    found = SS.search(rows, F.col("id") % 20 == 0, k=20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op12_nra_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NR.rank(_table(spark, sf_dir, "documents", "doc_id", "text"),
+                   _table(spark, sf_dir, "benchmark", "item_id", "text"), k=20)
+
+
+def op13_grid_cell_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    return PC.encode(rows).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_curriculum": op1_mix_curriculum,
     "op2_compression_bands": op2_compression_bands,
@@ -108,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_tree_scores": op8_suffix_tree_scores,
     "op9_wacz_pages": op9_wacz_pages,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_stable_projections": op11_stable_projections,
+    "op12_nra_ranked_search": op12_nra_ranked_search,
+    "op13_grid_cell_codes": op13_grid_cell_codes,
 }
 
 
@@ -128,7 +150,64 @@ def _due_sql(share: str) -> str:
     return f"CASE rnk % {len(MX.SCHEDULES)} {cases} END"
 
 
+def _codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Product codes by plain comparison with every entry; whole numbers held as doubles."""
+    ctes = [f"""v AS (
+            SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+                   list_transform(embedding, lambda x: floor({PC.Coder.scale} * CAST(x AS DOUBLE))) AS z
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))""",
+            f"""x AS (
+            SELECT rid, p, list_slice(z, p * (len(z) // {parts}) + 1, (p + 1) * (len(z) // {parts})) AS z
+            FROM v CROSS JOIN (SELECT CAST(range AS INT) AS p FROM range({parts})))""",
+            f"b0 AS (SELECT p, rid - 1 AS e, z, list_inner_product(z, z) AS zz FROM x WHERE rid <= {entries})"]
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS (
+            SELECT rid, x.p, arg_min(b.e, (b.zz - 2 * list_inner_product(x.z, b.z), b.e)) AS e,
+                   min(b.zz - 2 * list_inner_product(x.z, b.z)) + any_value(list_inner_product(x.z, x.z)) AS d
+            FROM x JOIN b{r} b ON b.p = x.p GROUP BY rid, x.p)""")
+        if r < rounds:
+            ctes.append(f"""m{r} AS (
+            SELECT p, e, list(s ORDER BY i) AS z FROM (
+                SELECT p, e, i, floor(sum(c) / count(*)) AS s FROM (
+                    SELECT a.p, a.e, unnest(x.z) AS c, generate_subscripts(x.z, 1) AS i
+                    FROM a{r} a JOIN x ON x.rid = a.rid AND x.p = a.p) GROUP BY p, e, i) GROUP BY p, e)""")
+            ctes.append(f"""b{r + 1} AS (
+            SELECT p, e, z, list_inner_product(z, z) AS zz FROM (
+                SELECT b.p, b.e, coalesce(m.z, b.z) AS z FROM b{r} b LEFT JOIN m{r} m ON m.p = b.p AND m.e = b.e))""")
+    return "WITH " + ",\n".join(ctes) + f"""
+        , digest AS (SELECT sha256(string_agg(array_to_string(list_transform(z, lambda c: CAST(CAST(c AS BIGINT) AS VARCHAR)), ','),
+                                              ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}),
+        coded AS (SELECT rid, string_agg(lower(printf('%02x', CAST(e AS INT))), '' ORDER BY p) AS code,
+                         CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY rid)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM coded JOIN v ON v.rid = coded.rid CROSS JOIN digest"""
+
+
+_TERMS_SQL = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
 ORACLES: dict[str, str] = {
+    "op12_nra_ranked_search": f"""
+        WITH w AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS_SQL} AS ts FROM documents),
+        d AS (SELECT rid, doc_id, len(ts) AS n FROM w WHERE len(ts) > 0),
+        s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d),
+        q AS (SELECT item_id, t, count(*) AS r FROM (SELECT item_id, unnest({_TERMS_SQL}) AS t FROM benchmark)
+              GROUP BY item_id, t),
+        p AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM w)
+              WHERE t IN (SELECT t FROM q) GROUP BY rid, t),
+        f AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+              FROM (SELECT t, count(*) AS df FROM p GROUP BY t) CROSS JOIN s),
+        g AS (SELECT p.rid, doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words)) AS impact
+              FROM p JOIN d ON d.rid = p.rid CROSS JOIN s),
+        c AS (SELECT item_id, rid, doc_id, CAST(sum(r * w * impact) AS BIGINT) AS score
+              FROM q JOIN f ON f.t = q.t JOIN g ON g.t = q.t GROUP BY item_id, rid, doc_id)
+        SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c WHERE score > 0)
+        WHERE rank <= 20
+    """,
+    "op13_grid_cell_codes": _codes_sql(),
     "op1_mix_curriculum": rf"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
