@@ -12,7 +12,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _R = "__r_"
@@ -70,3 +70,38 @@ def recode(df: DataFrame, column: str, mapping: dict) -> DataFrame:
     """Replace values of ``column`` by ``mapping`` (unmapped values kept)."""
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
     return df.withColumn(column, F.coalesce(m[F.col(column)], F.col(column)))
+
+
+def key_text(key: str) -> Column:
+    """A key as text that is never null, so that plain equality matches nulls too and keys
+    of several kinds fit one column."""
+    return F.coalesce(F.concat(F.lit("v"), F.col(key).cast("string")), F.lit("n"))
+
+
+def from_key_text(text: str, kind: str) -> Column:
+    return F.when(F.col(text) != "n", F.substring(F.col(text), 2, 1 << 30).cast(kind))
+
+
+def key_registry(df: DataFrame, keys: Sequence[str], *carry: str) -> DataFrame:
+    """``(carry..., kind, key)``: each row once per key, ``kind`` its place in ``keys`` and
+    ``key`` its text. One scan serves all keys."""
+    parts = [F.struct(F.lit(i).alias("kind"), key_text(k).alias("key")) for i, k in enumerate(keys)]
+    return df.select(*carry, F.inline(F.array(*parts)))
+
+
+def repeated_keys(df: DataFrame, keys) -> DataFrame:
+    """``(keys..., n)`` of the keys that occur more than once (null keys are not reported)."""
+    keys = _keys(keys)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def unique_by(df: DataFrame, keys) -> DataFrame:
+    """``df`` as a lookup table: the plan raises an error when a key occurs twice, instead of
+    letting a join multiply rows. Rows with a null key are left out."""
+    keys = _keys(keys)
+    rest = [c for c in df.columns if c not in keys]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    one = df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*rest)).alias("__row"))
+    said = F.concat(F.lit(f"{', '.join(keys)} occurs twice or more: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    return one.where(F.assert_true(F.col("__n") == 1, said).isNull()).select(*keys, "__row.*").select(*df.columns)

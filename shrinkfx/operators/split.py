@@ -32,7 +32,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shrinkfx.operators.keys import keep_known
+from shrinkfx.operators.keys import key_registry, key_text
 from shrinkfx.session import materialize
 
 BUCKET_HEX_DIGITS = 4
@@ -40,9 +40,10 @@ BUCKET_HEX_DIGITS = 4
 _H, _S, _B = "__split_hash", "__stratum", "__bucket"
 
 
-def split_hash(seed, hash_keys: Sequence[str]):
-    return F.md5(F.concat_ws("-", F.lit(str(seed)),
-                             *[F.col(k).cast("string") for k in hash_keys]))
+def split_hash(seed, hash_keys: Sequence[str]) -> Column:
+    """The 16 bytes by which rows are ordered inside a stratum."""
+    return F.unhex(F.md5(F.concat_ws("-", F.lit(str(seed)),
+                                     *[F.col(k).cast("string") for k in hash_keys])))
 
 
 def _stratum(df: DataFrame, y: str, by: str) -> Column:
@@ -65,15 +66,16 @@ def _stratum(df: DataFrame, y: str, by: str) -> Column:
 
 
 def split_rule(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1", hash_keys: Sequence[str] = (),
-               tie_keys: Sequence[str] = (), by: str = "quartile") -> Column:
+               tie_keys: Sequence[str] = (), by: str = "quartile", hashed: str | None = None) -> Column:
     """The boolean column that is true on the held-out rows of ``df``.
 
     ``df`` is read three times (breaks, histogram, boundary rows); pass a stored table.
     One row per stratum comes to the driver: strata should be few. Rows that agree in hash
-    keys and ties are held out together."""
-    stratum, h = _stratum(df, y, by), split_hash(seed, hash_keys)
+    keys and ties are held out together. ``hashed`` names a column that already holds
+    ``split_hash(seed, hash_keys)``; then no scan computes it again."""
+    stratum, h = _stratum(df, y, by), F.col(hashed) if hashed else split_hash(seed, hash_keys)
     place = F.struct(h.alias(_H), *[F.col(k) for k in tie_keys])
-    bucket = F.conv(F.substring(h, 1, BUCKET_HEX_DIGITS), 16, 10).cast("long")
+    bucket = F.conv(F.substring(F.hex(F.substring(h, 1, 8)), 1, BUCKET_HEX_DIGITS), 16, 10).cast("long")
     base = df.select(stratum.alias(_S), bucket.alias(_B), place.alias("__place"))
     counts = base.groupBy(_S, _B).agg(F.count(F.lit(1)).alias("c"))
     run = Window.partitionBy(_S).orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
@@ -91,7 +93,7 @@ def split_rule(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1", hash_
     kinds = {f.name: f.dataType for f in df.select(*tie_keys).schema.fields} if tie_keys else {}
     flag = F.lit(False)
     for row in last:
-        values = [F.lit(row["__place"][_H]).alias(_H)] + [
+        values = [F.lit(bytes(row["__place"][_H])).alias(_H)] + [
             F.lit(row["__place"][k]).cast(kinds[k]).alias(k) for k in tie_keys]
         flag = F.when(stratum.eqNullSafe(F.lit(row[_S])), place <= F.struct(*values)).otherwise(flag)
     return flag
@@ -104,11 +106,33 @@ def stratified_split(df: DataFrame, y: str = "rating", p: float = 0.1, seed="1",
     return df.withColumn(flag, split_rule(df, y, p, seed, hash_keys, tie_keys, by))
 
 
+def unseen_keys(flagged: DataFrame, keys: Sequence[str], flag: str = "is_test") -> DataFrame:
+    """``(kind, key)`` of the key values that only held-out rows have, for all ``keys`` in
+    one scan and one aggregate (combined map-side). ``kind`` is the key's place in ``keys``.
+
+    The table is written, and later joins read it alone: a key that occurs but once in the
+    kept rows is not in it, so it has at most a row per held-out row and key."""
+    seen = key_registry(flagged, keys, flag).groupBy("kind", "key").agg(F.every(flag).alias("held"))
+    return materialize(seen.where("held").select("kind", "key"), "unseen_keys")
+
+
+def _unseen(unseen: DataFrame, kind: int, name: str) -> DataFrame:
+    return unseen.where(F.col("kind") == kind).select(F.col("key").alias(name))
+
+
+def keep_seen(held: DataFrame, unseen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Held-out rows none of whose keys is in ``unseen`` (null keys count as values)."""
+    for i, k in enumerate(keys):
+        held = held.join(_unseen(unseen, i, f"__u{i}"), key_text(k) == F.col(f"__u{i}"), "left_anti")
+    return held
+
+
 def close_holdout(test: DataFrame, train: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep test rows whose value of every key occurs in train (one semi join per key)."""
-    for k in keys:
-        test = keep_known(test, train, [k])
-    return test
+    """Keep test rows whose value of every key occurs in train: each side is scanned once
+    for all keys, then the rows meet the few values that train lacks."""
+    both = (test.select(*keys, F.lit(True).alias("__held"))
+            .unionByName(train.select(*keys, F.lit(False).alias("__held"))))
+    return keep_seen(test, unseen_keys(both, keys, "__held"), keys)
 
 
 @dataclass
@@ -122,24 +146,19 @@ class HoldOut:
 def split_with_return(flagged: DataFrame, keys: Sequence[str], flag: str = "is_test") -> HoldOut:
     """Close the hold-out on ``keys`` and move the rows it loses back to training.
 
-    Each held-out row is tagged once by left-joining the distinct key sets of
-    the kept rows; the closed hold-out and the moved-back rows are two
-    filters of that tagged frame (no all-column anti join needed, and equal
-    to one because identical rows get identical tags).
+    Each held-out row is tagged once against the key values that only held-out rows have
+    (``unseen_keys``, one scan for all keys); the closed hold-out and the moved-back rows are
+    two filters of that tagged frame (no all-column anti join needed, and equal to one
+    because identical rows get identical tags).
     """
     kept = flagged.filter(~F.col(flag)).drop(flag)
-    held = flagged.filter(F.col(flag)).drop(flag)
-    tagged = held
-    known = []
+    tagged = flagged.filter(F.col(flag)).drop(flag)
+    unseen = unseen_keys(flagged, keys, flag)
+    known = F.lit(True)
     for i, k in enumerate(keys):
-        name = f"__known_{i}"
-        ks = kept.select(F.col(k).alias(f"__k_{i}")).distinct().withColumn(name, F.lit(True))
-        tagged = tagged.join(ks, tagged[k].eqNullSafe(ks[f"__k_{i}"]), "left").drop(f"__k_{i}")
-        known.append(F.coalesce(F.col(name), F.lit(False)))
-    ok = known[0]
-    for c in known[1:]:
-        ok = ok & c
-    tagged = tagged.withColumn("known", ok).drop(*[f"__known_{i}" for i in range(len(keys))])
+        tagged = tagged.join(_unseen(unseen, i, f"__u{i}"), key_text(k) == F.col(f"__u{i}"), "left")
+        known = known & F.col(f"__u{i}").isNull()
+    tagged = tagged.withColumn("known", known).drop(*[f"__u{i}" for i in range(len(keys))])
     return from_tagged(kept, tagged)
 
 

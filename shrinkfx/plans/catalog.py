@@ -21,7 +21,7 @@ from shrinkfx.operators.stats import year_ticks
 from shrinkfx.operators.sweep import sweep_chain, sweep_single
 from shrinkfx.plans import experiment as X
 from shrinkfx.plans import report as R
-from shrinkfx.session import path_exists, stage, stage_path
+from shrinkfx.session import path_exists, stage_path
 from shrinkfx.sources.dat import read_movies, read_ratings, write_movies_dat, write_ratings_dat
 from shrinkfx.sources.stages import load_stage, save_stage
 
@@ -137,9 +137,9 @@ _FITS: dict = {}
 def _chain_tables(spark, sf, alpha=ALPHA, src="train"):
     """The five-effect chain at one alpha, fitted once per prepared split."""
     p = P(spark, sf)
-    key = (p.paths.get("edx"), alpha, src)
+    key = (p.paths.get("split2"), alpha, src)
     hit = _FITS.get(key)
-    if hit is None or not all(path_exists(f) for f in hit["paths"]):
+    if hit is None or not all(path_exists(spark, f) for f in hit["paths"]):
         m = fit(getattr(p, src), X.FULL_CHAIN, alpha, p.mu)
         hit = _FITS[key] = {"mu": m.mu, "paths": m.paths}
     tables = [spark.read.parquet(f) for f in hit["paths"]]
@@ -221,11 +221,9 @@ _LB: dict = {}
 
 
 def _leaderboard(spark, sf):
+    """The leaderboard of a prepared split: its written pieces are read, lost ones computed."""
     p = P(spark, sf)
-    key = (sf, p.paths.get("edx"))
-    if key not in _LB or not path_exists(_LB[key]):
-        _LB[key] = stage(X.leaderboard(p), "leaderboard")[1]
-    return spark.read.parquet(_LB[key])
+    return X.leaderboard(p, folder=_LB.setdefault((sf, p.paths.get("split2")), stage_path(spark, "leaderboard")))
 
 
 def q_leaderboard(spark, sf):

@@ -7,7 +7,9 @@ prepare():
     edx + features --stratified 20 % (seed "2")--> test / train
     test closed on the five model keys; mu = mean train rating
 Every stage that later steps scan more than once is written to the shared
-stage folder (``spark.checkpoint.dir``).
+stage folder (``spark.checkpoint.dir``). The source is stored with the two hashes that
+order its rows, so they are computed once; edx is stored in two folders, train and test
+rows, so ``train`` is read by partition pruning.
 """
 
 from __future__ import annotations
@@ -20,15 +22,17 @@ from pyspark.sql import functions as F
 
 from shrinkfx.functions.columns import movie_year, rating_week
 from shrinkfx.operators.effects import fit, mean_of, predict, rmse
-from shrinkfx.operators.split import close_holdout, split_rule, split_with_return
+from shrinkfx.operators.split import keep_seen, split_hash, split_rule, split_with_return, unseen_keys
 from shrinkfx.operators.stats import arg_extreme
-from shrinkfx.operators.sweep import grid_values, sweep_chain_batched, sweep_single
-from shrinkfx.session import path_exists, stage
+from shrinkfx.operators.sweep import ChainSweep, chunks, grid_values, sweep_single
+from shrinkfx.session import Chunks, path_exists, stage, stage_path
 from shrinkfx.sources.testdata import HASH_KEYS, TIE_KEYS, ratings_view
 
 MOVIE, USER, GENRE, YEAR, WEEK = "movie_id", "user_id", "genres", "movie_year", "rating_week"
 FULL_CHAIN = [MOVIE, USER, GENRE, YEAR, WEEK]
 
+FIRST, SECOND = "__order_1", "__order_2"  # what orders rows in the two splits
+
 # ---- fixed values: model family names, short names, order of the results ----
 AVERAGE = "Average"
 FAMILIES = [  # (name, short name, effect chain), in the order results are appended
@@ -56,7 +60,7 @@ class Config:
     strata: str = "quartile"
     grid: tuple = (0.0, 30.0, 0.25)
     mu_from: str = "train"      # "train" (as the script) or "full" (as the report text)
-    alpha_batch: int | None = None  # chain sweep: alphas per pass (None = whole grid at once)
+    alpha_batch: int | None = None  # chain sweep: alphas per written piece (None: CHUNK)
     unseen: str = "zero"        # validation scoring: missing effect counts as 0
 
     @property
@@ -98,10 +102,12 @@ def prepare(spark: SparkSession, sf_dir: str, cfg: Config = Config()) -> Prepare
 def load_ratings_files(spark: SparkSession, ratings_path: str, movies_path: str) -> DataFrame:
     """Ratings and movies files joined into the rows the experiment needs
     (``user_id, movie_id, rating, ts, title, genres``); every rating is kept
-    (left join), the small movies side is joined as AQE sees fit."""
-    from shrinkfx.operators.keys import attach
+    (left join), the small movies side is joined as AQE sees fit. A movie id on two
+    lines, which would multiply its ratings, raises an error when the rows are read
+    (``repeated_keys`` lists such ids); movie lines without an id are left out."""
+    from shrinkfx.operators.keys import attach, unique_by
     from shrinkfx.sources.dat import read_movies, read_ratings
-    return attach(read_ratings(spark, ratings_path), read_movies(spark, movies_path), MOVIE, "left")
+    return attach(read_ratings(spark, ratings_path), unique_by(read_movies(spark, movies_path), MOVIE), MOVIE, "left")
 
 
 def _files_state(spark: SparkSession, sf_dir: str) -> tuple:
@@ -130,58 +136,59 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
     written as a stage table; pass ``stage_source=False`` when ``ratings`` already
     is a stored columnar table.
 
-    Written: the source, the tagged hold-out (a tenth), ``edx`` and the closed test
-    rows. Both splits are predicates on stored rows, not copies.
+    Written: the source with its two order hashes, the tagged hold-out (a tenth), ``edx``
+    parted into train and test rows, and the closed test rows.
     """
     hash_keys, tie_keys = list(hash_keys), list(tie_keys)
     key = None if cache_key is None else (cache_key, cfg.validation_p, cfg.validation_seed, cfg.test_p, cfg.test_seed,
                                           cfg.strata, tuple(hash_keys), tuple(tie_keys), stage_source)
     hit = _CACHE.get(key) if key is not None else None
-    if hit and all(path_exists(p) for p in hit["dirs"].values()):
+    if hit and all(path_exists(spark or hit["spark"], p) for p in hit["dirs"].values()):
         return _load(spark or hit["spark"], hit)
     src = ratings() if callable(ratings) else ratings
     spark = spark or src.sparkSession
     dirs: dict[str, str] = {}
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        out, dirs[name] = stage(df, name)
+    def keep(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+        out, dirs[name] = stage(df, name, partition_by)
         return out
 
+    ordered = src.withColumns({FIRST: split_hash(cfg.validation_seed, hash_keys),
+                               SECOND: split_hash(cfg.test_seed, hash_keys)})
     # rebalance: files of even size however the source was laid out
-    source = keep(src.hint("rebalance"), "ratings") if stage_source else src
-    order = (hash_keys, tie_keys)
+    source = keep(ordered.hint("rebalance"), "ratings") if stage_source else ordered
     rated = source.where(F.col("rating").isNotNull())
     n_rejected = source.where(F.col("rating").isNull()).count()
-    first = split_rule(rated, "rating", cfg.validation_p, cfg.validation_seed, *order, cfg.strata)
+    first = split_rule(rated, "rating", cfg.validation_p, tie_keys=tie_keys, by=cfg.strata, hashed=FIRST)
     split1 = rated.withColumn("is_test", first)
     # tag the held-out rows once; validation and moved-back rows are filters of it
     tagged = keep(add_features(split_with_return(split1, [MOVIE, USER]).tagged), "heldout_tagged")
-    moved_back = tagged.filter(~F.col("known")).drop("known", WEEK, YEAR)
     kept = split1.filter(~F.col("is_test")).drop("is_test")
-    edx = keep(add_features(kept.unionByName(moved_back)), "edx")
-    second = split_rule(edx, "rating", cfg.test_p, cfg.test_seed, *order, cfg.strata)
-    split2 = edx.withColumn("is_test", second)
-    train = split2.filter(~F.col("is_test")).drop("is_test")
-    test_open = split2.filter(F.col("is_test")).drop("is_test")
-    keep(close_holdout(test_open, train, FULL_CHAIN), "test")
-    hit = {"dirs": dirs, "mu": mean_of(train), "spark": spark, "source": None if stage_source else src,
-           "rules": (first, second), "n_rejected": n_rejected, "order": (USER, MOVIE, "ts", *hash_keys, *tie_keys)}
+    rows = add_features(kept.unionByName(tagged.filter(~F.col("known")).drop("known", WEEK, YEAR)))
+    second = split_rule(rows, "rating", cfg.test_p, tie_keys=tie_keys, by=cfg.strata, hashed=SECOND)
+    split2 = keep(rows.withColumn("is_test", second).drop(FIRST, SECOND), "split2", "is_test")
+    # one scan of the stored split finds the values of all five keys that train lacks
+    unseen = unseen_keys(split2, FULL_CHAIN)
+    keep(keep_seen(split2.filter(F.col("is_test")).drop("is_test"), unseen, FULL_CHAIN), "test")
+    hit = {"dirs": dirs, "mu": mean_of(split2.filter(~F.col("is_test"))), "spark": spark,
+           "source": None if stage_source else ordered, "schema": split2.schema,
+           "rule": first, "n_rejected": n_rejected, "order": (USER, MOVIE, "ts", *hash_keys, *tie_keys)}
     if key is not None:
         _CACHE[key] = hit
     return _load(spark, hit)
 
 
 def _load(spark: SparkSession, hit: dict) -> Prepared:
-    d = {n: spark.read.parquet(p) for n, p in hit["dirs"].items()}
+    d = {n: spark.read.parquet(p) for n, p in hit["dirs"].items() if n != "split2"}
+    split2 = spark.read.schema(hit["schema"]).parquet(hit["dirs"]["split2"])
     source = d["ratings"] if hit["source"] is None else hit["source"]
-    first, second = hit["rules"]
-    tagged = d["heldout_tagged"]
-    split2 = d["edx"].withColumn("is_test", second)
+    tagged = d["heldout_tagged"].drop(FIRST, SECOND)
+    split1 = source.where(F.col("rating").isNotNull()).withColumn("is_test", hit["rule"]).drop(FIRST, SECOND)
     return Prepared(
-        ratings=source, split1=source.where(F.col("rating").isNotNull()).withColumn("is_test", first),
+        ratings=source.drop(FIRST, SECOND), split1=split1,
         validation=tagged.filter(F.col("known")).drop("known"),
         moved_back=tagged.filter(~F.col("known")).drop("known", WEEK, YEAR),
-        edx=d["edx"], split2=split2,
+        edx=split2.drop("is_test"), split2=split2,
         train=split2.filter(~F.col("is_test")).drop("is_test"),
         test_open=split2.filter(F.col("is_test")).drop("is_test"),
         test=d["test"], mu=hit["mu"], paths=dict(hit["dirs"]),
@@ -200,32 +207,53 @@ def model_rmse(p: Prepared, chain, alpha: float) -> DataFrame:
     return rmse(predict(p.test, m, unseen="drop"))
 
 
-def leaderboard(p: Prepared, alphas=None, cfg: Config = Config()) -> DataFrame:
-    """``(ordinal, model, alpha, rmse)`` for the average model and 9 families x grid."""
-    alphas = list(alphas) if alphas is not None else cfg.alphas
-    n_a = len(alphas)
-    A = F.array(*[F.lit(float(a)) for a in alphas])
-    parts = [average_rmse(p).select(F.lit(1).cast("bigint").alias("ordinal"),
-                                    F.lit(AVERAGE).alias("model"),
-                                    F.lit(None).cast("double").alias("alpha"), "rmse")]
+#: alphas in a written piece of the leaderboard
+CHUNK = 128
 
-    def ordinal(fam_idx):
-        return (F.lit(1 + fam_idx * n_a) + F.array_position(A, F.col("alpha"))).cast("bigint")
 
-    for i, (name, _, chain) in enumerate(FAMILIES):
-        if len(chain) == 1:
-            s = sweep_single(p.train, p.test, chain[0], alphas, p.mu)
-            parts.append(s.select(ordinal(i).alias("ordinal"), F.lit(name).alias("model"),
-                                  "alpha", "rmse"))
-    chain_sweep = sweep_chain_batched(p.train, p.test, FULL_CHAIN, alphas, p.mu, cfg.alpha_batch)
+def leaderboard(p: Prepared, alphas=None, cfg: Config = Config(), folder: str | None = None) -> DataFrame:
+    """``(ordinal, model, alpha, rmse)`` for the average model and 9 families x grid.
+
+    Results are written in pieces below ``folder`` (the stage folder by default): the average
+    model, each single-effect family, and the chains over runs of ``cfg.alpha_batch`` (or
+    ``CHUNK``) alphas. Called again with the same folder, prepared splits and grid, pieces
+    that were written to the end are read, and only lost ones are computed."""
+    alphas = [float(a) for a in (alphas if alphas is not None else cfg.alphas)]
+    spark, n_a = p.train.sparkSession, len(alphas)
+    folder = folder or stage_path(spark, "leaderboard")
+    store = Chunks(spark, folder, {"split": p.paths.get("split2"), "test": p.paths.get("test"), "mu": p.mu,
+                                   "alphas": alphas, "batch": cfg.alpha_batch or CHUNK})
+    at = F.expr("array(" + ", ".join(f"{a!r}D" for a in alphas) + ")")
+
+    def ordinal(family) -> F.Column:
+        return (F.lit(1) + family * n_a + F.array_position(at, F.col("alpha"))).cast("bigint").alias("ordinal")
+
+    def average() -> DataFrame:
+        return average_rmse(p).select(F.lit(1).cast("bigint").alias("ordinal"), F.lit(AVERAGE).alias("model"),
+                                      F.lit(None).cast("double").alias("alpha"), "rmse")
+
+    def single(i: int, name: str, key: str) -> DataFrame:
+        return sweep_single(p.train, p.test, key, alphas, p.mu).select(
+            ordinal(F.lit(i)), F.lit(name).alias("model"), "alpha", "rmse")
+
+    sweep: list[ChainSweep] = []
+
+    def chains(part: list[float]) -> DataFrame:
+        if not sweep:  # shared by the pieces that have to be computed
+            sweep.append(ChainSweep(p.train, p.test, FULL_CHAIN, p.mu))
+        scores = sweep[0].scores(part).filter(F.col("stage") >= 2)
+        return scores.select(ordinal(family[F.col("stage")]), model[F.col("stage")].alias("model"), "alpha", "rmse")
+
     chained = [(i, name, len(chain)) for i, (name, _, chain) in enumerate(FAMILIES) if len(chain) > 1]
-    stage_map = F.create_map(*[x for i, name, s in chained for x in (F.lit(s), F.lit(name))])
-    fam_map = F.create_map(*[x for i, name, s in chained for x in (F.lit(s), F.lit(i))])
-    cs = chain_sweep.filter(F.col("stage") >= 2)
-    parts.append(cs.select(
-        (F.lit(1) + fam_map[F.col("stage")] * n_a + F.array_position(A, F.col("alpha"))).cast("bigint").alias("ordinal"),
-        stage_map[F.col("stage")].alias("model"), "alpha", "rmse"))
-    return reduce(DataFrame.unionByName, parts)
+    model = F.create_map(*[x for _, name, s in chained for x in (F.lit(s), F.lit(name))])
+    family = F.create_map(*[x for i, _, s in chained for x in (F.lit(s), F.lit(i))])
+    pieces = [store.get("average", average)]
+    for i, (name, short, chain) in enumerate(FAMILIES):
+        if len(chain) == 1:
+            pieces.append(store.get(short, lambda: single(i, name, chain[0])))
+    for c, part in enumerate(chunks(alphas, cfg.alpha_batch or CHUNK)):
+        pieces.append(store.get(f"chain-{c}", lambda: chains(part)))
+    return reduce(DataFrame.unionByName, pieces)
 
 
 def best(results: DataFrame) -> DataFrame:

@@ -139,22 +139,15 @@ LEFT JOIN cnt c ON c.bin = g.bin""",
 
 def _kde(key: str) -> str:
     return _q("""SELECT CAST(g.i AS BIGINT) AS i, round(s.lo + g.i * s.step, 8) AS x,
-       round(sum(w.c * exp(-0.5e0 * power((s.lo + g.i * s.step - (s.lo + w.cell * s.width)) / s.h, 2)))
-             / (s.nn * s.h * sqrt(2 * pi())), 8) AS density
-FROM st s CROSS JOIN (SELECT range AS i FROM range(0, 512)) g CROSS JOIN w
+       round(sum(exp(-0.5e0 * power((s.lo + g.i * s.step - m.x) / s.h, 2))) / (s.nn * s.h * sqrt(2 * pi())), 8) AS density
+FROM st s CROSS JOIN (SELECT range AS i FROM range(0, 512)) g CROSS JOIN m
 GROUP BY g.i, s.lo, s.step, s.nn, s.h""",
               f"m AS (SELECT {key}, round(avg(rating - mu), 10) AS x FROM train CROSS JOIN mu GROUP BY {key})",
               "st0 AS (SELECT min(x) AS lo, max(x) AS hi, count(x) AS nn, stddev_samp(x) AS sd, "
-              "CASE WHEN max(x) > min(x) THEN (max(x) - min(x)) / 4095.0e0 ELSE 1.0e0 END AS width FROM m)",
-              "w AS (SELECT CAST(floor((x - lo) / width + 0.5e0) AS INT) AS cell, count(*) AS c "
-              "FROM m CROSS JOIN st0 WHERE x IS NOT NULL GROUP BY 1)",
-              "run AS (SELECT cell, sum(c) OVER (ORDER BY cell) AS upto FROM w)",
-              "q AS (SELECT lo + min(CASE WHEN upto >= 0.25e0 * nn THEN cell END) * width AS q1, "
-              "lo + min(CASE WHEN upto >= 0.75e0 * nn THEN cell END) * width AS q3 "
-              "FROM run CROSS JOIN st0 GROUP BY lo, width)",
-              "st AS (SELECT lo, hi, nn, width, (hi - lo) / 511.0e0 AS step, 0.9e0 * coalesce("
-              "CASE WHEN least(sd, (q3 - q1) / 1.34e0) > 0 THEN least(sd, (q3 - q1) / 1.34e0) END, "
-              "CASE WHEN sd > 0 THEN sd END, 1.0e0) * power(CAST(nn AS DOUBLE), -0.2e0) AS h FROM st0 CROSS JOIN q)")
+              "quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM m)",
+              "st AS (SELECT lo, hi, nn, (hi - lo) / 511.0e0 AS step, 0.9e0 * coalesce("
+              "CASE WHEN least(sd, iqr / 1.34e0) > 0 THEN least(sd, iqr / 1.34e0) END, "
+              "CASE WHEN sd > 0 THEN sd END, 1.0e0) * power(CAST(nn AS DOUBLE), -0.2e0) AS h FROM st0)")
 
 
 def _split_profile() -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shrinkfx.functions.columns import percent_label_value, rating_datetime, rating_month
 from shrinkfx.operators.keys import stack
-from shrinkfx.operators.stats import (activity, box_stats, centred_mean, distinct_counts, group_counts,
+from shrinkfx.operators.stats import (activity, activity_sets, box_stats, centred_mean, distinct_counts, group_counts,
                                       histogram, kde, mean_of_counts, percentiles, shares)
 from shrinkfx.operators.topn import top_n
 from shrinkfx.plans.experiment import GENRE, MOVIE, USER, WEEK, YEAR, Prepared
@@ -87,7 +87,7 @@ def activity_of(p: Prepared, key: str) -> DataFrame:
 
 
 def activity_all(p: Prepared) -> DataFrame:
-    return stack(*[activity_of(p, k) for k, _ in FEATURE_LABELS])
+    return activity_sets(p.train, FEATURE_LABELS)
 
 
 def boxplot_activity(p: Prepared) -> DataFrame:
@@ -114,7 +114,7 @@ def user_counts(p: Prepared) -> DataFrame:
 
 def user_activity_percentiles(p: Prepared) -> DataFrame:
     probs = [i / 100.0 for i in range(1, 101)]
-    q = percentiles(user_counts(p), "number_ratings", probs)
+    q = percentiles(materialize(user_counts(p), "user_counts"), "number_ratings", probs)
     label = F.concat(F.round(F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
     return q.select(label.alias("pct_label"), percent_label_value(label).alias("pct"),
                     "value", F.log10("value").alias("log10_value"))
@@ -124,12 +124,10 @@ def user_activity_shares(p: Prepared) -> DataFrame:
     return shares(user_counts(p), "number_ratings", USER_SHARE_RULES)
 
 
-def dataset_profile(p: Prepared) -> DataFrame:
-    r = p.ratings
-    n = distinct_counts(r, [USER, MOVIE, GENRE, "title", "rating"])
-    totals = r.agg(F.count(F.lit(1)).alias("n_ratings"), F.sum("rating").alias("sum_rating"))
-    # one row beside one row
-    return totals.join(n, F.lit(True)).select(
+def dataset_profile(p: Prepared, approx: bool = False) -> DataFrame:
+    n = distinct_counts(p.ratings, [USER, MOVIE, GENRE, "title", "rating"], F.count(F.lit(1)).alias("n_ratings"),
+                        F.sum("rating").alias("sum_rating"), approx=approx)
+    return n.select(
         "n_ratings", F.col(f"n_{USER}").alias("n_users"), F.col(f"n_{MOVIE}").alias("n_movies"),
         f"n_{GENRE}", F.col("n_title").alias("n_titles"), F.col("n_rating").alias("n_rating_values"), "sum_rating")
 
@@ -158,6 +156,6 @@ def hist_of_means(p: Prepared, key: str) -> DataFrame:
 
 
 def kde_of_means(p: Prepared, key: str) -> DataFrame:
-    # means to 1e-10, so that equal means summed in different orders share a cell
+    # means to 1e-10, so that equal means summed in different orders are one value
     m = materialize(avg_by(p, key).withColumn("average_rating", F.round("average_rating", 10)), f"means_{key}")
     return kde(m, "average_rating", 512)

@@ -8,7 +8,7 @@ is made. ``drop_stages`` removes what a run has written.
 
 from __future__ import annotations
 
-import os
+import json
 import tempfile
 import uuid
 
@@ -65,17 +65,22 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/shrinkfx/{_RUN_ID}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stage(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as a Parquet stage table in the shared folder; the table and its folder.
 
     This cuts the lineage (a lost executor re-reads the table instead of
     recomputing the plan) and lets later stages prune columns and push
     filters into the scan. Callers that keep a table keep the folder's path.
+    With ``partition_by`` each value of that column has a folder, and a filter on it
+    reads the matching folders alone; the column comes last.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), path
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    # the values in folder names are texts: the types are given, not guessed
+    kept = df.select(*[c for c in df.columns if c != partition_by], *([partition_by] if partition_by else []))
+    return spark.read.schema(kept.schema).parquet(path), path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -83,18 +88,46 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name)[0]
 
 
+def _found(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a path in whatever store it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def drop_stages(spark: SparkSession) -> bool:
     """Delete this process's stage tables (when a run has saved its results)."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/shrinkfx/{_RUN_ID}")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def path_exists(path: str) -> bool:
-    """Whether a stage path still exists (local paths are checked; a remote
-    store is trusted -- the folder is ours and not cleaned behind our back)."""
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        return os.path.exists("/" + local.lstrip("/"))
-    if "://" in path:
-        return True
-    return os.path.exists(path)
+    fs, path = _found(spark, f"{shared_dir(spark)}/shrinkfx/{_RUN_ID}")
+    return fs.delete(path, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stage table is still there, on any store: its writer's ``_SUCCESS`` mark is."""
+    fs, mark = _found(spark, f"{path}/_SUCCESS")
+    return fs.exists(mark)
+
+
+class Chunks:
+    """Results written piece by piece below a folder, so that a job that was lost midway goes
+    on where it was. ``describe`` says what the pieces are made from; a folder that holds
+    pieces made from something else is refused."""
+
+    def __init__(self, spark: SparkSession, folder: str, describe: dict):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        said = json.dumps(describe, sort_keys=True)
+        manifest = f"{self.folder}/manifest"
+        if not path_exists(spark, manifest):
+            spark.createDataFrame([(said,)], "made_from string").coalesce(1).write.mode("overwrite").parquet(manifest)
+        elif spark.read.parquet(manifest).first()["made_from"] != said:
+            raise ValueError(f"{self.folder} holds results of other inputs or settings")
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/chunk={name}"
+
+    def done(self, name: str) -> bool:
+        return path_exists(self.spark, self.path(name))
+
+    def get(self, name: str, build) -> DataFrame:
+        """The piece ``name``: read if it was written to the end, else ``build()`` is written."""
+        if not self.done(name):
+            build().write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.parquet(self.path(name))

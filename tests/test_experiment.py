@@ -178,7 +178,7 @@ def test_cache_tells_hash_keys_and_configurations_apart(spark, prepared):
     src = prepared.ratings.limit(400)
     a, b = (X.prepare_ratings(src, X.Config(), keys, ["l_extendedprice"], cache_key="same", spark=spark)
             for keys in (["l_orderkey", "l_suppkey"], ["movie_id", "user_id"]))
-    assert a.paths["edx"] != b.paths["edx"]
+    assert a.paths["split2"] != b.paths["split2"]
     again = X.prepare_ratings(src, X.Config(), ["l_orderkey", "l_suppkey"], ["l_extendedprice"], cache_key="same", spark=spark)
     assert again.paths == a.paths
     assert {r.l_orderkey for r in a.split1.where("is_test").collect()} != {r.l_orderkey for r in b.split1.where("is_test").collect()}
@@ -194,3 +194,32 @@ def test_preview_and_rejected_rows_on_loaded_ratings(spark, prepared):
     assert p.n_rejected == 3 and p.edx.count() + p.validation.count() == 300
     got = R.train_preview(p, 3).collect()
     assert len(got) == 3 and got == sorted(got, key=lambda r: (r.user_id, r.movie_id, r.rated_at))
+
+
+def test_train_is_read_by_partition_pruning_without_hashing(prepared):
+    for df in (prepared.train, prepared.test_open, prepared.train.groupBy("user_id").count()):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "md5" not in plan and "PartitionFilters: [isnotnull(is_test" in plan
+    for df in (prepared.split1, prepared.validation, prepared.edx):
+        assert "md5" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_leaderboard_goes_on_where_it_was_lost(spark, prepared, tmp_path, monkeypatch):
+    folder, cfg, alphas = f"file://{tmp_path}/lb", X.Config(alpha_batch=3), [0.0, 1.0, 2.5, 5.0, 10.0]
+    whole = sorted(map(tuple, X.leaderboard(prepared, alphas, cfg, folder).collect()), key=str)
+    assert len(whole) == 1 + 9 * len(alphas)
+    names = {d.name for d in (tmp_path / "lb").iterdir() if d.name.startswith("chunk=")}
+    assert names == {f"chunk={n}" for n in ("average", "UM", "MM", "GM", "YM", "RM", "chain-0", "chain-1")}
+    # the writers of a family and of one run of alphas are lost
+    for lost in ("GM", "chain-1"):
+        (tmp_path / "lb" / f"chunk={lost}" / "_SUCCESS").unlink()
+    swept, single = [], []
+    real, one = X.ChainSweep.scores, X.sweep_single
+    monkeypatch.setattr(X.ChainSweep, "scores", lambda self, part: (swept.append(part), real(self, part))[1])
+    monkeypatch.setattr(X, "sweep_single", lambda *a: (single.append(a[2]), one(*a))[1])
+    again = sorted(map(tuple, X.leaderboard(prepared, alphas, cfg, folder).collect()), key=str)
+    assert swept == [[5.0, 10.0]] and single == ["genres"]
+    assert [r[:3] for r in again] == [r[:3] for r in whole]
+    assert [r[3] for r in again] == pytest.approx([r[3] for r in whole], rel=1e-12)
+    with pytest.raises(ValueError, match="other inputs or settings"):
+        X.leaderboard(prepared, alphas[:-1], cfg, folder)

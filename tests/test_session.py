@@ -25,4 +25,31 @@ def test_a_cluster_needs_the_shared_folder(master):
 def test_stage_returns_table_and_folder(spark):
     df, path = session.stage(spark.range(5), "five")
     assert path.startswith(session.shared_dir(spark)) and spark.read.parquet(path).count() == df.count() == 5
-    assert session.path_exists(path)
+    assert session.path_exists(spark, path) and not session.path_exists(spark, path + "-not")
+
+
+def test_stage_parted_by_a_column_keeps_types_and_prunes(spark):
+    df = spark.range(10).selectExpr("id", "id % 3 = 0 AS flag", "cast(id AS string) AS t")
+    out, path = session.stage(df, "parted", "flag")
+    assert out.dtypes == [("id", "bigint"), ("t", "string"), ("flag", "boolean")]
+    part = out.where("flag")
+    assert sorted(r.id for r in part.collect()) == [0, 3, 6, 9] and session.path_exists(spark, path)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(flag" in plan and len(part.inputFiles()) < len(out.inputFiles()) + 1
+
+
+def test_chunks_resume_and_refuse_other_inputs(spark, tmp_path):
+    built = []
+
+    def build(n):
+        built.append(n)
+        return spark.range(n)
+
+    for again in range(2):
+        store = session.Chunks(spark, f"file://{tmp_path}/c", {"a": 1})
+        assert [store.get(str(n), lambda: build(n)).count() for n in (2, 3)] == [2, 3]
+    assert built == [2, 3]
+    (tmp_path / "c" / "chunk=3" / "_SUCCESS").unlink()  # a writer that was lost before its end
+    assert store.get("3", lambda: build(3)).count() == 3 and built == [2, 3, 3]
+    with pytest.raises(ValueError, match="other inputs"):
+        session.Chunks(spark, f"file://{tmp_path}/c", {"a": 2})

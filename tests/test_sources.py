@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from shrinkfx.sources import (movies_from_lines, read_movies, read_ratings, write_movies_dat,
                               write_ratings_dat)
 from shrinkfx.sources.dat import rejected
@@ -42,3 +44,18 @@ def test_malformed_lines_are_counted_and_weigh_nothing(spark, tmp_path):
     r = read_ratings(spark, str(tmp_path / "ratings.dat"))
     assert tuple(rejected(r).first()) == (4, 2)
     assert r.where("rating is null").count() == 2
+
+
+def test_a_movie_id_on_two_lines_is_an_error(spark, tmp_path):
+    from shrinkfx.operators.keys import repeated_keys
+    from shrinkfx.plans.experiment import load_ratings_files
+    (tmp_path / "ratings.dat").write_text("1::10::4::100\n1::11::5::100\n2::10::3.5::200\n2::12::3::100\n")
+    (tmp_path / "good.dat").write_text("10::X (1990)::A\n11::Y (1991)::B\nbad::no id::C\nbad::no id::D\n")
+    (tmp_path / "twice.dat").write_text("10::X (1990)::A\n11::Y (1991)::B\n10::X again (1990)::A\n")
+    rows = load_ratings_files(spark, str(tmp_path / "ratings.dat"), str(tmp_path / "good.dat")).orderBy("user_id", "movie_id").collect()
+    assert [(r.user_id, r.movie_id, r.title) for r in rows] == [
+        (1, 10, "X (1990)"), (1, 11, "Y (1991)"), (2, 10, "X (1990)"), (2, 12, None)]
+    with pytest.raises(Exception, match="movie_id occurs twice or more: 10"):
+        load_ratings_files(spark, str(tmp_path / "ratings.dat"), str(tmp_path / "twice.dat")).collect()
+    movies = read_movies(spark, str(tmp_path / "twice.dat"))
+    assert [tuple(r) for r in repeated_keys(movies, "movie_id").collect()] == [(10, 2)]

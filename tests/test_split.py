@@ -89,3 +89,21 @@ def test_close_holdout_null_key_matches_null(spark):
     test = spark.createDataFrame([(1, None), (2, "1991"), (3, "1990")], "u long, y string")
     got = sorted(r.u for r in close_holdout(test, train, ["y"]).collect())
     assert got == [1, 3]
+
+
+def test_unseen_keys_of_all_kinds_in_one_table(spark):
+    rows = [(1, "a", None, False), (2, "a", "1990", False), (1, "b", None, True), (3, "a", "1990", True), (3, "n", "v", True), (None, "b", "", True)]
+    df = spark.createDataFrame(rows, "u long, g string, y string, is_test boolean")
+    got = {(r.kind, r.key) for r in SP.unseen_keys(df, ["u", "g", "y"]).collect()}
+    assert got == {(0, "v3"), (0, "n"), (1, "vb"), (1, "vn"), (2, "vv"), (2, "v")}
+    kept = SP.keep_seen(df.where("is_test"), SP.unseen_keys(df, ["u", "y"]), ["u", "y"]).collect()
+    assert [(r.u, r.g) for r in kept] == [(1, "b")]
+
+
+def test_a_stored_hash_gives_the_same_split(spark):
+    df = spark.createDataFrame(make(800))
+    keys = ["k1", "k2"]
+    plain = stratified_split(df, "y", 0.2, "9", keys, ["t"])
+    stored = df.withColumn("h", SP.split_hash("9", keys))
+    by_column = stored.withColumn("is_test", SP.split_rule(stored, "y", 0.2, tie_keys=["t"], hashed="h"))
+    assert sorted(map(tuple, by_column.drop("h").collect())) == sorted(map(tuple, plain.collect()))

@@ -97,3 +97,42 @@ def test_batched_alphas_equal_one_pass(spark):
     assert one.keys() == two.keys() and len(one) == len(CHAIN) * len(alphas)
     for k in one:
         assert one[k] == pytest.approx(two[k], rel=1e-12)
+
+
+def operators_of(df):
+    import re
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return re.sub(r"\[[^\]]*\]|\d+", "", "\n".join(line.split()[0] if line.split() else "" for line in plan.replace(":", " ").replace("+-", " ").splitlines())), plan.count("sum(")
+
+
+def test_the_plan_does_not_grow_with_the_grid(spark):
+    import time
+    train, test = frames(spark, n=300)
+    sweep, shape, took = SW.ChainSweep(train, test, CHAIN, 3.0), {}, {}
+    for n in (3, 121, 1210):
+        t = time.time()
+        out = sweep.scores([i / 4 for i in range(n)])
+        took[n], shape[n] = time.time() - t, operators_of(out)
+        assert out.count() == len(CHAIN) * n
+    assert shape[3] == shape[121] == shape[1210]
+
+
+def test_a_grid_that_fills_no_whole_block_and_one_alpha(spark):
+    train, test = frames(spark, n=400)
+    whole = {(r.stage, r.alpha): r.rmse for r in sweep_chain(train, test, CHAIN, [i / 2 for i in range(33)], 3.0).collect()}
+    assert len(whole) == 33 * len(CHAIN)
+    for alphas in ([0.5], [i / 2 for i in range(17)], [9.0, 2.5, 0.0]):
+        got = {(r.stage, r.alpha): r.rmse for r in sweep_chain(train, test, CHAIN, alphas, 3.0).collect()}
+        assert set(got) == {(s, a) for s in range(1, len(CHAIN) + 1) for a in alphas}
+        for k, v in got.items():
+            assert v == pytest.approx(whole[k], rel=1e-12)
+
+
+@pytest.mark.parametrize("length", [1, 2, 3])
+def test_short_chains(spark, length):
+    train, test = frames(spark, n=500)
+    got = {(r.stage, r.alpha): (r.n, r.rmse) for r in sweep_chain(train, test, CHAIN[:length], ALPHAS, 3.0).collect()}
+    for s in range(1, length + 1):
+        for a in ALPHAS:
+            n, e = direct(train, test, CHAIN[:s], a, 3.0)
+            assert got[s, a][0] == n and got[s, a][1] == pytest.approx(e, rel=1e-9)

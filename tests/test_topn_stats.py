@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shrinkfx.operators import recode, stack, top_n
-from shrinkfx.operators.stats import (box_stats, histogram, kde, mean_of_counts, percentiles,
-                                      shares, year_ticks, other_years, arg_extreme, distinct_counts)
+from shrinkfx.operators.stats import (activity, activity_sets, arg_extreme, box_stats, distinct_counts, distinct_sketches,
+                                      histogram, kde, mean_of_counts, other_years, percentiles, shares, year_ticks)
 
 
 def test_top_n_keeps_ties_and_skips_nulls(spark):
@@ -49,30 +49,38 @@ def test_histogram_bins_and_density(spark):
         assert h[k].n >= 1
 
 
-def test_kde_matches_binned_and_exact_gaussian_sums(spark):
-    rng = np.random.default_rng(0)
-    xs = np.round(rng.normal(size=200), 3)
-    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
-    out = kde(df, "x", 64).orderBy("i").collect()
-    grid = np.linspace(xs.min(), xs.max(), 64)
-    assert [r.x for r in out] == pytest.approx(list(grid))
+def exact_density(xs, points):
+    """The statistic as defined: a sum over all values, interpolated quartiles."""
+    sd, iqr = xs.std(ddof=1), np.quantile(xs, 0.75) - np.quantile(xs, 0.25)
+    spread = min(sd, iqr / 1.34)
+    h = 0.9 * (spread if spread > 0 else sd if sd > 0 else 1.0) * len(xs) ** -0.2
+    grid = np.linspace(xs.min(), xs.max(), points)
+    return grid, [np.exp(-0.5 * ((g - xs) / h) ** 2).sum() / (len(xs) * h * math.sqrt(2 * math.pi)) for g in grid]
+
 
-    def density(values, iqr):
-        h = 0.9 * min(xs.std(ddof=1), iqr / 1.34) * len(xs) ** -0.2
-        return [np.exp(-0.5 * ((g - values) / h) ** 2).sum() / (len(xs) * h * math.sqrt(2 * math.pi)) for g in grid]
+@pytest.mark.parametrize("kind", ["normal", "outliers", "few values", "equal quartiles"])
+def test_kde_equals_the_exact_sum(spark, kind):
+    r = np.random.default_rng(0)
+    xs = {"normal": np.round(r.normal(size=300), 3), "outliers": np.append(r.normal(size=200), [60.0, -40.0]),
+          "few values": r.integers(0, 4, 150).astype(float), "equal quartiles": np.append(np.full(90, 2.0), r.normal(size=10))}[kind]
+    df = spark.createDataFrame([(float(x),) for x in xs] + [(None,)], "x double").repartition(3)
+    out = kde(df, "x", 64).orderBy("i").collect()
+    grid, want = exact_density(xs, 64)
+    assert [q.x for q in out] == pytest.approx(list(grid))
+    assert [q.density for q in out] == pytest.approx(want, rel=1e-11, abs=1e-15)
 
-    width = (xs.max() - xs.min()) / 4095
-    centres = np.sort(xs.min() + np.floor((xs - xs.min()) / width + 0.5) * width)
-    binned = density(centres, centres[149] - centres[49])  # the 150th and 50th of 200
-    assert [r.density for r in out] == pytest.approx(binned)
-    # close to the sum over the values themselves, with interpolated quartiles
-    assert [r.density for r in out] == pytest.approx(density(xs, np.quantile(xs, 0.75) - np.quantile(xs, 0.25)), rel=0.01)
 
+def test_kde_meets_only_the_grid_points_in_reach(spark):
+    """Far from an outlier no kernel is summed, and the grid still has all its points."""
+    df = spark.range(3000).selectExpr("CASE WHEN id = 0 THEN 1000D ELSE sin(id) END AS x")
+    out = kde(df, "x", 512).orderBy("i").collect()
+    assert len(out) == 512 and sum(q.density == 0 for q in out) > 400
+    step = out[1].x - out[0].x
+    assert step > 1  # narrower than a step: some values reach one grid point, none reaches many
+    one = kde(spark.createDataFrame([(5.0,)], "x double"), "x", 8).collect()
+    assert len(one) == 8 and all(q.x == 5.0 and q.density == pytest.approx(1 / (0.9 * math.sqrt(2 * math.pi))) for q in one)
+    assert kde(spark.createDataFrame([], "x double"), "x").count() == 0
 
-def test_kde_works_on_cells_not_values(spark):
-    df = spark.range(20000).select((F.col("id") / 7).alias("x"))
-    p = kde(df, "x", 16)._jdf.queryExecution().executedPlan().toString()
-    assert "Generate" not in p and kde(df, "x", 16).count() == 16
 
 def test_box_stats_log10(spark):
     vals = [1, 10, 10, 100, 100, 100, 1000, 10 ** 7]
@@ -114,5 +122,35 @@ def test_year_ticks_stack_recode(spark):
 def test_distinct_counts_arg_extreme(spark):
     df = spark.createDataFrame([(1, "a", 2.0), (1, None, 1.0), (2, "b", 1.0), (3, "b", None)], "k long, t string, x double")
     assert distinct_counts(df, ["k", "t", "x"]).first().asDict() == {"n_k": 3, "n_t": 2, "n_x": 2}
-    assert "Expand" not in distinct_counts(df, ["k", "t"])._jdf.queryExecution().executedPlan().toString()
+    more = distinct_counts(df, ["k", "t"], F.sum("x").alias("total"))
+    assert more.first().asDict() == {"n_k": 3, "n_t": 2, "total": 4.0}
     assert (arg_extreme(df, "x", "k").first().k, arg_extreme(df, "x", "k", largest=True).first().k) == (1, 1)
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation ")
+
+
+def test_five_features_and_five_counts_take_one_scan(spark, tmp_path):
+    rows = [(i % 7, i % 5, "abc"[i % 3], None if i % 4 == 0 else str(1990 + i % 4), i % 6, float(i % 10)) for i in range(500)]
+    spark.createDataFrame(rows, "u long, m long, g string, y string, w long, rating double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    features = [("u", "U"), ("m", "M"), ("g", "G"), ("y", "Y"), ("w", "W")]
+    got = activity_sets(df, features)
+    want = stack(*[activity(df, k, label) for k, label in features])
+    key = ["feature", "u", "m", "g", "y", "w", "number_ratings", "average_rating"]
+    assert sorted(map(str, got.select(key).collect())) == sorted(map(str, want.select(key).collect()))
+    assert scans(got) == 1 and scans(want) == 5
+    assert scans(distinct_counts(df, ["u", "m", "g", "y", "w"])) == 1
+
+
+def test_sketched_counts_keep_their_error_and_merge(spark):
+    df = spark.range(60_000).selectExpr("id % 20011 AS a", "cast(id AS string) AS b", "id % 3 AS part", "CAST(NULL AS int) AS none")
+    exact = distinct_counts(df, ["a", "b", "none"]).first()
+    about = distinct_counts(df, ["a", "b", "none"], F.count(F.lit(1)).alias("n"), approx=True).first()
+    for c in ("n_a", "n_b"):
+        assert abs(about[c] - exact[c]) <= 0.05 * exact[c]  # three standard errors
+    assert about.n == 60_000 and about.n_none == exact.n_none == 0
+    parts = distinct_sketches(df, ["a", "b"], by=["part"])
+    merged = parts.agg(F.hll_sketch_estimate(F.hll_union_agg("s_a")).alias("a")).first().a
+    assert parts.count() == 3 and abs(merged - exact.n_a) <= 0.05 * exact.n_a
