@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import shrinkfx
+from shrinkfx.llm import textkit
 
 
 def annotated(df: DataFrame, added: dict[str, Column], columns: list[str]) -> DataFrame:
@@ -39,4 +42,11 @@ def arrow_map(df: DataFrame, run, schema) -> DataFrame:
                 z.write(f, Path("shrinkfx") / f.relative_to(root))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            textkit.release()
+
+    return df.mapInArrow(task, schema)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -36,6 +36,14 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def release() -> None:
+    """Give back what a task has left in its worker: power tables that a long text made, and
+    the free blocks of Arrow's pool."""
+    for base in [b for b, table in _powers.items() if len(table) > SLICE_BYTES + 64]:
+        del _powers[base]
+    pa.default_memory_pool().release_unused()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (a bijection), so that every bit depends on every bit."""
     x = x.astype(np.uint64, copy=True)
