@@ -61,13 +61,13 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.nda
         if len(short):
             grams = np.concatenate([grams, K.gram_hash(h, begin[short], n)])
             owner = np.concatenate([owner, short])
-    # 52 bits of hash below the row's number (a slice has at most 4096 rows): one plain sort
-    keys = np.sort((owner.astype(np.uint64) << np.uint64(52)) | (grams >> np.uint64(12)))
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    keys = keys[new]
-    return keys & np.uint64((1 << 52) - 1), np.bincount((keys >> np.uint64(52)).astype(np.int64),
-                                                        minlength=len(per_row))
+    # by hash, then (stable, a radix sort on 16 bits) by row: a slice has at most 4096 rows
+    order = np.argsort(grams)
+    order = order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
+    grams, owner = grams[order], owner[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+    return grams[new], np.bincount(owner[new], minlength=len(per_row))
 
 
 def fast_sketch(grams: np.ndarray, counts: np.ndarray, t: int, seed: int) -> np.ndarray:
@@ -117,17 +117,13 @@ def sketches(docs: DataFrame, sketch: Sketch, id_col: str, text_col: str) -> Dat
             for part in K.slices(batch, "text"):
                 grams, counts = shingle_sets(*K.flat(part.column("text")), sketch.words)
                 keys = band_keys(fast_sketch(grams, counts, t, sketch.seed), sketch.bands, sketch.rows)
-                low, high = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in
-                             (K.mix(grams), K.mix(grams ^ np.uint64(0xA5A5A5A55A5A5A5A))))
-                at = np.concatenate([[0], np.cumsum(counts)])
+                low, high = _digests(grams, counts)
                 full = counts > 0
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(full * sketch.bands)]), pa.int32()),
                     pa.array(keys[full].reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(counts.astype(np.int64)),
-                     pa.array((low[at[1:]] - low[at[:-1]]).view(np.int64)),
-                     pa.array((high[at[1:]] - high[at[:-1]]).view(np.int64)), lists],
+                    [part.column("id"), pa.array(counts.astype(np.int64)), pa.array(low), pa.array(high), lists],
                     names=["id", "n", "low", "high", "bands"])
 
     return arrow_map(rows, run, "id long, n long, low long, high long, bands array<long>")
@@ -144,10 +140,19 @@ def parities(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(len(counts), -1)
 
 
+def _digests(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of each row's set."""
+    at = np.concatenate([[0], np.cumsum(counts)])
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in
+            (K.mix(grams), K.mix(grams ^ np.uint64(0xA5A5A5A55A5A5A5A)))]
+    return tuple((s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, sketch: Sketch, id_col: str, text_col: str) -> DataFrame:
-    """(id, grams, parity) of the wanted ids: their texts are read again and shingled."""
+    """(cls, grams, parity) of the wanted classes (id, cls): the texts of the ids are read
+    again and shingled; a text of the id that is of another class is not wanted."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.join(wanted, "id", "left_semi")
+    rows = rows.join(wanted.select("id").distinct(), "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,14 +163,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, sketch: Sketch, id_col: str, text_
                 parity = parities(grams, counts)
                 words = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * parity.shape[1], pa.int32()),
                                                  pa.array(parity.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), lists, words], names=["id", "grams", "parity"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(_digests(grams, counts)[0]), lists, words],
+                                                 names=["id", "cls", "grams", "parity"])
 
-    return arrow_map(rows, run, "id long, grams array<long>, parity array<long>")
+    made = arrow_map(rows, run, "id long, cls long, grams array<long>, parity array<long>")
+    return made.join(wanted, ["id", "cls"], "left_semi").drop("id")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, counted on the full sets."""
-    a, b = (sets.select(F.col("id").alias(x), F.col("grams").alias(f"{x}_grams")) for x in "ab")
+    a, b = (sets.select(F.col("cls").alias(x), F.col("grams").alias(f"{x}_grams")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,13 +203,13 @@ def _contested_pairs(contested: DataFrame, sets: DataFrame, percent: int) -> Dat
     common one bound their overlap; their odd sketches bound it from above as well, as
     similar sets differ in few shingles. Only pairs that pass both bounds, which lose no
     similar pair, are emitted. Shingles held by one set alone fill places but need no row."""
-    rows = sets.join(contested, sets["id"] == contested["cls"]).select(
+    rows = sets.join(contested, "cls").select(
         "cls", "comp", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     rows = materialize(rows, "minhash-contested")
     common = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = (rows.join(common, "gram").groupBy("cls")
               .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("gs"), F.first("comp").alias("comp"),
-                   F.first("n").alias("n")).join(sets.select(F.col("id").alias("cls"), "parity"), "cls"))
+                   F.first("n").alias("n")).join(sets.select("cls", "parity"), "cls"))
     alone = F.col("n") - F.size("gs")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone
     prefixes = materialize(
@@ -229,22 +236,28 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch(), id_col: str = "d
 
     A document without words (null, empty, white space) has no shingles and is linked to
     nothing. The component is named by its smallest id. Rows with equal ids are one
-    document as far as links go; a row without id is judged by equal sets alone. Very long
-    texts are shingled whole. No rows in, no rows out."""
+    document: all texts of an id are linked with each other. A row without id is judged by
+    equal sets alone. Very long texts are shingled whole. No rows in, no rows out."""
     s = materialize(sketches(docs, sketch, id_col, text_col), "minhash-sketches")
     key = ["n", "low", "high"]
-    # one class per distinct set, with the sketch of its smallest id (equal sets, equal sketches)
+    # one class per distinct set, named by a digest of the set, with the sketch and the
+    # smallest id of its rows (equal sets, equal sketches)
     classes = materialize(s.where("n > 0").groupBy(*key).agg(
-        F.min("id").alias("cls"), F.count(F.lit(1)).alias("rows"), F.min_by("bands", "id").alias("bands")), "minhash-classes")
-    banded = classes.where("cls is not null").select("cls", "n", F.explode("bands").alias("key"))
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("rows"), F.min_by("bands", "id").alias("bands"))
+        .withColumn("cls", F.col("low")), "minhash-classes")
+    banded = classes.where("id is not null").select("cls", "id", "n", F.explode("bands").alias("key"))
     stars = (banded.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("c"), F.count(F.lit(1)).alias("m"))
              .where("m > 1").select("key", F.col("c.cls").alias("center"), F.col("c.n").alias("center_n")))
     members = materialize(banded.join(stars, "key"), "minhash-members")
-    sets = materialize(_sets(docs, members.select(F.col("cls").alias("id")).distinct(), sketch, id_col, text_col)
-                       .dropDuplicates(["id"]), "minhash-sets")
+    sets = materialize(_sets(docs, members.select("id", "cls").distinct(), sketch, id_col, text_col)
+                       .dropDuplicates(["cls"]), "minhash-sets")
     to_center = members.where((F.col("cls") != F.col("center")) & _fits(sketch.percent, F.col("n"), F.col("center_n")))
-    links = materialize(_linked(to_center.select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct(),
-                                sets, sketch.percent), "minhash-links")
+    links = _linked(to_center.select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct(), sets, sketch.percent)
+    # texts of one id: its least class with each other one
+    several = s.where("n > 0 and id is not null").groupBy("id").agg(
+        F.min("low").alias("a"), F.max("low").alias("top")).where("a < top").select("id", "a")
+    links = materialize(links.union(s.where("n > 0").join(several, "id").where("a <> low").select("a", F.col("low").alias("b"))),
+                        "minhash-links")
     first = components(links)
     placed = members.join(first, members["cls"] == first["id"], "left").select(
         "key", "cls", F.coalesce("component", "cls").alias("comp"))
@@ -252,11 +265,13 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch(), id_col: str = "d
     split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     contested = placed.join(split, "key", "left_semi").select("cls", "comp").distinct()
     more = _linked(_contested_pairs(contested, sets, sketch.percent), sets, sketch.percent)
-    final = components(links.union(more))
-    # classes of one row that no link reaches need no join
-    named = (classes.join(final, classes["cls"] == final["id"], "left")
-             .where("rows > 1 or component is not null")
-             .select(*key, F.coalesce("component", "cls").alias("component")))
+    final = components(links.union(more)).withColumnRenamed("id", "cls")
+    # components are named by a class: its smallest id is their name. Classes of one row
+    # that no link reaches need no join
+    group = F.coalesce("component", "cls")
+    grouped = materialize(classes.join(final, "cls", "left").select(*key, "id", "rows", group.alias("grp")), "minhash-grouped")
+    names = grouped.groupBy("grp").agg(F.min("id").alias("component"), F.sum("rows").alias("all")).where("all > 1")
+    named = grouped.join(names, "grp").select(*key, "component")
     return (s.join(named, key, "left")
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 

@@ -163,3 +163,19 @@ def test_rows_without_id_go_by_their_sets(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, [
         (5, " ".join(text.split())), (None, " ".join(alone.split())), (None, " ".join(alone.split()) + " more"),
         (None, None), (None, ""), (6, None)]))
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_texts_of_one_id_are_one_document_and_lose_no_link(spark, parts):
+    a, b = prose(700, 100).split(), prose(701, 100).split()
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a + ["word"])), (3, " ".join(b + ["word"])), (4, prose(702, 90))]
+    got = MH.judge(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    assert {(r.id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_shingle_hashes_are_whole():
+    import pyarrow as pa
+    grams, counts = MH.shingle_sets(*K.flat(pa.array([prose(1, 4000), prose(2, 50)])), 5)
+    assert (grams >> np.uint64(52)).max() > 4000 and counts.sum() == len(grams)
+    for part in np.split(grams, np.cumsum(counts)[:-1]):
+        assert (part[1:] > part[:-1]).all()
