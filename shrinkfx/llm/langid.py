@@ -213,7 +213,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     carried = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.coalesce(F.col(text_col), F.lit("")).alias("_li_text"))
 
+    # weights are languages x 2**16 numbers, however many rows were learned from
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         names = np.array([*model.languages, "und"], object)
         for batch in batches:
             for part in K.slices(batch, "_li_text"):
