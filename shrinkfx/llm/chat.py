@@ -38,14 +38,16 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     (text, loss) whose texts concatenate to ``formatted``; loss marks what is trained on.
 
     Null role or text is empty. Turns sort by number (null first), equal numbers by role,
-    then text, and repeated rows stay repeated turns. Rows with null conversation ids form
-    one conversation. Other columns are ignored; no rows in, no rows out.
+    then text, and repeated rows stay repeated turns. A row without conversation id is a
+    conversation of its own, so no number of them meets in one row. Other columns are
+    ignored; no rows in, no rows out.
     """
     empty = F.lit("")
-    rows = turns.select(F.col(conv_col).alias("conv_id"), F.struct(
+    alone = F.when(F.col(conv_col).isNull(), F.monotonically_increasing_id())
+    rows = turns.select(F.col(conv_col).alias("conv_id"), alone.alias("alone"), F.struct(
         F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), empty).alias("role"),
         F.coalesce(F.col(text_col), empty).alias("text")).alias("t"))
-    chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    chats = rows.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     ts, n = F.col("ts"), F.size("ts")
 
     def block(t: Column, i: Column) -> Column:

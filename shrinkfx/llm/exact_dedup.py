@@ -36,7 +36,9 @@ def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def _meet(rows: DataFrame, groups: DataFrame, keys: list[str], how: str, id_col: str) -> DataFrame:
     """Join rows to the table of groups by ``keys``, each group spread over ``SALTS`` tasks."""
-    salted = rows.withColumn("_xd_salt", F.pmod(F.xxhash64(F.col(id_col), F.lit("salt")), F.lit(SALTS)).cast("int"))
+    # rows without id go by their place in the scan, so that they are spread as well
+    name = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64(F.col(id_col), F.lit("salt")))
+    salted = rows.withColumn("_xd_salt", F.pmod(name, F.lit(SALTS)).cast("int"))
     spread = groups.withColumn("_xd_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(spread, [*keys, "_xd_salt"], how).drop("_xd_salt")
 

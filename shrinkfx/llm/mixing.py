@@ -16,6 +16,7 @@ inside each bucket, so no task ever sorts a whole source.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -98,7 +99,8 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight
             max_epochs: float, seed: int) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select("*", F.col(source_col).alias("_mx_source"), size.alias("_mx_size"),
-                       stream_hash(F.col(id_col), F.col(text_col), seed).alias("_mx_hash"))
+                       stream_hash(F.col(id_col), F.col(text_col), seed).alias("_mx_hash"),
+                       F.xxhash64(F.col(text_col)).alias("_mx_text"))  # tells rows of one id apart
     targets = materialize(source_targets(rows.select("_mx_source", "_mx_size"), weights,
                                          budget_ratio, max_epochs), "mix-targets")
     buckets = F.ceil(F.col("_mx_docs") / BUCKET_ROWS)
@@ -117,7 +119,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight
     earlier = W.partitionBy("_mx_rank").orderBy("_mx_bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select("_mx_rank", "_mx_bucket",
                            F.coalesce(F.sum("_mx_sum").over(earlier), F.lit(0)).alias("_mx_start"))
-    inside = (W.partitionBy("_mx_rank", "_mx_bucket").orderBy("_mx_hash", id_col, "_mx_size")
+    inside = (W.partitionBy("_mx_rank", "_mx_bucket").orderBy("_mx_hash", id_col, "_mx_size", "_mx_text")
               .rowsBetween(W.unboundedPreceding, -1))
     at = bucketed(rows).withColumn("_mx_inside", F.coalesce(F.sum("_mx_size").over(inside), F.lit(0)))
     placed = at.join(starts, ["_mx_rank", "_mx_bucket"])
@@ -125,7 +127,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight
     words, target, n = F.col("_mx_words"), F.col("_mx_target"), F.col("_mx_size")
     middle = begin + n / 2
     # copies whose middle lies before the target: epoch k holds the words [k, k+1) * words
-    copies = F.when(words > 0, F.least(F.lit(int(max_epochs)), F.greatest(
+    copies = F.when(words > 0, F.least(F.lit(math.ceil(max_epochs)), F.greatest(
         F.lit(0), F.ceil((target - middle) / words)))).otherwise(F.lit(0)).cast("int")
     copies = F.when(n > 0, copies).otherwise(F.lit(0))
     return placed.withColumns({"_mx_middle": middle, "_mx_copies": copies}).withColumns({
@@ -153,11 +155,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sorted by first position; rows that are not taken come last.
 
     Null or empty texts have size 0 and are never taken; a null source is a source of its
-    own, last in order. Equal rows are separate documents of the stream. Input columns that
+    own, last in order. Equal rows are separate documents of the stream; a document is taken
+    ``ceil(max_epochs)`` times at most. Input columns that
     bear the added names are replaced. No rows in, no rows out.
     """
     p = _placed(docs, id_col, text_col, source_col, weights, schedules, budget_ratio, max_epochs, seed)
-    p = p.orderBy(F.element_at("_mx_due", 1).asc_nulls_last(), F.col("_mx_hash"), F.col(id_col))
+    p = p.orderBy(F.element_at("_mx_due", 1).asc_nulls_last(), F.col("_mx_hash"), F.col(id_col), F.col("_mx_text"))
     return annotated(p, {"size": F.col("_mx_size"), "source_size": F.col("_mx_words"),
                          "target": F.col("_mx_target"), "taken": F.col("_mx_taken"),
                          "copies": F.col("_mx_copies"), "positions": F.col("_mx_due")}, docs.columns)
@@ -169,4 +172,4 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     opts = {"weights": WEIGHTS, "schedules": SCHEDULES, "budget_ratio": 1.5, "max_epochs": 2.0,
             "seed": 17} | names | options
     p = _placed(docs, **opts).withColumn("_mx_at", F.explode("_mx_due"))
-    return own(p.orderBy("_mx_at", "_mx_hash", opts["id_col"]), docs.columns)
+    return own(p.orderBy("_mx_at", "_mx_hash", opts["id_col"], "_mx_text"), docs.columns)

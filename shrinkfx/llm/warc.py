@@ -36,6 +36,10 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 RECORD_URN = "urn:shrinkfx:record:"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES = 64 << 20
+#: payload bytes after which a batch of read records is handed on
+BATCH_BYTES = 8 << 20
+#: tasks over which the rows of one payload are spread
+SALTS = 16
 RECORDS = ("record_id long, target_uri string, record_type string, refers_to long, "
            "payload_bytes long, payload_digest string, payload binary")
 
@@ -186,8 +190,10 @@ def read_archive(fs: pafs.FileSystem, path: str) -> Iterator[bytes]:
 def with_revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html",
                   url_col: str = "url", min_bytes: int = 0) -> DataFrame:
     """(page_id, url, payload, refers_to): of equal payloads of at least ``min_bytes`` the
-    smallest id is the response (refers_to null), the others point to it. Groups are
-    counted on digests with partial aggregation; only shared digests are joined back."""
+    smallest id is the response (refers_to null), the others point to it; where none has an
+    id, all are responses. Groups are counted on digests with partial aggregation; only
+    shared digests are joined back, each spread over ``SALTS`` tasks, as one payload may
+    belong to a third of all rows."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"),
                         F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
@@ -196,7 +202,10 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str =
               .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").drop("n"))
     refers = F.when(F.col("first") != F.col("page_id"), F.col("first"))
-    return (rows.join(firsts, "digest", "left")
+    name = F.when(F.col("page_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("page_id"))
+    rows = rows.withColumn("salt", F.pmod(name, F.lit(SALTS)).cast("int"))
+    firsts = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (rows.join(firsts, ["digest", "salt"], "left")
             .select("page_id", "url", "payload", refers.alias("refers_to")))
 
 
@@ -248,13 +257,14 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for archive, folder in zip(b.column("archive").to_pylist(), b.column("folder").to_pylist()):
-                rows = []
+                rows, size = [], 0
                 for raw in read_archive(pafs.FileSystem.from_uri(folder)[0], archive):
                     row = parse_record(raw)
                     rows.append(row if payloads else (*row[:-1], None))
-                    if len(rows) == 512:
+                    size += len(raw) if payloads else 0
+                    if len(rows) == 512 or size > BATCH_BYTES:
                         yield batch(rows)
-                        rows = []
+                        rows, size = [], 0
                 if rows:
                     yield batch(rows)
 

@@ -166,3 +166,73 @@ def test_quality_filter_and_edges(hostile, nothing, all_null):
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == verdict
     assert QL.judge(nothing).collect() == []
     assert [(r.n_words, r.kept) for r in QL.judge(all_null).collect()] == [(0, False)] * 2
+
+
+def test_quality_verdict_recomputed_and_bands_decide(spark):
+    """Ratios and verdicts by their definition; random letters, hexadecimal words and template
+    lines go, prose of the same lengths stays."""
+    import random
+
+    import zstandard
+
+    from samples import prose
+    r = random.Random(3)
+
+    def letters(n):
+        return " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 9))) for _ in range(n))
+
+    def hexes(n):
+        return " ".join("".join(r.choice("0123456789abcdef") for _ in range(8)) for _ in range(n))
+
+    def lines(n):
+        return "\n".join(f"Order {r.randrange(10**6)} was shipped to customer {r.randrange(10**5)} on day {r.randrange(365)}." for _ in range(n))
+
+    rows = [(i, letters(n)) for i, n in enumerate((500, 2000, 20_000))] + [(10 + i, hexes(n)) for i, n in enumerate((900, 5000, 20_000))]
+    rows += [(20 + i, lines(n)) for i, n in enumerate((40, 400, 4000))]
+    docs = [(x.doc_id + 1000, x.text) for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = {x.doc_id: x for x in QL.judge(spark.createDataFrame(rows + docs, "doc_id long, text string").repartition(4)).collect()}
+    assert not any(got[i].kept for i, _ in rows)
+    clean = [i for i, _ in docs if not got[i].base_failed]
+    assert all(got[i].kept for i in clean) and len(clean) > 100
+    bands = QL.Bands()
+
+    def limits(n):
+        return next((low, high) for top, low, high in bands.bands if n <= top)
+
+    def ratio(raw):
+        return len(zstandard.ZstdCompressor(level=bands.level, write_content_size=False).compress(raw)) / len(raw)
+
+    for i, text in rows + docs:
+        raw = (text or "").encode()
+        if not raw:
+            continue
+        low, high = limits(len(raw))
+        chunks = [raw[k: k + bands.chunk_bytes] for k in range(0, len(raw), bands.chunk_bytes)] if len(raw) > bands.chunk_bytes else []
+        bad = [not limits(len(c))[0] <= ratio(c) <= limits(len(c))[1] for c in chunks]
+        share = sum(bad) / len(bad) if bad else 0.0
+        assert got[i].zstd_ratio == pytest.approx(ratio(raw)) and got[i].bad_chunk_share == pytest.approx(share)
+        assert got[i].kept == (not quality(text)[-1] and low <= ratio(raw) <= high and share <= bands.bad_chunks)
+
+
+def test_rows_without_id_are_spread_and_judged(spark):
+    rows = [(None, "same text")] * 40 + [(7, "same text"), (None, "other"), (None, "other"), (8, "alone")]
+    got = XD.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(got) == len(rows)
+    assert {(r.keep_id, r.group_size) for r in got if r.text == "same text"} == {(7, 41)}
+    assert {(r.doc_id, r.kept) for r in got if r.text == "same text"} == {(None, False), (7, True)}
+    kept = [(r.doc_id, r.text) for r in XD.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(kept, key=str) == sorted([(7, "same text"), (None, "other"), (8, "alone")], key=str)
+
+
+def test_mix_of_rows_that_share_an_id_and_of_a_broken_epoch(spark):
+    from samples import prose
+    rows = [(1, prose(i, 20), "a") for i in range(30)] + [(2 + i, prose(60 + i, 10), "b") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    first = [(r.doc_id, r.text) for r in MX.mixed_rows(docs.repartition(3)).collect()]
+    again = [(r.doc_id, r.text) for r in MX.mixed_rows(docs.repartition(7)).collect()]
+    assert first == again
+    more = MX.mix(docs, max_epochs=2.5, budget_ratio=4.0).collect()
+    assert max(r.copies for r in more) == 3
+    for source in "ab":
+        part = [r for r in more if r.source == source]
+        assert abs(sum(r.taken for r in part) - part[0].target) <= max(r["size"] for r in part)

@@ -119,7 +119,7 @@ def test_model_is_a_distribution_and_uses_long_contexts(spark):
     """Next-word probabilities of a state sum to one over known words and the unknown."""
     texts = ["the cat sat on the mat"] * 40 + ["a dog sat on a log"] * 40 + [prose(k, 30) for k in range(20)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    shape = SL.Shape(context_share=1e-3, edge_share=1e-3, bits_per_edge=2.0)
+    shape = SL.Shape(context_share=1e-3, edge_share=1e-3, bits_per_edge=2.0, least_edge=2)
     tree, counts = SL.train(docs, shape=shape)
     assert [len(x.states) > 0 for x in tree.levels] == [True] * 3
     prefix = np.frombuffer(b"cat sat on", np.uint8)
@@ -164,7 +164,8 @@ def test_rare_contexts_count_at_any_corpus_size(spark):
     texts = [twice] * 2 + [prose(k, 400) for k in range(300)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5).cache()
     got = []
-    for shape in (SL.Shape(), SL.Shape(context_share=0.0, edge_share=0.0), SL.Shape(context_share=2.0, edge_share=2.0)):
+    for shape in (SL.Shape(least_edge=2), SL.Shape(context_share=0.0, edge_share=0.0, least_edge=2),
+                  SL.Shape(context_share=2.0, edge_share=2.0, least_edge=2)):
         tree, counts = SL.train(docs, shape=shape)
         got.append(({r.doc_id: r for r in SL.score(docs, tree, counts, shape=shape).collect()}, tree))
     assert got[0][0][0].train_tokens > 100_000
@@ -175,10 +176,11 @@ def test_rare_contexts_count_at_any_corpus_size(spark):
         assert got[2][0][i].score == pytest.approx(got[1][0][i].score, rel=1e-8)
 
 
-def test_scores_against_a_plain_suffix_tree(spark):
+@pytest.mark.parametrize("least", [2, SL.Shape().least_edge])
+def test_scores_against_a_plain_suffix_tree(spark, least):
     texts = ["the cat sat on the mat", "a dog sat on a log", ""] * 20 + [prose(k, 25) for k in range(30)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    shape = SL.Shape()
+    shape = SL.Shape(least_edge=least)
     got = {r.doc_id: r.score for r in SL.score(docs, *SL.train(docs, shape=shape), shape=shape).collect()}
     streams = [[*words(t, True), b" "] for t in texts]
     count, following = {}, {}
@@ -188,7 +190,7 @@ def test_scores_against_a_plain_suffix_tree(spark):
                 gram = tuple(s[i - k: i + 1])
                 count[gram] = count.get(gram, 0) + 1
     for gram, m in count.items():
-        if len(gram) > 1 and m >= 2:
+        if len(gram) > 1 and m >= least:
             following.setdefault(gram[:-1], {})[gram[-1]] = m
     n, v = sum(map(len, streams)), len({w for s in streams for w in s})
 
@@ -208,3 +210,16 @@ def test_scores_against_a_plain_suffix_tree(spark):
     for i, s in enumerate(streams):
         want = sum(math.log10(p(tuple(s[max(0, j - 3): j]), w, kept)) for j, w in enumerate(s))
         assert got[i] == pytest.approx(want, rel=1e-7)
+
+
+def test_bitmap_grows_with_its_table_and_misses_nothing(spark):
+    sizes = []
+    for n in (0, 10, 30_000):
+        keys = spark.range(n).selectExpr("xxhash64(id) AS key")
+        bitmap = SL._bitmap(keys)
+        sizes.append(len(bitmap))
+        held = np.array([r.key for r in keys.collect()], np.int64).view(np.uint64)
+        assert SL._maybe(bitmap, held).all()
+        other = np.random.default_rng(0).integers(0, 1 << 63, 20_000, dtype=np.uint64)
+        assert SL._maybe(bitmap, other).mean() < 0.2
+    assert sizes[0] == sizes[1] < sizes[2] <= 1 << (SL.FILTER_BITS - 6)

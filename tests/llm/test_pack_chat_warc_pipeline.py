@@ -155,6 +155,12 @@ def test_chat_round_trip_against_brute_force(spark):
         assert r.formatted.count(CH.START) == 1 + sum(a[2] != b[2] for a, b in zip(ts, ts[1:]))
 
 
+def test_rows_without_conversation_stay_single(spark):
+    rows = [(None, i, "user", f"t{i}") for i in range(50)] + [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    got = CH.digests(CH.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4))).collect()
+    assert Counter((r.conv_id, r.n_turns) for r in got) == {(None, 1): 50, (1, 2): 1}
+
+
 def test_chat_is_native_and_takes_empty_tables(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     d = CH.digests(CH.format_chats(none))
@@ -281,6 +287,25 @@ def test_stages_take_empty_documents(spark, nothing):
         assert stage(spark, nothing, SF001).collect() == []
 
 
+def test_pipeline_over_a_hostile_table(spark, hostile, tmp_path):
+    """All five stages in a row over nulls, repeated rows, rows without id and clashing names."""
+    long = [(200 + i, prose(500 + i, 90), "aa", "hot", "mine", "mine", "mine", "mine") for i in range(8)]
+    table = hostile.union(spark.createDataFrame(long + long[:3] + [(None, *long[4][1:]), (None, *long[5][1:])], hostile.schema))
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    out = docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = spark.createDataFrame(stage(spark, out, str(tmp_path)).collect(), docs.schema)
+        assert out.columns == docs.columns and {r.kept for r in out.collect()} <= {"mine"}
+        kept.append([(r.doc_id, r.text) for r in out.collect()])
+    good, exact, near, mixed = kept
+    assert len(exact) == len({t for _, t in exact}) and {t for _, t in exact} == {t for _, t in good}
+    assert {200 + i for i in range(8)} <= {i for i, _ in near} and set(mixed) <= set(near)
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert check_windows(pieces) == 0
+    assert sum(p.length for p in pieces) == sum(len(x) for x in ids_of(t for _, t in mixed))
+
+
 def test_pipeline_near_dedup_links_from_eighty_percent(spark):
     from brute import near_components
     rows = []
