@@ -179,6 +179,19 @@ class ChainSweep:
             hot_rows.join(F.broadcast(hot.groupBy("k").agg(packed)), "k"))
         return met, cold.unionByName(hot)
 
+    def _residuals(self, met: DataFrame, grid: Grid) -> DataFrame:
+        """``(fit, kind, key, b, n, r0, ...)``: what rows leave after two effects, summed by each
+        value of the later keys (``kind`` is the key's place); of test rows also squared and
+        over all of them (kind 1)."""
+        keys = [f"k{s}" for s in self.later]
+        left = grid.beside(met.selectExpr("fit", "d", "n0", "s0", *keys, "inline(effs)")).selectExpr(
+            "fit", "b", *keys, *_each("d - s0 / (n0 + g.a#) - e#", "r"))
+        by_key = "".join(f", named_struct('kind', {s}, 'key', k{s})" for s in self.later)
+        square = "named_struct('kind', 1, 'key', '')"
+        parts = f"if(fit, array({by_key[2:]}), array({square}{by_key}))" if by_key else f"if(fit, array(), array({square}))"
+        spread = left.selectExpr("fit", "b", *_names("r"), f"inline({parts})")
+        return _sums(spread, ["fit", "kind", "key", "b"], "n", "if(kind = 1, r# * r#, r#)", "r")
+
     def run(self, alphas: Sequence[float]) -> tuple[list[DataFrame], list[DataFrame]]:
         """(effects per stage as ``(k, b, n, e0, ...)``, squared-error pieces per stage as
         ``(b, m, q0, ...)``, to be summed by ``b``; from the third on they are changes)."""
@@ -192,15 +205,7 @@ class ChainSweep:
             return tables, pieces
         met, second = self._second(grid)
         tables.append(second)
-        keys = [f"k{s}" for s in self.later]
-        left = grid.beside(met.selectExpr("fit", "d", "n0", "s0", *keys, "inline(effs)")).selectExpr(
-            "fit", "b", *keys, *_each("d - s0 / (n0 + g.a#) - e#", "r"))
-        # a row's residuals go to each of its later keys; those of a test row also to kind 1, squared
-        by_key = "".join(f", named_struct('kind', {s}, 'key', k{s})" for s in self.later)
-        square = "named_struct('kind', 1, 'key', '')"
-        parts = f"if(fit, array({by_key[2:]}), array({square}{by_key}))" if by_key else f"if(fit, array(), array({square}))"
-        spread = left.selectExpr("fit", "b", *_names("r"), f"inline({parts})")
-        sums = materialize(_sums(spread, ["fit", "kind", "key", "b"], "n", "if(kind = 1, r# * r#, r#)", "r"), "sweep_residuals")
+        sums = materialize(self._residuals(met, grid), "sweep_residuals")
         pieces.append(sums.where("kind = 1").selectExpr("b", "n AS m", *_each("r#", "q")))
 
         effects: dict[int, DataFrame] = {}

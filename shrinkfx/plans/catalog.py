@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from shrinkfx.functions.columns import (format_number_text, movie_year, rating_datetime, rating_month,
                                         rating_week)
 from shrinkfx.operators.effects import EffectModel, effect, fit, predict
-from shrinkfx.operators.keys import attach, drop_present, keep_known, recode, stack
+from shrinkfx.operators.keys import attach, drop_present, keep_known, recode, stack, unique_by
 from shrinkfx.operators.stats import year_ticks
 from shrinkfx.operators.sweep import sweep_chain, sweep_single
 from shrinkfx.plans import experiment as X
@@ -64,7 +64,7 @@ def q_enrich_ratings(spark, sf):
     p = P(spark, sf)
     movies = p.ratings.select("movie_id", "title", "genres").distinct()
     r = p.ratings.drop("title", "genres")
-    return attach(r, movies, "movie_id", "left")
+    return attach(r, unique_by(movies, "movie_id"), "movie_id", "left")
 
 
 # ----------------------------------------------------------- features ----

@@ -32,9 +32,6 @@ def get_spark(master: str | None = None, app: str = "shrinkfx",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # the alpha sweep aggregates one column per alpha (121 by default);
-        # keep such plans inside whole-stage codegen
-        "spark.sql.codegen.maxFields": "400",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -17,10 +17,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from shrinkfx import get_spark  # noqa: E402
 from shrinkfx.operators import sweep as SW  # noqa: E402
-from shrinkfx.operators.split import stratified_split  # noqa: E402
+from shrinkfx.operators.keys import key_registry  # noqa: E402
 from shrinkfx.plans import catalog  # noqa: E402
 from shrinkfx.plans import experiment as X  # noqa: E402
-from shrinkfx.sources.testdata import HASH_KEYS, TIE_KEYS  # noqa: E402
 
 KEEP = re.compile(r"(Scan|Exchange|Join|Aggregate|Window|Generate|TakeOrdered|Union|Subquery|Reused|Sort |Filter)")
 
@@ -47,22 +46,20 @@ def main():
     p = X.prepare(spark, sf)
     alphas = X.Config().alphas
     sections = []
-    sections.append(("Stratified split (quartile strata, seed 2) over edx",
-                     stratified_split(p.edx, "rating", 0.2, "2", HASH_KEYS, TIE_KEYS, "quartile")))
-    first = p.train.groupBy(SW._text("movie_id").alias("k0")).agg(
-        F.count("rating").alias("n0"), F.sum(F.col("rating") - p.mu).alias("s0"))
-    rows = p.train.select(F.lit(True).alias("fit"), (F.col("rating") - p.mu).alias("d"), SW._text("movie_id").alias("k0"),
-                          SW._text("user_id").alias("k"), SW._text("genres").alias("key")).join(first, "k0")
-    met, effects = SW._second_stage(rows, alphas, SW.HOT_SHARE)
-    sections.append(("Chain sweep, second effect (users): thin rows dealt by user, summed in place", effects))
-    sections.append(("Chain sweep, residuals after two effects by genre: rows meet the effects where they are",
-                     SW._sums(met, ["key"], lambda i: F.col("d") - F.get(F.col("eff"), F.lit(i)), len(alphas))))
+    sections.append(("Stratified split (quartile strata, seed 1): a comparison with the stored hash", p.split1))
+    sections.append(("A count over train: the split's folder alone is read", p.train.groupBy("user_id").count()))
+    sections.append(("Keys that only held-out rows have, for five keys in one scan",
+                     key_registry(p.split2, X.FULL_CHAIN, "is_test").groupBy("kind", "key").agg(F.every("is_test").alias("held")).where("held")))
+    sweep, grid = SW.ChainSweep(p.train, p.test, X.FULL_CHAIN, p.mu), SW.Grid(alphas)
+    met, effects = sweep._second(grid)
+    sections.append(("Chain sweep, second effect (users): thin rows dealt by user, spread over the grid's blocks and summed in place", effects))
+    sections.append(("Chain sweep, residuals after two effects: rows meet the effects where they are", sweep._residuals(met, grid)))
     sections.append(("Chain sweep: the last step over written pieces",
-                     SW.sweep_chain(p.train, p.test, X.FULL_CHAIN, alphas, p.mu)))
+                     sweep.scores(alphas)))
     sections.append(("Single-effect sweep (sufficient statistics)",
                      SW.sweep_single(p.train, p.test, "user_id", alphas, p.mu)))
     q = catalog.QUERIES
-    for name in ["model_mugyw", "best_movies", "kde_user_avg", "boxplot_activity", "user_activity_percentiles"]:
+    for name in ["model_mugyw", "best_movies", "kde_user_avg", "activity_all_features", "boxplot_activity", "dataset_profile"]:
         sections.append((f"Query `{name}`", q[name](spark, sf)))
     print("# Executed physical plans (after AQE), sf0.01, local[8]\n")
     print("Generated by `python tools/show_plans.py`; operator lines only.\n")
