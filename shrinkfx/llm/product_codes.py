@@ -49,6 +49,8 @@ class Coder:
 def integers(x: np.ndarray, coder: Coder) -> np.ndarray:
     """(rows, parts, width) whole numbers; a length that the parts do not divide is filled
     up with zeros."""
+    if len(x) == 0:
+        return np.zeros((0, coder.parts, 0), np.int64)
     z = np.clip(np.floor(x * coder.scale), -LIMIT, LIMIT).astype(np.int64)
     z = np.pad(z, ((0, 0), (0, -z.shape[1] % coder.parts)))
     return z.reshape(len(z), coder.parts, -1)

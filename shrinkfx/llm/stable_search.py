@@ -19,7 +19,8 @@ a chance of at most ``1 - chi2(r**2 / D)``; the search ends when that is under
 
 Queries are shipped packed by cell and joined with the blocks of the cell; the tree, its
 boxes and the projection (at most ``max_cells`` rows) are all that is broadcast. Each round
-is written to the shared folder.
+is written to the shared folder. A worker holds one Arrow batch of joined blocks, which
+Spark bounds in bytes (``spark.sql.execution.arrow.maxBytesPerBatch``).
 """
 
 from __future__ import annotations
