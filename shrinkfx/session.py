@@ -97,6 +97,12 @@ def drop_stages(spark: SparkSession) -> bool:
     return fs.delete(path, True)
 
 
+def drop_table(spark: SparkSession, path: str) -> bool:
+    """Delete one stage table, which nothing reads any more."""
+    fs, found = _found(spark, path)
+    return fs.delete(found, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a stage table is still there, on any store: its writer's ``_SUCCESS`` mark is."""
     fs, mark = _found(spark, f"{path}/_SUCCESS")

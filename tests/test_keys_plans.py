@@ -44,18 +44,18 @@ def test_split_is_a_predicate_on_one_scan(spark, tmp_path):
 
 
 def test_chain_sweep_moves_no_array_with_a_row(spark):
-    """With broadcast joins off, rows are dealt once for the second key's effects and once for
-    the residuals; what crosses an exchange is thin rows and partial sums."""
+    """With broadcast joins off, what crosses an exchange is thin rows, before they meet the
+    grid, and partial sums."""
     rows = spark.range(4000).select(
         (F.col("id") % 500).alias("user_id"), (F.col("id") % 40).alias("movie_id"), (F.col("id") % 7).alias("genres"),
         ((F.col("id") % 9) / 2 + 1).alias("rating"), F.col("id").alias("row_id"))
-    alphas = [0.0, 1.0, 2.0]
-    thin = rows.select(F.lit(True).alias("fit"), (F.col("rating") - 3).alias("d"), F.col("user_id").cast("string").alias("k"),
-                       F.col("genres").cast("string").alias("k2"), F.lit(100).alias("n0"), F.lit(5.0).alias("s0"))
+    sweep = SW.ChainSweep(rows.where("row_id % 5 > 0"), rows.where("row_id % 5 = 0"), ["movie_id", "user_id", "genres"], 3.0,
+                          hot_share=1 / 400)
+    grid = SW.Grid([0.0, 1.0, 2.0])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        met, _ = SW._second_stage(thin, alphas, 1 / 400)
-        sums = SW._sums(met, ["k2"], lambda i: F.col("d") - F.get(F.col("eff"), F.lit(i)), len(alphas))
+        met, _ = sweep._second(grid)
+        sums = sweep._residuals(met, grid)
         sums.write.format("noop").mode("overwrite").save()
         jplan = sums._jdf.queryExecution().executedPlan()
         found = []
@@ -74,5 +74,6 @@ def test_chain_sweep_moves_no_array_with_a_row(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found and not any("array" in f for f in found), found
-    dealt = [f for f in found if "d:double" in f]
-    assert len(dealt) == 2  # effects of the second key, then the residuals
+    data = [f for f in found if "d:double" in f]
+    assert data and not any(f":{kind}" in f for f in data for kind in ("struct", "map")) and all(f.count(":") <= 8 for f in data), data
+    assert not any("a0" in f for f in data)  # the grid comes after
