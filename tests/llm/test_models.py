@@ -107,7 +107,7 @@ def test_rare_words_take_the_joined_path_with_equal_results(spark, monkeypatch):
     shape = SL.Shape(depth=0)
     all_frequent, few = [
         {r.doc_id: r for r in SL.score(docs, *SL.train(docs, shape=s), shape=s).collect()}
-        for s in (shape, SL.Shape(depth=0, word_share=5e-3))]
+        for s in (shape, SL.Shape(depth=0, head_rows=40))]
     for i, r in all_frequent.items():
         assert (few[i].n_tokens, few[i].n_known) == (r.n_tokens, r.n_known)
         assert few[i].base_score == pytest.approx(r.base_score, rel=1e-9)
@@ -119,7 +119,7 @@ def test_model_is_a_distribution_and_uses_long_contexts(spark):
     """Next-word probabilities of a state sum to one over known words and the unknown."""
     texts = ["the cat sat on the mat"] * 40 + ["a dog sat on a log"] * 40 + [prose(k, 30) for k in range(20)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    shape = SL.Shape(context_share=1e-3, edge_share=1e-3, bits_per_edge=2.0, least_edge=2)
+    shape = SL.Shape(bits_per_edge=2.0, least_edge=2)
     tree, counts = SL.train(docs, shape=shape)
     assert [len(x.states) > 0 for x in tree.levels] == [True] * 3
     prefix = np.frombuffer(b"cat sat on", np.uint8)
@@ -128,9 +128,9 @@ def test_model_is_a_distribution_and_uses_long_contexts(spark):
         history = tokens[:n_before]
         total = 0.0
         unknown = np.array([np.uint64(12345)])
-        for w in [*tree.words, unknown[0]]:
+        for w in [*tree.words.keys, unknown[0]]:
             s = np.append(history, w).astype(np.uint64)
-            _, base, model = SL._scores(tree, s, np.arange(len(s)))
+            _, base, model, _ = SL._scores(tree, s, np.arange(len(s)))
             root = 0.1 / (tree.tokens + 0.1 * (tree.distinct + 1)) if w == unknown[0] else 1.0
             total += root * 10.0 ** model[-1]
         assert total == pytest.approx(1, abs=1e-6)
@@ -164,8 +164,7 @@ def test_rare_contexts_count_at_any_corpus_size(spark):
     texts = [twice] * 2 + [prose(k, 400) for k in range(300)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5).cache()
     got = []
-    for shape in (SL.Shape(least_edge=2), SL.Shape(context_share=0.0, edge_share=0.0, least_edge=2),
-                  SL.Shape(context_share=2.0, edge_share=2.0, least_edge=2)):
+    for shape in (SL.Shape(least_edge=2, head_rows=60), SL.Shape(least_edge=2), SL.Shape(least_edge=2, head_rows=0)):
         tree, counts = SL.train(docs, shape=shape)
         got.append(({r.doc_id: r for r in SL.score(docs, tree, counts, shape=shape).collect()}, tree))
     assert got[0][0][0].train_tokens > 100_000
@@ -223,3 +222,12 @@ def test_bitmap_grows_with_its_table_and_misses_nothing(spark):
         other = np.random.default_rng(0).integers(0, 1 << 63, 20_000, dtype=np.uint64)
         assert SL._maybe(bitmap, other).mean() < 0.2
     assert sizes[0] == sizes[1] < sizes[2] <= 1 << (SL.FILTER_BITS - 6)
+
+
+def test_key_lookup_equals_a_set():
+    r = np.random.default_rng(4)
+    for n in (0, 1, 5, 5000):
+        keys = np.sort(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        table, asked = SL.Keys(keys), np.concatenate([keys, r.integers(0, 1 << 63, 300, dtype=np.uint64)])
+        place = {k: i for i, k in enumerate(keys.tolist())}
+        assert SL.Keys(keys).find(asked).tolist() == [place.get(k, -1) for k in asked.tolist()] and len(table) == n
