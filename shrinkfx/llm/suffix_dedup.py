@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from shrinkfx.llm import textkit as K
 from shrinkfx.llm.frames import arrow_map
-from shrinkfx.session import materialize, stage_path
+from shrinkfx.session import drop_table, stage, stage_path
 
 GRAM = 50
 CHUNK = 1 << 21
@@ -237,9 +237,10 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
     a row and are judged on the input. A null id comes before all others. Rows with equal
     ids are one document read again: the same place in them is no earlier place. Other
     columns are ignored; no rows in, no rows out."""
-    copy = materialize(docs.select(
-        F.spark_partition_id().alias("shard"), F.col(id_col).cast("long").alias("id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text")), "shards")
+    spark, path = docs.sparkSession, stage_path(docs.sparkSession, "shards")
+    docs.select(F.spark_partition_id().alias("shard"), F.col(id_col).cast("long").alias("id"),
+                F.coalesce(F.col(text_col), F.lit("")).alias("text")).write.option("compression", "zstd").parquet(path)
+    copy = spark.read.parquet(path)
 
     def found_runs(shard, ids, offs, data, prefix, tables) -> Iterator[tuple[list[Runs], Runs]]:
         """For each piece of a slice: (runs and sub-runs that repeat earlier ones, those that are
@@ -285,14 +286,16 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = GRAM, id_col:
     def open_runs(emit: Callable, name: str) -> str:
         """The runs of open blocks: first place, and whether the block holds different runs."""
         keys = ["gram", "whole"]
-        rows = materialize(_rows(copy, ("gram", "whole"), emit), f"{name}-intervals")
+        rows, intervals = stage(_rows(copy, ("gram", "whole"), emit), f"{name}-intervals")
         blocks = rows.groupBy(*keys).agg(F.min(F.struct("id", "place")).alias("first"), F.sum("n").alias("n"))
         # least and greatest are combined map-side: a gram with many runs is one row per task
         mixed = rows.groupBy("gram").agg((F.min("whole") < F.max("whole")).alias("mixed"))
         state = blocks.join(mixed, "gram").where("n > 1 or mixed").select(
             *keys, F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"), "mixed")
-        return _handed_back(rows.join(state, keys).select(
+        table = _handed_back(rows.join(state, keys).select(
             "shard", "whole", "first_id", "first_place", "mixed"), name)
+        drop_table(spark, intervals)  # what is handed back is all that later rounds read
+        return table
 
     def open_windows(emit: Callable) -> str:
         # a window is one row per shard, so a key's rows are few however often it occurs: one
