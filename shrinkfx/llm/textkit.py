@@ -8,13 +8,15 @@ windows are hashed from one prefix sum, so the cost is a few array passes per by
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 17  # a slice and its array passes stay in a core's cache
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -24,6 +26,7 @@ _BYTE = np.random.default_rng(20241).integers(1, 1 << 63, 256, dtype=np.uint64)
 _P = 0x9E3779B97F4A7C15 | 5
 _INV_P = pow(_P, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
 
 
 def _power(base: int, n: int) -> np.ndarray:
@@ -37,11 +40,13 @@ def _power(base: int, n: int) -> np.ndarray:
 
 
 def release() -> None:
-    """Give back what a task has left in its worker: power tables that a long text made, and
-    the free blocks of Arrow's pool."""
+    """Give back what a task has left in its worker: power tables that a long text made, the
+    free blocks of Arrow's pool, and of the C heap where it is glibc's."""
     for base in [b for b, table in _powers.items() if len(table) > SLICE_BYTES + 64]:
         del _powers[base]
     pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
