@@ -8,14 +8,19 @@ Kullback-Leibler divergence, in bits, against a price per stored next word), or
 longer retained context needs it. A text is scored by the longest retained state at each
 word.
 
-Counts cover all training documents; a gram's least count is the same at every corpus
-size, so the tree grows with the input. Its tables are Spark tables. As retained states
+Counts cover all training documents; a gram's least count (``least_edge``) is the same at
+every corpus size, so the tree grows with the input. Its tables are Spark tables. As retained states
 and stored grams are closed under suffixes, a text's score is the sum of one number per
 gram in it: the log of the mass a state leaves, and what a stored gram adds to its
-suffix's log probability. Frequent grams (at most 1 / context_share states and 1 /
-edge_share next words per length, 1 / word_share root words) are broadcast; all others
-are joined by key. The shares decide only which way a gram is looked up. A bitmap of
-fixed size tells which keys need not be asked for; it may only err by asking in vain.
+suffix's log probability. The most frequent states and next words of each length and
+the most frequent words (``head_rows`` of each at most) are broadcast; all others are
+joined by key. That decides only which way a gram is looked up. A bitmap, sized by its
+table up to 2**FILTER_BITS bits, tells which keys need not be asked for; it may only err by
+asking in vain.
+
+Grams are counted in blocks: a task sums what it has met, sorts it by hash and hands on one
+row per range of hashes, which the range's task adds up. A range holds about ``RANGE_ROWS``
+grams of all tasks together.
 """
 
 from __future__ import annotations
@@ -34,37 +39,36 @@ from shrinkfx.llm.frames import arrow_map
 from shrinkfx.session import materialize, stage
 
 END = np.uint64(0xE4D0F7EC575EED01)
-MERGE_WORDS = 4_000_000
-FILTER_BITS = 27
+MERGE_WORDS = 2_000_000
+RANGE_ROWS = 1_000_000
+FILTER_BITS = 28
 UNITS = 1e10  # sums of logs are taken in whole units: equal rows get equal scores
 
 
 @dataclass(frozen=True)
 class Shape:
     depth: int = 3
-    word_share: float = 2e-7
-    context_share: float = 1e-4
-    edge_share: float = 2e-6
+    head_rows: int = 1 << 20  # about 22 MB a table
     discount: float = 0.5
     bits_per_edge: float = 4.0
-    least_edge: int = 2
+    least_edge: int = 5
     add: float = 0.1
 
 
 @dataclass
 class Level:
-    """Frequent states of one length and frequent grams one word longer, sorted by key."""
+    """Frequent states of one length and frequent grams one word longer."""
 
-    states: np.ndarray
+    states: Keys
     keep: np.ndarray  # log10 of the mass left to the suffix
-    edges: np.ndarray
+    edges: Keys
     gain: np.ndarray  # log10 of what the gram's probability is above the mass times its suffix's
 
 
 @dataclass
 class Tree:
-    words: np.ndarray  # hashes of the frequent words, sorted
-    root: np.ndarray  # their smoothed probabilities
+    words: Keys  # the frequent words
+    root: np.ndarray  # log10 of their smoothed probabilities
     levels: list[Level]
     tokens: int
     distinct: int
@@ -85,17 +89,31 @@ def token_stream(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, counts, np.arange(len(out)) - np.repeat(begin, counts)
 
 
-def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in a sorted table, or -1."""
-    if len(table) == 0 or len(keys) == 0:
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
+class Keys:
+    """A sorted table of hashes. The high bits of a hash lead to the few places where it can
+    be, so a look-up costs about two reads instead of a binary search."""
 
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.bits = keys, max(4, min(24, len(keys).bit_length()))
+        tops = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        self.begin = np.append(np.searchsorted(keys, tops), len(keys)).astype(np.int32)
 
-def _word_numbers(words: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    uniq, back = np.unique(tokens, return_inverse=True)
-    return find(words, uniq)[back]
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key in the table, or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        top = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        at, end = self.begin[top], self.begin[top + 1]
+        live = np.flatnonzero(at < end)
+        while len(live):
+            here = at[live]
+            hit = self.keys[here] == keys[live]
+            out[live[hit]] = here[hit]
+            at[live] += 1
+            live = live[~hit & (here + 1 < end[live])]
+        return out
 
 
 def _pair(ctx: np.ndarray, sub: np.ndarray) -> np.ndarray:
@@ -117,19 +135,28 @@ def _grams(tokens: np.ndarray, place: np.ndarray, longest: int) -> Iterator[tupl
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Bitmap of a table's keys, of the same size whatever the table holds."""
-    slot = f"shiftrightunsigned(key, {64 - FILTER_BITS})"
-    got = (keys.select(F.expr(f"shiftright({slot}, 6)").alias("at"), F.expr(f"shiftleft(1L, cast({slot} & 63 as int))").alias("bit"))
+    """Bitmap of a table's keys: about 16 bits a key, 2**FILTER_BITS at most. A key sets two
+    bits, by its high and by its low end, so about one other key in seventy looks held."""
+    bits = min(FILTER_BITS, max(16, (16 * keys.count()).bit_length()))
+    slots = F.expr(f"array(shiftrightunsigned(key, {64 - bits}), key & {(1 << bits) - 1})")
+    got = (keys.select(F.explode(slots).alias("slot")).select(F.expr("shiftright(slot, 6)").alias("at"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
            .groupBy("at").agg(F.bit_or("bit").alias("bits"))).toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out = np.zeros(1 << (bits - 6), np.uint64)
     out[np.asarray(got.column("at").combine_chunks())] = np.asarray(got.column("bits").combine_chunks()).view(np.uint64)
     return out
 
 
 def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key can be in the bitmap's table."""
-    slot = keys >> np.uint64(64 - FILTER_BITS)
-    return ((bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
+    bits = (64 * len(bitmap) - 1).bit_length()
+
+    def held(slot: np.ndarray) -> np.ndarray:
+        return ((bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+    out = held(keys >> np.uint64(64 - bits))
+    at = np.flatnonzero(out)
+    out[at] = held(keys[at] & np.uint64((1 << bits) - 1))
+    return out
 
 
 class _Summer:
@@ -179,25 +206,37 @@ def _counted(docs: DataFrame, text_col: str, keys_of) -> DataFrame:
     return arrow_map(texts, run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter: np.ndarray) -> DataFrame:
-    """(ctx, sub, key, n) of the grams of ``k`` + 1 words seen ``least`` times. ``shorter``
-    is the bitmap of the grams of ``k`` words seen so often: no other can be inside one."""
+def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter: np.ndarray, tokens: int) -> DataFrame:
+    """(ctx, sub, key, n) of the grams of ``k`` + 1 words seen ``least`` times in ``tokens``
+    words. ``shorter`` is the bitmap of the grams of ``k`` words seen so often: no other can
+    be inside one."""
     known = docs.sparkSession.sparkContext.broadcast(shorter)
 
+    ranges = 1 << max(4, (tokens // RANGE_ROWS).bit_length())
+    shift = np.uint64(65 - ranges.bit_length())
+
+    def folded(ctx: np.ndarray, sub: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(key, ctx, sub, n) of the distinct grams, by key."""
+        key = _pair(ctx, sub)
+        order = np.argsort(key)
+        key, ctx, sub = key[order], ctx[order], sub[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (ctx[1:] != ctx[:-1]) | (sub[1:] != sub[:-1])
+        first = np.flatnonzero(new)
+        return key[first], ctx[first], sub[first], np.add.reduceat(n[order], first) if len(first) else n
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
-        def rows() -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
             ctx, sub = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in (zip(*held) if held else ((), ())))
-            order = np.argsort(_pair(ctx, sub))
-            ctx, sub = ctx[order], sub[order]
-            first = np.flatnonzero(np.concatenate([np.ones(min(len(ctx), 1), bool), (ctx[1:] != ctx[:-1]) | (sub[1:] != sub[:-1])]))
-            n = np.diff(np.append(first, len(ctx)))
-            for i in range(0, len(first), 1 << 16):
-                at = first[i: i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(ctx[at].view(np.int64)), pa.array(sub[at].view(np.int64)),
-                                                  pa.array(n[i: i + (1 << 16)])], names=["ctx", "sub", "n"])
+            key, ctx, sub, n = folded(ctx, sub, np.ones(len(ctx), np.int64))
+            at = np.searchsorted(key >> shift, np.arange(ranges + 1, dtype=np.uint64))
+            some = np.flatnonzero(at[1:] > at[:-1])
+            packed = [[x[at[r]: at[r + 1]].astype("<u8").tobytes() for r in some] for x in (ctx, sub, n)]
+            return pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(x, pa.binary()) for x in packed)],
+                                              names=["part", "ctx", "sub", "n"])
 
         for batch in batches:
             for part in K.slices(batch, "text"):
@@ -209,23 +248,44 @@ def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter:
                 held.append((key[at - 1], key[at]))
                 size += len(at)
                 if size > MERGE_WORDS:
-                    yield from rows()
+                    yield rows()
                     held, size = [], 0
-        yield from rows()
+        yield rows()
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a partition holds a few ranges; what one task sent of a range is already summed
+        held: dict[int, list] = {}
         for batch in batches:
-            ctx, sub = (np.asarray(batch.column(c)).view(np.uint64) for c in ("ctx", "sub"))
-            yield pa.RecordBatch.from_arrays([batch.column("ctx"), batch.column("sub"), pa.array(_pair(ctx, sub).view(np.int64)),
-                                              batch.column("n")], names=["ctx", "sub", "key", "n"])
+            for r, *blobs in zip(*(batch.column(c).to_pylist() for c in ("part", "ctx", "sub", "n"))):
+                held.setdefault(r, []).append([np.frombuffer(x, "<u8") for x in blobs])
+        for r in sorted(held):
+            ctx, sub, n = (np.concatenate(x) for x in zip(*held.pop(r)))
+            key, ctx, sub, n = folded(ctx, sub, n.astype(np.int64))
+            often = n >= least
+            columns = [x[often].view(np.int64) for x in (ctx, sub, key, n)]
+            for i in range(0, len(columns[0]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i: i + (1 << 16)]) for x in columns], names=["ctx", "sub", "key", "n"])
 
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counted = arrow_map(texts, run, "ctx long, sub long, n long").groupBy("ctx", "sub").agg(F.sum("n").alias("n"))
-    return arrow_map(counted.where(F.col("n") >= least), named, "ctx long, sub long, key long, n long")
+    packed = arrow_map(texts, run, "part long, ctx binary, sub binary, n binary").repartition(ranges, "part")
+    return arrow_map(packed, merged, "ctx long, sub long, key long, n long")
+
+
+def _often(table: DataFrame, rows: int) -> Column:
+    """The condition on ``n`` that the most frequent rows of ``table`` meet, ``rows`` at most:
+    counts are grouped in steps of an eighth of a doubling, so a few hundred rows come back."""
+    step = F.floor(F.log2("n") * 8)
+    left, least = rows, 1 << 20
+    for r in table.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("step")).collect():
+        left -= r.c
+        if left < 0:
+            break
+        least = r.step
+    return step >= least
 
 
 def _collect(table: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted keys, values) of a table whose size the shares bound."""
+    """(sorted keys, values) of a table whose size ``head_rows`` bounds."""
     got = table.select("key", value).toArrow()
     keys, n = np.asarray(got.column("key").combine_chunks()).view(np.uint64), np.asarray(got.column(value).combine_chunks())
     order = np.argsort(keys)
@@ -248,7 +308,7 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> tu
     words_n = materialize(_counted(docs, text_col, lambda tokens, place: tokens), "lm-words")
     total = words_n.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(total["n"] or 0), int(total["v"])
-    words, c = _collect(words_n.where(F.col("n") >= n * shape.word_share), "n")
+    words, c = _collect(words_n.where(_often(words_n, shape.head_rows)), "n")
     mass = n + shape.add * (v + 1)
     least = max(shape.least_edge, 1)
     below = words_n.where(F.col("n") >= least).select(
@@ -256,7 +316,7 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> tu
     found: list[tuple[DataFrame, DataFrame]] = []
     done: list[str] = []
     for k in range(1, shape.depth + 1):
-        grams, folder = stage(_counted_grams(docs, text_col, k, least, _bitmap(below)), f"lm-grams-{k}")
+        grams, folder = stage(_counted_grams(docs, text_col, k, least, _bitmap(below), n), f"lm-grams-{k}")
         _release(spark)
         contexts = grams.groupBy("ctx").agg(F.sum(F.greatest(F.col("n") - shape.discount, F.lit(0.0))).alias("stored")).join(
             below.select(F.col("key").alias("ctx"), F.col("n").alias("size"), F.col("sub").alias("suffix")), "ctx").select(
@@ -276,19 +336,19 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> tu
         worth = edges.groupBy("ctx").agg((F.sum("bits") > F.count(F.lit(1)) * shape.bits_per_edge * 1e4).alias("worth"))
         found.append((contexts.join(worth, "ctx"), edges))
         below = edges.select("key", "n", "p", "sub")
-    levels, rest = _parts(found, n, shape, done)
+    levels, rest = _parts(found, shape, done)
     table = words_n.select("key", "n", F.lit(None).cast("long").alias("value"))
-    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bitmap = np.zeros(1 << 10, np.uint64)
     if rest is not None:
         rest = materialize(rest, "lm-rest")
         del found, below, contexts, edges, grams, worth
         _release(spark, *done)
         bitmap = _bitmap(rest)
         table = table.union(rest.select("key", F.lit(None).cast("long"), "value"))
-    return Tree(words, (c + shape.add) / mass, levels, n, v, bitmap), table
+    return Tree(Keys(words), np.log10((c + shape.add) / mass), levels, n, v, bitmap), table
 
 
-def _parts(found: list[tuple[DataFrame, DataFrame]], n: int, shape: Shape, done: list[str]) -> tuple[list[Level], DataFrame | None]:
+def _parts(found: list[tuple[DataFrame, DataFrame]], shape: Shape, done: list[str]) -> tuple[list[Level], DataFrame | None]:
     """The frequent part of each length, and (key, value) of all other grams. Only states
     that pass the divergence test or are a suffix of one that does, and their grams. The
     folders of the tables written are added to ``done``."""
@@ -301,31 +361,54 @@ def _parts(found: list[tuple[DataFrame, DataFrame]], n: int, shape: Shape, done:
         needed = kept.select(F.col("suffix").alias("ctx"))
         state_rows = kept.select(F.col("ctx").alias("key"), F.col("size").alias("n"), F.round(F.log10("left") * UNITS).cast("long").alias("value"))
         edge_rows = edges.join(kept.select("ctx"), "ctx", "left_semi").select("key", "n", "value")
-        often = [(state_rows, n * shape.context_share), (edge_rows, n * shape.edge_share)]
-        (state, keep), (edge, gain) = (_collect(rows.where(F.col("n") >= least), "value") for rows, least in often)
-        levels.append(Level(state, keep / UNITS, edge, gain / UNITS))
+        split = [(rows, _often(rows, shape.head_rows)) for rows in (state_rows, edge_rows)]
+        (state, keep), (edge, gain) = (_collect(rows.where(often), "value") for rows, often in split)
+        levels.append(Level(Keys(state), keep / UNITS, Keys(edge), gain / UNITS))
         _release(states.sparkSession)
-        for rows, least in often:
-            rows = rows.where(F.col("n") < least).select("key", "value")
+        for rows, often in split:
+            rows = rows.where(~often).select("key", "value")
             rest = rows if rest is None else rest.union(rows)
     return levels[::-1], None if rest is None else rest.groupBy("key").agg(F.sum("value").alias("value"))
 
 
-def _scores(tree: Tree, tokens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number or -1, log10 root probability, log10 model probability) of each token by
-    the frequent part of the tree; for a rare word the root is left out of both."""
-    number = _word_numbers(tree.words, tokens)
-    root = np.log10(np.where(number >= 0, tree.root[number] if len(tree.root) else 1.0, 1.0))
-    model = root.copy()
-    state = None
-    for k, (at, key) in enumerate(_grams(tokens, place, len(tree.levels) + 1)):
+def _scores(tree: Tree, tokens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(word number or -1, log10 root probability, log10 model probability, asked) of each
+    token by the frequent part of the tree; for a rare word the root is left out of both.
+    ``asked`` has, per length, the places and keys of the grams that the table may hold.
+
+    States and stored grams are closed under suffixes, and a stored gram's context is a
+    state: where a shorter one is in neither part, no longer one is looked up."""
+    number = tree.words.find(tokens)
+    root = np.where(number >= 0, tree.root[number], 0.0) if len(tree.root) else np.zeros(len(tokens))
+    model, asked, n = root.copy(), [], len(tree.levels)
+    edge = np.ones(len(tokens), bool)   # may the gram that ends here be stored
+    state = np.ones(len(tokens), bool)  # may it be a state
+    for k, (_, key) in enumerate(_grams(tokens, place, n + 1)):
+        if k:
+            # one word longer: its context is a state, its suffix is stored
+            next_edge = np.zeros(len(tokens), bool)
+            next_edge[1:] = state[:-1] & edge[1:] & (place[1:] >= k)
+            edge, state = next_edge, state & (place >= k)
+        look = np.flatnonzero(edge | state) if k else np.arange(len(tokens))
+        maybe = _maybe(tree.rest, key[look])
+        asked.append((look[maybe], key[look[maybe]]))
+        there = np.zeros(len(tokens), bool)
+        there[look] = maybe
         if k:
-            level = tree.levels[k - 1]
-            for table, value, asked in ((level.states, level.keep, state[at - 1]), (level.edges, level.gain, key[at])):
-                hit = find(table, asked)
-                model[at[hit >= 0]] += value[hit[hit >= 0]]
-        state = key
-    return number, root, model
+            at = np.flatnonzero(edge)
+            hit = tree.levels[k - 1].edges.find(key[at])
+            model[at[hit >= 0]] += tree.levels[k - 1].gain[hit[hit >= 0]]
+            edge[at] = (hit >= 0) | there[at]
+        if k < n:
+            at = np.flatnonzero(state)
+            hit = tree.levels[k].states.find(key[at])
+            # what a state leaves counts for the word after it, which every state has
+            after = at[hit >= 0] + 1
+            inside = after < len(tokens)
+            inside[inside] = place[after[inside]] > 0
+            model[after[inside]] += tree.levels[k].keep[hit[hit >= 0]][inside]
+            state[at] = (hit >= 0) | there[at]
+    return number, root, model, asked
 
 
 def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> DataFrame:
@@ -345,27 +428,24 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
         for batch in batches:
             for part in K.slices(batch, "_lm_text"):
                 tokens, per_row, place = token_stream(*K.flat(part.column("_lm_text")))
-                number, base, model = _scores(t, tokens, place)
-                asked = np.zeros((len(tokens), len(t.levels) + 1), bool)
-                keys = np.zeros(asked.shape, np.uint64)
-                for k, (at, key) in enumerate(_grams(tokens, place, asked.shape[1])):
-                    keys[:, k] = key
-                    asked[at, k] = _maybe(t.rest, key[at])
+                number, base, model, asked = _scores(t, tokens, place)
                 row, n_rows = K.row_of(per_row), len(per_row)
+                at, keys = (np.concatenate(x) for x in zip(*asked))
+                keys = keys[np.argsort(row[at], kind="stable")]
                 rare = np.flatnonzero(number < 0)
                 # one entry per row and rare word: sorted by row, then hash
                 order = np.lexsort((tokens[rare], row[rare]))
                 r, h = row[rare][order], tokens[rare][order]
                 new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (h[1:] != h[:-1])])) if len(r) else np.zeros(0, np.int64)
                 ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(r[new], minlength=n_rows))]), pa.int32())
-                grams = np.concatenate([[0], np.cumsum(np.bincount(row, asked.sum(axis=1), minlength=n_rows).astype(np.int64))])
+                grams = np.concatenate([[0], np.cumsum(np.bincount(row[at], minlength=n_rows))])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in carried] + [
                         pa.array(per_row), pa.array(np.bincount(row[number >= 0], minlength=n_rows)),
                         pa.array(np.bincount(row, base, minlength=n_rows)), pa.array(np.bincount(row, model, minlength=n_rows)),
                         pa.ListArray.from_arrays(ends, pa.array(h[new].view(np.int64))),
                         pa.ListArray.from_arrays(ends, pa.array(np.diff(np.append(new, len(r))), pa.int32())),
-                        pa.ListArray.from_arrays(pa.array(grams, pa.int32()), pa.array(keys[asked].view(np.int64)))],
+                        pa.ListArray.from_arrays(pa.array(grams, pa.int32()), pa.array(keys.view(np.int64)))],
                     names=[*carried, *_PART])
 
     _PART = ("_lm_tokens", "_lm_known", "_lm_base", "_lm_score", "_lm_rare", "_lm_times", "_lm_grams")
