@@ -48,7 +48,7 @@ UNITS = 1e10  # sums of logs are taken in whole units: equal rows get equal scor
 @dataclass(frozen=True)
 class Shape:
     depth: int = 3
-    head_rows: int = 1 << 20  # about 22 MB a table
+    head_rows: int = 1 << 19  # about 9 MB a table
     discount: float = 0.5
     bits_per_edge: float = 4.0
     least_edge: int = 5
@@ -91,10 +91,10 @@ def token_stream(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 class Keys:
     """A sorted table of hashes. The high bits of a hash lead to the few places where it can
-    be, so a look-up costs about two reads instead of a binary search."""
+    be, so a look-up costs a few reads instead of a binary search."""
 
     def __init__(self, keys: np.ndarray):
-        self.keys, self.bits = keys, max(4, min(24, len(keys).bit_length()))
+        self.keys, self.bits = keys, max(4, min(24, len(keys).bit_length() - 2))
         tops = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
         self.begin = np.append(np.searchsorted(keys, tops), len(keys)).astype(np.int32)
 
@@ -138,8 +138,9 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     """Bitmap of a table's keys: about 16 bits a key, 2**FILTER_BITS at most. A key sets two
     bits, by its high and by its low end, so about one other key in seventy looks held."""
     bits = min(FILTER_BITS, max(16, (16 * keys.count()).bit_length()))
-    slots = F.expr(f"array(shiftrightunsigned(key, {64 - bits}), key & {(1 << bits) - 1})")
-    got = (keys.select(F.explode(slots).alias("slot")).select(F.expr("shiftright(slot, 6)").alias("at"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
+    slots = keys.selectExpr(f"shiftrightunsigned(key, {64 - bits}) AS slot").union(
+        keys.selectExpr(f"key & {(1 << bits) - 1} AS slot"))
+    got = (slots.select(F.expr("shiftright(slot, 6)").alias("at"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
            .groupBy("at").agg(F.bit_or("bit").alias("bits"))).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[np.asarray(got.column("at").combine_chunks())] = np.asarray(got.column("bits").combine_chunks()).view(np.uint64)
