@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shrinkfx.functions.columns import movie_year, rating_week
 from shrinkfx.operators.effects import fit, mean_of, predict, rmse
-from shrinkfx.operators.split import keep_seen, split_hash, split_rule, split_with_return, unseen_keys
+from shrinkfx.operators.split import keep_seen, split_rule, split_with_return, unseen_keys
 from shrinkfx.operators.stats import arg_extreme
 from shrinkfx.operators.sweep import ChainSweep, chunks, grid_values, sweep_single
 from shrinkfx.session import Chunks, path_exists, stage, stage_path
@@ -31,7 +31,7 @@ from shrinkfx.sources.testdata import HASH_KEYS, TIE_KEYS, ratings_view
 MOVIE, USER, GENRE, YEAR, WEEK = "movie_id", "user_id", "genres", "movie_year", "rating_week"
 FULL_CHAIN = [MOVIE, USER, GENRE, YEAR, WEEK]
 
-FIRST, SECOND = "__order_1", "__order_2"  # what orders rows in the two splits
+BACK = "__moved_back"  # stored with edx: held out by the first split, then moved back
 
 # ---- fixed values: model family names, short names, order of the results ----
 AVERAGE = "Average"
@@ -96,7 +96,7 @@ _CACHE: dict = {}
 def prepare(spark: SparkSession, sf_dir: str, cfg: Config = Config()) -> Prepared:
     """Split stage tables for the driver's test data (the FIXTURES ratings view)."""
     return prepare_ratings(lambda: ratings_view(spark, sf_dir), cfg, HASH_KEYS, TIE_KEYS,
-                           cache_key=("view", sf_dir, _files_state(spark, sf_dir)), spark=spark)
+                           cache_key=("view", sf_dir, _files_state(spark, sf_dir)), spark=spark, even=True)
 
 
 def load_ratings_files(spark: SparkSession, ratings_path: str, movies_path: str) -> DataFrame:
@@ -123,7 +123,7 @@ def _files_state(spark: SparkSession, sf_dir: str) -> tuple:
 
 def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts"), tie_keys=("rating",),
                     cache_key=None, spark: SparkSession | None = None,
-                    stage_source: bool = True) -> Prepared:
+                    stage_source: bool = True, even: bool = False) -> Prepared:
     """Build the split stage tables from any ratings DataFrame.
 
     ``ratings`` (or a zero-argument callable returning it) has ``user_id,
@@ -134,10 +134,12 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
     are left out of the splits and counted in ``n_rejected``. The split scans its
     input a few times, so an expensive source (a join, parsed text) is first
     written as a stage table; pass ``stage_source=False`` when ``ratings`` already
-    is a stored columnar table.
+    is a stored columnar table. The written source is rebalanced into files of even size;
+    ``even=True`` says that its partitions are even already (it comes out of a shuffle), and
+    saves that shuffle of whole rows.
 
-    Written: the source with its two order hashes, the tagged hold-out (a tenth), ``edx``
-    parted into train and test rows, and the closed test rows.
+    Written: the source, the tagged hold-out (a tenth), ``edx`` parted into train and test
+    rows, and the closed test rows.
     """
     hash_keys, tie_keys = list(hash_keys), list(tie_keys)
     key = None if cache_key is None else (cache_key, cfg.validation_p, cfg.validation_seed, cfg.test_p, cfg.test_seed,
@@ -153,26 +155,25 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
         out, dirs[name] = stage(df, name, partition_by)
         return out
 
-    ordered = src.withColumns({FIRST: split_hash(cfg.validation_seed, hash_keys),
-                               SECOND: split_hash(cfg.test_seed, hash_keys)})
     # rebalance: files of even size however the source was laid out
-    source = keep(ordered.hint("rebalance"), "ratings") if stage_source else ordered
+    source = keep(src if even else src.hint("rebalance"), "ratings") if stage_source else src
     rated = source.where(F.col("rating").isNotNull())
     n_rejected = source.where(F.col("rating").isNull()).count()
-    first = split_rule(rated, "rating", cfg.validation_p, tie_keys=tie_keys, by=cfg.strata, hashed=FIRST)
+    first = split_rule(rated, "rating", cfg.validation_p, cfg.validation_seed, hash_keys, tie_keys, cfg.strata)
     split1 = rated.withColumn("is_test", first)
     # tag the held-out rows once; validation and moved-back rows are filters of it
     tagged = keep(add_features(split_with_return(split1, [MOVIE, USER]).tagged), "heldout_tagged")
     kept = split1.filter(~F.col("is_test")).drop("is_test")
-    rows = add_features(kept.unionByName(tagged.filter(~F.col("known")).drop("known", WEEK, YEAR)))
-    second = split_rule(rows, "rating", cfg.test_p, tie_keys=tie_keys, by=cfg.strata, hashed=SECOND)
-    split2 = keep(rows.withColumn("is_test", second).drop(FIRST, SECOND), "split2", "is_test")
+    back = tagged.filter(~F.col("known")).drop("known", WEEK, YEAR).withColumn(BACK, F.lit(True))
+    rows = add_features(kept.withColumn(BACK, F.lit(False)).unionByName(back))
+    second = split_rule(rows, "rating", cfg.test_p, cfg.test_seed, hash_keys, tie_keys, cfg.strata)
+    split2 = keep(rows.withColumn("is_test", second), "split2", "is_test")
     # one scan of the stored split finds the values of all five keys that train lacks
     unseen = unseen_keys(split2, FULL_CHAIN)
-    keep(keep_seen(split2.filter(F.col("is_test")).drop("is_test"), unseen, FULL_CHAIN), "test")
+    keep(keep_seen(split2.filter(F.col("is_test")).drop("is_test", BACK), unseen, FULL_CHAIN), "test")
     hit = {"dirs": dirs, "mu": mean_of(split2.filter(~F.col("is_test"))), "spark": spark,
-           "source": None if stage_source else ordered, "schema": split2.schema,
-           "rule": first, "n_rejected": n_rejected, "order": (USER, MOVIE, "ts", *hash_keys, *tie_keys)}
+           "source": None if stage_source else source, "schema": split2.schema,
+           "n_rejected": n_rejected, "order": (USER, MOVIE, "ts", *hash_keys, *tie_keys)}
     if key is not None:
         _CACHE[key] = hit
     return _load(spark, hit)
@@ -180,12 +181,15 @@ def prepare_ratings(ratings, cfg: Config = Config(), hash_keys=(USER, MOVIE, "ts
 
 def _load(spark: SparkSession, hit: dict) -> Prepared:
     d = {n: spark.read.parquet(p) for n, p in hit["dirs"].items() if n != "split2"}
-    split2 = spark.read.schema(hit["schema"]).parquet(hit["dirs"]["split2"])
+    stored = spark.read.schema(hit["schema"]).parquet(hit["dirs"]["split2"])
+    split2 = stored.drop(BACK)
     source = d["ratings"] if hit["source"] is None else hit["source"]
-    tagged = d["heldout_tagged"].drop(FIRST, SECOND)
-    split1 = source.where(F.col("rating").isNotNull()).withColumn("is_test", hit["rule"]).drop(FIRST, SECOND)
+    tagged = d["heldout_tagged"]
+    # the first split's rows: those kept at once, and the held-out ones
+    split1 = (stored.where(~F.col(BACK)).select(*source.columns, F.lit(False).alias("is_test"))
+              .unionByName(tagged.select(*source.columns, F.lit(True).alias("is_test"))))
     return Prepared(
-        ratings=source.drop(FIRST, SECOND), split1=split1,
+        ratings=source, split1=split1,
         validation=tagged.filter(F.col("known")).drop("known"),
         moved_back=tagged.filter(~F.col("known")).drop("known", WEEK, YEAR),
         edx=split2.drop("is_test"), split2=split2,

@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 _RUN_ID = uuid.uuid4().hex[:12]
 
+#: Folders that a task writes side by side; with more values than that it sorts its rows.
+OPEN_FOLDERS = 4
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def get_spark(master: str | None = None, app: str = "shrinkfx",
               shuffle_partitions: int | None = None,
@@ -69,12 +73,22 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[Da
     recomputing the plan) and lets later stages prune columns and push
     filters into the scan. Callers that keep a table keep the folder's path.
     With ``partition_by`` each value of that column has a folder, and a filter on it
-    reads the matching folders alone; the column comes last.
+    reads the matching folders alone; the column comes last. A task writes the folders of
+    up to ``OPEN_FOLDERS`` values side by side instead of sorting whole rows by that column,
+    which would spill where a task's rows are larger than its memory.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        before = spark.conf.get(_WRITERS, None)
+        spark.conf.set(_WRITERS, str(OPEN_FOLDERS))
+        try:
+            writer.partitionBy(partition_by).parquet(path)
+        finally:
+            spark.conf.unset(_WRITERS) if before is None else spark.conf.set(_WRITERS, before)
+    else:
+        writer.parquet(path)
     # the values in folder names are texts: the types are given, not guessed
     kept = df.select(*[c for c in df.columns if c != partition_by], *([partition_by] if partition_by else []))
     return spark.read.schema(kept.schema).parquet(path), path

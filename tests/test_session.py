@@ -53,3 +53,21 @@ def test_chunks_resume_and_refuse_other_inputs(spark, tmp_path):
     assert store.get("3", lambda: build(3)).count() == 3 and built == [2, 3, 3]
     with pytest.raises(ValueError, match="other inputs"):
         session.Chunks(spark, f"file://{tmp_path}/c", {"a": 2})
+
+
+def test_folders_by_value_are_written_without_sorting_the_rows(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    conf, seen, real = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(spark.conf.get(conf)), real(self, path))[1])
+    before = spark.conf.get(conf)
+    df, path = session.stage(spark.range(1000).selectExpr("id", "id % 5 = 0 AS held"), "held", "held")
+    assert seen == [str(session.OPEN_FOLDERS)] and int(seen[0]) >= 2 and spark.conf.get(conf) == before
+    assert df.where("held").count() == 200 and df.where("not held").count() == 800
+    # more values than folders open side by side: the rest is sorted, nothing is lost
+    many, _ = session.stage(spark.range(1000).selectExpr("id", "id % 37 AS part"), "many", "part")
+    assert sorted(r.id for r in many.collect()) == list(range(1000))
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        session.stage(spark.range(1), "none", "id")
+    assert spark.conf.get(conf) == before
