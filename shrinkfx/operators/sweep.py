@@ -9,7 +9,7 @@ data rows.
 A chain of effects touches data rows twice, at any size:
 
 1. The first effect is two numbers per key (n, S), which are joined to the thin
-   rows. Rows are dealt by the second key; each task sums one residual per alpha
+   rows; these are written, and read by all that follows. Rows are dealt by the second key; each task sums one residual per alpha
    and key, so a key's effects come into being where its rows are. Keys that hold
    more than ``hot_share`` of the training rows (fewer than 1 / hot_share) are summed
    map-side instead, and their effects are broadcast.
@@ -153,7 +153,9 @@ class ChainSweep:
             F.count(F.lit(1)).alias("m"), F.sum("d").alias("d1"), F.sum(F.col("d") * F.col("d")).alias("d2"))
         if len(self.chain) == 1:
             return
-        self.rows = rows.join(self.first.selectExpr("k0", "n AS n0", "s AS s0"), "k0").withColumnRenamed("k1", "k")
+        # written once: where the first effect is too large to broadcast, the join moves every row
+        self.rows = materialize(rows.join(self.first.selectExpr("k0", "n AS n0", "s AS s0"), "k0")
+                                .withColumnRenamed("k1", "k").drop("k0"), "sweep_rows")
         counts = rows.where("fit").groupBy(F.col("k1").alias("k")).agg(F.count(F.lit(1)).alias("c"))
         total = self.first.agg(F.sum("n")).first()[0] or 0
         self.hot = F.broadcast(materialize(counts.where(F.col("c") > total * hot_share).select("k"), "hot_keys"))

@@ -136,3 +136,10 @@ def test_short_chains(spark, length):
         for a in ALPHAS:
             n, e = direct(train, test, CHAIN[:s], a, 3.0)
             assert got[s, a][0] == n and got[s, a][1] == pytest.approx(e, rel=1e-9)
+
+
+def test_rows_are_joined_with_the_first_effect_once(spark):
+    train, test = frames(spark)
+    sweep = SW.ChainSweep(train, test, CHAIN, 3.0)
+    plan = sweep.rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "parquet" in plan and "k0" not in sweep.rows.columns
