@@ -18,9 +18,11 @@ joined by key. That decides only which way a gram is looked up. A bitmap, sized
 table up to 2**FILTER_BITS bits, tells which keys need not be asked for; it may only err by
 asking in vain.
 
-Grams are counted in blocks: a task sums what it has met, sorts it by hash and hands on one
-row per range of hashes, which the range's task adds up. A range holds about ``RANGE_ROWS``
-grams of all tasks together.
+Grams are counted in blocks: a task sums what it has met and hands on one row per range of
+hashes, which the range's task adds up. A range holds about ``RANGE_ROWS`` grams of all tasks
+together. A gram travels as the ranks of its words among the broadcast ones (a rarer word as
+its hash), ordered and compressed, in about a third of the bytes of its keys; the range's task
+makes the keys. What texts ask of the table travels in such blocks too, and so do the answers.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,8 @@ END = np.uint64(0xE4D0F7EC575EED01)
 MERGE_WORDS = 2_000_000
 RANGE_ROWS = 1_000_000
 FILTER_BITS = 28
+ASKED_ROWS = 1_000_000  # keys that a block of texts asks for
+HOME_ROWS = 1 << 16  # texts of a block
 UNITS = 1e10  # sums of logs are taken in whole units: equal rows get equal scores
 
 
@@ -135,12 +140,12 @@ def _grams(tokens: np.ndarray, place: np.ndarray, longest: int) -> Iterator[tupl
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Bitmap of a table's keys: about 16 bits a key, 2**FILTER_BITS at most. A key sets two
-    bits, by its high and by its low end, so about one other key in seventy looks held."""
+    """Bitmap of a table's keys: about 16 bits a key, 2**FILTER_BITS at most. The high end of a
+    key leads to a word of 64 bits, its low end to two bits there, so about one other key in
+    sixty looks held."""
     bits = min(FILTER_BITS, max(16, (16 * keys.count()).bit_length()))
-    slots = keys.selectExpr(f"shiftrightunsigned(key, {64 - bits}) AS slot").union(
-        keys.selectExpr(f"key & {(1 << bits) - 1} AS slot"))
-    got = (slots.select(F.expr("shiftright(slot, 6)").alias("at"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
+    got = (keys.select(F.expr(f"shiftrightunsigned(key, {70 - bits})").alias("at"),
+                       F.expr("shiftleft(1L, cast(key & 63 as int)) | shiftleft(1L, cast(shiftright(key, 6) & 63 as int))").alias("bit"))
            .groupBy("at").agg(F.bit_or("bit").alias("bits"))).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[np.asarray(got.column("at").combine_chunks())] = np.asarray(got.column("bits").combine_chunks()).view(np.uint64)
@@ -149,15 +154,33 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
 
 def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key can be in the bitmap's table."""
-    bits = (64 * len(bitmap) - 1).bit_length()
+    word = bitmap[(keys >> np.uint64(65 - len(bitmap).bit_length())).astype(np.int64)]
+    return ((word >> (keys & np.uint64(63))) & (word >> ((keys >> np.uint64(6)) & np.uint64(63))) & np.uint64(1)).astype(bool)
 
-    def held(slot: np.ndarray) -> np.ndarray:
-        return ((bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
 
-    out = held(keys >> np.uint64(64 - bits))
-    at = np.flatnonzero(out)
-    out[at] = held(keys[at] & np.uint64((1 << bits) - 1))
-    return out
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def _ranges(tokens: int) -> int:
+    """Into how many ranges the hashes of what ``tokens`` words hold are cut."""
+    return 1 << max(4, (tokens // RANGE_ROWS).bit_length())
+
+
+def _packed(part: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(parts, rows, blobs) of columns whose rows are ordered by part. In a blob the first
+    bytes of a column's values stand together, then the second ones and so on."""
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+    ends = np.append(first[1:], len(part))
+    planes = np.concatenate([np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T for x in columns])
+    return part[first], ends - first, [_ZSTD.compress(planes[:, i:j].tobytes(), asbytes=True) for i, j in zip(first, ends)]
+
+
+def _unpacked(blob: bytes, rows: int, types: list[str]) -> list[np.ndarray]:
+    """The columns of a blob."""
+    sizes = [np.dtype(t).itemsize for t in types]
+    planes = np.frombuffer(_ZSTD.decompress(blob, rows * sum(sizes)), np.uint8).reshape(sum(sizes), rows)
+    ends = np.cumsum(sizes)
+    return [np.ascontiguousarray(planes[e - w: e].T).view(t).ravel() for t, w, e in zip(types, sizes, ends)]
 
 
 class _Summer:
@@ -207,68 +230,106 @@ def _counted(docs: DataFrame, text_col: str, keys_of) -> DataFrame:
     return arrow_map(texts, run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter: np.ndarray, tokens: int) -> DataFrame:
+def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter: np.ndarray, tokens: int, ranked: np.ndarray) -> DataFrame:
     """(ctx, sub, key, n) of the grams of ``k`` + 1 words seen ``least`` times in ``tokens``
     words. ``shorter`` is the bitmap of the grams of ``k`` words seen so often: no other can
-    be inside one."""
-    known = docs.sparkSession.sparkContext.broadcast(shorter)
-
-    ranges = 1 << max(4, (tokens // RANGE_ROWS).bit_length())
-    shift = np.uint64(65 - ranges.bit_length())
-
-    def folded(ctx: np.ndarray, sub: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(key, ctx, sub, n) of the distinct grams, by key."""
-        key = _pair(ctx, sub)
-        order = np.argsort(key)
-        key, ctx, sub = key[order], ctx[order], sub[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (ctx[1:] != ctx[:-1]) | (sub[1:] != sub[:-1])
-        first = np.flatnonzero(new)
-        return key[first], ctx[first], sub[first], np.add.reduceat(n[order], first) if len(first) else n
+    be inside one. ``ranked`` are the words that travel as their place in it plus one."""
+    spark = docs.sparkSession
+    known, by_rank = spark.sparkContext.broadcast(shorter), spark.sparkContext.broadcast(ranked)
+    ranges, types = _ranges(tokens), ["<u4"] * (k + 2)
+    bits = ranges.bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+        words = by_rank.value
+        order = np.argsort(words)
+        table, rank = Keys(words[order]), (order + 1).astype(np.uint32)
+        held: list[tuple[np.ndarray, ...]] = []
+        others: list[np.ndarray] = []  # hashes of words without a rank: their numbers follow the last rank
+        size = n_others = 0
 
         def rows() -> pa.RecordBatch:
-            ctx, sub = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in (zip(*held) if held else ((), ())))
-            key, ctx, sub, n = folded(ctx, sub, np.ones(len(ctx), np.int64))
-            at = np.searchsorted(key >> shift, np.arange(ranges + 1, dtype=np.uint64))
-            some = np.flatnonzero(at[1:] > at[:-1])
-            packed = [[x[at[r]: at[r + 1]].astype("<u8").tobytes() for r in some] for x in (ctx, sub, n)]
-            return pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(x, pa.binary()) for x in packed)],
-                                              names=["part", "ctx", "sub", "n"])
+            key, *ids = (np.concatenate(x) for x in zip(*held))
+            by_key = np.argsort(key)
+            key = key[by_key]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            n, at = np.diff(np.append(first, len(key))).astype(np.uint32), by_key[first]
+            part, ids = (key[first] >> np.uint64(64 - bits)), [x[at] for x in ids]
+            # by range, in it by the first words: runs of equal numbers
+            order = part << np.uint64(64 - bits)
+            for j, x in enumerate(ids[:2], 1):
+                order |= np.minimum(x, (1 << 20) - 1).astype(np.uint64) << np.uint64(64 - bits - 20 * j)
+            order = np.argsort(order)
+            part, n, ids = part[order], n[order], [x[order] for x in ids]
+            other = np.concatenate([np.zeros(0, np.uint64), *others])
+            some = np.flatnonzero(np.logical_or.reduce([x > len(words) for x in ids]))
+            parts, counts, blobs = _packed(part, [np.where(x > len(words), 0, x).astype("<u4") for x in ids] + [n.astype("<u4")])
+            rare = {}
+            for r in np.unique(part[some]):
+                here = some[part[some] == r]
+                rare[int(r)] = b"".join(other[x[here][x[here] > len(words)].astype(np.int64) - len(words) - 1].astype("<u8").tobytes() for x in ids)
+            return pa.RecordBatch.from_arrays([
+                pa.array(parts.astype(np.int64)), pa.array(counts), pa.array(blobs, pa.binary()),
+                pa.array([rare.get(r, b"") for r in parts.tolist()], pa.binary())], names=["part", "rows", "ids", "other"])
 
         for batch in batches:
-            for part in K.slices(batch, "text"):
-                tokens, _, place = token_stream(*K.flat(part.column("text")))
+            for piece in K.slices(batch, "text"):
+                tokens, _, place = token_stream(*K.flat(piece.column("text")))
                 *_, (at, key) = _grams(tokens, place, k)
                 there = _maybe(known.value, key)
                 at = np.flatnonzero(place >= k)
                 at = at[there[at] & there[at - 1]]
-                held.append((key[at - 1], key[at]))
+                if not len(at):
+                    continue
+                inside = np.zeros(len(tokens), bool)
+                for j in range(k + 1):
+                    inside[at - j] = True
+                inside = np.flatnonzero(inside)
+                number = table.find(tokens[inside])
+                ids, lone = np.zeros(len(tokens), np.uint32), number < 0
+                ids[inside[~lone]] = rank[number[~lone]]
+                ids[inside[lone]] = np.arange(n_others, n_others + lone.sum()) + len(words) + 1
+                others.append(tokens[inside[lone]])
+                n_others += int(lone.sum())
+                held.append((_pair(key[at - 1], key[at]), *(ids[at - j] for j in range(k, -1, -1))))
                 size += len(at)
                 if size > MERGE_WORDS:
                     yield rows()
-                    held, size = [], 0
-        yield rows()
+                    held, others, size, n_others = [], [], 0, 0
+        if held:
+            yield rows()
+
+    def keyed(rows: int, blob: bytes, other: bytes) -> tuple[np.ndarray, ...]:
+        """(key, ctx, sub, n) of a blob's grams."""
+        words, (*ids, n) = by_rank.value, _unpacked(blob, rows, types)
+        rare, at, keys = np.frombuffer(other, "<u8"), 0, []
+        for x in ids:
+            key, lone = np.zeros(rows, np.uint64), np.flatnonzero(x == 0)
+            key[x > 0] = words[x[x > 0].astype(np.int64) - 1]
+            key[lone] = rare[at: at + len(lone)]
+            at += len(lone)
+            keys.append(key)
+        while len(keys) > 2:
+            keys = [_pair(x, y) for x, y in zip(keys, keys[1:])]
+        return _pair(*keys), *keys, n.astype(np.int64)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a partition holds a few ranges; what one task sent of a range is already summed
         held: dict[int, list] = {}
         for batch in batches:
-            for r, *blobs in zip(*(batch.column(c).to_pylist() for c in ("part", "ctx", "sub", "n"))):
-                held.setdefault(r, []).append([np.frombuffer(x, "<u8") for x in blobs])
+            for r, *packed in zip(*(batch.column(c).to_pylist() for c in ("part", "rows", "ids", "other"))):
+                held.setdefault(r, []).append(packed)
         for r in sorted(held):
-            ctx, sub, n = (np.concatenate(x) for x in zip(*held.pop(r)))
-            key, ctx, sub, n = folded(ctx, sub, n.astype(np.int64))
-            often = n >= least
-            columns = [x[often].view(np.int64) for x in (ctx, sub, key, n)]
-            for i in range(0, len(columns[0]), 1 << 16):
+            key, ctx, sub, n = (np.concatenate(x) for x in zip(*(keyed(*x) for x in held.pop(r))))
+            order = np.argsort(key)
+            first = np.flatnonzero(np.append(True, key[order[1:]] != key[order[:-1]]))
+            n = np.add.reduceat(n[order], first)
+            at = order[first[n >= least]]
+            columns = [*(x[at].view(np.int64) for x in (ctx, sub, key)), n[n >= least]]
+            for i in range(0, len(at), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(x[i: i + (1 << 16)]) for x in columns], names=["ctx", "sub", "key", "n"])
 
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    packed = arrow_map(texts, run, "part long, ctx binary, sub binary, n binary").repartition(ranges, "part")
+    packed = arrow_map(texts, run, "part long, rows long, ids binary, other binary").repartition(ranges, "part")
     return arrow_map(packed, merged, "ctx long, sub long, key long, n long")
 
 
@@ -310,6 +371,7 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> tu
     total = words_n.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(total["n"] or 0), int(total["v"])
     words, c = _collect(words_n.where(_often(words_n, shape.head_rows)), "n")
+    ranked = words[np.argsort(-c, kind="stable")]
     mass = n + shape.add * (v + 1)
     least = max(shape.least_edge, 1)
     below = words_n.where(F.col("n") >= least).select(
@@ -317,7 +379,7 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> tu
     found: list[tuple[DataFrame, DataFrame]] = []
     done: list[str] = []
     for k in range(1, shape.depth + 1):
-        grams, folder = stage(_counted_grams(docs, text_col, k, least, _bitmap(below), n), f"lm-grams-{k}")
+        grams, folder = stage(_counted_grams(docs, text_col, k, least, _bitmap(below), n, ranked), f"lm-grams-{k}")
         _release(spark)
         contexts = grams.groupBy("ctx").agg(F.sum(F.greatest(F.col("n") - shape.discount, F.lit(0.0))).alias("stored")).join(
             below.select(F.col("key").alias("ctx"), F.col("n").alias("size"), F.col("sub").alias("suffix")), "ctx").select(
@@ -418,56 +480,168 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
 
     Null text is empty: one end token. Whole texts are scored whatever their length; equal
     rows get equal scores. Under a tree without training tokens every word has the
-    smoothing mass alone. Input columns of the added names are replaced."""
+    smoothing mass alone. Input columns of the added names are replaced. ``docs`` is read
+    once, from a table: a task that is run again must meet its rows in the same order.
+
+    A block of texts (its home) sends the keys it asks for to their ranges; each range looks
+    them up in its part of the table and sends the home one sum per text."""
     added = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     carried = [c for c in docs.columns if c != text_col and c.lower() not in added]
     rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.coalesce(F.col(text_col), F.lit("")).alias("_lm_text"))
     shared = docs.sparkSession.sparkContext.broadcast(tree)
+    ranges, tokens_known = _ranges(tree.tokens), tree.tokens
+    bits = np.uint64(65 - ranges.bit_length())
+    mass = float(tree.tokens + shape.add * (tree.distinct + 1))
+    sums = ("_lm_tokens", "_lm_known", "_lm_base", "_lm_score")
+    packs = {"_lm_part": pa.int64(), "_lm_home": pa.int64(), "_lm_rows": pa.int64(), "_lm_blob": pa.binary()}
+    n_own = len(carried) + len(sums)
+
+    def pack_rows(fields: list[pa.Field], *packed) -> pa.RecordBatch:
+        """A batch of packed rows, with nulls in the texts' own ``fields``."""
+        return pa.RecordBatch.from_arrays([pa.nulls(len(packed[-1]), f.type) for f in fields] + [
+            pa.array(x, kind) for x, kind in zip(packed, packs.values())], names=[*(f.name for f in fields), *packs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = shared.value
+        t, size, n_rows = shared.value, 0, 0
+        held: list[tuple[np.ndarray, ...]] = []  # row, times (0: a gram, else how often the text has the word), key
+        home = TaskContext.get().partitionId() << 32
+        fields: list[pa.Field] = []
+
+        def asks() -> pa.RecordBatch:
+            row, times, key = (np.concatenate(x) for x in zip(*held))
+            part = key >> bits
+            order = np.argsort(part, kind="stable")
+            parts, counts_, blobs = _packed(part[order], [row[order], times[order], key[order]])
+            return pack_rows(fields, parts.astype(np.int64), np.full(len(parts), home), counts_, blobs)
+
         for batch in batches:
-            for part in K.slices(batch, "_lm_text"):
-                tokens, per_row, place = token_stream(*K.flat(part.column("_lm_text")))
+            for piece in K.slices(batch, "_lm_text"):
+                tokens, per_row, place = token_stream(*K.flat(piece.column("_lm_text")))
                 number, base, model, asked = _scores(t, tokens, place)
-                row, n_rows = K.row_of(per_row), len(per_row)
+                row, n = K.row_of(per_row), len(per_row)
                 at, keys = (np.concatenate(x) for x in zip(*asked))
-                keys = keys[np.argsort(row[at], kind="stable")]
+                order = np.argsort(row[at], kind="stable")
+                held.append((row[at][order].astype("<u4") + np.uint32(n_rows), np.zeros(len(at), "<u4"), keys[order].astype("<u8")))
                 rare = np.flatnonzero(number < 0)
                 # one entry per row and rare word: sorted by row, then hash
                 order = np.lexsort((tokens[rare], row[rare]))
                 r, h = row[rare][order], tokens[rare][order]
-                new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (h[1:] != h[:-1])])) if len(r) else np.zeros(0, np.int64)
-                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(r[new], minlength=n_rows))]), pa.int32())
-                grams = np.concatenate([[0], np.cumsum(np.bincount(row[at], minlength=n_rows))])
+                new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (h[1:] != h[:-1]))) if len(r) else np.zeros(0, np.int64)
+                held.append((r[new].astype("<u4") + np.uint32(n_rows), np.diff(np.append(new, len(r))).astype("<u4"), h[new].astype("<u8")))
+                size += len(at) + len(new)
+                own = [piece.column(c) for c in carried] + [
+                    pa.array(per_row), pa.array(np.bincount(row[number >= 0], minlength=n)),
+                    pa.array(np.bincount(row, base, minlength=n)), pa.array(np.bincount(row, model, minlength=n))]
+                fields = [pa.field(c, x.type) for c, x in zip((*carried, *sums), own)]
+                # a text's own row goes anywhere; its number in its home stands in for the rows
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in carried] + [
-                        pa.array(per_row), pa.array(np.bincount(row[number >= 0], minlength=n_rows)),
-                        pa.array(np.bincount(row, base, minlength=n_rows)), pa.array(np.bincount(row, model, minlength=n_rows)),
-                        pa.ListArray.from_arrays(ends, pa.array(h[new].view(np.int64))),
-                        pa.ListArray.from_arrays(ends, pa.array(np.diff(np.append(new, len(r))), pa.int32())),
-                        pa.ListArray.from_arrays(pa.array(grams, pa.int32()), pa.array(keys.view(np.int64)))],
-                    names=[*carried, *_PART])
-
-    _PART = ("_lm_tokens", "_lm_known", "_lm_base", "_lm_score", "_lm_rare", "_lm_times", "_lm_grams")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]] + [
-        "_lm_tokens long, _lm_known long, _lm_base double, _lm_score double, _lm_rare array<long>, _lm_times array<int>, _lm_grams array<long>"])
-    part = materialize(arrow_map(rows, run, schema).withColumn("_lm_row", F.monotonically_increasing_id()), "lm-scored")
-    rare = part.select("_lm_row", F.explode(F.arrays_zip("_lm_rare", "_lm_times")).alias("x")).select(
-        "_lm_row", F.col("x._lm_rare").alias("key"), F.col("x._lm_times").alias("times"))
-    mass = float(tree.tokens + shape.add * (tree.distinct + 1))
-    looked = rare.join(counts.where("n is not null"), "key", "left")
-    seen: Column = F.coalesce("n", F.lit(0))
-    per_row = looked.groupBy("_lm_row").agg(
-        F.sum(F.col("times") * F.log10((seen + shape.add) / mass)).alias("_lm_rest"),
-        F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("_lm_more"))
-    # no key here is frequent, so none is hot; the table's keys are distinct
-    asked = part.select("_lm_row", F.explode("_lm_grams").alias("key"))
-    added_up = (asked.join(counts.where("value is not null").select("key", "value").hint("shuffle_hash"), "key")
-                .groupBy("_lm_row").agg(F.sum("value").alias("_lm_value")))
-    rest = F.coalesce("_lm_rest", F.lit(0.0))
-    return (part.drop("_lm_rare", "_lm_times", "_lm_grams").join(per_row, "_lm_row", "left").join(added_up, "_lm_row", "left")
-            .select(*[F.col(f"`{c}`") for c in carried], F.col("_lm_tokens").alias("n_tokens"),
-                    (F.col("_lm_known") + F.coalesce("_lm_more", F.lit(0))).alias("n_known"),
-                    F.lit(tree.tokens).cast("long").alias("train_tokens"),
-                    (F.col("_lm_base") + rest).alias("base_score"), (F.col("_lm_score") + rest + F.coalesce("_lm_value", F.lit(0)) / UNITS).alias("score")))
+                    own + [pa.array(np.full(n, home % 1000003 % ranges)), pa.array(np.full(n, home)),
+                           pa.array(np.arange(n_rows, n_rows + n)), pa.nulls(n, pa.binary())], names=[*carried, *sums, *packs])
+                n_rows += n
+                if size > ASKED_ROWS or n_rows >= HOME_ROWS:
+                    if size:
+                        yield asks()
+                    held, size, n_rows, home = [], 0, 0, home + 1
+        if size:
+            yield asks()
+
+    def table_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            key, n, value = (np.concatenate(x) for x in zip(*held))
+            part = key >> bits
+            order = np.argsort(part, kind="stable")
+            parts, counts_, blobs = _packed(part[order], [key[order], n[order], value[order]])
+            return pack_rows([], parts.astype(np.int64), np.full(len(parts), -1), counts_, blobs)
+
+        for batch in batches:
+            key, n, value = (np.array(batch.column(c)) for c in ("key", "n", "value"))
+            held.append((key.view("<u8"), n, value))
+            size += batch.num_rows
+            if size > MERGE_WORDS:
+                yield out()
+                held, size = [], 0
+        if size:
+            yield out()
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[int, list] = {}
+        asks: dict[int, list] = {}
+        fields: list[pa.Field] = []
+        for batch in batches:
+            fields = [batch.schema.field(i) for i in range(n_own)]
+            texts = batch.filter(batch.column("_lm_blob").is_null())
+            if texts.num_rows:
+                yield texts
+            packed = batch.filter(batch.column("_lm_blob").is_valid())
+            for r, home, n, blob in zip(*(packed.column(c).to_pylist() for c in packs)):
+                if home < 0:
+                    tables.setdefault(r, []).append(_unpacked(blob, n, ["<u8", "<i8", "<i8"]))
+                else:
+                    asks.setdefault(r, []).append((home, n, blob))
+        for r in sorted(asks):
+            none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+            key, count, value = (np.concatenate(x) for x in zip(none, *tables.pop(r, [])))
+            order = np.argsort(key)
+            key, count, value = key[order], count[order], value[order]
+            words, grams, count, value = key[count > 0], key[count == 0], count[count > 0], value[count == 0]
+            homes, counts_, blobs = [], [], []
+            for home, n, blob in asks.pop(r):
+                row, times, key = _unpacked(blob, n, ["<u4", "<u4", "<u8"])
+                seen = np.where(times > 0, _at(words, count, key), 0)
+                rest = np.where(times > 0, times * np.round(np.log10((seen + shape.add) / mass) * UNITS), 0).astype("<i8")
+                more = np.where(seen > 0, times, 0)
+                gain = np.where(times == 0, _at(grams, value, key), 0)
+                order = np.argsort(row, kind="stable")
+                row = row[order]
+                first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+                _, (k,), (b,) = _packed(np.zeros(len(first), np.int64), [row[first]] + [
+                    np.add.reduceat(x[order], first).astype("<i8") for x in (more, rest, gain)])
+                homes.append(home)
+                counts_.append(k)
+                blobs.append(b)
+            yield pack_rows(fields, np.full(len(homes), r), homes, counts_, blobs)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[int, list] = {}
+        answers: dict[int, list] = {}
+        for batch in batches:
+            packed = batch.filter(batch.column("_lm_blob").is_valid())
+            for home, n, blob in zip(*(packed.column(c).to_pylist() for c in list(packs)[1:])):
+                answers.setdefault(home, []).append((n, blob))
+            own = batch.filter(batch.column("_lm_blob").is_null())
+            homes = np.asarray(own.column("_lm_home"))
+            for home in np.unique(homes).tolist():
+                texts.setdefault(home, []).append(own.filter(pa.array(homes == home)))
+        for home in sorted(texts):
+            some = texts.pop(home)
+            top = 1 + max(int(np.asarray(x.column("_lm_rows")).max()) for x in some)
+            more, rest, gain = (np.zeros(top, np.int64) for _ in range(3))
+            for n, blob in answers.pop(home, []):
+                row, *add = _unpacked(blob, n, ["<u4", "<i8", "<i8", "<i8"])  # each row once
+                for x, y in zip((more, rest, gain), add):
+                    x[row] += y
+            for x in some:
+                at = np.asarray(x.column("_lm_rows"))
+                tokens, known, base, model = (np.asarray(x.column(c)) for c in sums)
+                yield pa.RecordBatch.from_arrays([x.column(c) for c in carried] + [
+                    pa.array(tokens), pa.array(known + more[at]), pa.array(np.full(len(at), tokens_known)),
+                    pa.array(base + rest[at] / UNITS), pa.array(model + (rest + gain)[at] / UNITS)], names=[*carried, *added])
+
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    blob = "_lm_part long, _lm_home long, _lm_rows long, _lm_blob binary"
+    schema = ", ".join([*own, "_lm_tokens long, _lm_known long, _lm_base double, _lm_score double", blob])
+    table = counts.select("key", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("value", F.lit(0)).alias("value"))
+    asked = arrow_map(rows, run, schema).unionByName(arrow_map(table, table_rows, blob), allowMissingColumns=True)
+    replies = arrow_map(asked.repartition(ranges, "_lm_part"), answered, schema).repartition(ranges, "_lm_home")
+    return materialize(arrow_map(replies, summed, ", ".join([
+        *own, "n_tokens long, n_known long, train_tokens long, base_score double, score double"])), "lm-scored")
+
+
+def _at(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The value of each key of a sorted table, 0 where it has none."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0)

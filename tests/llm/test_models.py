@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brute import crc, unigrams, words
 from samples import hostile_rows, prose
@@ -224,6 +225,82 @@ def test_bitmap_grows_with_its_table_and_misses_nothing(spark):
     assert sizes[0] == sizes[1] < sizes[2] <= 1 << (SL.FILTER_BITS - 6)
 
 
+def _exchanged(df):
+    """(records, bytes before compression) that the exchanges of an executed plan wrote, sum over all."""
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "Exchange":
+            metrics = node.metrics()
+            found.append((metrics.apply("shuffleRecordsWritten").value(), metrics.apply("dataSize").value()))
+        inner = {"AdaptiveSparkPlan": "executedPlan", "ShuffleQueryStage": "plan", "BroadcastQueryStage": "plan", "ResultQueryStage": "plan"}.get(name)
+        children = node.children()
+        for child in [getattr(node, inner)()] if inner else [children.apply(i) for i in range(children.size())]:
+            walk(child)
+
+    walk(plan)
+    return tuple(map(sum, zip(*found)))
+
+
+def test_counted_grams_travel_in_few_bytes(spark):
+    """Two keys and a count are 24 bytes a gram; words by rank are a third of that at most,
+    whether or not all words have a rank the counts are right."""
+    texts = [prose(k, 3000) for k in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    streams = [[*words(t, True), b" "] for t in texts]
+    n = sum(map(len, streams))
+    everything = np.full(1 << 10, ~np.uint64(0))
+    vocabulary = SL._counted(docs, "text", lambda tokens, place: tokens).orderBy(F.desc("n")).toPandas().key.to_numpy().view(np.uint64)
+    for k in (1, 2, 3):
+        want = sorted(grams_of(streams, k + 1).values())
+        for ranked in (vocabulary, vocabulary[:20], vocabulary[:0]):
+            grams = SL._counted_grams(docs, "text", k, 1, everything, n, ranked)
+            got = grams.collect()
+            assert sorted(r.n for r in got) == want and len({r.key for r in got}) == len(got)
+            if len(ranked) == len(vocabulary):
+                assert _exchanged(grams)[1] < 8 * len(got)
+
+
+def grams_of(streams, length):
+    count = {}
+    for s in streams:
+        for i in range(len(s) - length + 1):
+            gram = tuple(s[i: i + length])
+            count[gram] = count.get(gram, 0) + 1
+    return count
+
+
+def test_asked_keys_travel_in_blocks(spark, monkeypatch):
+    """No row per asked key crosses an exchange, and the cut into blocks changes no score."""
+    texts = ["", *(prose(k, 200) for k in range(150))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).cache()
+    shape = SL.Shape(least_edge=2, head_rows=0)
+    tree, counts = SL.train(docs, shape=shape)
+    whole = {r.doc_id: (r.score, r.base_score, r.n_known) for r in SL.score(docs, tree, counts, shape=shape).collect()}
+    plans = []
+    staged = SL.materialize
+    monkeypatch.setattr(SL, "materialize", lambda df, name: plans.append(df) or staged(df, name))
+    monkeypatch.setattr(SL, "ASKED_ROWS", 500)
+    monkeypatch.setattr(SL, "HOME_ROWS", 7)
+    plans.append(SL.score(docs, tree, counts, shape=shape))
+    few = {r.doc_id: (r.score, r.base_score, r.n_known) for r in plans[-1].collect()}
+    assert not any("explode" in df._jdf.queryExecution().toString() for df in plans)
+    assert few == whole and len(whole) == len(texts)
+
+
+def test_packed_columns_come_back():
+    r = np.random.default_rng(5)
+    part = np.sort(r.integers(0, 9, 1000))
+    columns = [r.integers(0, 1 << 63, 1000, dtype=np.uint64), r.integers(0, 300, 1000).astype("<u4"), r.integers(-9, 9, 1000)]
+    parts, rows, blobs = SL._packed(part, columns)
+    assert rows.sum() == 1000
+    for p, n, blob in zip(parts, rows, blobs):
+        for x, y in zip(columns, SL._unpacked(blob, n, ["<u8", "<u4", "<i8"])):
+            assert (x[part == p] == y).all()
+    assert SL._packed(part[:0], [x[:0] for x in columns])[2] == []
+
+
 def test_key_lookup_equals_a_set():
     r = np.random.default_rng(4)
     for n in (0, 1, 5, 5000):
