@@ -95,30 +95,37 @@ def token_stream(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class Keys:
-    """A sorted table of hashes. The high bits of a hash lead to the few places where it can
-    be, so a look-up costs a few reads instead of a binary search."""
+    """A sorted table of hashes. The high bits of a hash lead to the first place where it can
+    be, most often the only one, so a look-up costs a few reads instead of a binary search."""
 
     def __init__(self, keys: np.ndarray):
-        self.keys, self.bits = keys, max(4, min(24, len(keys).bit_length() - 2))
+        self.bits = max(4, min(24, len(keys).bit_length()))
         tops = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
-        self.begin = np.append(np.searchsorted(keys, tops), len(keys)).astype(np.int32)
+        self.begin = np.searchsorted(keys, tops).astype(np.int32)
+        self.ended = np.append(keys, ~np.uint64(0))  # a search stops at the end at the latest
+
+    @property
+    def keys(self) -> np.ndarray:
+        return self.ended[:-1]
 
     def __len__(self) -> int:
-        return len(self.keys)
+        return len(self.ended) - 1
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key in the table, or -1."""
-        out = np.full(len(keys), -1, np.int64)
-        top = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
-        at, end = self.begin[top], self.begin[top + 1]
-        live = np.flatnonzero(at < end)
+        at = self.begin[(keys >> np.uint64(64 - self.bits)).view(np.int64)].astype(np.int64)
+        here = self.ended[at]
+        missed, live = here != keys, np.flatnonzero(here < keys)
+        place, asked = at[live], keys[live]
         while len(live):
-            here = at[live]
-            hit = self.keys[here] == keys[live]
-            out[live[hit]] = here[hit]
-            at[live] += 1
-            live = live[~hit & (here + 1 < end[live])]
-        return out
+            place += 1
+            here = self.ended[place]
+            hit, on = here == asked, here < asked
+            at[live[hit]] = place[hit]
+            missed[live[hit]] = False
+            live, place, asked = live[on], place[on], asked[on]
+        at[missed | (at == len(self))] = -1
+        return at
 
 
 def _pair(ctx: np.ndarray, sub: np.ndarray) -> np.ndarray:
