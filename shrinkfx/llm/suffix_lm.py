@@ -104,6 +104,9 @@ class Keys:
         self.begin = np.searchsorted(keys, tops).astype(np.int32)
         self.ended = np.append(keys, ~np.uint64(0))  # a search stops at the end at the latest
 
+    def __reduce__(self):
+        return Keys, (self.keys,)  # a broadcast table comes without its index
+
     @property
     def keys(self) -> np.ndarray:
         return self.ended[:-1]

@@ -1,4 +1,5 @@
 import math
+import pickle
 
 import numpy as np
 import pytest
@@ -308,3 +309,11 @@ def test_key_lookup_equals_a_set():
         table, asked = SL.Keys(keys), np.concatenate([keys, r.integers(0, 1 << 63, 300, dtype=np.uint64)])
         place = {k: i for i, k in enumerate(keys.tolist())}
         assert SL.Keys(keys).find(asked).tolist() == [place.get(k, -1) for k in asked.tolist()] and len(table) == n
+
+
+def test_a_broadcast_table_comes_without_its_index():
+    keys = np.unique(np.random.default_rng(6).integers(0, 1 << 63, 5000, dtype=np.uint64))
+    for some in (keys, keys[:0]):
+        sent = pickle.dumps(SL.Keys(some))
+        assert len(sent) < 8 * len(some) + 500
+        assert pickle.loads(sent).find(keys).tolist() == SL.Keys(some).find(keys).tolist()
