@@ -22,7 +22,9 @@ Grams are counted in blocks: a task sums what it has met and hands on one row pe
 hashes, which the range's task adds up. A range holds about ``RANGE_ROWS`` grams of all tasks
 together. A gram travels as the ranks of its words among the broadcast ones (a rarer word as
 its hash), ordered and compressed, in about a third of the bytes of its keys; the range's task
-makes the keys. What texts ask of the table travels in such blocks too, and so do the answers.
+makes the keys. What texts ask of the table travels in such blocks too, each key once a block, and
+so do the answers; there a range stands for ``ANSWER_ROWS`` words, as a text gets an answer from
+each range that it asks. The broadcast tables are compressed like blocks.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,7 @@ from shrinkfx.session import materialize, stage
 END = np.uint64(0xE4D0F7EC575EED01)
 MERGE_WORDS = 2_000_000
 RANGE_ROWS = 1_000_000
+ANSWER_ROWS = 8_000_000  # a range of the table that texts ask, in words read
 FILTER_BITS = 28
 ASKED_ROWS = 1_000_000  # keys that a block of texts asks for
 HOME_ROWS = 1 << 16  # texts of a block
@@ -69,6 +72,15 @@ class Level:
     edges: Keys
     gain: np.ndarray  # log10 of what the gram's probability is above the mass times its suffix's
 
+    def __reduce__(self):
+        # whole units, so they are the same numbers afterwards
+        return _level, (self.states, _blob(np.round(self.keep * UNITS).astype("<i8")), self.edges, _blob(np.round(self.gain * UNITS).astype("<i8")))
+
+
+def _level(states: Keys, keep: bytes, edges: Keys, gain: bytes) -> Level:
+    (keep,), (gain,) = _unpacked(keep, len(states), ["<i8"]), _unpacked(gain, len(edges), ["<i8"])
+    return Level(states, keep / UNITS, edges, gain / UNITS)
+
 
 @dataclass
 class Tree:
@@ -79,6 +91,14 @@ class Tree:
     distinct: int
     rest: np.ndarray  # bitmap of the keys that are in the table alone
 
+    def __reduce__(self):
+        return _tree, (self.words, _blob(self.root), self.levels, self.tokens, self.distinct, len(self.rest), _blob(self.rest))
+
+
+def _tree(words: Keys, root: bytes, levels: list[Level], tokens: int, distinct: int, size: int, rest: bytes) -> Tree:
+    (root,), (rest,) = _unpacked(root, len(words), ["<f8"]), _unpacked(rest, size, ["<u8"])
+    return Tree(words, root, levels, tokens, distinct, rest)
+
 
 def token_stream(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token hashes, tokens per row, place in its row) with an end after each row."""
@@ -105,7 +125,7 @@ class Keys:
         self.ended = np.append(keys, ~np.uint64(0))  # a search stops at the end at the latest
 
     def __reduce__(self):
-        return Keys, (self.keys,)  # a broadcast table comes without its index
+        return _keys, (len(self), _blob(_steps(self.keys)))  # a broadcast table comes without its index
 
     @property
     def keys(self) -> np.ndarray:
@@ -131,6 +151,11 @@ class Keys:
         return at
 
 
+def _keys(rows: int, blob: bytes) -> Keys:
+    (steps,) = _unpacked(blob, rows, ["<u8"])
+    return Keys(np.cumsum(steps, dtype=np.uint64))
+
+
 def _pair(ctx: np.ndarray, sub: np.ndarray) -> np.ndarray:
     """Key of the gram whose words but the last have key ``ctx``, and but the first ``sub``."""
     return K.mix(ctx * np.uint64(0x9FB21C651E98DF25) + K.mix(sub ^ np.uint64(0x2545F4914F6CDD1D)))
@@ -171,22 +196,46 @@ def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 
-def _ranges(tokens: int) -> int:
+def _ranges(tokens: int, each: int) -> int:
     """Into how many ranges the hashes of what ``tokens`` words hold are cut."""
-    return 1 << max(4, (tokens // RANGE_ROWS).bit_length())
+    return 1 << max(4, (tokens // each).bit_length())
+
+
+def _first(values: np.ndarray) -> np.ndarray:
+    """Places at which a run of equal values begins."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+
+
+def _steps(values: np.ndarray, first: np.ndarray | int = 0) -> np.ndarray:
+    """What ascending values add to the one before; at the places ``first`` the values themselves."""
+    out = values.copy()
+    out[1:] -= values[:-1]
+    if len(out):
+        out[first] = values[first]
+    return out
+
+
+def _planes(columns: list[np.ndarray]) -> np.ndarray:
+    """The first bytes of a column's values stand together, then the second ones and so on."""
+    return np.concatenate([np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T for x in columns])
+
+
+def _blob(column: np.ndarray) -> bytes:
+    return _ZSTD.compress(_planes([column]).tobytes(), asbytes=True)
 
 
 def _packed(part: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(parts, rows, blobs) of columns whose rows are ordered by part. In a blob the first
-    bytes of a column's values stand together, then the second ones and so on."""
-    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+    """(parts, rows, blobs) of columns whose rows are ordered by part."""
+    first = _first(part)
     ends = np.append(first[1:], len(part))
-    planes = np.concatenate([np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T for x in columns])
+    planes = _planes(columns)
     return part[first], ends - first, [_ZSTD.compress(planes[:, i:j].tobytes(), asbytes=True) for i, j in zip(first, ends)]
 
 
 def _unpacked(blob: bytes, rows: int, types: list[str]) -> list[np.ndarray]:
     """The columns of a blob."""
+    if not rows:
+        return [np.zeros(0, t) for t in types]
     sizes = [np.dtype(t).itemsize for t in types]
     planes = np.frombuffer(_ZSTD.decompress(blob, rows * sum(sizes)), np.uint8).reshape(sum(sizes), rows)
     ends = np.cumsum(sizes)
@@ -240,13 +289,17 @@ def _counted(docs: DataFrame, text_col: str, keys_of) -> DataFrame:
     return arrow_map(texts, run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter: np.ndarray, tokens: int, ranked: np.ndarray) -> DataFrame:
+def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter: np.ndarray, tokens: int, ranked: np.ndarray,
+                   sent: list[Broadcast] | None = None) -> DataFrame:
     """(ctx, sub, key, n) of the grams of ``k`` + 1 words seen ``least`` times in ``tokens``
     words. ``shorter`` is the bitmap of the grams of ``k`` words seen so often: no other can
-    be inside one. ``ranked`` are the words that travel as their place in it plus one."""
+    be inside one. ``ranked`` are the words that travel as their place in it plus one. What is
+    broadcast is added to ``sent``."""
     spark = docs.sparkSession
     known, by_rank = spark.sparkContext.broadcast(shorter), spark.sparkContext.broadcast(ranked)
-    ranges, types = _ranges(tokens), ["<u4"] * (k + 2)
+    if sent is not None:
+        sent += known, by_rank
+    ranges, types = _ranges(tokens, RANGE_ROWS), ["<u4"] * (k + 2)
     bits = ranges.bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +314,7 @@ def _counted_grams(docs: DataFrame, text_col: str, k: int, least: int, shorter:
             key, *ids = (np.concatenate(x) for x in zip(*held))
             by_key = np.argsort(key)
             key = key[by_key]
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            first = _first(key)
             n, at = np.diff(np.append(first, len(key))).astype(np.uint32), by_key[first]
             part, ids = (key[first] >> np.uint64(64 - bits)), [x[at] for x in ids]
             # by range, in it by the first words: runs of equal numbers
@@ -389,7 +442,10 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> tu
     found: list[tuple[DataFrame, DataFrame]] = []
     done: list[str] = []
     for k in range(1, shape.depth + 1):
-        grams, folder = stage(_counted_grams(docs, text_col, k, least, _bitmap(below), n, ranked), f"lm-grams-{k}")
+        sent: list[Broadcast] = []
+        grams, folder = stage(_counted_grams(docs, text_col, k, least, _bitmap(below), n, ranked, sent), f"lm-grams-{k}")
+        for b in sent:
+            b.destroy()  # the driver's file else stays until the session ends
         _release(spark)
         contexts = grams.groupBy("ctx").agg(F.sum(F.greatest(F.col("n") - shape.discount, F.lit(0.0))).alias("stored")).join(
             below.select(F.col("key").alias("ctx"), F.col("n").alias("size"), F.col("sub").alias("suffix")), "ctx").select(
@@ -499,17 +555,18 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
     carried = [c for c in docs.columns if c != text_col and c.lower() not in added]
     rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.coalesce(F.col(text_col), F.lit("")).alias("_lm_text"))
     shared = docs.sparkSession.sparkContext.broadcast(tree)
-    ranges, tokens_known = _ranges(tree.tokens), tree.tokens
+    ranges, tokens_known = _ranges(tree.tokens, ANSWER_ROWS), tree.tokens
     bits = np.uint64(65 - ranges.bit_length())
     mass = float(tree.tokens + shape.add * (tree.distinct + 1))
     sums = ("_lm_tokens", "_lm_known", "_lm_base", "_lm_score")
-    packs = {"_lm_part": pa.int64(), "_lm_home": pa.int64(), "_lm_rows": pa.int64(), "_lm_blob": pa.binary()}
+    packs = {"_lm_part": pa.int64(), "_lm_home": pa.int64(), "_lm_rows": pa.int64(), "_lm_blob": pa.binary(), "_lm_who": pa.binary()}
     n_own = len(carried) + len(sums)
 
     def pack_rows(fields: list[pa.Field], *packed) -> pa.RecordBatch:
-        """A batch of packed rows, with nulls in the texts' own ``fields``."""
-        return pa.RecordBatch.from_arrays([pa.nulls(len(packed[-1]), f.type) for f in fields] + [
-            pa.array(x, kind) for x, kind in zip(packed, packs.values())], names=[*(f.name for f in fields), *packs])
+        """A batch of packed rows, with nulls in the texts' own ``fields`` and where nothing is given."""
+        given = [pa.array(x, kind) for x, kind in zip(packed, packs.values())]
+        given += [pa.nulls(len(packed[0]), kind) for kind in [*packs.values()][len(given):]]
+        return pa.RecordBatch.from_arrays([pa.nulls(len(packed[0]), f.type) for f in fields] + given, names=[*(f.name for f in fields), *packs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, size, n_rows = shared.value, 0, 0
@@ -519,10 +576,13 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
 
         def asks() -> pa.RecordBatch:
             row, times, key = (np.concatenate(x) for x in zip(*held))
-            part = key >> bits
-            order = np.argsort(part, kind="stable")
-            parts, counts_, blobs = _packed(part[order], [row[order], times[order], key[order]])
-            return pack_rows(fields, parts.astype(np.int64), np.full(len(parts), home), counts_, blobs)
+            order = np.argsort(key)
+            row, times, key = row[order], times[order], key[order]
+            part, first = key >> bits, _first(key)  # each key once, with how many ask for it; then who asks
+            _, _, who = _packed(part, [row, times])
+            key, some, part = key[first], np.diff(np.append(first, len(key))).astype("<u4"), part[first]
+            parts, counts_, blobs = _packed(part, [_steps(key, _first(part)), some])
+            return pack_rows(fields, parts.astype(np.int64), np.full(len(parts), home), counts_, blobs, who)
 
         for batch in batches:
             for piece in K.slices(batch, "_lm_text"):
@@ -546,7 +606,7 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
                 # a text's own row goes anywhere; its number in its home stands in for the rows
                 yield pa.RecordBatch.from_arrays(
                     own + [pa.array(np.full(n, home % 1000003 % ranges)), pa.array(np.full(n, home)),
-                           pa.array(np.arange(n_rows, n_rows + n)), pa.nulls(n, pa.binary())], names=[*carried, *sums, *packs])
+                           pa.array(np.arange(n_rows, n_rows + n)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=[*carried, *sums, *packs])
                 n_rows += n
                 if size > ASKED_ROWS or n_rows >= HOME_ROWS:
                     if size:
@@ -560,9 +620,10 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
 
         def out() -> pa.RecordBatch:
             key, n, value = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(key)
+            key = key[order]
             part = key >> bits
-            order = np.argsort(part, kind="stable")
-            parts, counts_, blobs = _packed(part[order], [key[order], n[order], value[order]])
+            parts, counts_, blobs = _packed(part, [_steps(key, _first(part)), n[order], value[order]])
             return pack_rows([], parts.astype(np.int64), np.full(len(parts), -1), counts_, blobs)
 
         for batch in batches:
@@ -585,11 +646,12 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
             if texts.num_rows:
                 yield texts
             packed = batch.filter(batch.column("_lm_blob").is_valid())
-            for r, home, n, blob in zip(*(packed.column(c).to_pylist() for c in packs)):
+            for r, home, n, blob, who in zip(*(packed.column(c).to_pylist() for c in packs)):
                 if home < 0:
-                    tables.setdefault(r, []).append(_unpacked(blob, n, ["<u8", "<i8", "<i8"]))
+                    step, *others = _unpacked(blob, n, ["<u8", "<i8", "<i8"])
+                    tables.setdefault(r, []).append((np.cumsum(step, dtype=np.uint64), *others))
                 else:
-                    asks.setdefault(r, []).append((home, n, blob))
+                    asks.setdefault(r, []).append((home, n, blob, who))
         for r in sorted(asks):
             none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
             key, count, value = (np.concatenate(x) for x in zip(none, *tables.pop(r, [])))
@@ -597,16 +659,19 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
             key, count, value = key[order], count[order], value[order]
             words, grams, count, value = key[count > 0], key[count == 0], count[count > 0], value[count == 0]
             homes, counts_, blobs = [], [], []
-            for home, n, blob in asks.pop(r):
-                row, times, key = _unpacked(blob, n, ["<u4", "<u4", "<u8"])
-                seen = np.where(times > 0, _at(words, count, key), 0)
-                rest = np.where(times > 0, times * np.round(np.log10((seen + shape.add) / mass) * UNITS), 0).astype("<i8")
-                more = np.where(seen > 0, times, 0)
-                gain = np.where(times == 0, _at(grams, value, key), 0)
-                order = np.argsort(row, kind="stable")
+            for home, n, blob, who in asks.pop(r):
+                step, some = _unpacked(blob, n, ["<u8", "<u4"])
+                row, times = _unpacked(who, int(some.sum()), ["<u4", "<u4"])
+                key = np.cumsum(step, dtype=np.uint64)
+                seen = _at(words, count, key)
+                root = np.repeat(np.round(np.log10((seen + shape.add) / mass) * UNITS), some)
+                rest = np.where(times > 0, times * root, 0).astype("<i8")
+                more = np.where(np.repeat(seen > 0, some), times, 0)
+                gain = np.where(times == 0, np.repeat(_at(grams, value, key), some), 0)
+                order = np.argsort(row)
                 row = row[order]
-                first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                _, (k,), (b,) = _packed(np.zeros(len(first), np.int64), [row[first]] + [
+                first = _first(row)
+                _, (k,), (b,) = _packed(np.zeros(len(first), np.int64), [_steps(row[first])] + [
                     np.add.reduceat(x[order], first).astype("<i8") for x in (more, rest, gain)])
                 homes.append(home)
                 counts_.append(k)
@@ -618,7 +683,7 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
         answers: dict[int, list] = {}
         for batch in batches:
             packed = batch.filter(batch.column("_lm_blob").is_valid())
-            for home, n, blob in zip(*(packed.column(c).to_pylist() for c in list(packs)[1:])):
+            for home, n, blob in zip(*(packed.column(c).to_pylist() for c in list(packs)[1:4])):
                 answers.setdefault(home, []).append((n, blob))
             own = batch.filter(batch.column("_lm_blob").is_null())
             homes = np.asarray(own.column("_lm_home"))
@@ -629,7 +694,8 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
             top = 1 + max(int(np.asarray(x.column("_lm_rows")).max()) for x in some)
             more, rest, gain = (np.zeros(top, np.int64) for _ in range(3))
             for n, blob in answers.pop(home, []):
-                row, *add = _unpacked(blob, n, ["<u4", "<i8", "<i8", "<i8"])  # each row once
+                step, *add = _unpacked(blob, n, ["<u4", "<i8", "<i8", "<i8"])
+                row = np.cumsum(step)  # each row once
                 for x, y in zip((more, rest, gain), add):
                     x[row] += y
             for x in some:
@@ -640,13 +706,15 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, text_col: str = "text"
                     pa.array(base + rest[at] / UNITS), pa.array(model + (rest + gain)[at] / UNITS)], names=[*carried, *added])
 
     own = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    blob = "_lm_part long, _lm_home long, _lm_rows long, _lm_blob binary"
+    blob = "_lm_part long, _lm_home long, _lm_rows long, _lm_blob binary, _lm_who binary"
     schema = ", ".join([*own, "_lm_tokens long, _lm_known long, _lm_base double, _lm_score double", blob])
     table = counts.select("key", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("value", F.lit(0)).alias("value"))
     asked = arrow_map(rows, run, schema).unionByName(arrow_map(table, table_rows, blob), allowMissingColumns=True)
     replies = arrow_map(asked.repartition(ranges, "_lm_part"), answered, schema).repartition(ranges, "_lm_home")
-    return materialize(arrow_map(replies, summed, ", ".join([
+    scored = materialize(arrow_map(replies, summed, ", ".join([
         *own, "n_tokens long, n_known long, train_tokens long, base_score double, score double"])), "lm-scored")
+    shared.destroy()
+    return scored
 
 
 def _at(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:

@@ -317,3 +317,50 @@ def test_a_broadcast_table_comes_without_its_index():
         sent = pickle.dumps(SL.Keys(some))
         assert len(sent) < 8 * len(some) + 500
         assert pickle.loads(sent).find(keys).tolist() == SL.Keys(some).find(keys).tolist()
+
+
+def test_lm_tree_travels_compressed(spark):
+    """A broadcast tree is copied to the disk of every executor: it comes without what its order
+    and its whole units already say, and comes back as it was."""
+    rng = np.random.default_rng(5)
+    keys = [SL.Keys(np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))) for n in (30_000, 20_000, 10_000, 0, 0)]
+    value = [np.round(rng.normal(size=len(k)) * SL.UNITS) / SL.UNITS for k in keys]
+    tree = SL.Tree(keys[0], np.log10(rng.random(len(keys[0]))), [SL.Level(keys[1], value[1], keys[2], value[2]), SL.Level(keys[3], value[3], keys[4], value[4])],
+                   123, 45, (rng.random(1 << 14) < 0.3).astype(np.uint64))
+    sent = pickle.dumps(tree)
+    plain = 16 * sum(map(len, keys)) + tree.rest.nbytes
+    assert len(sent) < 0.85 * plain
+    got = pickle.loads(sent)
+    assert (got.tokens, got.distinct) == (123, 45)
+    pairs = [(got.root, tree.root), (got.rest, tree.rest), (got.words.keys, keys[0].keys)]
+    for a, b in zip(got.levels, tree.levels, strict=True):
+        pairs += [(a.states.keys, b.states.keys), (a.keep, b.keep), (a.edges.keys, b.edges.keys), (a.gain, b.gain)]
+    for a, b in pairs:
+        assert a.dtype == b.dtype and (a == b).all() and len(a) == len(b)
+
+
+def test_lm_lets_go_of_its_broadcasts(spark, monkeypatch):
+    """Each is a file on the driver and on every executor until it is destroyed."""
+    made, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: made.append(broadcast(self, x)) or made[-1])
+    docs = spark.createDataFrame([(i, prose(i % 9, 60)) for i in range(40)], "doc_id long, text string")
+    shape = SL.Shape(least_edge=2, head_rows=10)
+    tree, counts = SL.train(docs, shape=shape)
+    rows = SL.score(docs, tree, counts, shape=shape)
+    assert len(made) >= shape.depth + 2 and not any(b._jbroadcast.isValid() for b in made)
+    assert rows.count() == 40 and all(math.isfinite(r.score) for r in rows.collect())
+
+
+def test_lm_many_texts_ask_for_the_same_rare_keys(spark):
+    """Keys that several texts of a block ask for, and a text several times, count for each."""
+    same = " ".join(f"zig{i % 7} zag{i % 5} zug{i % 3}" for i in range(50))
+    texts = [same, same + " " + same, "zig1 zag1 none", "none none zig1", "", same] * 8
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = []
+    for shape in (SL.Shape(), SL.Shape(head_rows=0)):
+        got.append({r.doc_id: r for r in SL.score(docs, *SL.train(docs, shape=shape), shape=shape).collect()})
+    for i, a in got[0].items():
+        b = got[1][i]
+        assert (a.n_tokens, a.n_known) == (b.n_tokens, b.n_known)
+        assert (b.base_score, b.score) == pytest.approx((a.base_score, a.score), rel=1e-8)
+    assert len({(r.base_score, r.score) for i, r in got[1].items() if texts[i] == same}) == 1
